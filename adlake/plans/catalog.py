@@ -41,3 +41,122 @@ def q_campaign_daily(spark, sf_dir):
 @register("audience_daily")
 def q_audience_daily(spark, sf_dir):
     return tx.audience_daily(enriched(spark, sf_dir))
+
+
+# --- P1: layers ---------------------------------------------------------------------
+NO_LTZ = "event_timestamp"  # instants are not compared across engines; seconds + date are
+
+
+@register("silver_impressions")
+def q_silver_impressions(spark, sf_dir):
+    return silver(spark, sf_dir)["impressions"].drop(NO_LTZ)
+
+
+@register("silver_ads")
+def q_silver_ads(spark, sf_dir):
+    return silver(spark, sf_dir)["ads"]
+
+
+@register("silver_user_profiles")
+def q_silver_user_profiles(spark, sf_dir):
+    return silver(spark, sf_dir)["user_profiles"]
+
+
+@register("enriched")
+def q_enriched(spark, sf_dir):
+    return enriched(spark, sf_dir).drop(NO_LTZ)
+
+
+@register("overall_ctr")
+def q_overall_ctr(spark, sf_dir):
+    return tx.overall_ctr(tx.campaign_daily(enriched(spark, sf_dir)))
+
+
+@register("bronze_csv_roundtrip")
+def q_bronze_csv_roundtrip(spark, sf_dir):
+    """The three sources written as raw CSV, read back strictly, then the full report."""
+    from adlake.session import scratch_path
+    from adlake.sources.csv import read_source_csv, write_source_csv
+    source_dir = scratch_path(spark, "raw-csv")
+    for name, df in bronze_views(spark, sf_dir).items():
+        write_source_csv(df, source_dir, name)
+    bronze = {name: read_source_csv(spark, source_dir, name)
+              for name in ("impressions", "ads", "user_profiles")}
+    s = tx.silver_views(bronze)
+    return tx.campaign_daily(tx.enrich(s["impressions"], s["ads"], s["user_profiles"]))
+
+
+# --- P2: quality ----------------------------------------------------------------------
+def dirty_silver(spark, sf_dir):
+    from adlake.sources.adapter import dirty_views
+    return tx.silver_views(dirty_views(spark, sf_dir))
+
+
+@register("check_dimension_keys")
+def q_check_dimension_keys(spark, sf_dir):
+    from adlake.operators.quality import dimension_violations
+    s = dirty_silver(spark, sf_dir)
+    return (dimension_violations(s["ads"], "adgroup_id", ("campaign_id", "advertiser_id"), "ads")
+            .unionByName(dimension_violations(s["user_profiles"], "user_id", (), "user_profiles")))
+
+
+@register("check_invalid_impressions")
+def q_check_invalid_impressions(spark, sf_dir):
+    from adlake.operators.quality import impression_violations
+    return impression_violations(dirty_silver(spark, sf_dir)["impressions"])
+
+
+@register("unmatched_ads")
+def q_unmatched_ads(spark, sf_dir):
+    from adlake.operators.quality import unmatched
+    s = dirty_silver(spark, sf_dir)
+    return unmatched(s["impressions"], s["ads"], "adgroup_id").drop(NO_LTZ)
+
+
+@register("missing_profiles")
+def q_missing_profiles(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from adlake.operators.quality import unmatched
+    s = silver(spark, sf_dir)
+    return unmatched(s["impressions"], s["user_profiles"], "user_id").agg(
+        F.count(F.lit(1)).alias("missing_profile_impressions"))
+
+
+@register("fact_totals")
+def q_fact_totals(spark, sf_dir):
+    from adlake.operators.quality import fact_totals
+    s = silver(spark, sf_dir)
+    return fact_totals(s["impressions"], s["user_profiles"])
+
+
+@register("gold_reconciliation")
+def q_gold_reconciliation(spark, sf_dir):
+    """Both reports reconcile; a copy of campaign_daily with clicks+1 on campaigns
+    whose id ends in 3 must not."""
+    from pyspark.sql import functions as F
+    from adlake.operators.quality import fact_totals, reconcile
+    s = silver(spark, sf_dir)
+    e = tx.enrich(s["impressions"], s["ads"], s["user_profiles"])
+    totals = fact_totals(s["impressions"], s["user_profiles"])
+    campaign = tx.campaign_daily(e)
+    tampered = campaign.withColumn(
+        "clicks", F.col("clicks") + F.when(F.col("campaign_id") % 10 == 3, 1).otherwise(0))
+    return (reconcile(campaign, totals, "campaign_daily")
+            .unionByName(reconcile(tx.audience_daily(e), totals, "audience_daily"))
+            .unionByName(reconcile(tampered, totals, "campaign_daily_tampered")))
+
+
+@register("row_count_match")
+def q_row_count_match(spark, sf_dir):
+    from adlake.operators.quality import row_counts
+    bronze = bronze_views(spark, sf_dir)
+    s = tx.silver_views(bronze)
+    return row_counts({name: (bronze[name], s[name]) for name in bronze})
+
+
+@register("table_diff")
+def q_table_diff(spark, sf_dir):
+    """Exact multiset difference between clean and fault-injected Silver impressions."""
+    from adlake.operators.equality import table_diff
+    return table_diff(silver(spark, sf_dir)["impressions"].drop(NO_LTZ),
+                      dirty_silver(spark, sf_dir)["impressions"].drop(NO_LTZ))

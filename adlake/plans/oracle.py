@@ -74,3 +74,134 @@ ORACLE: dict[str, str] = {
     "campaign_daily": CAMPAIGN_DAILY,
     "audience_daily": AUDIENCE_DAILY,
 }
+
+# --- P1 -----------------------------------------------------------------------------
+IMP_COLS = ("user_id, timestamp_seconds, adgroup_id, placement_id, nonclick, clicked, "
+            "source_file, reporting_date")
+
+ORACLE["silver_impressions"] = _with(IMP) + "SELECT * FROM imp"
+ORACLE["silver_ads"] = _with(ADS) + "SELECT * FROM ads"
+ORACLE["silver_user_profiles"] = _with(USERS) + "SELECT * FROM users"
+ORACLE["enriched"] = _with(IMP, ADS, USERS, ENRICHED) + "SELECT * FROM enriched"
+ORACLE["overall_ctr"] = _with(IMP) + """
+SELECT count(*)::BIGINT AS impressions, sum(clicked)::BIGINT AS clicks,
+       sum(clicked)::DOUBLE / count(*) AS ctr
+FROM imp"""
+ORACLE["bronze_csv_roundtrip"] = CAMPAIGN_DAILY
+
+# --- P2: fault-injected sources ------------------------------------------------------
+DIRTY_IMP = """dimp AS (
+  SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE user_id END AS user_id,
+         epoch_us(ts) // 1000000 AS timestamp_seconds,
+         CASE WHEN event_id % 89 = 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) + 1000000
+              ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS adgroup_id,
+         event_type AS placement_id,
+         CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS nonclick,
+         CASE WHEN event_id % 97 = 0 THEN 2 WHEN event_type = 'click' THEN 1 ELSE 0 END AS clicked,
+         'raw_sample.csv' AS source_file,
+         CAST(ts + INTERVAL 8 HOUR AS DATE) AS reporting_date
+  FROM events)"""
+
+DIRTY_ADS = """dads_once AS (
+  SELECT p_partkey AS adgroup_id, p_size,
+         CASE WHEN p_size = 2 THEN NULL ELSE CAST(p_size AS BIGINT) END AS campaign_id,
+         CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS advertiser_id
+  FROM part),
+dads AS (SELECT * FROM dads_once UNION ALL SELECT * FROM dads_once WHERE p_size = 1)"""
+
+ORACLE["check_dimension_keys"] = _with(DIRTY_ADS, USERS) + """,
+ak AS (SELECT adgroup_id, count(*) AS n,
+              count(*) FILTER (WHERE campaign_id IS NULL OR advertiser_id IS NULL) AS missing
+       FROM dads GROUP BY adgroup_id),
+uk AS (SELECT user_id, count(*) AS n FROM users GROUP BY user_id)
+SELECT 'ads' AS dimension, sum(n)::BIGINT AS row_count,
+       coalesce(sum(CASE WHEN adgroup_id IS NULL THEN n END), 0)::BIGINT AS null_keys,
+       count(*) FILTER (WHERE adgroup_id IS NOT NULL AND n > 1)::BIGINT AS duplicate_keys,
+       sum(missing)::BIGINT AS missing_required
+FROM ak
+UNION ALL
+SELECT 'user_profiles', sum(n)::BIGINT,
+       coalesce(sum(CASE WHEN user_id IS NULL THEN n END), 0)::BIGINT,
+       count(*) FILTER (WHERE user_id IS NOT NULL AND n > 1)::BIGINT, 0::BIGINT
+FROM uk"""
+
+INVALID = """(user_id IS NULL OR adgroup_id IS NULL OR timestamp_seconds IS NULL OR timestamp_seconds < 0
+  OR placement_id IS NULL OR trim(placement_id) = '' OR clicked IS NULL OR nonclick IS NULL
+  OR clicked NOT IN (0, 1) OR nonclick NOT IN (0, 1) OR clicked + nonclick <> 1)"""
+
+ORACLE["check_invalid_impressions"] = _with(DIRTY_IMP) + f"""
+SELECT count(*)::BIGINT AS impressions,
+       count(*) FILTER (WHERE {INVALID})::BIGINT AS invalid_rows,
+       sum(clicked)::BIGINT AS clicks,
+       CAST(min(reporting_date) AS VARCHAR) AS first_date,
+       CAST(max(reporting_date) AS VARCHAR) AS last_date
+FROM dimp"""
+
+ORACLE["unmatched_ads"] = _with(DIRTY_IMP, DIRTY_ADS) + f"""
+SELECT {IMP_COLS} FROM dimp i
+WHERE NOT EXISTS (SELECT 1 FROM dads a WHERE a.adgroup_id = i.adgroup_id)"""
+
+ORACLE["missing_profiles"] = _with(IMP, USERS) + """
+SELECT count(*)::BIGINT AS missing_profile_impressions FROM imp i
+WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = i.user_id)"""
+
+TOTALS = """totals AS (
+  SELECT count(*)::BIGINT AS impressions, sum(clicked)::BIGINT AS clicks,
+         CAST(min(reporting_date) AS VARCHAR) AS first_date,
+         CAST(max(reporting_date) AS VARCHAR) AS last_date,
+         count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = imp.user_id))::BIGINT
+           AS missing_profile_impressions
+  FROM imp)"""
+
+ORACLE["fact_totals"] = _with(IMP, USERS, TOTALS) + "SELECT * FROM totals"
+
+
+def _reconcile(report: str, source: str) -> str:
+    return f"""
+SELECT report, gold_rows, impressions, clicks, missing_profile_impressions,
+       expected_impressions, expected_clicks, expected_missing_profile_impressions, invalid_rows,
+       (impressions = expected_impressions AND clicks = expected_clicks
+        AND missing_profile_impressions = expected_missing_profile_impressions
+        AND invalid_rows = 0) AS reconciles
+FROM (SELECT '{report}' AS report, count(*)::BIGINT AS gold_rows,
+             coalesce(sum(g.impressions), 0)::BIGINT AS impressions,
+             coalesce(sum(g.clicks), 0)::BIGINT AS clicks,
+             coalesce(sum(g.missing_profile_impressions), 0)::BIGINT AS missing_profile_impressions,
+             (SELECT impressions FROM totals) AS expected_impressions,
+             (SELECT clicks FROM totals) AS expected_clicks,
+             (SELECT missing_profile_impressions FROM totals) AS expected_missing_profile_impressions,
+             count(*) FILTER (WHERE g.ctr IS NULL OR g.ctr < 0 OR g.ctr > 1 OR g.impressions <= 0)::BIGINT
+               AS invalid_rows
+      FROM {source} g)"""
+
+
+ORACLE["gold_reconciliation"] = _with(IMP, ADS, USERS, ENRICHED, TOTALS) + f""",
+cd AS (SELECT reporting_date, campaign_id, advertiser_id, {MEASURES}
+       FROM enriched GROUP BY reporting_date, campaign_id, advertiser_id),
+ad AS (SELECT reporting_date, advertiser_id, age_level, {MEASURES}
+       FROM enriched GROUP BY reporting_date, advertiser_id, age_level),
+tcd AS (SELECT reporting_date, campaign_id, advertiser_id, impressions,
+               clicks + CASE WHEN campaign_id % 10 = 3 THEN 1 ELSE 0 END AS clicks,
+               missing_profile_impressions, ctr FROM cd)
+{_reconcile('campaign_daily', 'cd')}
+UNION ALL {_reconcile('audience_daily', 'ad')}
+UNION ALL {_reconcile('campaign_daily_tampered', 'tcd')}"""
+
+ORACLE["row_count_match"] = """
+SELECT 'impressions' AS table_name, (SELECT count(*) FROM events)::BIGINT AS bronze_rows,
+       (SELECT count(*) FROM events)::BIGINT AS silver_rows,
+       (SELECT count(*) FROM events) > 0 AS counts_match
+UNION ALL
+SELECT 'ads', (SELECT count(*) FROM part)::BIGINT, (SELECT count(*) FROM part)::BIGINT,
+       (SELECT count(*) FROM part) > 0
+UNION ALL
+SELECT 'user_profiles', (SELECT count(*) FROM customer WHERE c_acctbal >= 0)::BIGINT,
+       (SELECT count(*) FROM customer WHERE c_acctbal >= 0)::BIGINT,
+       (SELECT count(*) FROM customer WHERE c_acctbal >= 0) > 0"""
+
+ORACLE["table_diff"] = _with(IMP, DIRTY_IMP) + f"""
+SELECT 'left' AS side, count(*)::BIGINT AS multiplicity, {IMP_COLS}
+FROM (SELECT {IMP_COLS} FROM imp EXCEPT ALL SELECT {IMP_COLS} FROM dimp) GROUP BY ALL
+UNION ALL
+SELECT 'right' AS side, count(*)::BIGINT AS multiplicity, {IMP_COLS}
+FROM (SELECT {IMP_COLS} FROM dimp EXCEPT ALL SELECT {IMP_COLS} FROM imp) GROUP BY ALL"""
