@@ -160,3 +160,94 @@ def q_table_diff(spark, sf_dir):
     from adlake.operators.equality import table_diff
     return table_diff(silver(spark, sf_dir)["impressions"].drop(NO_LTZ),
                       dirty_silver(spark, sf_dir)["impressions"].drop(NO_LTZ))
+
+
+# --- P3: reads, formats and layouts ----------------------------------------------------
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """Write (once per application) the table a read workload scans, in the shared scratch."""
+    from adlake.operators.reads import typed_impressions
+    from adlake.session import scratch_path
+    from adlake.sources.csv import write_typed_csv
+    from adlake.sources.tables import csv_to_parquet, write_table
+    key = (spark.sparkContext.applicationId, sf_dir, layout)
+    if key in _WRITTEN:
+        return _WRITTEN[key]
+    if layout == "typed_csv":
+        path = write_typed_csv(typed_impressions(bronze_views(spark, sf_dir)["impressions"]),
+                               scratch_path(spark, "typed-csv"))
+    elif layout == "typed_parquet":
+        path = csv_to_parquet(spark, _materialized(spark, sf_dir, "typed_csv"),
+                              scratch_path(spark, "typed-parquet"))["path"]
+    elif layout in ("silver", "silver_by_date", "silver_zstd"):
+        root = scratch_path(spark, layout)
+        opts = Options(codec="zstd" if layout == "silver_zstd" else "snappy")
+        parts = ("reporting_date",) if layout == "silver_by_date" else ()
+        write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
+                    partition_by=parts)
+        path = f"{root}/silver/impressions"
+    else:
+        raise ValueError(layout)
+    _WRITTEN[key] = path
+    return path
+
+
+def _format_query(source: str, workload: str):
+    def run(spark, sf_dir):
+        from adlake.operators.reads import format_query
+        from adlake.sources.csv import read_impressions_csv
+        path = _materialized(spark, sf_dir, f"typed_{source}")
+        frame = read_impressions_csv(spark, path) if source == "csv" else spark.read.parquet(path)
+        return format_query(frame, workload)
+    return run
+
+
+def _silver_query(layout: str, workload: str):
+    def run(spark, sf_dir):
+        from adlake.operators.reads import silver_query
+        return silver_query(spark.read.parquet(_materialized(spark, sf_dir, layout)), workload)
+    return run
+
+
+for _w in ("narrow", "wide", "one_day"):
+    register(f"placement_{_w}")(_format_query("csv", _w))
+    register(f"parquet_{_w}")(_format_query("parquet", _w))
+for _w in ("one_day", "three_days", "full_period"):
+    register(f"silver_{_w}")(_silver_query("silver", _w))
+    register(f"partitioned_{_w}")(_silver_query("silver_by_date", _w))
+
+
+@register("table_detail")
+def q_table_detail(spark, sf_dir):
+    from adlake.sources.tables import table_detail
+    return table_detail(spark, _materialized(spark, sf_dir, "silver_by_date"))
+
+
+@register("codec_audit")
+def q_codec_audit(spark, sf_dir):
+    from adlake.operators.storage import codec_audit
+    return codec_audit(spark, _materialized(spark, sf_dir, "silver_zstd"), "zstd")
+
+
+@register("source_fingerprint")
+def q_source_fingerprint(spark, sf_dir):
+    from adlake.operators.storage import fingerprint
+    return fingerprint(spark, sf_dir, "*.parquet")
+
+
+@register("row_fingerprint")
+def q_row_fingerprint(spark, sf_dir):
+    from adlake.operators.storage import row_fingerprint
+    return row_fingerprint(silver(spark, sf_dir)["impressions"].drop(NO_LTZ))
+
+
+@register("storage_totals")
+def q_storage_totals(spark, sf_dir):
+    from adlake.operators.storage import storage_totals
+    from adlake.plans.pipeline import run_pipeline
+    from adlake.session import scratch_path
+    root = scratch_path(spark, "pipeline")
+    run_pipeline(spark, bronze_views(spark, sf_dir), root, Options(codec="zstd"))
+    return storage_totals(spark, root)

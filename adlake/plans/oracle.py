@@ -205,3 +205,29 @@ FROM (SELECT {IMP_COLS} FROM imp EXCEPT ALL SELECT {IMP_COLS} FROM dimp) GROUP B
 UNION ALL
 SELECT 'right' AS side, count(*)::BIGINT AS multiplicity, {IMP_COLS}
 FROM (SELECT {IMP_COLS} FROM dimp EXCEPT ALL SELECT {IMP_COLS} FROM imp) GROUP BY ALL"""
+
+# --- P3: read workloads ----------------------------------------------------------------
+TYPED = """typed AS (
+  SELECT user_id AS "user", epoch_us(ts) // 1000000 AS time_stamp,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS adgroup_id, event_type AS pid,
+         CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS nonclk,
+         CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS clk
+  FROM events)"""
+_NARROW = "SELECT pid, count(*)::BIGINT AS impressions, sum(clk)::BIGINT AS clicks FROM typed"
+_WIDE = """SELECT pid, count(*)::BIGINT AS impressions, sum("user")::BIGINT AS sum_user,
+       sum(time_stamp)::BIGINT AS sum_time_stamp, sum(adgroup_id)::BIGINT AS sum_adgroup_id,
+       sum(nonclk)::BIGINT AS sum_nonclk, sum(clk)::BIGINT AS sum_clk FROM typed"""
+_ONE_DAY = "WHERE time_stamp >= 1704643200 AND time_stamp < 1704643200 + 86400"
+for _src in ("placement", "parquet"):
+    ORACLE[f"{_src}_narrow"] = _with(TYPED) + _NARROW + " GROUP BY pid"
+    ORACLE[f"{_src}_wide"] = _with(TYPED) + _WIDE + " GROUP BY pid"
+    ORACLE[f"{_src}_one_day"] = _with(TYPED) + _NARROW + f" {_ONE_DAY} GROUP BY pid"
+
+_SILVER_READ = ("SELECT placement_id, count(*)::BIGINT AS impressions, sum(clicked)::BIGINT AS clicks "
+                "FROM imp {where} GROUP BY placement_id")
+_SILVER_WHERE = {"one_day": "WHERE reporting_date = DATE '2024-01-08'",
+                 "three_days": "WHERE reporting_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-10'",
+                 "full_period": ""}
+for _src in ("silver", "partitioned"):
+    for _w, _where in _SILVER_WHERE.items():
+        ORACLE[f"{_src}_{_w}"] = _with(IMP) + _SILVER_READ.format(where=_where)
