@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.model import Options
+from adlake.model import GOLD_KEYS, Options
 from adlake.operators import transforms as tx
 from adlake.sources.adapter import bronze_views
 
@@ -251,3 +251,75 @@ def q_storage_totals(spark, sf_dir):
     root = scratch_path(spark, "pipeline")
     run_pipeline(spark, bronze_views(spark, sf_dir), root, Options(codec="zstd"))
     return storage_totals(spark, root)
+
+
+# --- P4: strategies (metamorphic: same result and SQL as the control) --------------------
+def _report_under(spark: SparkSession, sf_dir: str, preset: str, report: str) -> DataFrame:
+    """Build ``report`` with a preset's options; settings that act at planning time are
+    scoped to the write of the result into the shared scratch, which is then read back."""
+    from adlake.plans.variants import PRESETS
+    from adlake.session import conf_scope, scratch_path
+    opts = PRESETS[preset][0]
+    s = silver(spark, sf_dir, opts)
+    keys = GOLD_KEYS[report]
+    if opts.cache:
+        from pyspark import StorageLevel
+        from adlake.plans.pipeline import REPORT_COLUMNS
+        shared = tx.enrich(s["impressions"], s["ads"], s["user_profiles"], opts).select(*REPORT_COLUMNS)
+        shared.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        try:
+            path = scratch_path(spark, f"{preset}-{report}")
+            with conf_scope(spark, opts.session_conf()):
+                for other in GOLD_KEYS:  # both reports reuse the cached enrichment
+                    out = tx.daily_report(shared, GOLD_KEYS[other])
+                    out.write.parquet(path if other == report else scratch_path(spark, other))
+        finally:
+            shared.unpersist(blocking=True)
+        return spark.read.parquet(path)
+    e = tx.enrich(s["impressions"], s["ads"], s["user_profiles"], opts)
+    out = (tx.report_from_rollup(tx.gold_rollup(e), keys) if opts.shared_rollup
+           else tx.daily_report(e, keys))
+    if opts.session_conf() == Options().session_conf():
+        return out
+    path = scratch_path(spark, f"{preset}-{report}")
+    with conf_scope(spark, opts.session_conf()):
+        out.write.parquet(path)
+    return spark.read.parquet(path)
+
+_VARIANT_QUERIES = {
+    "campaign_merge_ads": ("ads_merge", "campaign_daily"),
+    "audience_merge_ads": ("ads_merge", "audience_daily"),
+    "campaign_merge_profiles": ("profiles_merge", "campaign_daily"),
+    "audience_merge_profiles": ("profiles_merge", "audience_daily"),
+    "campaign_broadcast": ("ads_broadcast", "campaign_daily"),
+    "campaign_shuffle_hash": ("shuffle_hash", "campaign_daily"),
+    "campaign_shuffle_32": ("shuffle_32", "campaign_daily"),
+    "reports_cached": ("cached", "audience_daily"),
+    "campaign_no_coalesce": ("no_coalesce", "campaign_daily"),
+    "campaign_zstd": ("zstd", "campaign_daily"),
+    "reporting_date_udf": ("python_udf", "campaign_daily"),
+    "reporting_date_arrow": ("arrow_udf", "audience_daily"),
+    "campaign_shared_rollup": ("shared_rollup", "campaign_daily"),
+    "audience_shared_rollup": ("shared_rollup", "audience_daily"),
+}
+
+
+def _variant(preset: str, report: str):
+    return lambda spark, sf_dir: _report_under(spark, sf_dir, preset, report)
+
+
+for _name, (_preset, _report) in _VARIANT_QUERIES.items():
+    register(_name)(_variant(_preset, _report))
+
+
+@register("gold_pipeline_campaign")
+def q_gold_pipeline_campaign(spark, sf_dir):
+    """The whole rebuild (write Bronze/Silver/Gold with checks) under date partitioning;
+    returns the written campaign report."""
+    from adlake.plans.pipeline import gold_table, run_pipeline
+    from adlake.plans.variants import PRESETS
+    from adlake.session import scratch_path
+    opts = PRESETS["date_partitioned"][0]
+    root = scratch_path(spark, "pipeline")
+    run_pipeline(spark, bronze_views(spark, sf_dir), root, opts)
+    return gold_table(spark, root, "campaign_daily", opts)

@@ -231,3 +231,12 @@ _SILVER_WHERE = {"one_day": "WHERE reporting_date = DATE '2024-01-08'",
 for _src in ("silver", "partitioned"):
     for _w, _where in _SILVER_WHERE.items():
         ORACLE[f"{_src}_{_w}"] = _with(IMP) + _SILVER_READ.format(where=_where)
+
+# --- P4: every strategy variant must equal its control ------------------------------------
+for _name in ("campaign_merge_ads", "campaign_merge_profiles", "campaign_broadcast", "campaign_shuffle_hash",
+              "campaign_shuffle_32", "campaign_no_coalesce", "campaign_zstd", "reporting_date_udf",
+              "campaign_shared_rollup", "gold_pipeline_campaign"):
+    ORACLE[_name] = CAMPAIGN_DAILY
+for _name in ("audience_merge_ads", "audience_merge_profiles", "reports_cached", "reporting_date_arrow",
+              "audience_shared_rollup"):
+    ORACLE[_name] = AUDIENCE_DAILY
