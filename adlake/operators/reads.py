@@ -15,11 +15,16 @@ from adlake.model import TYPED_IMPRESSIONS
 # One reporting day and its half-open epoch range [DAY_START, DAY_START + 86400):
 # 2024-01-08T00:00:00+08:00.
 ONE_DAY = dt.date(2024, 1, 8)
-THREE_DAYS = (dt.date(2024, 1, 8), dt.date(2024, 1, 10))
 DAY_START = 1704643200
 DAY_SECONDS = 86400
 # ---------------------------------------------------------------------------------------
 
+
+def day_start_epoch(day: dt.date, utc_offset_hours: int = 8) -> int:
+    """Epoch second of local midnight of ``day`` at a fixed offset (for literal bounds)."""
+    midnight = dt.datetime(day.year, day.month, day.day, tzinfo=dt.timezone(dt.timedelta(hours=utc_offset_hours)))
+    return int(midnight.timestamp())
+
 FORMAT_WORKLOADS = ("narrow", "wide", "one_day")
 SILVER_WORKLOADS = ("one_day", "three_days", "full_period")
 WIDE_SUMS = ("user", "time_stamp", "adgroup_id", "nonclk", "clk")
@@ -31,13 +36,13 @@ def typed_impressions(bronze_impressions: DataFrame) -> DataFrame:
                                        for f in TYPED_IMPRESSIONS])
 
 
-def format_query(frame: DataFrame, workload: str) -> DataFrame:
+def format_query(frame: DataFrame, workload: str, day_start: int = DAY_START) -> DataFrame:
     """A3/A4/A5 over typed impressions (CSV or Parquet)."""
     if workload not in FORMAT_WORKLOADS:
         raise ValueError(workload)
     if workload == "one_day":
-        frame = frame.filter((F.col("time_stamp") >= F.lit(DAY_START))
-                             & (F.col("time_stamp") < F.lit(DAY_START + DAY_SECONDS)))
+        frame = frame.filter((F.col("time_stamp") >= F.lit(day_start))
+                             & (F.col("time_stamp") < F.lit(day_start + DAY_SECONDS)))
     if workload == "wide":
         return frame.groupBy("pid").agg(F.count(F.lit(1)).alias("impressions"),
                                         *[F.sum(c).cast("long").alias(f"sum_{c}") for c in WIDE_SUMS])
@@ -45,12 +50,12 @@ def format_query(frame: DataFrame, workload: str) -> DataFrame:
                                     F.sum("clk").cast("long").alias("clicks"))
 
 
-def silver_query(frame: DataFrame, workload: str) -> DataFrame:
+def silver_query(frame: DataFrame, workload: str, day: dt.date = ONE_DAY) -> DataFrame:
     """Placement report on Silver for one day, three days (inclusive) or all days."""
     if workload == "one_day":
-        frame = frame.filter(F.col("reporting_date") == F.lit(ONE_DAY))
+        frame = frame.filter(F.col("reporting_date") == F.lit(day))
     elif workload == "three_days":
-        frame = frame.filter(F.col("reporting_date").between(F.lit(THREE_DAYS[0]), F.lit(THREE_DAYS[1])))
+        frame = frame.filter(F.col("reporting_date").between(F.lit(day), F.lit(day + dt.timedelta(days=2))))
     elif workload != "full_period":
         raise ValueError(workload)
     return frame.groupBy("placement_id").agg(F.count(F.lit(1)).alias("impressions"),

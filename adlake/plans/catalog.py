@@ -186,7 +186,7 @@ def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
         opts = Options(codec="zstd" if layout == "silver_zstd" else "snappy")
         parts = ("reporting_date",) if layout == "silver_by_date" else ()
         write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
-                    partition_by=parts)
+                    partition_by=parts, cluster_by=("timestamp_seconds",) if parts else ())
         path = f"{root}/silver/impressions"
     else:
         raise ValueError(layout)

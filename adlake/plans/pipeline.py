@@ -81,7 +81,8 @@ def run_pipeline(spark: SparkSession, bronze_sources: dict[str, DataFrame], root
                 with timed(f"silver.{name}"):
                     bronze = read_table(spark, root, "bronze", name, opts.fmt)
                     parts = opts.partition_by if name == "impressions" else ()
-                    write_table(tx.clean(name, bronze, opts), root, "silver", name, opts, partition_by=parts)
+                    write_table(tx.clean(name, bronze, opts), root, "silver", name, opts, partition_by=parts,
+                                cluster_by=("timestamp_seconds",) if parts else ())
             silver = {name: read_table(spark, root, "silver", name, opts.fmt) for name in SOURCES}
             bronze = {name: read_table(spark, root, "bronze", name, opts.fmt) for name in SOURCES}
             with timed("validate.silver"):

@@ -32,11 +32,27 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, fmt: str =
     return reader.load(table_path(root, layer, name))
 
 
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+
+
 def write_table(df: DataFrame, root: str, layer: str, name: str, opts: Options | None = None,
-                *, partition_by: tuple[str, ...] = ()) -> str:
-    """Create-only write with the run's format and codec (and optional partitioning)."""
+                *, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> str:
+    """Create-only write with the run's format and codec (and optional partitioning).
+
+    A partitioned write is first range-partitioned on the partition columns plus
+    ``cluster_by`` tie-breakers: each task then holds a contiguous key range, so
+    the table gets about one file per partition value instead of one per task and
+    value, and a hot partition value is still split across several tasks. The task
+    count follows Catalyst's size estimate (about 128 MiB of input per task), and
+    is never below the cluster's default parallelism.
+    """
     opts = opts or Options()
     path = table_path(root, layer, name)
+    if partition_by:
+        from adlake.operators.joins import estimated_size_bytes
+        size = estimated_size_bytes(df)
+        tasks = max(_default_parallelism(df.sparkSession), int(min(size, 1 << 62) // TARGET_FILE_BYTES) + 1)
+        df = df.repartitionByRange(tasks, *partition_by, *cluster_by)
     writer = df.write.format(_format(opts.fmt)).mode("errorifexists").option("compression", opts.codec)
     if opts.fmt == "csv":
         writer = writer.option("header", True)
@@ -46,6 +62,13 @@ def write_table(df: DataFrame, root: str, layer: str, name: str, opts: Options |
     return path
 
 
+def _default_parallelism(spark: SparkSession) -> int:
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def csv_to_parquet(spark: SparkSession, source: str, target: str, codec: str = "uncompressed") -> dict:
     """Convert typed impressions CSV to Parquet; returns timing and the target path."""
     frame = read_impressions_csv(spark, source)
