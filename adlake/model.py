@@ -78,6 +78,26 @@ SILVER = {
 
 GOLD_MEASURES = ["impressions", "clicks", "missing_profile_impressions", "ctr"]
 
+_MEASURE_FIELDS = [T.StructField("impressions", T.LongType()), T.StructField("clicks", T.LongType()),
+                   T.StructField("missing_profile_impressions", T.LongType()),
+                   T.StructField("ctr", T.DoubleType())]
+GOLD = {
+    "campaign_daily": T.StructType([T.StructField("reporting_date", T.DateType()),
+                                    T.StructField("campaign_id", T.LongType()),
+                                    T.StructField("advertiser_id", T.LongType()), *_MEASURE_FIELDS]),
+    "audience_daily": T.StructType([T.StructField("reporting_date", T.DateType()),
+                                    T.StructField("advertiser_id", T.LongType()),
+                                    T.StructField("age_level", T.IntegerType()), *_MEASURE_FIELDS]),
+}
+
+
+def layer_schema(layer: str, name: str) -> T.StructType:
+    """Declared schema of a layer table (needed to read schema-less formats such as CSV)."""
+    if layer == "bronze":
+        return T.StructType(bronze_schema(name).fields + [T.StructField("source_file", T.StringType())])
+    return (SILVER if layer == "silver" else GOLD)[name]
+
+
 JOIN_STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 DATE_IMPLEMENTATIONS = ("builtin", "python", "arrow")
 

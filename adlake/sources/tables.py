@@ -9,7 +9,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlake.model import Options
+from adlake.model import Options, layer_schema
 from adlake.session import conf_scope, delta_available
 from adlake.sources.csv import read_impressions_csv
 
@@ -25,10 +25,11 @@ def _format(fmt: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """Read a layer table."""
+    """Read a layer table (CSV tables are read with the layer's declared schema)."""
     reader = spark.read.format(_format(fmt))
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = (reader.schema(layer_schema(layer, name)).option("header", True)
+                  .option("enforceSchema", False).option("mode", "FAILFAST"))
     return reader.load(table_path(root, layer, name))
 
 

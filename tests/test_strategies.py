@@ -1,0 +1,136 @@
+"""Metamorphic strategy tests: every variant equals the control, and the plan proves the knob."""
+from __future__ import annotations
+
+import pytest
+
+from adlake.operators import transforms as tx
+from adlake.operators.equality import equal
+from adlake.operators.joins import dimension_side, estimated_size_bytes
+from adlake.plans.inspect import has_node, initial_partitions, join_operators, plan_text
+from adlake.plans.variants import PRESETS, declared_changes
+from adlake.session import conf_scope
+from adlake.sources.adapter import bronze_views
+from conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    return tx.silver_views(bronze_views(spark, SF_SMALL))
+
+
+def report(silver, preset, name="campaign_daily"):
+    opts = PRESETS[preset][0]
+    s = silver if opts.date_impl == "builtin" else {**silver}
+    e = tx.enrich(s["impressions"], s["ads"], s["user_profiles"], opts)
+    return tx.daily_report(e, ["reporting_date", "campaign_id", "advertiser_id"] if name == "campaign_daily"
+                           else ["reporting_date", "advertiser_id", "age_level"])
+
+
+def executed_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return plan_text(df)
+
+
+def test_control_broadcasts_both_dimensions(spark, silver):
+    joins = join_operators(executed_plan(report(silver, "control")))
+    assert {(j["key"], j["operator"]) for j in joins} == {("adgroup_id", "BroadcastHashJoin"),
+                                                          ("user_id", "BroadcastHashJoin")}
+    assert all(j["join_type"] == "LeftOuter" for j in joins)
+
+
+@pytest.mark.parametrize("preset,key", [("ads_merge", "adgroup_id"), ("profiles_merge", "user_id")])
+def test_merge_hint_gives_sort_merge_on_one_side_only(spark, silver, preset, key):
+    df = report(silver, preset)
+    text = plan_text(df)  # planned (before AQE may re-plan): hint honoured
+    ops = {j["key"]: j["operator"] for j in join_operators(text)}
+    assert ops[key] == "SortMergeJoin"
+    other = "user_id" if key == "adgroup_id" else "adgroup_id"
+    assert ops[other] == "BroadcastHashJoin"
+    assert equal(df, report(silver, "control"))["equal"]
+
+
+def test_guarded_broadcast_falls_back_beyond_limit(spark, silver):
+    ads = silver["ads"].select("adgroup_id", "campaign_id", "advertiser_id")
+    assert estimated_size_bytes(ads) > 0
+    with pytest.warns(UserWarning, match="exceeds the broadcast limit"):
+        side = dimension_side(ads, "broadcast", broadcast_limit=1)
+    with conf_scope(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan_text(silver["impressions"].join(side, "adgroup_id", "left"))
+    assert "BroadcastHashJoin" not in text
+    text = plan_text(silver["impressions"].join(dimension_side(ads, "broadcast", 1 << 30), "adgroup_id", "left"))
+    assert "BroadcastHashJoin" in text
+
+
+def test_shuffle_partitions_setting_reaches_exchange(spark, silver):
+    with conf_scope(spark, PRESETS["shuffle_32"][0].session_conf()):
+        df = report(silver, "shuffle_32")
+        text = plan_text(df)
+        assert initial_partitions(text) and set(initial_partitions(text)) == {32}
+        assert equal(df, report(silver, "control"))["equal"]
+
+
+def test_no_coalesce_keeps_initial_partitions(spark, silver):
+    with conf_scope(spark, {**PRESETS["no_coalesce"][0].session_conf(), "spark.sql.shuffle.partitions": "16"}):
+        df = report(silver, "no_coalesce")
+        text = executed_plan(df)
+        assert "coalesced" not in text.lower()
+        assert df.rdd.getNumPartitions() == 16
+
+
+def test_coalescing_on_reduces_reader_partitions(spark, silver):
+    with conf_scope(spark, {"spark.sql.shuffle.partitions": "64"}):
+        df = report(silver, "control")
+        executed_plan(df)
+        assert df.rdd.getNumPartitions() < 64
+
+
+@pytest.mark.parametrize("preset,node", [("python_udf", "BatchEvalPython"), ("arrow_udf", "ArrowEvalPython")])
+def test_python_date_variants(spark, preset, node):
+    opts = PRESETS[preset][0]
+    imp = tx.clean_impressions(bronze_views(spark, SF_SMALL)["impressions"], opts)
+    text = plan_text(imp)
+    assert has_node(text, node)
+    control = tx.clean_impressions(bronze_views(spark, SF_SMALL)["impressions"])
+    assert not has_node(plan_text(control), node)
+    assert equal(imp.drop("event_timestamp"), control.drop("event_timestamp"))["equal"]
+
+
+def test_cached_enrichment_reused_and_released(spark, silver):
+    from pyspark import StorageLevel
+    from adlake.plans.pipeline import REPORT_COLUMNS
+    shared = tx.enrich(silver["impressions"], silver["ads"], silver["user_profiles"]).select(*REPORT_COLUMNS)
+    shared.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    try:
+        a = tx.daily_report(shared, ["reporting_date", "advertiser_id", "age_level"])
+        text = executed_plan(a)
+        assert has_node(text, "InMemoryTableScan")
+        assert shared.storageLevel == StorageLevel.MEMORY_AND_DISK_DESER
+        assert equal(a, report(silver, "control", "audience_daily"))["equal"]
+    finally:
+        shared.unpersist(blocking=True)
+    assert shared.storageLevel == StorageLevel.NONE
+
+
+def test_shared_rollup_equals_per_report_aggregation(spark, silver):
+    e = tx.enrich(silver["impressions"], silver["ads"], silver["user_profiles"])
+    rollup = tx.gold_rollup(e)
+    for keys in (["reporting_date", "campaign_id", "advertiser_id"], ["reporting_date", "advertiser_id", "age_level"]):
+        assert equal(tx.report_from_rollup(rollup, keys), tx.daily_report(e, keys))["equal"]
+
+
+def test_presets_declare_exactly_their_change():
+    assert declared_changes("control") == {}
+    assert declared_changes("shuffle_32") == {"shuffle_partitions": 32}
+    assert declared_changes("no_coalesce") == {"coalesce": False}
+    assert set(declared_changes("date_partitioned")) == {"codec", "partition_by"}
+
+
+def test_campaign_report_prunes_profile_attributes(spark, silver):
+    """The campaign report needs only the profile key: the customer scan must not read
+    the nation (age) column, and the fact scan reads only the columns the report uses."""
+    text = plan_text(report(silver, "control"))
+    customer_scans = [l for l in text.splitlines() if "customer.parquet" in l]
+    assert customer_scans and all("c_nationkey" not in l for l in customer_scans)
+    assert all("ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in l for l in customer_scans)
+    event_scans = [l for l in text.splitlines() if "events.parquet" in l]
+    assert event_scans and all("value:double" not in l for l in event_scans)
