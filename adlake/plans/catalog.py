@@ -323,3 +323,173 @@ def q_gold_pipeline_campaign(spark, sf_dir):
     root = scratch_path(spark, "pipeline")
     run_pipeline(spark, bronze_views(spark, sf_dir), root, opts)
     return gold_table(spark, root, "campaign_daily", opts)
+
+
+# --- P5: statistics over data-derived measurements (A13-A15, J8) ---------------------------
+SPLIT_DAY = "2024-01-16"  # left/right periods of the right-vs-left comparison
+
+
+def _daily_clicks(imp: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    return imp.groupBy("placement_id", "reporting_date").agg(F.sum("clicked").cast("long").alias("clicks"))
+
+
+@register("run_distribution")
+def q_run_distribution(spark, sf_dir):
+    """Per placement, the distribution of its daily click totals."""
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import distribution
+    out = distribution(_daily_clicks(silver(spark, sf_dir)["impressions"]), ["placement_id"], "clicks")
+    return out.withColumn("stdev", F.round("stdev", 9))
+
+
+@register("size_distribution")
+def q_size_distribution(spark, sf_dir):
+    """Per day, the distribution of campaign impressions (nearest-rank p95)."""
+    from adlake.operators.stats import size_distribution
+    return size_distribution(tx.campaign_daily(enriched(spark, sf_dir)), ["reporting_date"], "impressions")
+
+
+@register("right_vs_left")
+def q_right_vs_left(spark, sf_dir):
+    """Per placement, median daily clicks before (left) and from (right) SPLIT_DAY."""
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import right_vs_left
+    daily = _daily_clicks(silver(spark, sf_dir)["impressions"]).withColumn(
+        "side", F.when(F.col("reporting_date") < F.lit(SPLIT_DAY).cast("date"), "left").otherwise("right"))
+    return right_vs_left(daily, ["placement_id"], "side", "clicks")
+
+
+@register("settings_diff")
+def q_settings_diff(spark, sf_dir):
+    """(key, value) diff of per-placement click totals, clean vs fault-injected facts."""
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import settings_diff
+
+    def kv(imp):
+        return imp.groupBy(F.col("placement_id").alias("key")).agg(
+            F.sum("clicked").cast("string").alias("value"))
+    return settings_diff(kv(silver(spark, sf_dir)["impressions"]), kv(dirty_silver(spark, sf_dir)["impressions"]),
+                         declared=("click",))
+
+
+# --- P5: execution evidence over recorded event logs (rows-only) -------------------------------
+def _evidence(build):
+    def run(spark, sf_dir):
+        from adlake.plans.record import recording
+        from adlake.sources.eventlog import applications, read_event_log
+        out = recording(spark, sf_dir)
+        log = read_event_log(spark, f"{out}/events")
+        df = build(log, out, spark)
+        if "log_file" in df.columns:
+            df = df.join(applications(log).select("log_file", "app_name"), "log_file").drop("log_file")
+        return df
+    return run
+
+
+def _ev(name):
+    def wrap(build):
+        register(name)(_evidence(build))
+        return build
+    return wrap
+
+
+@_ev("evidence_task_metrics")
+def _e1(log, out, spark):
+    from pyspark.sql import functions as F
+    from adlake.operators.evidence import TASK_COUNTERS, _stage_groups, ev
+    tasks = ev.task_end(log).join(_stage_groups(log).select("log_file", "stage_id", "attempt_id", "job_group"),
+                                  ["log_file", "stage_id", "attempt_id"], "left")
+    return tasks.groupBy("log_file", F.coalesce("job_group", F.lit("internal")).alias("job_group")).agg(
+        F.count(F.lit(1)).alias("task_attempts"), F.sum("failed").alias("failed_task_attempts"),
+        *[F.sum(c).alias(c) for c in TASK_COUNTERS],
+        F.max("peak_execution_memory_bytes").alias("peak_task_execution_memory_bytes"))
+
+
+@_ev("evidence_processing_totals")
+def _a16(log, out, spark):
+    from adlake.operators.evidence import processing_totals, task_metrics
+    return processing_totals(task_metrics(log))
+
+
+@_ev("evidence_latest_plans")
+def _e2(log, out, spark):
+    from adlake.operators.evidence import latest_plans
+    return latest_plans(log).drop("plan", "plan_description")
+
+
+@_ev("evidence_join_strategies")
+def _e3(log, out, spark):
+    from pyspark.sql import functions as F
+    from adlake.operators.evidence import join_strategies
+    return join_strategies(log).withColumn("operators", F.to_json("operators"))
+
+
+@_ev("evidence_shuffle_partitions")
+def _e4(log, out, spark):
+    from adlake.operators.evidence import shuffle_exchanges
+    return shuffle_exchanges(log)
+
+
+@_ev("evidence_reader_stages")
+def _e5(log, out, spark):
+    from adlake.operators.evidence import reader_stages
+    return reader_stages(log)
+
+
+@_ev("evidence_coalescing")
+def _e6(log, out, spark):
+    from adlake.operators.evidence import coalescing
+    return coalescing(log)
+
+
+@_ev("evidence_file_sizes")
+def _e7(log, out, spark):
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import size_distribution
+    from adlake.operators.storage import list_files
+    files = list_files(spark, f"{out}/runs", "*.parquet").withColumn(
+        "table_name", F.regexp_extract("path", r"/runs/([^/]+)/([^/]+/[^/]+)/", 2)).withColumn(
+        "run", F.regexp_extract("path", r"/runs/([^/]+)/", 1))
+    return size_distribution(files, ["run", "table_name"], "length")
+
+
+@_ev("evidence_cache_reuse")
+def _e9(log, out, spark):
+    from adlake.operators.evidence import cache_reuse
+    return cache_reuse(log)
+
+
+@_ev("evidence_python_udf")
+def _e10(log, out, spark):
+    from adlake.operators.evidence import python_eval
+    return python_eval(log, ("silver.impressions", "gold.campaign_daily", "gold.audience_daily"))
+
+
+@_ev("evidence_scan_metrics")
+def _e11(log, out, spark):
+    from adlake.operators.evidence import scan_metrics
+    return scan_metrics(log, ("workload.narrow", "workload.wide", "workload.one_day"))
+
+
+@_ev("evidence_gold_seconds")
+def _e12(log, out, spark):
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import distribution
+    reports = spark.read.option("recursiveFileLookup", True).text(f"{out}/runs/*/_report")
+    parsed = reports.select(F.from_json("value", "struct<run_id:string,seconds:map<string,double>>").alias("r"))
+    gold = parsed.select(F.col("r.run_id").alias("run_id"),
+                         F.aggregate(F.map_values(F.map_filter("r.seconds", lambda k, v: k.startswith("gold."))),
+                                     F.lit(0.0), lambda a, b: a + b).alias("combined_gold_seconds"))
+    side = F.when(F.col("run_id") == "control", "left").otherwise("right")
+    return distribution(gold.withColumn("side", side), ["side"], "combined_gold_seconds", with_samples=False)
+
+
+@_ev("evidence_plan_nodes")
+def _x3(log, out, spark):
+    from pyspark.sql import functions as F
+    from adlake.functions.plan_nodes import plan_nodes
+    from adlake.operators.evidence import latest_plans
+    nodes = plan_nodes(latest_plans(log))
+    return nodes.groupBy("log_file", "node_name").agg(F.count(F.lit(1)).alias("nodes"),
+                                                      F.max("depth").alias("max_depth"))

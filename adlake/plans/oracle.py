@@ -240,3 +240,39 @@ for _name in ("campaign_merge_ads", "campaign_merge_profiles", "campaign_broadca
 for _name in ("audience_merge_ads", "audience_merge_profiles", "reports_cached", "reporting_date_arrow",
               "audience_shared_rollup"):
     ORACLE[_name] = AUDIENCE_DAILY
+
+# --- P5: statistics -------------------------------------------------------------------------
+DAILY = """daily AS (SELECT placement_id, reporting_date, sum(clicked)::BIGINT AS clicks
+                     FROM imp GROUP BY placement_id, reporting_date)"""
+
+ORACLE["run_distribution"] = _with(IMP, DAILY) + """
+SELECT placement_id,
+       string_agg(CAST(clicks AS VARCHAR), ',' ORDER BY clicks) AS samples,
+       count(clicks)::BIGINT AS n, median(clicks)::DOUBLE AS median,
+       min(clicks) AS min, max(clicks) AS max, round(stddev_samp(clicks), 9) AS stdev
+FROM daily GROUP BY placement_id"""
+
+ORACLE["size_distribution"] = _with(IMP, ADS, USERS, ENRICHED) + f""",
+cd AS (SELECT reporting_date, campaign_id, advertiser_id, {MEASURES}
+       FROM enriched GROUP BY reporting_date, campaign_id, advertiser_id)
+SELECT reporting_date, count(impressions)::BIGINT AS count, sum(impressions)::BIGINT AS total,
+       min(impressions) AS min, median(impressions)::DOUBLE AS median,
+       quantile_disc(impressions, 0.95) AS p95, max(impressions) AS max
+FROM cd GROUP BY reporting_date"""
+
+ORACLE["right_vs_left"] = _with(IMP, DAILY) + """
+SELECT placement_id, left_median, right_median,
+       CASE WHEN left_median <> 0 THEN (right_median - left_median) / left_median * 100 END
+         AS right_vs_left_percent
+FROM (SELECT placement_id,
+             median(clicks) FILTER (WHERE reporting_date < DATE '2024-01-16')::DOUBLE AS left_median,
+             median(clicks) FILTER (WHERE reporting_date >= DATE '2024-01-16')::DOUBLE AS right_median
+      FROM daily GROUP BY placement_id)"""
+
+ORACLE["settings_diff"] = _with(IMP, DIRTY_IMP) + """,
+r AS (SELECT placement_id AS key, CAST(sum(clicked) AS VARCHAR) AS reference_value FROM imp GROUP BY 1),
+c AS (SELECT placement_id AS key, CAST(sum(clicked) AS VARCHAR) AS current_value FROM dimp GROUP BY 1)
+SELECT coalesce(r.key, c.key) AS key, reference_value, current_value,
+       coalesce(r.key, c.key) IN ('click') AS declared
+FROM r FULL OUTER JOIN c ON r.key = c.key
+WHERE reference_value IS DISTINCT FROM current_value"""
