@@ -76,6 +76,10 @@ SILVER = {
         + [T.StructField("source_file", T.StringType())]),
 }
 
+# Deterministic tie-breakers that split a hot reporting day across writer tasks
+# (range partitioning on reporting_date + these), read from only three columns.
+IMPRESSION_CLUSTER = ("timestamp_seconds", "user_id", "adgroup_id")
+
 GOLD_MEASURES = ["impressions", "clicks", "missing_profile_impressions", "ctr"]
 
 _MEASURE_FIELDS = [T.StructField("impressions", T.LongType()), T.StructField("clicks", T.LongType()),

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.model import GOLD_KEYS, Options
+from adlake.model import GOLD_KEYS, IMPRESSION_CLUSTER, Options
 from adlake.operators import transforms as tx
 from adlake.sources.adapter import bronze_views
 
@@ -186,7 +186,7 @@ def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
         opts = Options(codec="zstd" if layout == "silver_zstd" else "snappy")
         parts = ("reporting_date",) if layout == "silver_by_date" else ()
         write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
-                    partition_by=parts, cluster_by=("timestamp_seconds",) if parts else ())
+                    partition_by=parts, cluster_by=IMPRESSION_CLUSTER if parts else ())
         path = f"{root}/silver/impressions"
     else:
         raise ValueError(layout)
@@ -493,3 +493,11 @@ def _x3(log, out, spark):
     nodes = plan_nodes(latest_plans(log))
     return nodes.groupBy("log_file", "node_name").agg(F.count(F.lit(1)).alias("nodes"),
                                                       F.max("depth").alias("max_depth"))
+
+
+@register("fact_checks")
+def q_fact_checks(spark, sf_dir):
+    """Q3-Q5 folded into one pass over the fault-injected fact."""
+    from adlake.operators.quality import fact_checks
+    s = dirty_silver(spark, sf_dir)
+    return fact_checks(s["impressions"], s["ads"], s["user_profiles"])

@@ -1,7 +1,8 @@
 """Read physical plans through the public ``explain`` text (no JVM handles).
 
-After an action, ``explain`` of the same DataFrame shows the final adaptive
-plan (``isFinalPlan=true``), which is what actually ran.
+After an action on the same DataFrame (``collect``; not a write, which wraps the
+plan in a new execution), ``explain`` shows the final adaptive plan
+(``isFinalPlan=true``), which is what actually ran.
 """
 from __future__ import annotations
 

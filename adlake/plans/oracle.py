@@ -276,3 +276,15 @@ SELECT coalesce(r.key, c.key) AS key, reference_value, current_value,
        coalesce(r.key, c.key) IN ('click') AS declared
 FROM r FULL OUTER JOIN c ON r.key = c.key
 WHERE reference_value IS DISTINCT FROM current_value"""
+
+ORACLE["fact_checks"] = _with(DIRTY_IMP, DIRTY_ADS, USERS) + f"""
+SELECT count(*)::BIGINT AS impressions,
+       count(*) FILTER (WHERE {INVALID})::BIGINT AS invalid_rows,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dads a WHERE a.adgroup_id = i.adgroup_id))::BIGINT
+         AS unmatched_ad_impressions,
+       sum(clicked)::BIGINT AS clicks,
+       CAST(min(reporting_date) AS VARCHAR) AS first_date,
+       CAST(max(reporting_date) AS VARCHAR) AS last_date,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = i.user_id))::BIGINT
+         AS missing_profile_impressions
+FROM dimp i"""

@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.model import GOLD_KEYS, RECORDED_SETTINGS, SOURCES, Options
+from adlake.model import GOLD_KEYS, IMPRESSION_CLUSTER, RECORDED_SETTINGS, SOURCES, Options
 from adlake.operators import quality as qc
 from adlake.operators import transforms as tx
 from adlake.operators.storage import storage_totals
@@ -82,7 +82,7 @@ def run_pipeline(spark: SparkSession, bronze_sources: dict[str, DataFrame], root
                     bronze = read_table(spark, root, "bronze", name, opts.fmt)
                     parts = opts.partition_by if name == "impressions" else ()
                     write_table(tx.clean(name, bronze, opts), root, "silver", name, opts, partition_by=parts,
-                                cluster_by=("timestamp_seconds",) if parts else ())
+                                cluster_by=IMPRESSION_CLUSTER if parts else ())
             silver = {name: read_table(spark, root, "silver", name, opts.fmt) for name in SOURCES}
             bronze = {name: read_table(spark, root, "bronze", name, opts.fmt) for name in SOURCES}
             with timed("validate.silver"):
