@@ -1 +1 @@
-"""adlake."""
+"""Plans: the full rebuild, variant presets, plan inspection, recorder, registered queries and oracles."""

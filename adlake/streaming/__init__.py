@@ -1 +1,6 @@
-"""adlake."""
+"""Streaming: intentionally empty.
+
+The pipeline this library re-expresses has no streaming sources, sinks or
+stateful operators; every run is a full batch rebuild. Nothing is added here
+beyond what that pipeline does.
+"""
