@@ -19,19 +19,37 @@ _UNITS = {"B": 1, "KiB": 1024, "MiB": 1024 ** 2, "GiB": 1024 ** 3, "TiB": 1024 *
 _STATS = re.compile(r"Statistics\(sizeInBytes=([0-9.E+]+)\s*(B|KiB|MiB|GiB|TiB|PiB|EiB)")
 
 
-def estimated_size_bytes(df: DataFrame) -> float:
-    """Catalyst's size estimate of ``df`` (optimized plan root), via ``EXPLAIN COST``."""
+def _cost_text(df: DataFrame) -> str:
     spark = df.sparkSession
     name = f"adlake_size_{uuid.uuid4().hex[:10]}"
     df.createOrReplaceTempView(name)
     try:
-        text = spark.sql(f"EXPLAIN COST SELECT * FROM {name}").first()[0]
+        return spark.sql(f"EXPLAIN COST SELECT * FROM {name}").first()[0]
     finally:
         spark.catalog.dropTempView(name)
-    match = _STATS.search(text)
+
+
+def _bytes(match) -> float:
+    return float(match.group(1)) * _UNITS[match.group(2)]
+
+
+def estimated_size_bytes(df: DataFrame, *, bounded_by_inputs: bool = False) -> float:
+    """Catalyst's size estimate of ``df`` (optimized plan root), via ``EXPLAIN COST``.
+
+    Without CBO, a join's estimate is the product of its children's, so with
+    ``bounded_by_inputs`` the result is capped by the summed size of the plan's
+    leaf relations (what the query actually reads)."""
+    text = _cost_text(df)
+    optimized = text.split("== Physical Plan ==")[0]
+    match = _STATS.search(optimized)
     if not match:
         return float("inf")
-    return float(match.group(1)) * _UNITS[match.group(2)]
+    root = _bytes(match)
+    if not bounded_by_inputs:
+        return root
+    leaves = [_bytes(m) for line in optimized.splitlines()
+              if "Relation" in line for m in [_STATS.search(line)] if m]
+    return min(root, sum(leaves)) if leaves else root
 
 
 def dimension_side(df: DataFrame, strategy: str, broadcast_limit: int) -> DataFrame:

@@ -25,6 +25,9 @@ def build_session(master: str = "local[8]", app: str = "adlake", *, shuffle_part
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # small splits are not packed back into one task (the 4 MiB default
+               # exceeds whole tables at test scale; large inputs are unaffected)
+               .config("spark.sql.files.openCostInBytes", str(1024 * 1024))
                .config("spark.driver.memory", "8g"))
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")

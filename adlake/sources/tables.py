@@ -34,27 +34,39 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, fmt: str =
 
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+MIN_ROW_GROUP_BYTES = 1024 * 1024
+
+
+def row_group_bytes(size_estimate: float, cores: int) -> int:
+    """Parquet row-group size: about one row group per core for small tables, so later
+    scans split across the cluster; the usual 128 MiB once a table is large."""
+    per_core = size_estimate / max(1, cores)
+    return int(max(MIN_ROW_GROUP_BYTES, min(TARGET_FILE_BYTES, per_core)))
 
 
 def write_table(df: DataFrame, root: str, layer: str, name: str, opts: Options | None = None,
                 *, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> str:
     """Create-only write with the run's format and codec (and optional partitioning).
 
-    A partitioned write is first range-partitioned on the partition columns plus
+    Parquet row groups are sized from Catalyst's size estimate (see
+    :func:`row_group_bytes`). A partitioned write is first range-partitioned on the partition columns plus
     ``cluster_by`` tie-breakers: each task then holds a contiguous key range, so
     the table gets about one file per partition value instead of one per task and
     value, and a hot partition value is still split across several tasks. The task
     count follows Catalyst's size estimate (about 128 MiB of input per task), and
     is never below the cluster's default parallelism.
     """
+    from adlake.operators.joins import estimated_size_bytes
     opts = opts or Options()
     path = table_path(root, layer, name)
+    size = estimated_size_bytes(df, bounded_by_inputs=True)  # optimizer statistics only; runs no job
+    cores = _default_parallelism(df.sparkSession)
     if partition_by:
-        from adlake.operators.joins import estimated_size_bytes
-        size = estimated_size_bytes(df)
-        tasks = max(_default_parallelism(df.sparkSession), int(min(size, 1 << 62) // TARGET_FILE_BYTES) + 1)
+        tasks = max(cores, int(min(size, 1 << 62) // TARGET_FILE_BYTES) + 1)
         df = df.repartitionByRange(tasks, *partition_by, *cluster_by)
     writer = df.write.format(_format(opts.fmt)).mode("errorifexists").option("compression", opts.codec)
+    if opts.fmt == "parquet":
+        writer = writer.option("parquet.block.size", row_group_bytes(size, cores))
     if opts.fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:
