@@ -121,6 +121,8 @@ class Options:
     date_impl           reporting date: builtin | python (row UDF) | arrow UDF (L9)
     shared_rollup       build both reports from one fine-grained rollup of the
                         enrichment instead of recomputing the joins per report
+    fingerprint_sources record a row-multiset fingerprint of every source in the run
+                        report (one extra pass over Bronze, folded into the row counts)
     broadcast_limit     a dimension is broadcast on request only when Spark's size
                         estimate of its projected side is at most this many bytes
     zone                reporting time zone
@@ -136,6 +138,7 @@ class Options:
     coalesce: bool = True
     date_impl: str = "builtin"
     shared_rollup: bool = False
+    fingerprint_sources: bool = True
     broadcast_limit: int = 256 * 1024 * 1024
     zone: str = REPORTING_ZONE
     extra_conf: dict = field(default_factory=dict)

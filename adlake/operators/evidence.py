@@ -173,6 +173,29 @@ def coalescing(log: DataFrame, groups: tuple[str, ...] = GOLD_GROUPS) -> DataFra
             .join(task_durations(log, groups), keys))
 
 
+def cache_lifecycle(log: DataFrame, groups: tuple[str, ...] = GOLD_GROUPS) -> DataFrame:
+    """Persisted RDDs used by the stages of ``groups``: storage level, partitions, which
+    groups used them, and whether (and after their last use) they were released."""
+    stages = _stage_groups(log).filter(F.col("job_group").isin(*groups))
+    used = (stages.select("log_file", "job_group", "seq", F.explode("persisted_rdds").alias("r"))
+            .select("log_file", "job_group", "seq", F.col("r.`RDD ID`").alias("rdd_id"),
+                    F.col("r.`Number of Partitions`").alias("partitions"),
+                    F.concat_ws(",", F.when(F.col("r.`Storage Level`.`Use Memory`"), "memory"),
+                                F.when(F.col("r.`Storage Level`.`Use Disk`"), "disk"),
+                                F.when(F.col("r.`Storage Level`.Deserialized"), "deserialized"))
+                    .alias("storage_level"),
+                    F.col("r.`Storage Level`.Replication").alias("replication")))
+    per_rdd = used.groupBy("log_file", "rdd_id").agg(
+        F.array_sort(F.collect_set("job_group")).alias("groups"), F.max("partitions").alias("partitions"),
+        F.max("storage_level").alias("storage_level"), F.max("replication").alias("replication"),
+        F.max("seq").alias("last_use"))
+    released = ev.unpersisted(log).groupBy("log_file", "rdd_id").agg(F.max("seq").alias("released_at"))
+    return (per_rdd.join(released, ["log_file", "rdd_id"], "left")
+            .withColumn("released", F.col("released_at").isNotNull())
+            .withColumn("released_after_last_use", F.coalesce(F.col("released_at") > F.col("last_use"), F.lit(False)))
+            .drop("released_at", "last_use"))
+
+
 def _sql_updates(log: DataFrame) -> DataFrame:
     """Numeric SQL accumulator updates of tasks, summed per (execution, accumulator)."""
     stages = _stage_groups(log).select(*STAGE_KEY, "execution_id")

@@ -136,18 +136,28 @@ def reconcile(gold: DataFrame, totals: DataFrame, name: str) -> DataFrame:
         & (F.col("invalid_rows") == 0)))
 
 
-def row_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Q7/A10: Bronze and Silver row counts per table; match when equal and > 0."""
+def row_counts(pairs: dict[str, tuple[DataFrame, DataFrame]], *, fingerprint: bool = False) -> DataFrame:
+    """Q7/A10: Bronze and Silver row counts per table; match when equal and > 0.
+
+    With ``fingerprint`` the same Bronze pass also yields an order-independent content
+    fingerprint of each source (M2): the exact sum of 64-bit row hashes. Without it
+    the counts come from Parquet metadata alone.
+    """
     frames = []
     for name, (bronze, silver) in pairs.items():
+        digest = (F.sum(F.xxhash64(*[F.col(c) for c in sorted(bronze.columns)]).cast("decimal(38,0)"))
+                  .cast("string") if fingerprint else F.lit(None).cast("string"))
         b = bronze.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("bronze_rows"),
-                       F.lit(None).cast("long").alias("silver_rows"))
+                       F.lit(None).cast("long").alias("silver_rows"), digest.alias("bronze_hash_sum"))
         s = silver.agg(F.lit(name).alias("table_name"), F.lit(None).cast("long").alias("bronze_rows"),
-                       F.count(F.lit(1)).alias("silver_rows"))
+                       F.count(F.lit(1)).alias("silver_rows"), F.lit(None).cast("string").alias("bronze_hash_sum"))
         frames += [b, s]
     stacked = reduce(DataFrame.unionByName, frames)
     out = stacked.groupBy("table_name").agg(F.max("bronze_rows").alias("bronze_rows"),
-                                            F.max("silver_rows").alias("silver_rows"))
+                                            F.max("silver_rows").alias("silver_rows"),
+                                            F.max("bronze_hash_sum").alias("bronze_hash_sum"))
+    if not fingerprint:
+        out = out.drop("bronze_hash_sum")
     return out.withColumn("counts_match", (F.col("bronze_rows") == F.col("silver_rows"))
                           & (F.col("bronze_rows") > 0))
 

@@ -61,3 +61,43 @@ def settings_diff(reference: DataFrame, current: DataFrame, declared: tuple[str,
 def undeclared(diff: DataFrame) -> list[str]:
     """Keys that differ without being declared (collects only the differing keys)."""
     return sorted(r["key"] for r in diff.filter(~F.col("declared")).select("key").collect())
+
+
+REPORT_SCHEMA = ("struct<run_id:string,status:string,sources:map<string,struct<rows:long,row_hash_sum:string>>,"
+                 "tables:map<string,struct<rows:long>>,"
+                 "environment:struct<spark:string,spark_sql_settings:map<string,string>>>")
+
+
+def report_rows(reports: DataFrame) -> DataFrame:
+    """Q9 input: run reports (one JSON text row each, column ``value``) flattened to
+    (run_id, key, value): status, source fingerprints, the table set, the runtime
+    and every recorded SQL setting."""
+    r = reports.select(F.from_json("value", REPORT_SCHEMA).alias("r")).select("r.*")
+    status = r.select("run_id", F.lit("status").alias("key"), F.col("status").alias("value"))
+    sources = r.select("run_id", F.explode("sources").alias("k", "v")).select(
+        "run_id", F.concat(F.lit("sources."), "k").alias("key"),
+        F.concat_ws(":", F.col("v.rows").cast("string"), "v.row_hash_sum").alias("value"))
+    tables = r.select("run_id", F.lit("tables").alias("key"),
+                      F.array_join(F.array_sort(F.map_keys("tables")), ",").alias("value"))
+    runtime = r.select("run_id", F.lit("environment.spark").alias("key"), F.col("environment.spark").alias("value"))
+    conf = r.select("run_id", F.explode("environment.spark_sql_settings").alias("k", "value")).select(
+        "run_id", F.concat(F.lit("settings."), "k").alias("key"), "value")
+    return status.unionByName(sources).unionByName(tables).unionByName(runtime).unionByName(conf)
+
+
+def comparability(reference: DataFrame, current: DataFrame, declared: tuple[str, ...] = ()) -> DataFrame:
+    """Q9: differences between two runs' report rows. Only declared settings may differ;
+    both runs must have succeeded. ``allowed`` marks acceptable rows."""
+    diff = settings_diff(reference, current, tuple(f"settings.{k}" for k in declared))
+    failed = (reference.unionByName(current).filter((F.col("key") == "status") & (F.col("value") != "succeeded"))
+              .select("key", F.lit(None).cast("string").alias("reference_value"),
+                      F.col("value").alias("current_value"), F.lit(False).alias("declared")))
+    return diff.unionByName(failed).withColumn("allowed", F.col("declared"))
+
+
+def validate_comparable(reference: DataFrame, current: DataFrame, declared: tuple[str, ...] = ()) -> dict:
+    rows = comparability(reference, current, declared).collect()
+    bad = sorted({r["key"] for r in rows if not r["allowed"]})
+    if bad:
+        raise ValueError(f"Runs are not comparable: {bad}")
+    return {r["key"]: (r["reference_value"], r["current_value"]) for r in rows}

@@ -501,3 +501,31 @@ def q_fact_checks(spark, sf_dir):
     from adlake.operators.quality import fact_checks
     s = dirty_silver(spark, sf_dir)
     return fact_checks(s["impressions"], s["ads"], s["user_profiles"])
+
+
+@_ev("evidence_cache_lifecycle")
+def _e8(log, out, spark):
+    from adlake.operators.evidence import cache_lifecycle
+    return cache_lifecycle(log)
+
+
+@_ev("evidence_run_comparability")
+def _q9(log, out, spark):
+    """Q9: every recorded variant run against the control run (differences and whether declared)."""
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import comparability, report_rows
+    from adlake.plans.record import RUNS
+    rows = report_rows(spark.read.option("recursiveFileLookup", True).text(f"{out}/runs/*/_report"))
+    control = rows.filter(F.col("run_id") == "control").drop("run_id")
+    frames = []
+    for run, opts in RUNS.items():
+        if run == "control":
+            continue
+        declared = tuple(k for k, v in opts.session_conf().items()
+                         if RUNS["control"].session_conf().get(k) != v)
+        current = rows.filter(F.col("run_id") == run).drop("run_id")
+        frames.append(comparability(control, current, declared).withColumn("run_id", F.lit(run)))
+    out_df = frames[0]
+    for f in frames[1:]:
+        out_df = out_df.unionByName(f)
+    return out_df

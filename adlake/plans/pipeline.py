@@ -87,9 +87,13 @@ def run_pipeline(spark: SparkSession, bronze_sources: dict[str, DataFrame], root
             bronze = {name: read_table(spark, root, "bronze", name, opts.fmt) for name in SOURCES}
             with timed("validate.silver"):
                 counts = {r["table_name"]: r.asDict() for r in
-                          qc.row_counts({n: (bronze[n], silver[n]) for n in SOURCES}).collect()}
+                          qc.row_counts({n: (bronze[n], silver[n]) for n in SOURCES},
+                                        fingerprint=opts.fingerprint_sources).collect()}
                 for name, row in counts.items():
                     qc.require(row["counts_match"], f"{name}: empty source or lost rows")
+                    if opts.fingerprint_sources:
+                        report.setdefault("sources", {})[SOURCES[name][0]] = {
+                            "rows": row["bronze_rows"], "row_hash_sum": row["bronze_hash_sum"]}
                     report["tables"][f"bronze/{name}"] = {"rows": row["bronze_rows"]}
                     report["tables"][f"silver/{name}"] = {"rows": row["silver_rows"]}
                 report["checks"].update(qc.validate_dimensions(silver["ads"], silver["user_profiles"]))

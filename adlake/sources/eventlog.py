@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 _EVENT = "$.Event"
 
 STAGE_SUBMITTED = ("struct<`Stage Info`:struct<`Stage ID`:long,`Stage Attempt ID`:long,`Number of Tasks`:long,"
-                   "`RDD Info`:array<struct<`RDD ID`:long>>>,Properties:map<string,string>>")
+                   "`RDD Info`:array<struct<`RDD ID`:long,`Number of Partitions`:long,"
+                   "`Storage Level`:struct<`Use Disk`:boolean,`Use Memory`:boolean,`Deserialized`:boolean,"
+                   "`Replication`:int>>>>,Properties:map<string,string>>")
 STAGE_COMPLETED = ("struct<`Stage Info`:struct<`Stage ID`:long,`Stage Attempt ID`:long,"
                    "`Failure Reason`:string>>")
 TASK_END = (
@@ -50,10 +52,12 @@ def _of(log: DataFrame, kind: str, schema: str) -> DataFrame:
 def stage_submitted(log: DataFrame) -> DataFrame:
     s = _of(log, "SparkListenerStageSubmitted", STAGE_SUBMITTED)
     return s.select(
-        "log_file", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
+        "log_file", "seq", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
         F.col("e.`Stage Info`.`Stage Attempt ID`").alias("attempt_id"),
         F.col("e.`Stage Info`.`Number of Tasks`").alias("scheduled_tasks"),
         F.transform(F.col("e.`Stage Info`.`RDD Info`"), lambda r: r["RDD ID"]).alias("rdd_ids"),
+        F.filter(F.col("e.`Stage Info`.`RDD Info`"),
+                 lambda r: r["Storage Level"]["Use Memory"] | r["Storage Level"]["Use Disk"]).alias("persisted_rdds"),
         F.coalesce(F.col("e.Properties")["spark.jobGroup.id"], F.lit("internal")).alias("job_group"),
         F.col("e.Properties")["spark.sql.execution.id"].cast("long").alias("execution_id"))
 
@@ -121,3 +125,9 @@ def applications(log: DataFrame) -> DataFrame:
     a = (log.filter(F.col("event") == "SparkListenerApplicationStart")
          .select("log_file", F.from_json("json", "struct<`App Name`:string,`App ID`:string>").alias("e")))
     return a.select("log_file", F.col("e.`App Name`").alias("app_name"), F.col("e.`App ID`").alias("app_id"))
+
+
+def unpersisted(log: DataFrame) -> DataFrame:
+    """RDDs released (unpersist events) with their file order."""
+    u = _of(log, "SparkListenerUnpersistRDD", "struct<`RDD ID`:long>")
+    return u.select("log_file", "seq", F.col("e.`RDD ID`").alias("rdd_id"))

@@ -134,3 +134,28 @@ def test_missing_gold_evidence(spark, recorded, tmp_path):
     with pytest.raises(ValueError, match="Missing join evidence"):
         evd.check_join_strategies(evd.join_strategies(bad),
                                   {"adgroup_id": "BroadcastHashJoin", "user_id": "BroadcastHashJoin"})
+
+
+def test_cache_lifecycle(spark, recorded):
+    rows = evd.cache_lifecycle(app_log(spark, recorded, "cached")).collect()
+    shared = [r for r in rows if r.groups == ["gold.audience_daily", "gold.campaign_daily"]]
+    assert len(shared) == 1  # one cached relation, used by both reports
+    r = shared[0]
+    assert r.storage_level == "memory,disk,deserialized" and r.replication == 1 and r.partitions > 0
+    assert r.released and r.released_after_last_use
+    assert evd.cache_lifecycle(app_log(spark, recorded, "control")).isEmpty()
+
+
+def test_run_reports_are_comparable(spark, recorded):
+    from adlake.operators.stats import report_rows, validate_comparable
+    rows = report_rows(spark.read.option("recursiveFileLookup", True).text(f"{recorded}/runs/*/_report"))
+    control = rows.filter(F.col("run_id") == "control").drop("run_id")
+    merge = rows.filter(F.col("run_id") == "ads_merge").drop("run_id")
+    assert validate_comparable(control, merge) == {}  # same sources, tables and settings
+    off = rows.filter(F.col("run_id") == "no_coalesce").drop("run_id")
+    with pytest.raises(ValueError, match="not comparable"):
+        validate_comparable(control, off)
+    # the recorder's sessions already use 16 shuffle partitions: only coalescing differs
+    declared = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    diff = validate_comparable(control, off, declared)
+    assert diff == {"settings.spark.sql.adaptive.coalescePartitions.enabled": ("true", "false")}
