@@ -9,14 +9,19 @@ _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def numeric(name: str, datatype: str, alias: str | None = None) -> Column:
-    """Trim spaces; '' or exact 'NULL' -> null; otherwise a strict (ANSI) cast.
+    """Trim spaces; '' or exact 'NULL' -> null; otherwise a strict cast.
 
     A malformed value raises at execution instead of turning into a silent null,
-    so ``try_cast`` is deliberately not used.
+    whatever ``spark.sql.ansi.enabled`` says: the lenient cast's null on a
+    non-null input is turned into an error.
     """
     value = F.trim(F.col(name))
-    return (F.when(value.isin(*NULL_TOKENS), F.lit(None)).otherwise(value)
-            .cast(datatype).alias(alias or name))
+    cleaned = F.when(value.isin(*NULL_TOKENS), F.lit(None)).otherwise(value)
+    parsed = cleaned.try_cast(datatype)
+    malformed = F.raise_error(F.concat(F.lit(f"CAST_INVALID_INPUT: cannot cast to {datatype} in column {name}: '"),
+                                       cleaned, F.lit("'")))
+    return (F.when(cleaned.isNotNull() & parsed.isNull(), malformed.cast(datatype))
+            .otherwise(parsed).alias(alias or name))
 
 
 def epoch_seconds(ts_ntz: str | Column) -> Column:

@@ -42,7 +42,7 @@ def record(sf_dir: str, out_dir: str, runs: dict[str, Options] | None = None) ->
     events = f"{out_dir}/events"
     _prepare_dir(events)
     for name, opts in (runs or RUNS).items():
-        spark = build_session("local[4]", f"{RECORDER_APP_PREFIX}{name}", shuffle_partitions=16,
+        spark = build_session("local[*]", f"{RECORDER_APP_PREFIX}{name}", shuffle_partitions=16,
                               event_log_dir=events)
         try:
             run_pipeline(spark, bronze_views(spark, sf_dir), f"{out_dir}/runs/{name}", opts, run_id=name)

@@ -130,3 +130,12 @@ def test_failed_run_report_persisted(spark, tmp_path):
         run_pipeline(spark, sources(spark, directory), root, Options())
     report = load_report(spark, f"{root}/_report")
     assert report["status"] == "failed" and "invalid required fields" in report["error"]
+
+
+def test_malformed_number_raises_even_without_ansi(spark, tmp_path):
+    from adlake.session import conf_scope
+    bad = [("1", "12x", "10", "p1", "0", "1")] + IMPRESSIONS[1:]
+    silver = tx.silver_views(sources(spark, write_sources(tmp_path / "raw", impressions=bad)))
+    with conf_scope(spark, {"spark.sql.ansi.enabled": "false"}):
+        with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+            silver["impressions"].collect()
