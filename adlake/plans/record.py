@@ -9,6 +9,7 @@ the recording runs in a child Python process:
 """
 from __future__ import annotations
 
+import hashlib
 import os
 import subprocess
 import sys
@@ -25,7 +26,7 @@ RUNS: dict[str, Options] = {
     "no_coalesce": Options(codec="zstd", coalesce=False, shuffle_partitions=16),
 }
 RECORDER_APP_PREFIX = "adlake-record-"
-_RECORDINGS: dict[tuple, str] = {}
+_RECORDINGS: dict[str, str] = {}
 
 
 def _prepare_dir(path: str) -> None:
@@ -56,20 +57,50 @@ def record(sf_dir: str, out_dir: str, runs: dict[str, Options] | None = None) ->
         finally:
             spark.stop()
             SparkSession._instantiatedSession = None
+    # publish: a recording counts only once this marker exists
+    spark = build_session("local[1]", f"{RECORDER_APP_PREFIX}publish", shuffle_partitions=1,
+                          extra={"spark.eventLog.enabled": "false"})
+    try:
+        spark.createDataFrame([(out_dir,)], "value string").write.text(f"{out_dir}/complete")
+    finally:
+        spark.stop()
+        SparkSession._instantiatedSession = None
+
+
+def recording_key(sf_dir: str) -> str:
+    """Deterministic id of a recording: the input directory and the recorded run options."""
+    text = sf_dir.rstrip("/") + "|" + repr(sorted((k, repr(v)) for k, v in RUNS.items()))
+    return hashlib.sha1(text.encode()).hexdigest()[:12]
+
+
+def _completed(spark: SparkSession, root: str, key: str) -> str | None:
+    """A published recording for ``key`` under ``root``, if any (read through Spark)."""
+    try:
+        rows = spark.read.text(f"{root}/recording-{key}-*/complete").limit(1).collect()
+    except Exception:  # noqa: BLE001 - no such path yet
+        return None
+    return rows[0][0] if rows else None
 
 
 def recording(spark: SparkSession, sf_dir: str) -> str:
-    """Path of a recording over ``sf_dir`` (made once per application, in the shared scratch)."""
-    from adlake.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _RECORDINGS:
-        out = scratch_path(spark, "recording")
+    """Path of a completed recording over ``sf_dir`` in the shared scratch folder.
+
+    Reused across applications (the inputs are immutable); otherwise recorded once
+    into a fresh directory by a child process and published by its marker."""
+    from adlake.session import ensure_checkpoint_dir, scratch_path
+    key = recording_key(sf_dir)
+    if key in _RECORDINGS:
+        return _RECORDINGS[key]
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/adlake"
+    out = _completed(spark, root, key)
+    if out is None:
+        out = scratch_path(spark, f"recording-{key}")
         repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         env = {**os.environ, "PYTHONPATH": repo + os.pathsep + os.environ.get("PYTHONPATH", "")}
         subprocess.run([sys.executable, "-m", "adlake.plans.record", sf_dir, out], cwd=repo, env=env,
                        check=True, timeout=1800, stdout=subprocess.DEVNULL, stderr=subprocess.PIPE)
-        _RECORDINGS[key] = out
-    return _RECORDINGS[key]
+    _RECORDINGS[key] = out
+    return out
 
 
 if __name__ == "__main__":
