@@ -27,19 +27,21 @@ def _stage_groups(log: DataFrame) -> DataFrame:
     return ev.stage_submitted(log).dropDuplicates(STAGE_KEY)
 
 
-def task_metrics(log: DataFrame) -> DataFrame:
-    """Task counters per job group ('internal' when a stage has no group)."""
+def task_metrics(log: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Task counters per job group ('internal' when a stage has no group),
+    optionally also per ``by`` columns (e.g. ``log_file`` for one row set per application)."""
     tasks = ev.task_end(log).join(_stage_groups(log).select(*STAGE_KEY, "job_group"), STAGE_KEY, "left")
-    return tasks.groupBy(F.coalesce("job_group", F.lit("internal")).alias("job_group")).agg(
+    return tasks.groupBy(*by, F.coalesce("job_group", F.lit("internal")).alias("job_group")).agg(
         F.count(F.lit(1)).alias("task_attempts"), F.sum("failed").cast("long").alias("failed_task_attempts"),
         *[F.sum(c).cast("long").alias(c) for c in TASK_COUNTERS],
         F.max("peak_execution_memory_bytes").alias("peak_task_execution_memory_bytes"))
 
 
-def processing_totals(metrics: DataFrame, prefixes: tuple[str, ...] = PROCESSING_PREFIXES) -> DataFrame:
+def processing_totals(metrics: DataFrame, prefixes: tuple[str, ...] = PROCESSING_PREFIXES,
+                      by: tuple[str, ...] = ()) -> DataFrame:
     """Sums of the task counters over processing job groups; max of peak memory."""
     pattern = "^(" + "|".join(p.replace(".", r"\.") for p in prefixes) + ")"
-    return metrics.filter(F.col("job_group").rlike(pattern)).agg(
+    return metrics.filter(F.col("job_group").rlike(pattern)).groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in ("task_attempts", "failed_task_attempts", *TASK_COUNTERS)],
         F.max("peak_task_execution_memory_bytes").alias("peak_task_execution_memory_bytes"))
 

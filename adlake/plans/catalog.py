@@ -396,20 +396,14 @@ def _ev(name):
 
 @_ev("evidence_task_metrics")
 def _e1(log, out, spark):
-    from pyspark.sql import functions as F
-    from adlake.operators.evidence import TASK_COUNTERS, _stage_groups, ev
-    tasks = ev.task_end(log).join(_stage_groups(log).select("log_file", "stage_id", "attempt_id", "job_group"),
-                                  ["log_file", "stage_id", "attempt_id"], "left")
-    return tasks.groupBy("log_file", F.coalesce("job_group", F.lit("internal")).alias("job_group")).agg(
-        F.count(F.lit(1)).alias("task_attempts"), F.sum("failed").alias("failed_task_attempts"),
-        *[F.sum(c).alias(c) for c in TASK_COUNTERS],
-        F.max("peak_execution_memory_bytes").alias("peak_task_execution_memory_bytes"))
+    from adlake.operators.evidence import task_metrics
+    return task_metrics(log, by=("log_file",))
 
 
 @_ev("evidence_processing_totals")
 def _a16(log, out, spark):
     from adlake.operators.evidence import processing_totals, task_metrics
-    return processing_totals(task_metrics(log))
+    return processing_totals(task_metrics(log, by=("log_file",)), by=("log_file",))
 
 
 @_ev("evidence_latest_plans")
