@@ -70,6 +70,7 @@ def run_pipeline(spark: SparkSession, bronze_sources: dict[str, DataFrame], root
             report["seconds"][name] = round(time.perf_counter() - begin, 3)
             _set_group(spark, None)
 
+    save_report(spark, report, report_path)  # status "running" is visible while the run works
     try:
         with conf_scope(spark, opts.session_conf()):
             report["environment"] = {"spark": spark.version,
