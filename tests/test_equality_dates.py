@@ -64,3 +64,14 @@ def test_reporting_date_boundaries_any_session_zone(spark, zone, impl):
     with conf_scope(spark, {"spark.sql.session.timeZone": zone}):
         got = [r.d for r in df.select(reporting_date_column("seconds", impl).alias("d")).collect()]
     assert got == [d for _, d in CASES]
+
+
+def test_reporting_date_sweep_matches_zoneinfo(spark):
+    """1890-2040 (pre-1901 local mean time, the 1986-1991 DST years) in 20k steps."""
+    from pyspark.sql import functions as F
+    lo, hi = -2524521600, 2208988800
+    df = spark.range(lo, hi, (hi - lo) // 20000 + 7, numPartitions=8).select(F.col("id").alias("s"))
+    dst = spark.range(515520000, 686000000, 3607, numPartitions=8).select(F.col("id").alias("s"))
+    for frame in (df, dst):
+        builtin, python = reporting_date_column("s", "builtin"), reporting_date_column("s", "arrow")
+        assert frame.filter(builtin != python).count() == 0
