@@ -4,7 +4,7 @@ Impressions are the bench-scale fact (one per lineitem, joined to its order's
 customer); ads and profiles come from part and customer. Timed, like the
 reference's experiments:
 
-* the full rebuild (CSV-free: adapter -> Bronze -> Silver -> checks -> Gold) per phase;
+* the full rebuild from raw CSV files (strict CSV -> Bronze -> Silver -> checks -> Gold) per phase;
 * Gold (both reports) from the written Silver under each strategy preset;
 * Silver impressions with the built-in date vs Python UDFs;
 * read workloads on typed CSV vs Parquet, and on Silver unpartitioned vs by date;
@@ -32,7 +32,8 @@ from adlake.plans.pipeline import REPORT_COLUMNS, run_pipeline  # noqa: E402
 from adlake.plans.variants import PRESETS  # noqa: E402
 from adlake.session import build_session, conf_scope, scratch_path  # noqa: E402
 from adlake.sources.adapter import bench_views  # noqa: E402
-from adlake.sources.csv import read_impressions_csv, write_typed_csv  # noqa: E402
+from adlake.sources.csv import (read_impressions_csv, read_source_csv, write_source_csv,  # noqa: E402
+                                write_typed_csv)
 from adlake.sources.tables import csv_to_parquet, read_table, write_table  # noqa: E402
 
 BENCH_DAY = dt.date(1998, 6, 1)  # inside the lineitem ship-date range
@@ -63,9 +64,16 @@ def main() -> None:
     noop(tx.campaign_daily(tx.enrich(*[tx.silver_views(bench_views(spark, sf_dir))[n]
                                        for n in ("impressions", "ads", "user_profiles")])))
 
-    # 1. full rebuild, control options
+    # 1. raw CSV sources (prepared once, like the reference's input files), then the full
+    #    rebuild from them: strict CSV -> Bronze -> Silver -> checks -> Gold
+    raw_dir = scratch_path(spark, "bench-raw")
+    start = time.perf_counter()
+    for name, df in bench_views(spark, sf_dir).items():
+        write_source_csv(df, raw_dir, name)
+    queries["prepare.raw_csv_sources"] = round(time.perf_counter() - start, 3)
+    sources = {name: read_source_csv(spark, raw_dir, name) for name in ("impressions", "ads", "user_profiles")}
     root = scratch_path(spark, "bench-pipeline")
-    report = run_pipeline(spark, bench_views(spark, sf_dir), root, PRESETS["zstd"][0])
+    report = run_pipeline(spark, sources, root, PRESETS["zstd"][0])
     for key in ("bronze.impressions", "silver.impressions", "gold.campaign_daily", "gold.audience_daily",
                 "pipeline_writes", "validation", "total"):
         queries[f"pipeline.{key}"] = report["seconds"][key]
@@ -151,7 +159,10 @@ def main() -> None:
             raise AssertionError("variant differs from control")
     queries["exact_comparison.campaign_daily_except_all"] = timed(compare_except_all, repeats)
 
-    total = round(sum(v for k, v in queries.items() if not k.startswith("pipeline.") or k == "pipeline.total"), 3)
+    # headline: the full rebuild plus every measured workload; one-off preparation
+    # (raw files, format conversion, the date-partitioned copy) is reported, not summed
+    total = round(sum(v for k, v in queries.items()
+                      if not k.startswith(("pipeline.", "prepare.")) or k == "pipeline.total"), 3)
     print(json.dumps({"metric": "total_workload_seconds", "value": total, "unit": "sec",
                       "queries": queries, "sf": sf, "cpus": cpus, "repeats": repeats}))
     spark.stop()
