@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adlake.session import settings as effective_settings
 
 
-def distribution(df: DataFrame, by: list[str], value: str, *, with_samples: bool = True) -> DataFrame:
-    """Samples (sorted, comma-joined), count, median, min, max and sample stdev
-    (null for a single sample) of ``value`` per group."""
+def distribution(df: DataFrame, by: list[str], value: str, *, with_samples: bool = False) -> DataFrame:
+    """Count, median, min, max and sample stdev (null for a single sample) of
+    ``value`` per group; with ``with_samples`` also the samples themselves (sorted,
+    comma-joined), which gathers each group's values and is meant only for groups of
+    bounded size (runs of an experiment, days of a period)."""
     v = F.col(value)
     aggs = [F.count(v).alias("n"), F.median(v).cast("double").alias("median"),
             F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_samp(v).alias("stdev")]

@@ -339,7 +339,9 @@ def q_run_distribution(spark, sf_dir):
     """Per placement, the distribution of its daily click totals."""
     from pyspark.sql import functions as F
     from adlake.operators.stats import distribution
-    out = distribution(_daily_clicks(silver(spark, sf_dir)["impressions"]), ["placement_id"], "clicks")
+    # one sample per day: the group size is bounded by the calendar, not by the data
+    out = distribution(_daily_clicks(silver(spark, sf_dir)["impressions"]), ["placement_id"], "clicks",
+                       with_samples=True)
     return out.withColumn("stdev", F.round("stdev", 9))
 
 
@@ -476,7 +478,7 @@ def _e12(log, out, spark):
                          F.aggregate(F.map_values(F.map_filter("r.seconds", lambda k, v: k.startswith("gold."))),
                                      F.lit(0.0), lambda a, b: a + b).alias("combined_gold_seconds"))
     side = F.when(F.col("run_id") == "control", "left").otherwise("right")
-    return distribution(gold.withColumn("side", side), ["side"], "combined_gold_seconds", with_samples=False)
+    return distribution(gold.withColumn("side", side), ["side"], "combined_gold_seconds", with_samples=True)
 
 
 @_ev("evidence_plan_nodes")

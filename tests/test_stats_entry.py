@@ -9,7 +9,7 @@ from adlake.operators.stats import (distribution, right_vs_left, settings_diff,
 
 def test_distribution_median_max_and_single_sample(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 99), ("b", 5)], "g string, v long")
-    rows = {r.g: r for r in distribution(df, ["g"], "v").collect()}
+    rows = {r.g: r for r in distribution(df, ["g"], "v", with_samples=True).collect()}
     assert (rows["a"].median, rows["a"].max, rows["a"].samples) == (2.0, 99, "1,2,99")
     assert rows["b"].stdev is None
 
