@@ -525,3 +525,24 @@ def _q9(log, out, spark):
     for f in frames[1:]:
         out_df = out_df.unionByName(f)
     return out_df
+
+
+@_ev("evidence_output_equality")
+def _u3(log, out, spark):
+    """Every table of every recorded variant run equals the control run's."""
+    from adlake.plans.compare import output_equality
+    from adlake.plans.record import RUNS
+    runs = {run: f"{out}/runs/{run}" for run in RUNS if run != "control"}
+    return output_equality(spark, f"{out}/runs/control", runs)
+
+
+@_ev("evidence_run_summary")
+def _a15(log, out, spark):
+    """Run measurements summarised, control (left) vs variants (right)."""
+    from pyspark.sql import functions as F
+    from adlake.plans.compare import report_measurements, summarize
+    reports = spark.read.option("recursiveFileLookup", True).text(f"{out}/runs/*/_report")
+    m = report_measurements(reports)
+    sides = m.select("run_id").distinct().withColumn(
+        "side", F.when(F.col("run_id") == "control", "left").otherwise("right"))
+    return summarize(m, sides)

@@ -159,3 +159,17 @@ def test_run_reports_are_comparable(spark, recorded):
     declared = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
     diff = validate_comparable(control, off, declared)
     assert diff == {"settings.spark.sql.adaptive.coalescePartitions.enabled": ("true", "false")}
+
+
+def test_recorded_runs_have_identical_outputs_and_summary(spark, recorded):
+    from adlake.plans.compare import output_equality, report_measurements, summarize
+    runs = {r: f"{recorded}/runs/{r}" for r in ("ads_merge", "cached", "python_udf", "no_coalesce")}
+    rows = output_equality(spark, f"{recorded}/runs/control", runs).collect()
+    assert len(rows) == 4 * 8 and all(r.equal for r in rows)
+    reports = spark.read.option("recursiveFileLookup", True).text(f"{recorded}/runs/*/_report")
+    m = report_measurements(reports)
+    sides = m.select("run_id").distinct().withColumn(
+        "side", F.when(F.col("run_id") == "control", "left").otherwise("right"))
+    summary = {r.metric: r for r in summarize(m, sides).collect()}
+    assert summary["storage.parquet_files"].left_median > 0
+    assert summary["seconds.total"].right_max >= summary["seconds.total"].right_min
