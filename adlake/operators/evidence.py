@@ -269,3 +269,88 @@ def scan_metrics(log: DataFrame, groups: tuple[str, ...] | None = None) -> DataF
 def require_events(log: DataFrame) -> None:
     if log.isEmpty():
         raise ValueError("No Spark events found; cannot finish measurement")
+
+
+# --- raising checks over the (small, per-execution) evidence rows ---------------------------
+
+def _rows_by_group(evidence: DataFrame, groups: tuple[str, ...], what: str) -> dict:
+    found: dict = {}
+    for r in evidence.collect():
+        if r.job_group in found:
+            raise ValueError(f"Ambiguous {what} evidence for {r.job_group}")
+        found[r.job_group] = r
+    if set(found) != set(groups):
+        raise ValueError(f"Missing {what} evidence: {sorted(set(groups) - set(found))}")
+    return found
+
+
+def check_shuffle_partitions(evidence: DataFrame, expected: int, groups: tuple[str, ...] = GOLD_GROUPS) -> dict:
+    """Every hash exchange of each report starts with ``expected`` partitions."""
+    found = _rows_by_group(evidence, groups, "shuffle")
+    for g, r in found.items():
+        if not r.initial_partitions or set(r.initial_partitions) != {expected}:
+            raise ValueError(f"{g}: expected initial partitions {expected}, found {r.initial_partitions}")
+    return {g: list(r.initial_partitions) for g, r in found.items()}
+
+
+def check_reader_stages(evidence: DataFrame, groups: tuple[str, ...] = GOLD_GROUPS) -> dict:
+    """E5: every stage complete, no failed task, attempts = scheduled; a shuffle reader exists."""
+    found = _rows_by_group(evidence, groups, "stage")
+    for g, r in found.items():
+        if not r.all_healthy:
+            raise ValueError(f"Incomplete or failed stage/task evidence: {g}")
+        if not r.reader_stages:
+            raise ValueError(f"Missing actual shuffle-reader stage: {g}")
+    return {g: r.reader_tasks for g, r in found.items()}
+
+
+def check_coalescing(evidence: DataFrame, enabled: bool, groups: tuple[str, ...] = GOLD_GROUPS) -> dict:
+    """A coalesced shuffle reader is present exactly when coalescing is enabled."""
+    found = _rows_by_group(evidence, groups, "coalescing")
+    for g, r in found.items():
+        if bool(r.coalesced) != enabled:
+            raise ValueError(f"{g}: coalesced reader {'missing' if enabled else 'contradicts disabled setting'}")
+    return {g: r.reader_tasks for g, r in found.items()}
+
+
+def check_cache_reuse(evidence: DataFrame, impressions: int, cached: bool) -> dict:
+    """With a cache, the second report reads only the cache (no joins, no source scan)
+    and its cache scan returns every impression; without one, nothing reads a cache."""
+    found = _rows_by_group(evidence, GOLD_GROUPS, "cache")
+    first, second = found["gold.campaign_daily"], found["gold.audience_daily"]
+    if not cached:
+        if any(r.cache_rows for r in found.values()) or any(r.join_rows <= 0 for r in found.values()):
+            raise ValueError("Unexpected control execution evidence")
+        return {}
+    if first.join_rows <= 0 or first.source_rows <= 0:
+        raise ValueError("Missing first-report cache-building work")
+    if second.cache_rows != impressions:
+        raise ValueError(f"Missing executed cache scan: {second.cache_rows} != {impressions}")
+    if second.join_rows or second.source_rows:
+        raise ValueError("Second report recomputed cached joins or source scans")
+    return {g: r.cache_rows for g, r in found.items()}
+
+
+def check_python_eval(evidence: DataFrame, silver_rows: int) -> dict:
+    """Exactly one row-at-a-time Python evaluation, in Silver only, with bytes sent and
+    returned and one output row per Silver row."""
+    rows = evidence.collect()
+    nodes = {(r.job_group, r.node_name, r.execution_id) for r in rows}
+    if {g for g, _, _ in nodes} != {"silver.impressions"} or len(nodes) != 1:
+        raise ValueError(f"Expected one Python evaluation in Silver only, found {sorted(nodes)}")
+    if next(iter(nodes))[1] != "BatchEvalPython":
+        raise ValueError("Missing regular BatchEvalPython execution")
+    m = {r.metric: r.total for r in rows}
+    if m.get("data sent to Python workers", 0) <= 0 or m.get("data returned from Python workers", 0) <= 0:
+        raise ValueError("Missing executed Python bytes")
+    if m.get("number of output rows") != silver_rows:
+        raise ValueError("Python output rows disagree with the Silver table")
+    return m
+
+
+def check_scan_metrics(evidence: DataFrame) -> list[dict]:
+    """Every executed file scan reports the files and bytes it selected."""
+    rows = [r.asDict() for r in evidence.collect()]
+    if not rows or any(r["files_read"] is None or r["bytes_read"] is None for r in rows):
+        raise ValueError("Executed file-scan metrics are missing")
+    return rows

@@ -173,3 +173,28 @@ def test_recorded_runs_have_identical_outputs_and_summary(spark, recorded):
     summary = {r.metric: r for r in summarize(m, sides).collect()}
     assert summary["storage.parquet_files"].left_median > 0
     assert summary["seconds.total"].right_max >= summary["seconds.total"].right_min
+
+
+def test_raising_checks_accept_true_evidence_and_reject_contradictions(spark, recorded):
+    control, off = app_log(spark, recorded, "control"), app_log(spark, recorded, "no_coalesce")
+    assert set(evd.check_shuffle_partitions(evd.shuffle_exchanges(control), 16)) == set(evd.GOLD_GROUPS)
+    with pytest.raises(ValueError, match="expected initial partitions"):
+        evd.check_shuffle_partitions(evd.shuffle_exchanges(control), 200)
+    evd.check_reader_stages(evd.reader_stages(control))
+    evd.check_coalescing(evd.coalescing(control), enabled=True)
+    evd.check_coalescing(evd.coalescing(off), enabled=False)
+    with pytest.raises(ValueError, match="contradicts"):
+        evd.check_coalescing(evd.coalescing(control), enabled=False)
+    cached = app_log(spark, recorded, "cached")
+    n = spark.read.parquet(f"{recorded}/runs/cached/silver/impressions").count()
+    evd.check_cache_reuse(evd.cache_reuse(cached), n, cached=True)
+    evd.check_cache_reuse(evd.cache_reuse(control), n, cached=False)
+    with pytest.raises(ValueError):
+        evd.check_cache_reuse(evd.cache_reuse(control), n, cached=True)
+    groups = ("silver.impressions", "gold.campaign_daily", "gold.audience_daily")
+    evd.check_python_eval(evd.python_eval(app_log(spark, recorded, "python_udf"), groups), n)
+    with pytest.raises(ValueError):
+        evd.check_python_eval(evd.python_eval(control, groups), n)
+    assert len(evd.check_scan_metrics(evd.scan_metrics(control, ("workload.narrow",)))) == 1
+    with pytest.raises(ValueError, match="missing"):
+        evd.check_scan_metrics(evd.scan_metrics(control, ("no.such.group",)))
