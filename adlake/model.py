@@ -115,7 +115,9 @@ class Options:
     partition_by        partition columns of silver impressions (L3)
     ads_join            join strategy for the ads dimension (L4)
     profile_join        join strategy for the profile dimension (L5)
-    shuffle_partitions  initial shuffle partitions (L6); None keeps the session value
+    shuffle_partitions  initial shuffle partitions (L6): a number, None (keep the session
+                        value) or "auto" (sized from the fact's estimated bytes, ~256 MiB
+                        per partition, for the Gold phase)
     cache               persist the shared enrichment for both reports (L7)
     coalesce            AQE post-shuffle coalescing (L8)
     date_impl           reporting date: builtin | python (row UDF) | arrow UDF (L9)
@@ -133,7 +135,7 @@ class Options:
     partition_by: tuple[str, ...] = ()
     ads_join: str = "auto"
     profile_join: str = "auto"
-    shuffle_partitions: int | None = None
+    shuffle_partitions: int | str | None = "auto"
     cache: bool = False
     coalesce: bool = True
     date_impl: str = "builtin"
@@ -148,6 +150,9 @@ class Options:
             raise ValueError(f"join strategy must be one of {JOIN_STRATEGIES}")
         if self.date_impl not in DATE_IMPLEMENTATIONS:
             raise ValueError(f"date_impl must be one of {DATE_IMPLEMENTATIONS}")
+        if not (self.shuffle_partitions is None or self.shuffle_partitions == "auto"
+                or (isinstance(self.shuffle_partitions, int) and self.shuffle_partitions > 0)):
+            raise ValueError("shuffle_partitions must be a positive int, 'auto' or None")
 
     def with_(self, **changes) -> "Options":
         return replace(self, **changes)
@@ -156,7 +161,7 @@ class Options:
         """SQL settings this run needs while its queries are planned and executed."""
         conf = {"spark.sql.adaptive.coalescePartitions.enabled": str(self.coalesce).lower(),
                 "spark.sql.parquet.compression.codec": self.codec}
-        if self.shuffle_partitions is not None:
+        if isinstance(self.shuffle_partitions, int):
             conf["spark.sql.shuffle.partitions"] = str(self.shuffle_partitions)
         conf.update({k: str(v) for k, v in self.extra_conf.items()})
         return conf

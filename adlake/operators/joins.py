@@ -66,3 +66,15 @@ def dimension_side(df: DataFrame, strategy: str, broadcast_limit: int) -> DataFr
     if strategy in ("merge", "shuffle_hash"):
         return df.hint(strategy)
     raise ValueError(f"unknown join strategy {strategy!r}")
+
+
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(df: DataFrame, target_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Initial shuffle partitions so that each holds about ``target_bytes`` of ``df``
+    (never fewer than the cluster's default parallelism). AQE can coalesce partitions
+    that turn out small but cannot split ones that are too big, so this errs high."""
+    from adlake.sources.tables import _default_parallelism
+    size = estimated_size_bytes(df, bounded_by_inputs=True)
+    return max(_default_parallelism(df.sparkSession), int(min(size, 1 << 62) // target_bytes) + 1)

@@ -127,6 +127,17 @@ def run_pipeline(spark: SparkSession, bronze_sources: dict[str, DataFrame], root
 
 def _build_gold(spark, silver, root, opts, report, timed, expected) -> None:
     imp, ads, users = silver["impressions"], silver["ads"], silver["user_profiles"]
+    if opts.shuffle_partitions == "auto":
+        from adlake.operators.joins import shuffle_partitions_for
+        n = shuffle_partitions_for(imp)
+        report["gold_shuffle_partitions"] = n
+        with conf_scope(spark, {"spark.sql.shuffle.partitions": str(n)}):
+            _build_gold_reports(spark, imp, ads, users, root, opts, report, timed, expected)
+        return
+    _build_gold_reports(spark, imp, ads, users, root, opts, report, timed, expected)
+
+
+def _build_gold_reports(spark, imp, ads, users, root, opts, report, timed, expected) -> None:
     if opts.shared_rollup:
         # One scan + join of the fact; both reports re-aggregate the small rollup.
         with timed("gold.rollup"):

@@ -139,3 +139,8 @@ def test_malformed_number_raises_even_without_ansi(spark, tmp_path):
     with conf_scope(spark, {"spark.sql.ansi.enabled": "false"}):
         with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
             silver["impressions"].collect()
+
+
+def test_gold_phase_uses_sized_shuffle_partitions(spark, fixture_dir, tmp_path):
+    report = run_pipeline(spark, sources(spark, fixture_dir), str(tmp_path / "run"), Options())
+    assert report["gold_shuffle_partitions"] == spark.sparkContext.defaultParallelism

@@ -136,3 +136,15 @@ def test_campaign_report_prunes_profile_attributes(spark, silver):
     assert all("ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in l for l in customer_scans)
     event_scans = [l for l in text.splitlines() if "events.parquet" in l]
     assert event_scans and all("value:double" not in l for l in event_scans)
+
+
+def test_auto_shuffle_partitions_scale_with_input(spark, silver):
+    from adlake.operators.joins import SHUFFLE_PARTITION_BYTES, shuffle_partitions_for
+    from adlake.model import Options
+    cores = spark.sparkContext.defaultParallelism
+    assert shuffle_partitions_for(silver["impressions"]) == cores  # small input: one wave
+    assert shuffle_partitions_for(silver["impressions"], target_bytes=1024) > cores  # ~1 KiB each
+    assert Options().shuffle_partitions == "auto" and "spark.sql.shuffle.partitions" not in Options().session_conf()
+    assert SHUFFLE_PARTITION_BYTES == 256 * 1024 * 1024
+    with pytest.raises(ValueError):
+        Options(shuffle_partitions=0)
