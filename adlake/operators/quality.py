@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adlake.model import GOLD_MEASURES
 
 
 def invalid_impression(c=F.col) -> Column:
@@ -212,4 +211,4 @@ def validate_gold(gold: DataFrame, expected: dict, name: str) -> dict:
 
 __all__ = ["invalid_impression", "dimension_violations", "impression_violations", "unmatched",
            "fact_totals", "fact_checks", "reconcile", "row_counts", "require", "require_empty",
-           "validate_dimensions", "validate_impressions", "validate_gold", "GOLD_MEASURES"]
+           "validate_dimensions", "validate_impressions", "validate_gold"]

@@ -211,10 +211,12 @@ def _silver_query(layout: str, workload: str):
     return run
 
 
-for _w in ("narrow", "wide", "one_day"):
+from adlake.operators.reads import FORMAT_WORKLOADS, SILVER_WORKLOADS  # noqa: E402
+
+for _w in FORMAT_WORKLOADS:
     register(f"placement_{_w}")(_format_query("csv", _w))
     register(f"parquet_{_w}")(_format_query("parquet", _w))
-for _w in ("one_day", "three_days", "full_period"):
+for _w in SILVER_WORKLOADS:
     register(f"silver_{_w}")(_silver_query("silver", _w))
     register(f"partitioned_{_w}")(_silver_query("silver_by_date", _w))
 
@@ -443,11 +445,11 @@ def _e6(log, out, spark):
 def _e7(log, out, spark):
     from pyspark.sql import functions as F
     from adlake.operators.stats import size_distribution
-    from adlake.operators.storage import list_files
-    files = list_files(spark, f"{out}/runs", "*.parquet").withColumn(
+    from adlake.operators.storage import file_sizes
+    files = file_sizes(spark, f"{out}/runs").withColumn(
         "table_name", F.regexp_extract("path", r"/runs/([^/]+)/([^/]+/[^/]+)/", 2)).withColumn(
         "run", F.regexp_extract("path", r"/runs/([^/]+)/", 1))
-    return size_distribution(files, ["run", "table_name"], "length")
+    return size_distribution(files, ["run", "table_name"], "bytes")
 
 
 @_ev("evidence_cache_reuse")

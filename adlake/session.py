@@ -7,7 +7,6 @@ is unset (local tests), never a machine-local temp dir on a cluster.
 from __future__ import annotations
 
 import contextlib
-import os
 import tempfile
 import uuid
 
@@ -77,11 +76,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/adlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must use the local filesystem (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 @contextlib.contextmanager
 def conf_scope(spark: SparkSession, settings: dict[str, str]):
     """Apply SQL settings for the duration of a block, then restore them."""
@@ -111,6 +105,3 @@ def delta_available() -> bool:
     except ImportError:
         return False
 
-
-def env_int(name: str, default: int) -> int:
-    return int(os.environ.get(name, default))
