@@ -98,8 +98,11 @@ def recording(spark: SparkSession, sf_dir: str) -> str:
         out = scratch_path(spark, f"recording-{key}")
         repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         env = {**os.environ, "PYTHONPATH": repo + os.pathsep + os.environ.get("PYTHONPATH", "")}
-        subprocess.run([sys.executable, "-m", "adlake.plans.record", sf_dir, out], cwd=repo, env=env,
-                       check=True, timeout=1800, stdout=subprocess.DEVNULL, stderr=subprocess.PIPE)
+        done = subprocess.run([sys.executable, "-m", "adlake.plans.record", sf_dir, out], cwd=repo, env=env,
+                              timeout=1800, stdout=subprocess.DEVNULL, stderr=subprocess.PIPE)
+        if done.returncode != 0:
+            tail = done.stderr.decode(errors="replace")[-3000:]
+            raise RuntimeError(f"event-log recording failed (exit {done.returncode}):\n{tail}")
     _RECORDINGS[key] = out
     return out
 
