@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adlake.model import LAYERS
 
-MAX_HASHED_FILE_BYTES = 1 << 30  # binaryFile rows are capped near 2 GiB; hash files below this
+# A binaryFile row holds a whole file in task memory: hash only files up to this size;
+# larger inputs are fingerprinted by content with row_fingerprint instead.
+MAX_HASHED_FILE_BYTES = 256 * 1024 * 1024
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
