@@ -83,11 +83,16 @@ def _default_parallelism(spark: SparkSession) -> int:
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, codec: str = "uncompressed") -> dict:
-    """Convert typed impressions CSV to Parquet; returns timing and the target path."""
+    """Convert typed impressions CSV to Parquet; returns the target path, the
+    conversion time and the written Parquet files and bytes (a distributed listing)."""
     frame = read_impressions_csv(spark, source)
     started = time.perf_counter()
     frame.write.mode("errorifexists").option("compression", codec).parquet(target)
-    return {"path": target, "conversion_seconds": time.perf_counter() - started}
+    seconds = time.perf_counter() - started
+    stats = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
+             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")).first())
+    return {"path": target, "conversion_seconds": seconds,
+            "parquet_files": stats["files"], "parquet_bytes": stats["bytes"]}
 
 
 def table_detail(spark: SparkSession, path: str) -> DataFrame:

@@ -46,6 +46,7 @@ def test_csv_parquet_round_trip(spark, tmp_path):
         assert sum(r.sum_clk for r in wide) == 3
     audit = codec_audit(spark, result["path"], "uncompressed").first()
     assert audit.codecs == ["UNCOMPRESSED"] and audit.matches_expected and audit.rows == 5
+    assert (audit.files, audit.bytes) == (result["parquet_files"], result["parquet_bytes"])
     assert DAY_SECONDS == 86400
 
 
