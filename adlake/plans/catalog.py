@@ -183,7 +183,7 @@ def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
                               scratch_path(spark, "typed-parquet"))["path"]
     elif layout in ("silver", "silver_by_date", "silver_zstd"):
         root = scratch_path(spark, layout)
-        opts = Options(codec="zstd" if layout == "silver_zstd" else "snappy")
+        opts = Options(codec="snappy" if layout == "silver" else "zstd")
         parts = ("reporting_date",) if layout == "silver_by_date" else ()
         write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
                     partition_by=parts, cluster_by=IMPRESSION_CLUSTER if parts else ())
@@ -548,3 +548,19 @@ def _a15(log, out, spark):
     sides = m.select("run_id").distinct().withColumn(
         "side", F.when(F.col("run_id") == "control", "left").otherwise("right"))
     return summarize(m, sides)
+
+
+@register("storage_by_layout")
+def q_storage_by_layout(spark, sf_dir):
+    """L1-L3 storage: files and bytes of the same impressions as typed CSV, uncompressed
+    Parquet, and Silver Parquet in Snappy, ZSTD and ZSTD partitioned by date."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from adlake.operators.storage import list_files
+    layouts = {"typed_csv": "*.csv", "typed_parquet": "*.parquet", "silver": "*.parquet",
+               "silver_zstd": "*.parquet", "silver_by_date": "*.parquet"}
+    frames = [list_files(spark, _materialized(spark, sf_dir, layout), glob)
+              .agg(F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("data_files"),
+                   F.sum("length").alias("data_bytes"))
+              for layout, glob in layouts.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
