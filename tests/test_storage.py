@@ -48,3 +48,29 @@ def test_storage_by_layout_shapes(spark):
     assert rows["typed_parquet"].data_bytes < rows["typed_csv"].data_bytes
     assert rows["silver_zstd"].data_bytes < rows["silver"].data_bytes
     assert rows["silver_by_date"].data_files > rows["silver_zstd"].data_files
+
+
+def test_table_detail_and_storage_totals_match_a_file_walk(spark, tmp_path):
+    from adlake.model import Options
+    from adlake.operators.storage import storage_totals
+    from adlake.operators.transforms import silver_views
+    from adlake.sources.adapter import bronze_views
+    from adlake.sources.tables import table_detail, write_table
+    root = str(tmp_path / "lake")
+    silver = silver_views(bronze_views(spark, SF_SMALL))
+    write_table(silver["impressions"], root, "silver", "impressions", Options(codec="zstd"),
+                partition_by=("reporting_date",), cluster_by=("timestamp_seconds", "user_id", "adgroup_id"))
+    write_table(silver["ads"], root, "silver", "ads", Options())
+    walked = {}
+    for table in ("impressions", "ads"):
+        files = [os.path.join(d, f) for d, _, fs in os.walk(f"{root}/silver/{table}") for f in fs
+                 if f.endswith(".parquet")]
+        walked[table] = (len(files), sum(os.path.getsize(f) for f in files))
+    detail = table_detail(spark, f"{root}/silver/impressions").first()
+    assert (detail.num_files, detail.size_in_bytes) == walked["impressions"]
+    assert detail.partition_columns == ["reporting_date"]
+    totals = {r.table_name: r for r in storage_totals(spark, root).collect()}
+    for table, (n, size) in walked.items():
+        assert (totals[table].parquet_files, totals[table].parquet_bytes) == (n, size)
+    days = silver["impressions"].select("reporting_date").distinct().count()
+    assert walked["impressions"][0] <= days + spark.sparkContext.defaultParallelism  # ~one file per day
