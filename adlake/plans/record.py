@@ -76,6 +76,11 @@ def recording_key(sf_dir: str) -> str:
 
 def _completed(spark: SparkSession, root: str, key: str) -> str | None:
     """A published recording for ``key`` under ``root``, if any (read through Spark)."""
+    local = root[len("file:"):] if root.startswith("file:") else root
+    if "://" not in local:  # local folder: look before reading, so a miss logs nothing
+        import glob
+        if not glob.glob(f"{local}/recording-{key}-*/complete/_SUCCESS"):
+            return None
     try:
         rows = spark.read.text(f"{root}/recording-{key}-*/complete").limit(1).collect()
     except Exception:  # noqa: BLE001 - no such path yet
