@@ -163,8 +163,17 @@ def main() -> None:
     # (raw files, format conversion, the date-partitioned copy) is reported, not summed
     total = round(sum(v for k, v in queries.items()
                       if not k.startswith(("pipeline.", "prepare.")) or k == "pipeline.total"), 3)
+    # storage shapes (bytes of data files), for the L1-L3 comparison with the baseline
+    from pyspark.sql import functions as F
+    from adlake.operators.storage import list_files
+    storage = {}
+    for label, path, glob in (("typed_csv", csv_path, "*.csv"), ("typed_parquet", conversion["path"], "*.parquet"),
+                              ("silver_impressions_zstd", f"{root}/silver/impressions", "*.parquet"),
+                              ("silver_impressions_zstd_by_date", f"{part_root}/silver/impressions", "*.parquet")):
+        row = list_files(spark, path, glob).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")).first()
+        storage[label] = {"files": row["files"], "bytes": row["bytes"]}
     print(json.dumps({"metric": "total_workload_seconds", "value": total, "unit": "sec",
-                      "queries": queries, "sf": sf, "cpus": cpus, "repeats": repeats}))
+                      "queries": queries, "sf": sf, "cpus": cpus, "repeats": repeats, "storage": storage}))
     spark.stop()
 
 
