@@ -56,3 +56,86 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 def op4_url_filter(spark, sf_dir):
     from adlake.llm.url_filter import judge
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op3_chat_format", r"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (SELECT *, 23 + length(role) + length(text) + len(regexp_extract_all(role || chr(10) || text,
+        chr(9243) || '|<\|[^|<>\n]{1,40}\|>|</?s>|\[/?INST\]|<</?SYS>>')) AS formatted FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id""")
+def op3_chat_format(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from adlake.llm.chat_format import PART, read_back, render
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    nothing = [F.lit(None).cast(k) for k in ("string", "int", "int", "double", "int")]
+    part = F.struct(F.lit("text").alias("type"), "text", *[n.alias(c) for n, c in zip(
+        nothing, ("uri", "width", "height", "seconds", "pages"))]).cast(PART)
+    return read_back(render(rows.withColumn("parts", F.array(part))))
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    from adlake.llm.language_id import fit, identify
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
+@query("op6_warc", r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY sha1(payload)) AS last FROM p),
+b AS (SELECT *, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform(range(3, -1, -1), lambda k:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT) >> (5 * k)) & 31 AS BIGINT) + 1, 1)),
+        lambda x, y: x || y)), lambda x, y: x || y) AS payload_digest FROM h)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to FROM b""")
+def op6_warc(spark, sf_dir):
+    from adlake.llm.warc import pages_to_warc
+    return pages_to_warc(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_simhash")
+def op7_simhash(spark, sf_dir):
+    from adlake.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@query("op8_decontaminate", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+w AS (SELECT DISTINCT item_id, n, array_to_string(words[k:k + n - 1], ' ') AS win
+      FROM (SELECT item_id, words, least(len(words), 10) AS n, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS k FROM i WHERE len(words) > 0)),
+g AS (SELECT r, n, k, array_to_string(words[k:k + n - 1], ' ') AS win
+      FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM w))),
+m AS (SELECT r, k, g.n, item_id FROM g JOIN w ON g.win = w.win AND g.n = w.n),
+hit AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS pos FROM m) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+       FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""")
+def op8_decontaminate(spark, sf_dir):
+    from adlake.llm.decontaminate import report
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query("op9_html_extract")
+def op9_html_extract(spark, sf_dir):
+    from adlake.llm.html_extract import main_text
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark, sf_dir):
+    from adlake.llm.token_counts import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"))
