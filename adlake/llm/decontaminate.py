@@ -20,11 +20,12 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from adlake.llm.common import fresh, slices, text_column
 
@@ -118,7 +119,7 @@ class Automaton:
         self.bloom = np.zeros(1 << _BLOOM_BITS, dtype=bool)
         self.bloom[(self.pairs * _MIX) >> np.uint64(64 - _BLOOM_BITS)] = True
         self.single = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-        self.single[[c for c, s in self.next[0].items() if s in self.whole and self.length[s] == 1]] = True
+        self.single[[c for c, s in self.next[0].items() if self.window == 1 or s in self.whole and self.length[s] == 1]] = True
 
     def runs(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
         """[start, end) of the runs of at least two words that may hold a match; -1 is no item's word."""
@@ -167,8 +168,9 @@ class Automaton:
         if self.single.any():
             for k in np.flatnonzero((ids >= 0) & self.single[ids]).tolist():
                 d = int(np.searchsorted(bounds, k, side="right")) - 1
-                hits[d][k - starts[d]] = True
-                found[d] |= self.whole[self.next[0][int(ids[k])]]
+                for _, _, items in self.stream([int(ids[k])]):
+                    hits[d][k - starts[d]] = True
+                    found[d] |= items
 
 
 _BUILT: dict[object, Automaton] = {}
@@ -178,21 +180,19 @@ class Scanner:
     """Finds hits in documents, shard after shard. Holds one automaton at a time."""
 
     def __init__(self, shards: list, window: int):
-        self.shards, self.window = shards, window
+        # keys of its own tell this scanner's automata from others' in a worker that serves many jobs
+        self.shards, self.window = [(uuid.uuid4().hex, shard) for shard in shards], window
 
-    def _automaton(self, shard) -> Automaton:
-        key = (shard.id, self.window) if hasattr(shard, "id") else id(shard)
+    def _automaton(self, key: str, shard) -> Automaton:
         if key not in _BUILT:
             _BUILT.clear()
             _BUILT[key] = Automaton(getattr(shard, "value", shard), self.window)
-            if hasattr(shard, "unpersist"):
-                shard.__dict__.pop("_value", None)
         return _BUILT[key]
 
     def __call__(self, documents: list[list[bytes]]) -> tuple[list[np.ndarray], list[set]]:
         hits, found = [np.zeros(len(d), dtype=bool) for d in documents], [set() for _ in documents]
-        for shard in self.shards:
-            self._automaton(shard).scan(documents, hits, found)
+        for key, shard in self.shards:
+            self._automaton(key, shard).scan(documents, hits, found)
         return hits, found
 
     def clean(self, text: bytes) -> bytes:
@@ -277,7 +277,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
             yield out.filter(pa.array(keep, pa.bool_()))
 
     texts = docs.withColumn(text_col, docs[text_col].cast("string"))
-    schema = texts.schema.add(cut_col, "string")
+    schema = T.StructType([*texts.schema.fields, T.StructField(cut_col, T.StringType())])
     done = texts.mapInArrow(run, schema)
     out = {text_col: F.coalesce(cut_col, text_col)}
     if "n_chars" in docs.columns:

@@ -42,6 +42,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "body": {"head"}}
 BOUNDARY = frozenset("ul ol dl table body html".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: A tag that the page's end cuts is no text.
+_CUT_TAG = re.compile(r"<[/!a-zA-Z][^<>]*$")
 _MARKS = re.compile(r"[.,;:!?]")
 
 
@@ -55,7 +57,7 @@ class Tree(HTMLParser):
         self.links, self.controls = [0], [0]
         self.open = [("#root", 0)]
         self.leaf = -1
-        self.feed(html)
+        self.feed(_CUT_TAG.sub("", html))
         self.close()
 
     def _node(self, tag: str, tokens: tuple = ()) -> int:

@@ -42,13 +42,10 @@ def _letters() -> np.ndarray:
 
 def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(row of the embedding table, index of the text) of every subword, texts in order."""
-    points = np.frombuffer("\n".join(t.lower() for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    points = np.r_[np.uint32(10), points, np.uint32(10)].astype(np.uint32)
+    lower = [t.lower() for t in texts]  # may lengthen a text, so lengths are taken after it
+    points = np.frombuffer("\n".join(["", *lower, ""]).encode("utf-32-le"), "<u4")
     letter = _letters()[points]
-    # lower() may lengthen a text, so texts are told apart by lengths after it
-    lengths = np.array([len(t.lower()) + 1 for t in texts])
-    text = np.repeat(np.arange(len(texts)), lengths)
-    text = np.r_[0, text, len(texts) - 1][:len(points)] if len(texts) else text
+    text = np.r_[0, np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lower])] if texts else np.zeros(1, np.int64)
     keep = letter | np.r_[True, letter[:-1]]  # one separator after each word
     c, text, edge = np.where(letter, points, 0)[keep].astype(np.uint64), text[keep], ~letter[keep]
     rows, owner, hashed = [], [], c * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
@@ -63,7 +60,7 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         else:
             whole = whole[:m]
         if n in ORDERS:
-            at = np.flatnonzero(whole & ~(edge[:m] & edge[n - 1:]))
+            at = np.flatnonzero(whole)
             mixed = (hashed[at] ^ (hashed[at] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
             rows.append((mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
             owner.append(text[at + edge[at]])
