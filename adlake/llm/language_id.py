@@ -27,8 +27,9 @@ from adlake.llm.common import fresh, slices, text_column
 
 SAMPLE_DOCS, SAMPLE_WORDS, STRETCH, MAX_LANGUAGES = 500, 400, 40, 64
 BUCKET_BITS, DIM, ORDERS = 18, 16, (2, 3, 4)
-EPOCHS, RATE, SEED = 6, 0.5, 20
-REJECT_RATE, MAX_REJECT_SCORE = 0.001, 0.5
+EPOCHS, RATE, TABLE_RATE, SEED = 5, 0.5, 5.0, 20
+#: Rejection never goes beyond this part of the way from an even guess to certainty.
+REJECT_RATE, MAX_REJECT_SHARE = 0.001, 0.2
 UNKNOWN = "und"
 _LETTER: list[np.ndarray] = []
 
@@ -135,7 +136,7 @@ def train(texts: list[str], languages: list[str], epochs: int = EPOCHS, rate: fl
         error = _softmax(hidden @ weights + bias)
         error[y] -= 1
         lr = rate * (1 - step / steps)
-        table[rows] -= (lr * len(names)) * np.outer(share, weights @ error) * min(n, 50)
+        table[rows] -= lr * TABLE_RATE * np.outer(share, weights @ error)
         weights -= lr * np.outer(hidden, error)
         bias -= 0.01 * lr * error
     model = Model(names, table, weights, bias)
@@ -159,7 +160,8 @@ def calibrate(model: Model, texts: list[str], y: np.ndarray) -> None:
     p = _softmax(logits / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y]
     level = float(np.quantile(right, REJECT_RATE)) if len(right) else 0.0
-    model.level = min(level, max(MAX_REJECT_SCORE, 1 / len(model.languages)))
+    even = 1 / len(model.languages)
+    model.level = min(level, even + MAX_REJECT_SHARE * (1 - even))
 
 
 def held_out(doc_id: Column) -> Column:
