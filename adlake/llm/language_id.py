@@ -17,6 +17,7 @@ Prediction is one pass over whole texts without a shuffle. The fitted table (at
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,9 @@ EPOCHS, RATE, TABLE_RATE, SEED = 5, 0.5, 5.0, 20
 #: Rejection never goes beyond this part of the way from an even guess to certainty.
 REJECT_RATE, MAX_REJECT_SHARE = 0.001, 0.2
 UNKNOWN = "und"
+#: Characters whose subwords are held at once (about 200 bytes each).
+PIECE_CHARS = 400_000
+_GAP = re.compile(r"[\W\d_]")
 _LETTER: list[np.ndarray] = []
 
 
@@ -72,14 +76,36 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return rows[order], owner[order]
 
 
-def _per_text(values: np.ndarray, owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean of the rows of each text, and how many rows it has."""
+def _sums(values: np.ndarray, owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the rows of each text, and how many rows it has."""
     n = np.bincount(owner, minlength=count)
     total = np.zeros((count, values.shape[1]), dtype=np.float64)
     some = np.flatnonzero(n)
     if len(some):
         total[some] = np.add.reduceat(values, (np.cumsum(n) - n)[some], axis=0, dtype=np.float64)
-    return total / np.maximum(n, 1)[:, None], n
+    return total, n
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
+    """Groups of about PIECE_CHARS characters of text, with the index of the text each part is
+    of. A longer text is cut where a word ends, so that its subwords stay the same (a word
+    of that length anywhere)."""
+    parts, owners, held = [], [], 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text) or not at:
+            end = at + PIECE_CHARS
+            if end < len(text) and (gap := _GAP.search(text, end)):
+                end = gap.end()
+            parts.append(text[at:end] if at or end < len(text) else text)
+            owners.append(k)
+            held += len(parts[-1])
+            at = max(end, 1)
+            if held >= PIECE_CHARS:
+                yield parts, owners
+                parts, owners, held = [], [], 0
+    if parts:
+        yield parts, owners
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -98,8 +124,13 @@ class Model:
         self.weights = None if narrow else weights
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        rows, owner = subwords(texts)
-        mean, n = _per_text(self.table[rows], owner, len(texts))
+        total, n = np.zeros((len(texts), self.table.shape[1])), np.zeros(len(texts), dtype=np.int64)
+        for parts, owners in _pieces(texts):
+            rows, owner = subwords(parts)
+            sums, counts = _sums(self.table[rows], owner, len(parts))
+            np.add.at(total, owners, sums)
+            np.add.at(n, owners, counts)
+        mean = total / np.maximum(n, 1)[:, None]
         return (mean if self.weights is None else mean @ self.weights) + self.bias, n
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

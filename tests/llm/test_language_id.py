@@ -45,6 +45,16 @@ def test_texts_do_not_influence_each_other(model):
         assert together[0][k] == alone[0][0] and together[1][k] == pytest.approx(alone[1][0])
 
 
+def test_long_texts_in_pieces(model, monkeypatch):
+    rng = random.Random(6)
+    texts = [text(rng, rng.choice(list(SYLLABLES)), n) for n in (1, 400, 3, 90)] + ["", "x" * 300, "-" * 90 + "ba be " * 30]
+    whole = model.logits(texts)
+    monkeypatch.setattr(lang, "PIECE_CHARS", 50)
+    parts = model.logits(texts)
+    same = [k for k in range(len(texts)) if k != 5]  # a word without a gap is cut anywhere
+    assert np.allclose(whole[0][same], parts[0][same]) and (whole[1] == parts[1]).all()
+
+
 def test_held_out_accuracy(model):
     rng = random.Random(3)
     names = [rng.choice(list(SYLLABLES)) for _ in range(300)]
