@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from functools import cached_property
 
 import numpy as np
 
@@ -36,18 +37,24 @@ def encoder(names: tuple[str, str] = VOCABULARY) -> "Encoder":
 
 class Encoder:
     def __init__(self, tokenizer_path: str, ranks_path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-        self.general = Tokenizer.from_file(tokenizer_path)
-        self.general.encode_special_tokens = True
+        self.tokenizer_path = tokenizer_path
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.latin = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def general(self):
+        """The tokenizer file's own encoder, loaded when a text first needs it."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        loaded = Tokenizer.from_file(self.tokenizer_path)
+        loaded.encode_special_tokens = True
+        return loaded
+
     def _encode(self, chunk: str) -> bytes:
         if chunk.isascii() or max(chunk) < "ɐ":
             ids = self.latin(chunk)
