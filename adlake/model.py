@@ -76,9 +76,29 @@ SILVER = {
         + [T.StructField("source_file", T.StringType())]),
 }
 
-# Deterministic tie-breakers that split a hot reporting day across writer tasks
-# (range partitioning on reporting_date + these), read from only three columns.
-IMPRESSION_CLUSTER = ("timestamp_seconds", "user_id", "adgroup_id")
+# Raw column behind a Silver column of another name.
+RAW_NAMES = {
+    "impressions": {"user_id": "user", "timestamp_seconds": "time_stamp", "placement_id": "pid",
+                    "nonclick": "nonclk", "clicked": "clk"},
+    "ads": {"category_id": "cate_id", "advertiser_id": "customer", "brand_id": "brand", "product_price": "price"},
+    "user_profiles": {"user_id": "userid"},
+}
+
+
+@dataclass(frozen=True)
+class Dimension:
+    """A table that impressions are left-joined to: its key, the attributes reports use, the
+    Options field that picks its join strategy, and a marker column for matched rows."""
+
+    table: str
+    key: str
+    attributes: tuple[str, ...]
+    strategy: str
+    marker: str | None = None
+
+
+DIMENSIONS = (Dimension("ads", "adgroup_id", ("campaign_id", "advertiser_id"), "ads_join"),
+              Dimension("user_profiles", "user_id", ("age_level",), "profile_join", "profile_found"))
 
 GOLD_MEASURES = ["impressions", "clicks", "missing_profile_impressions", "ctr"]
 
@@ -116,13 +136,14 @@ class Options:
     ads_join            join strategy for the ads dimension (L4)
     profile_join        join strategy for the profile dimension (L5)
     shuffle_partitions  initial shuffle partitions (L6): a number, None (keep the session
-                        value) or "auto" (sized from the fact's estimated bytes, ~256 MiB
-                        per partition, for the Gold phase)
+                        value) or "auto" (for the Gold phase: ~256 MiB of the fact per
+                        partition if a join shuffles it, else the session value)
+    row_group_bytes     Parquet row-group size of written tables
     cache               persist the shared enrichment for both reports (L7)
     coalesce            AQE post-shuffle coalescing (L8)
     date_impl           reporting date: builtin | python (row UDF) | arrow UDF (L9)
-    shared_rollup       build both reports from one fine-grained rollup of the
-                        enrichment instead of recomputing the joins per report
+    shared_rollup       build both reports from one rollup of the enrichment, so that the fact is
+                        scanned and joined once, instead of once per report
     fingerprint_sources record a row-multiset fingerprint of every source in the run
                         report (one extra pass over Bronze, folded into the row counts)
     broadcast_limit     a dimension is broadcast on request only when Spark's size
@@ -136,6 +157,7 @@ class Options:
     ads_join: str = "auto"
     profile_join: str = "auto"
     shuffle_partitions: int | str | None = "auto"
+    row_group_bytes: int = 128 * 1024 * 1024
     cache: bool = False
     coalesce: bool = True
     date_impl: str = "builtin"

@@ -1,33 +1,47 @@
 """Exact, order-independent table comparison.
 
-Schema rule: same column names with identical logical types (order,
-nullability and metadata ignored); duplicate names are an error.
-
-Row rule: equal as multisets (nulls equal, multiplicity kept, doubles exact).
-Instead of two ``EXCEPT ALL`` passes (two shuffles of both tables) both sides
-are tagged +1/-1, stacked, and grouped by every column once; a group whose tags
-do not cancel is a difference. Grouping is null-safe and map-side partial
-aggregation collapses duplicate rows before the shuffle.
+Tables are equal when they have the same columns (by name, whatever their order or
+nullability) and the same rows as multisets: nulls equal, multiplicity kept, doubles exact.
+Both tables are tagged +1/-1, stacked and grouped by every column once; a group whose tags
+don't cancel differs. Grouping is null-safe and collapses repeated rows before the shuffle.
 """
 from __future__ import annotations
 
+from collections import Counter
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F
 
 _TAG = "__side_tag"
 
 
-def schema_types(df: DataFrame) -> dict[str, dict | str]:
-    types = {f.name: f.dataType.jsonValue() for f in df.schema}
-    if len(types) != len(df.columns):
-        raise ValueError("Cannot compare ambiguous duplicate column names")
-    return types
+class Comparison(NamedTuple):
+    """Columns (name, type) that one table lacks or types otherwise; rows only on one side."""
+
+    schema_differences: frozenset
+    left_only: bool
+    right_only: bool
+
+    @property
+    def equal(self) -> bool:
+        return not (self.schema_differences or self.left_only or self.right_only)
+
+
+def schema_differences(left: DataFrame, right: DataFrame) -> frozenset:
+    """(name, type) pairs found on one side only; a repeated column name is an error."""
+    sides = []
+    for df in (left, right):
+        repeated = sorted(c for c, n in Counter(df.columns).items() if n > 1)
+        if repeated:
+            raise ValueError(f"columns named more than once: {repeated}")
+        sides.append({(f.name, f.dataType.json()) for f in df.schema})
+    return frozenset(sides[0] ^ sides[1])
 
 
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs: ``side`` ('left'/'right'), ``multiplicity`` and the row."""
-    lt, rt = schema_types(left), schema_types(right)
-    if lt != rt:
-        raise ValueError(f"schema mismatch: {lt} != {rt}")
+    if differing := schema_differences(left, right):
+        raise ValueError(f"tables have other columns: {sorted(differing)}")
     cols = sorted(left.columns)
     stacked = (left.select(*cols, F.lit(1).alias(_TAG))
                .unionByName(right.select(*cols, F.lit(-1).alias(_TAG))))
@@ -36,14 +50,10 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
                        F.abs("_net").cast("long").alias("multiplicity"), *cols)
 
 
-def equal(left: DataFrame, right: DataFrame) -> dict:
-    """Compare two tables; stops at the first difference found."""
-    lt, rt = schema_types(left), schema_types(right)
-    if lt != rt:
-        return {"equal": False, "reason": "schema_mismatch", "left_schema": lt, "right_schema": rt}
-    diff = table_diff(left, right)
-    sides = {r["side"] for r in diff.select("side").distinct().collect()}
-    return {"equal": not sides, "left_has_unmatched_rows": "left" in sides,
-            "right_has_unmatched_rows": "right" in sides,
-            "method": "one grouped pass over both tables tagged +1/-1; exact values and types; "
-                      "unordered rows; duplicates retained"}
+def compare(left: DataFrame, right: DataFrame) -> Comparison:
+    """Compare two tables; only the sides that differ come to the driver."""
+    differing = schema_differences(left, right)
+    if differing:
+        return Comparison(differing, False, False)
+    sides = {r["side"] for r in table_diff(left, right).select("side").distinct().collect()}
+    return Comparison(differing, "left" in sides, "right" in sides)

@@ -69,12 +69,27 @@ def dimension_side(df: DataFrame, strategy: str, broadcast_limit: int) -> DataFr
 
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+#: From here on an estimate is Catalyst's default for sources whose size it doesn't know.
+UNKNOWN_BYTES = float(1 << 62)
 
 
-def shuffle_partitions_for(df: DataFrame, target_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
-    """Initial shuffle partitions so that each holds about ``target_bytes`` of ``df``
-    (never fewer than the cluster's default parallelism). AQE can coalesce partitions
-    that turn out small but cannot split ones that are too big, so this errs high."""
-    from adlake.sources.tables import _default_parallelism
+def shuffle_partitions_for(df: DataFrame, target_bytes: int = SHUFFLE_PARTITION_BYTES) -> int | None:
+    """Initial shuffle partitions so that each holds about ``target_bytes`` of ``df``, never
+    fewer than the default parallelism; None (keep the session's number) for unknown sizes.
+    AQE can coalesce partitions that turn out small but not split ones that are too big."""
     size = estimated_size_bytes(df, bounded_by_inputs=True)
-    return max(_default_parallelism(df.sparkSession), int(min(size, 1 << 62) // target_bytes) + 1)
+    if size >= UNKNOWN_BYTES:
+        return None
+    return max(df.sparkSession.sparkContext.defaultParallelism, int(size // target_bytes) + 1)
+
+
+def _threshold_bytes(spark) -> float:
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1], 1)
+    return float(text.rstrip("kmg")) * scale
+
+
+def shuffles_the_fact(dim: DataFrame, strategy: str, broadcast_limit: int) -> bool:
+    """Whether joining the fact to this side is planned as a shuffle of the fact."""
+    limit = {"auto": _threshold_bytes(dim.sparkSession), "broadcast": broadcast_limit}.get(strategy, -1)
+    return estimated_size_bytes(dim) > limit

@@ -66,25 +66,30 @@ def undeclared(diff: DataFrame) -> list[str]:
 
 
 REPORT_SCHEMA = ("struct<run_id:string,status:string,sources:map<string,struct<rows:long,row_hash_sum:string>>,"
-                 "tables:map<string,struct<rows:long>>,"
-                 "environment:struct<spark:string,spark_sql_settings:map<string,string>>>")
+                 "tables:map<string,struct<rows:long>>,environment:struct<spark:string,python:string,java:string,"
+                 "master:string,driver_memory:string,spark_sql_settings:map<string,string>>>")
+#: Parts of the environment that two comparable runs share.
+FIXED_ENVIRONMENT = ("spark", "python", "java", "master", "driver_memory")
 
 
 def report_rows(reports: DataFrame) -> DataFrame:
     """Q9 input: run reports (one JSON text row each, column ``value``) flattened to
-    (run_id, key, value): status, source fingerprints, the table set, the runtime
-    and every recorded SQL setting."""
+    (run_id, key, value): status, rows and content sum of each source, the table set, the
+    fixed environment and every recorded SQL setting."""
     r = reports.select(F.from_json("value", REPORT_SCHEMA).alias("r")).select("r.*")
-    status = r.select("run_id", F.lit("status").alias("key"), F.col("status").alias("value"))
-    sources = r.select("run_id", F.explode("sources").alias("k", "v")).select(
-        "run_id", F.concat(F.lit("sources."), "k").alias("key"),
-        F.concat_ws(":", F.col("v.rows").cast("string"), "v.row_hash_sum").alias("value"))
-    tables = r.select("run_id", F.lit("tables").alias("key"),
-                      F.array_join(F.array_sort(F.map_keys("tables")), ",").alias("value"))
-    runtime = r.select("run_id", F.lit("environment.spark").alias("key"), F.col("environment.spark").alias("value"))
-    conf = r.select("run_id", F.explode("environment.spark_sql_settings").alias("k", "value")).select(
-        "run_id", F.concat(F.lit("settings."), "k").alias("key"), "value")
-    return status.unionByName(sources).unionByName(tables).unionByName(runtime).unionByName(conf)
+    r = r.withColumn("conf", F.col("environment.spark_sql_settings"))
+    fixed = {"status": F.col("status"), "tables": F.array_join(F.array_sort(F.map_keys("tables")), ","),
+             **{f"environment.{k}": F.col(f"environment.{k}") for k in FIXED_ENVIRONMENT}}
+    single = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in fixed.items()])
+
+    def entries(column: str, prefix: str, suffix: str, value) -> F.Column:
+        found = F.transform(F.map_entries(column), lambda e: F.struct(
+            F.concat(F.lit(prefix), e["key"], F.lit(suffix)).alias("key"), value(e["value"]).cast("string").alias("value")))
+        return F.coalesce(found, F.array().cast("array<struct<key:string,value:string>>"))
+
+    every = F.concat(single, entries("sources", "sources.", ".rows", lambda v: v["rows"]),
+                     entries("sources", "sources.", ".hash", lambda v: v["row_hash_sum"]), entries("conf", "settings.", "", lambda v: v))
+    return r.select("run_id", F.inline(every))
 
 
 def comparability(reference: DataFrame, current: DataFrame, declared: tuple[str, ...] = ()) -> DataFrame:

@@ -1,7 +1,7 @@
 """Storage and provenance measurements as Spark jobs.
 
 File listings use the ``binaryFile`` source selecting only ``path``/``length``,
-so no file content is read; Parquet footers are read on executors with
+so no file content is read; Parquet footers and file hashes are read on executors with
 ``mapInPandas`` (one task handles a slice of the file list), never on the driver.
 Hidden files (``_``/``.`` prefixes) are not listed by Spark, so totals count data
 files only.
@@ -13,10 +13,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adlake.model import LAYERS
+from adlake.operators.quality import row_hash
 
-# A binaryFile row holds a whole file in task memory: hash only files up to this size;
-# larger inputs are fingerprinted by content with row_fingerprint instead.
-MAX_HASHED_FILE_BYTES = 256 * 1024 * 1024
+#: Bytes of a file that a hashing task holds at once.
+HASH_BLOCK = 1024 * 1024
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -50,29 +50,38 @@ def file_sizes(spark: SparkSession, table_dir: str) -> DataFrame:
     return list_files(spark, table_dir, "*.parquet").select("path", F.col("length").alias("bytes"))
 
 
-def fingerprint(spark: SparkSession, path: str, glob: str | None = None,
-                max_bytes: int = MAX_HASHED_FILE_BYTES) -> DataFrame:
-    """M2: bytes and SHA-256 of every file; larger files get a null hash (use row_fingerprint).
+def open_file(path: str):
+    """A seekable input stream for a path as the ``binaryFile`` source gives it."""
+    import pyarrow.fs as pafs
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + path[len("file:"):].lstrip("/"))
+    fs, inner = pafs.FileSystem.from_uri(path)
+    return fs.open_input_file(inner)
 
-    The ``length`` predicate is pushed into the binaryFile scan, so files above the
-    limit are never read.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    hashed = (reader.load(path).filter(F.col("length") <= max_bytes)
-              .select("path", F.sha2("content", 256).alias("sha256")))
-    return (list_files(spark, path, glob).join(hashed, "path", "left")
-            .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                    F.col("length").alias("bytes"), "sha256"))
+
+def _hash_files(batches):
+    import hashlib
+    import pandas as pd
+    for batch in batches:
+        out = []
+        for path, length in zip(batch["path"], batch["length"]):
+            digest = hashlib.sha256()
+            with open_file(path) as handle:
+                while block := handle.read(HASH_BLOCK):
+                    digest.update(block)
+            out.append((path.rsplit("/", 1)[-1], int(length), digest.hexdigest()))
+        yield pd.DataFrame(out, columns=["file_name", "bytes", "sha256"])
+
+
+def fingerprint(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """M2: bytes and SHA-256 of every file, whatever its size: executors stream files in blocks."""
+    return list_files(spark, path, glob).mapInPandas(_hash_files, "file_name string, bytes long, sha256 string")
 
 
 def row_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-independent content fingerprint of a table: row count and the sum of
-    64-bit row hashes (as an exact decimal). Equal tables always agree; it can
-    only be used to *reject* equality, never to prove it."""
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("hash_sum"))
+    """Order-independent content fingerprint of a table: row count and the exact sum of its row
+    hashes. Equal tables always agree; so it can reject equality, never prove it."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(row_hash(df)).alias("hash_sum"))
 
 
 FOOTER_SCHEMA = T.StructType([
@@ -84,16 +93,11 @@ FOOTER_SCHEMA = T.StructType([
 
 def _read_footers(batches):
     import pandas as pd
-    import pyarrow.fs as pafs
     import pyarrow.parquet as pq
     for batch in batches:
         out = []
         for path, length in zip(batch["path"], batch["length"]):
-            if path.startswith("file:"):
-                fs, inner = pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-            else:
-                fs, inner = pafs.FileSystem.from_uri(path)
-            with fs.open_input_file(inner) as handle:
+            with open_file(path) as handle:
                 meta = pq.ParquetFile(handle).metadata
             codecs, chunks = set(), 0
             for g in range(meta.num_row_groups):

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.model import GOLD_KEYS, IMPRESSION_CLUSTER, Options
+from adlake.model import GOLD_KEYS, Options
 from adlake.operators import transforms as tx
 from adlake.sources.adapter import bronze_views
 
@@ -30,7 +30,7 @@ def silver(spark: SparkSession, sf_dir: str, opts: Options | None = None) -> dic
 
 def enriched(spark: SparkSession, sf_dir: str, opts: Options | None = None) -> DataFrame:
     s = silver(spark, sf_dir, opts)
-    return tx.enrich(s["impressions"], s["ads"], s["user_profiles"], opts)
+    return tx.enrich(s, opts)
 
 
 @register("campaign_daily")
@@ -49,7 +49,10 @@ NO_LTZ = "event_timestamp"  # instants are not compared across engines; seconds
 
 @register("silver_impressions")
 def q_silver_impressions(spark, sf_dir):
-    return silver(spark, sf_dir)["impressions"].drop(NO_LTZ)
+    """P2/P5/P6; the instant is compared as its epoch second."""
+    from pyspark.sql import functions as F
+    rows = silver(spark, sf_dir)["impressions"]
+    return rows.withColumn("event_epoch", F.unix_seconds(NO_LTZ)).drop(NO_LTZ)
 
 
 @register("silver_ads")
@@ -72,18 +75,26 @@ def q_overall_ctr(spark, sf_dir):
     return tx.overall_ctr(tx.campaign_daily(enriched(spark, sf_dir)))
 
 
-@register("bronze_csv_roundtrip")
-def q_bronze_csv_roundtrip(spark, sf_dir):
-    """The three sources written as raw CSV, read back strictly, then the full report."""
+def _through_csv(spark, sf_dir) -> dict[str, DataFrame]:
+    """The three sources written as raw CSV, read back strictly, typed."""
     from adlake.session import scratch_path
     from adlake.sources.csv import read_source_csv, write_source_csv
     source_dir = scratch_path(spark, "raw-csv")
-    for name, df in bronze_views(spark, sf_dir).items():
+    bronze = bronze_views(spark, sf_dir)
+    for name, df in bronze.items():
         write_source_csv(df, source_dir, name)
-    bronze = {name: read_source_csv(spark, source_dir, name)
-              for name in ("impressions", "ads", "user_profiles")}
-    s = tx.silver_views(bronze)
-    return tx.campaign_daily(tx.enrich(s["impressions"], s["ads"], s["user_profiles"]))
+    return tx.silver_views({name: read_source_csv(spark, source_dir, name) for name in bronze})
+
+
+@register("bronze_csv_roundtrip")
+def q_bronze_csv_roundtrip(spark, sf_dir):
+    return tx.campaign_daily(tx.enrich(_through_csv(spark, sf_dir)))
+
+
+@register("profiles_csv_roundtrip")
+def q_profiles_csv_roundtrip(spark, sf_dir):
+    """Padded, blank and literal NULL fields after the round trip."""
+    return _through_csv(spark, sf_dir)["user_profiles"]
 
 
 # --- P2: quality ----------------------------------------------------------------------
@@ -136,7 +147,7 @@ def q_gold_reconciliation(spark, sf_dir):
     from pyspark.sql import functions as F
     from adlake.operators.quality import fact_totals, reconcile
     s = silver(spark, sf_dir)
-    e = tx.enrich(s["impressions"], s["ads"], s["user_profiles"])
+    e = tx.enrich(s)
     totals = fact_totals(s["impressions"], s["user_profiles"])
     campaign = tx.campaign_daily(e)
     tampered = campaign.withColumn(
@@ -186,7 +197,7 @@ def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
         opts = Options(codec="snappy" if layout == "silver" else "zstd")
         parts = ("reporting_date",) if layout == "silver_by_date" else ()
         write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
-                    partition_by=parts, cluster_by=IMPRESSION_CLUSTER if parts else ())
+                    partition_by=parts)
         path = f"{root}/silver/impressions"
     else:
         raise ValueError(layout)
@@ -221,16 +232,30 @@ for _w in SILVER_WORKLOADS:
     register(f"partitioned_{_w}")(_silver_query("silver_by_date", _w))
 
 
+@register("placement_ordered")
+def q_placement_ordered(spark, sf_dir):
+    """O2: the full-period report in its total order, with each row's place."""
+    from adlake.operators.reads import in_order, silver_query
+    return in_order(silver_query(spark.read.parquet(_materialized(spark, sf_dir, "silver")), "full_period"), "impressions")
+
+
 @register("table_detail")
 def q_table_detail(spark, sf_dir):
+    """What of a table's detail doesn't depend on how Spark dealt its rows."""
+    from pyspark.sql import functions as F
     from adlake.sources.tables import table_detail
-    return table_detail(spark, _materialized(spark, sf_dir, "silver_by_date"))
+    detail = table_detail(spark, _materialized(spark, sf_dir, "silver_by_date"))
+    return detail.select(F.array_join("partition_columns", ",").alias("partition_columns"), "partitions",
+                         (F.col("num_files") >= F.col("partitions")).alias("every_partition_has_files"))
 
 
 @register("codec_audit")
 def q_codec_audit(spark, sf_dir):
+    """M3: rows, codecs and whether they are the expected one, from the files' footers."""
+    from pyspark.sql import functions as F
     from adlake.operators.storage import codec_audit
-    return codec_audit(spark, _materialized(spark, sf_dir, "silver_zstd"), "zstd")
+    audit = codec_audit(spark, _materialized(spark, sf_dir, "silver_zstd"), "zstd")
+    return audit.select("rows", F.array_join("codecs", ",").alias("codecs"), "matches_expected")
 
 
 @register("source_fingerprint")
@@ -242,17 +267,64 @@ def q_source_fingerprint(spark, sf_dir):
 @register("row_fingerprint")
 def q_row_fingerprint(spark, sf_dir):
     from adlake.operators.storage import row_fingerprint
-    return row_fingerprint(silver(spark, sf_dir)["impressions"].drop(NO_LTZ))
+    out = row_fingerprint(silver(spark, sf_dir)["impressions"].drop(NO_LTZ))
+    return out.withColumn("hash_sum", out["hash_sum"].cast("string"))
+
+
+#: The runs that U3, Q9 and M1 compare: the control, and one that changes all that may change.
+RUN_OPTIONS = {"control": Options(), "variant": Options(codec="zstd", partition_by=("reporting_date",), ads_join="merge",
+                                                        profile_join="merge", shared_rollup=True)}
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Roots of both runs, rebuilt once per application in the caller's session."""
+    from adlake.plans.pipeline import run_pipeline
+    from adlake.session import scratch_path
+    for name, opts in RUN_OPTIONS.items():
+        key = (spark.sparkContext.applicationId, sf_dir, f"run-{name}")
+        if key not in _WRITTEN:
+            root = scratch_path(spark, f"run-{name}")
+            run_pipeline(spark, bronze_views(spark, sf_dir), root, opts, run_id=name)
+            _WRITTEN[key] = root
+    return {name: _WRITTEN[spark.sparkContext.applicationId, sf_dir, f"run-{name}"] for name in RUN_OPTIONS}
 
 
 @register("storage_totals")
 def q_storage_totals(spark, sf_dir):
+    """M1: every table of a run with its rows, and that its files hold bytes, all of them Parquet."""
+    from functools import reduce
+    from pyspark.sql import functions as F
     from adlake.operators.storage import storage_totals
-    from adlake.plans.pipeline import run_pipeline
-    from adlake.session import scratch_path
-    root = scratch_path(spark, "pipeline")
-    run_pipeline(spark, bronze_views(spark, sf_dir), root, Options(codec="zstd"))
-    return storage_totals(spark, root)
+    from adlake.plans.compare import COMPARED_TABLES
+    root = _runs(spark, sf_dir)["control"]
+    rows = reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{root}/{layer}/{name}").agg(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
+                                                         F.count(F.lit(1)).alias("rows")) for layer, name in COMPARED_TABLES])
+    return storage_totals(spark, root).join(rows, ["layer", "table_name"]).select(
+        "layer", "table_name", "rows", ((F.col("parquet_files") > 0) & (F.col("parquet_bytes") > 0)
+                                        & (F.col("total_bytes") == F.col("parquet_bytes"))).alias("only_parquet_files"))
+
+
+@register("runs_output_equality")
+def q_runs_output_equality(spark, sf_dir):
+    """Every table of the variant run against the control run's."""
+    from adlake.plans.compare import output_equality
+    return output_equality(spark, _runs(spark, sf_dir), "control")
+
+
+@register("runs_comparability")
+def q_runs_comparability(spark, sf_dir):
+    """Q9: what decides whether the two runs are comparable: status, table set, rows of each source, and the
+    declared setting, which alone may differ."""
+    from pyspark.sql import functions as F
+    from adlake.operators.stats import report_rows, validate_comparable
+    roots, declared = _runs(spark, sf_dir), ("spark.sql.parquet.compression.codec",)
+    sides = {name: report_rows(spark.read.text(f"{root}/_report")).drop("run_id") for name, root in roots.items()}
+    validate_comparable(sides["control"], sides["variant"], declared)
+    shown = F.col("key").isin("status", "tables", *[f"settings.{d}" for d in declared]) | F.col("key").rlike(r"^sources\..*\.rows$")
+    return (sides["control"].withColumnRenamed("value", "control_value").join(
+        sides["variant"].withColumnRenamed("value", "variant_value"), "key", "full").filter(shown)
+        .withColumn("same", F.col("control_value").eqNullSafe(F.col("variant_value"))))
 
 
 # --- P4: strategies (metamorphic: same result and SQL as the control) --------------------
@@ -267,7 +339,7 @@ def _report_under(spark: SparkSession, sf_dir: str, preset: str, report: str) ->
     if opts.cache:
         from pyspark import StorageLevel
         from adlake.plans.pipeline import REPORT_COLUMNS
-        shared = tx.enrich(s["impressions"], s["ads"], s["user_profiles"], opts).select(*REPORT_COLUMNS)
+        shared = tx.enrich(s, opts).select(*REPORT_COLUMNS)
         shared.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         try:
             path = scratch_path(spark, f"{preset}-{report}")
@@ -278,7 +350,7 @@ def _report_under(spark: SparkSession, sf_dir: str, preset: str, report: str) ->
         finally:
             shared.unpersist(blocking=True)
         return spark.read.parquet(path)
-    e = tx.enrich(s["impressions"], s["ads"], s["user_profiles"], opts)
+    e = tx.enrich(s, opts)
     out = (tx.report_from_rollup(tx.gold_rollup(e), keys) if opts.shared_rollup
            else tx.daily_report(e, keys))
     if opts.session_conf() == Options().session_conf():
@@ -377,122 +449,6 @@ def q_settings_diff(spark, sf_dir):
                          declared=("click",))
 
 
-# --- P5: execution evidence over recorded event logs (rows-only) -------------------------------
-def _evidence(build):
-    def run(spark, sf_dir):
-        from adlake.plans.record import recording
-        from adlake.sources.eventlog import applications, read_event_log
-        out = recording(spark, sf_dir)
-        log = read_event_log(spark, f"{out}/events")
-        df = build(log, out, spark)
-        if "log_file" in df.columns:
-            df = df.join(applications(log).select("log_file", "app_name"), "log_file").drop("log_file")
-        return df
-    return run
-
-
-def _ev(name):
-    def wrap(build):
-        register(name)(_evidence(build))
-        return build
-    return wrap
-
-
-@_ev("evidence_task_metrics")
-def _e1(log, out, spark):
-    from adlake.operators.evidence import task_metrics
-    return task_metrics(log, by=("log_file",))
-
-
-@_ev("evidence_processing_totals")
-def _a16(log, out, spark):
-    from adlake.operators.evidence import processing_totals, task_metrics
-    return processing_totals(task_metrics(log, by=("log_file",)), by=("log_file",))
-
-
-@_ev("evidence_latest_plans")
-def _e2(log, out, spark):
-    from adlake.operators.evidence import latest_plans
-    return latest_plans(log).drop("plan", "plan_description")
-
-
-@_ev("evidence_join_strategies")
-def _e3(log, out, spark):
-    from pyspark.sql import functions as F
-    from adlake.operators.evidence import join_strategies
-    return join_strategies(log).withColumn("operators", F.to_json("operators"))
-
-
-@_ev("evidence_shuffle_partitions")
-def _e4(log, out, spark):
-    from adlake.operators.evidence import shuffle_exchanges
-    return shuffle_exchanges(log)
-
-
-@_ev("evidence_reader_stages")
-def _e5(log, out, spark):
-    from adlake.operators.evidence import reader_stages
-    return reader_stages(log)
-
-
-@_ev("evidence_coalescing")
-def _e6(log, out, spark):
-    from adlake.operators.evidence import coalescing
-    return coalescing(log)
-
-
-@_ev("evidence_file_sizes")
-def _e7(log, out, spark):
-    from pyspark.sql import functions as F
-    from adlake.operators.stats import size_distribution
-    from adlake.operators.storage import file_sizes
-    files = file_sizes(spark, f"{out}/runs").withColumn(
-        "table_name", F.regexp_extract("path", r"/runs/([^/]+)/([^/]+/[^/]+)/", 2)).withColumn(
-        "run", F.regexp_extract("path", r"/runs/([^/]+)/", 1))
-    return size_distribution(files, ["run", "table_name"], "bytes")
-
-
-@_ev("evidence_cache_reuse")
-def _e9(log, out, spark):
-    from adlake.operators.evidence import cache_reuse
-    return cache_reuse(log)
-
-
-@_ev("evidence_python_udf")
-def _e10(log, out, spark):
-    from adlake.operators.evidence import python_eval
-    return python_eval(log, ("silver.impressions", "gold.campaign_daily", "gold.audience_daily"))
-
-
-@_ev("evidence_scan_metrics")
-def _e11(log, out, spark):
-    from adlake.operators.evidence import scan_metrics
-    return scan_metrics(log, ("workload.narrow", "workload.wide", "workload.one_day"))
-
-
-@_ev("evidence_gold_seconds")
-def _e12(log, out, spark):
-    from pyspark.sql import functions as F
-    from adlake.operators.stats import distribution
-    reports = spark.read.option("recursiveFileLookup", True).text(f"{out}/runs/*/_report")
-    parsed = reports.select(F.from_json("value", "struct<run_id:string,seconds:map<string,double>>").alias("r"))
-    gold = parsed.select(F.col("r.run_id").alias("run_id"),
-                         F.aggregate(F.map_values(F.map_filter("r.seconds", lambda k, v: k.startswith("gold."))),
-                                     F.lit(0.0), lambda a, b: a + b).alias("combined_gold_seconds"))
-    side = F.when(F.col("run_id") == "control", "left").otherwise("right")
-    return distribution(gold.withColumn("side", side), ["side"], "combined_gold_seconds", with_samples=True)
-
-
-@_ev("evidence_plan_nodes")
-def _x3(log, out, spark):
-    from pyspark.sql import functions as F
-    from adlake.functions.plan_nodes import plan_nodes
-    from adlake.operators.evidence import latest_plans
-    nodes = plan_nodes(latest_plans(log))
-    return nodes.groupBy("log_file", "node_name").agg(F.count(F.lit(1)).alias("nodes"),
-                                                      F.max("depth").alias("max_depth"))
-
-
 @register("fact_checks")
 def q_fact_checks(spark, sf_dir):
     """Q3-Q5 folded into one pass over the fault-injected fact."""
@@ -501,66 +457,23 @@ def q_fact_checks(spark, sf_dir):
     return fact_checks(s["impressions"], s["ads"], s["user_profiles"])
 
 
-@_ev("evidence_cache_lifecycle")
-def _e8(log, out, spark):
-    from adlake.operators.evidence import cache_lifecycle
-    return cache_lifecycle(log)
-
-
-@_ev("evidence_run_comparability")
-def _q9(log, out, spark):
-    """Q9: every recorded variant run against the control run (differences and whether declared)."""
-    from pyspark.sql import functions as F
-    from adlake.operators.stats import comparability, report_rows
-    from adlake.plans.record import RUNS
-    rows = report_rows(spark.read.option("recursiveFileLookup", True).text(f"{out}/runs/*/_report"))
-    control = rows.filter(F.col("run_id") == "control").drop("run_id")
-    frames = []
-    for run, opts in RUNS.items():
-        if run == "control":
-            continue
-        declared = tuple(k for k, v in opts.session_conf().items()
-                         if RUNS["control"].session_conf().get(k) != v)
-        current = rows.filter(F.col("run_id") == run).drop("run_id")
-        frames.append(comparability(control, current, declared).withColumn("run_id", F.lit(run)))
-    out_df = frames[0]
-    for f in frames[1:]:
-        out_df = out_df.unionByName(f)
-    return out_df
-
-
-@_ev("evidence_output_equality")
-def _u3(log, out, spark):
-    """Every table of every recorded variant run equals the control run's."""
-    from adlake.plans.compare import output_equality
-    from adlake.plans.record import RUNS
-    runs = {run: f"{out}/runs/{run}" for run in RUNS if run != "control"}
-    return output_equality(spark, f"{out}/runs/control", runs)
-
-
-@_ev("evidence_run_summary")
-def _a15(log, out, spark):
-    """Run measurements summarised, control (left) vs variants (right)."""
-    from pyspark.sql import functions as F
-    from adlake.plans.compare import report_measurements, summarize
-    reports = spark.read.option("recursiveFileLookup", True).text(f"{out}/runs/*/_report")
-    m = report_measurements(reports)
-    sides = m.select("run_id").distinct().withColumn(
-        "side", F.when(F.col("run_id") == "control", "left").otherwise("right"))
-    return summarize(m, sides)
-
-
 @register("storage_by_layout")
 def q_storage_by_layout(spark, sf_dir):
-    """L1-L3 storage: files and bytes of the same impressions as typed CSV, uncompressed
-    Parquet, and Silver Parquet in Snappy, ZSTD and ZSTD partitioned by date."""
+    """L1-L3 storage: the same impressions as typed CSV, uncompressed Parquet, and Silver Parquet in
+    Snappy, ZSTD and ZSTD by date: rows read back, partitions, and whether an unpartitioned layout takes fewer
+    bytes than CSV (by date it depends on how many small files the days make)."""
     from functools import reduce
     from pyspark.sql import functions as F
     from adlake.operators.storage import list_files
-    layouts = {"typed_csv": "*.csv", "typed_parquet": "*.parquet", "silver": "*.parquet",
-               "silver_zstd": "*.parquet", "silver_by_date": "*.parquet"}
-    frames = [list_files(spark, _materialized(spark, sf_dir, layout), glob)
-              .agg(F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("data_files"),
-                   F.sum("length").alias("data_bytes"))
-              for layout, glob in layouts.items()]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    from adlake.sources.csv import read_impressions_csv
+    sizes, frames = {}, []
+    for layout, ending in (("typed_csv", "*.csv"), ("typed_parquet", "*.parquet"), ("silver", "*.parquet"),
+                           ("silver_zstd", "*.parquet"), ("silver_by_date", "*.parquet")):
+        path = _materialized(spark, sf_dir, layout)
+        rows = read_impressions_csv(spark, path) if layout == "typed_csv" else spark.read.parquet(path)
+        sizes[layout] = list_files(spark, path, ending).agg(F.sum("length")).first()[0]
+        days = F.count_distinct("reporting_date") if layout == "silver_by_date" else F.lit(0).cast("long")
+        frames.append(rows.agg(F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("data_rows"), days.alias("partitions"))
+                      .withColumn("smaller_than_csv", F.lit(sizes[layout] < sizes["typed_csv"]) if layout != "silver_by_date"
+                                  else F.lit(None).cast("boolean")))
+    return reduce(DataFrame.unionByName, frames)

@@ -30,7 +30,7 @@ ADS = """ads AS (
   FROM part)"""
 
 USERS = """users AS (
-  SELECT c_custkey AS user_id,
+  SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey - 1 ELSE c_custkey END AS user_id,
          CAST(c_nationkey % 5 AS INTEGER) AS cms_segid,
          CAST(c_nationkey % 13 AS INTEGER) AS cms_group_id,
          CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') THEN 1 ELSE 2 END AS final_gender_code,
@@ -40,7 +40,7 @@ USERS = """users AS (
          CAST(c_custkey % 2 AS INTEGER) AS occupation,
          CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE CAST(c_nationkey % 4 + 1 AS INTEGER) END AS new_user_class_level,
          'user_profile.csv' AS source_file
-  FROM customer WHERE c_acctbal >= 0)"""
+  FROM customer)"""
 
 ENRICHED = """enriched AS (
   SELECT i.*, a.campaign_id, a.advertiser_id, u.age_level,
@@ -79,7 +79,7 @@ ORACLE: dict[str, str] = {
 IMP_COLS = ("user_id, timestamp_seconds, adgroup_id, placement_id, nonclick, clicked, "
             "source_file, reporting_date")
 
-ORACLE["silver_impressions"] = _with(IMP) + "SELECT * FROM imp"
+ORACLE["silver_impressions"] = _with(IMP) + "SELECT *, timestamp_seconds AS event_epoch FROM imp"
 ORACLE["silver_ads"] = _with(ADS) + "SELECT * FROM ads"
 ORACLE["silver_user_profiles"] = _with(USERS) + "SELECT * FROM users"
 ORACLE["enriched"] = _with(IMP, ADS, USERS, ENRICHED) + "SELECT * FROM enriched"
@@ -88,6 +88,7 @@ SELECT count(*)::BIGINT AS impressions, sum(clicked)::BIGINT AS clicks,
        sum(clicked)::DOUBLE / count(*) AS ctr
 FROM imp"""
 ORACLE["bronze_csv_roundtrip"] = CAMPAIGN_DAILY
+ORACLE["profiles_csv_roundtrip"] = ORACLE["silver_user_profiles"]
 
 # --- P2: fault-injected sources ------------------------------------------------------
 DIRTY_IMP = """dimp AS (
@@ -195,9 +196,9 @@ UNION ALL
 SELECT 'ads', (SELECT count(*) FROM part)::BIGINT, (SELECT count(*) FROM part)::BIGINT,
        (SELECT count(*) FROM part) > 0
 UNION ALL
-SELECT 'user_profiles', (SELECT count(*) FROM customer WHERE c_acctbal >= 0)::BIGINT,
-       (SELECT count(*) FROM customer WHERE c_acctbal >= 0)::BIGINT,
-       (SELECT count(*) FROM customer WHERE c_acctbal >= 0) > 0"""
+SELECT 'user_profiles', (SELECT count(*) FROM customer)::BIGINT,
+       (SELECT count(*) FROM customer)::BIGINT,
+       (SELECT count(*) FROM customer) > 0"""
 
 ORACLE["table_diff"] = _with(IMP, DIRTY_IMP) + f"""
 SELECT 'left' AS side, count(*)::BIGINT AS multiplicity, {IMP_COLS}
@@ -288,3 +289,60 @@ SELECT count(*)::BIGINT AS impressions,
        count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = i.user_id))::BIGINT
          AS missing_profile_impressions
 FROM dimp i"""
+
+# --- storage, runs and ordering --------------------------------------------------------------
+ORACLE["placement_ordered"] = _with(IMP) + """
+SELECT *, row_number() OVER (ORDER BY impressions DESC NULLS LAST, clicks NULLS LAST, placement_id NULLS LAST) AS place
+FROM (SELECT placement_id, count(*)::BIGINT AS impressions, sum(clicked)::BIGINT AS clicks FROM imp GROUP BY placement_id)"""
+
+ORACLE["table_detail"] = _with(IMP) + """
+SELECT 'reporting_date' AS partition_columns, count(DISTINCT reporting_date)::BIGINT AS partitions,
+       TRUE AS every_partition_has_files FROM imp"""
+
+ORACLE["codec_audit"] = "SELECT count(*)::BIGINT AS rows, 'ZSTD' AS codecs, TRUE AS matches_expected FROM events"
+
+#: The gate runs on this folder (see TESTDATA.md); DuckDB hashes the files themselves.
+ORACLE["source_fingerprint"] = """
+SELECT parse_filename(filename) AS file_name, size AS bytes, sha256(content) AS sha256
+FROM read_blob('/root/testdata/sf0.01/*.parquet')"""
+
+_TEXT = ", ".join(f"coalesce('+' || CAST({c} AS VARCHAR), '-')" for c in sorted(IMP_COLS.split(", ")))
+ORACLE["row_fingerprint"] = _with(IMP) + f"""
+SELECT count(*)::BIGINT AS row_count,
+       CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), {_TEXT})), 1, 15) AS BIGINT)) AS VARCHAR) AS hash_sum
+FROM imp"""
+
+RUN_TABLES = f"""counts AS (
+  SELECT 'bronze' AS layer, 'impressions' AS table_name, (SELECT count(*) FROM imp)::BIGINT AS rows
+  UNION ALL SELECT 'bronze', 'ads', (SELECT count(*) FROM ads)::BIGINT
+  UNION ALL SELECT 'bronze', 'user_profiles', (SELECT count(*) FROM users)::BIGINT
+  UNION ALL SELECT 'silver', 'impressions', (SELECT count(*) FROM imp)::BIGINT
+  UNION ALL SELECT 'silver', 'ads', (SELECT count(*) FROM ads)::BIGINT
+  UNION ALL SELECT 'silver', 'user_profiles', (SELECT count(*) FROM users)::BIGINT
+  UNION ALL SELECT 'gold', 'campaign_daily',
+    (SELECT count(*) FROM (SELECT DISTINCT reporting_date, campaign_id, advertiser_id FROM enriched))::BIGINT
+  UNION ALL SELECT 'gold', 'audience_daily',
+    (SELECT count(*) FROM (SELECT DISTINCT reporting_date, advertiser_id, age_level FROM enriched))::BIGINT)"""
+
+ORACLE["storage_totals"] = _with(IMP, ADS, USERS, ENRICHED, RUN_TABLES) + """
+SELECT layer, table_name, rows, TRUE AS only_parquet_files FROM counts"""
+
+ORACLE["runs_output_equality"] = _with(IMP, ADS, USERS, ENRICHED, RUN_TABLES) + """
+SELECT 'variant' AS run_id, layer || '/' || table_name AS table_name, rows AS control_rows, rows AS run_rows,
+       0::BIGINT AS control_only_rows, 0::BIGINT AS run_only_rows, TRUE AS equal FROM counts"""
+
+ORACLE["runs_comparability"] = _with(IMP, ADS, USERS) + """
+SELECT *, control_value = variant_value AS same FROM (
+  SELECT 'status' AS key, 'succeeded' AS control_value, 'succeeded' AS variant_value
+  UNION ALL SELECT 'tables', t, t FROM (SELECT 'bronze/ads,bronze/impressions,bronze/user_profiles,gold/audience_daily,'
+    || 'gold/campaign_daily,silver/ads,silver/impressions,silver/user_profiles' AS t)
+  UNION ALL SELECT 'settings.spark.sql.parquet.compression.codec', 'snappy', 'zstd'
+  UNION ALL SELECT 'sources.raw_sample.csv.rows', n, n FROM (SELECT CAST(count(*) AS VARCHAR) AS n FROM imp)
+  UNION ALL SELECT 'sources.ad_feature.csv.rows', n, n FROM (SELECT CAST(count(*) AS VARCHAR) AS n FROM ads)
+  UNION ALL SELECT 'sources.user_profile.csv.rows', n, n FROM (SELECT CAST(count(*) AS VARCHAR) AS n FROM users))"""
+
+ORACLE["storage_by_layout"] = _with(IMP) + """
+SELECT layout, (SELECT count(*) FROM imp)::BIGINT AS data_rows,
+       CASE WHEN layout = 'silver_by_date' THEN (SELECT count(DISTINCT reporting_date) FROM imp) ELSE 0 END::BIGINT AS partitions,
+       CASE WHEN layout <> 'silver_by_date' THEN layout <> 'typed_csv' END AS smaller_than_csv
+FROM (VALUES ('typed_csv'), ('typed_parquet'), ('silver'), ('silver_zstd'), ('silver_by_date')) AS l(layout)"""

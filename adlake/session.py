@@ -13,11 +13,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: dict[int, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def build_session(master: str = "local[8]", app: str = "adlake", *, shuffle_partitions: int = 8,
-                  event_log_dir: str | None = None, extra: dict | None = None) -> SparkSession:
-    """Session for tests, the bench and the evidence recorder (UI always off)."""
+                  extra: dict | None = None) -> SparkSession:
+    """Session for tests and the bench (UI always off)."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
@@ -28,11 +29,6 @@ def build_session(master: str = "local[8]", app: str = "adlake", *, shuffle_part
                # exceeds whole tables at test scale; large inputs are unaffected)
                .config("spark.sql.files.openCostInBytes", str(1024 * 1024))
                .config("spark.driver.memory", "8g"))
-    if event_log_dir:
-        builder = (builder.config("spark.eventLog.enabled", "true")
-                   .config("spark.eventLog.dir", event_log_dir)
-                   .config("spark.eventLog.compress", "false")
-                   .config("spark.eventLog.rolling.enabled", "false"))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -63,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001
             pass
         return value
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = id(spark.sparkContext)
     if key not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[key] = tempfile.mkdtemp(prefix="adlake-checkpoints-")
@@ -73,7 +71,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared scratch folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/adlake/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/adlake/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application, whose DataFrames can't be read after it.
+    Returns how many there were. For use between jobs of a long session."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 @contextlib.contextmanager

@@ -2,9 +2,7 @@
 
 Output is *Bronze form*: every column a string, with literal ``'NULL'``, blanks
 and padded numbers, so the cleaning step is really exercised. Every mapping is a
-row-wise projection (or one equi-join for the lineitem fact); no row is dropped
-except customers without a profile, which is the modelled business rule
-"customers in debit have no audience profile".
+row-wise projection (or one equi-join for the lineitem fact); no row is dropped.
 
 Mapping (all deterministic):
 
@@ -14,8 +12,9 @@ impressions <- events
 ads <- part
     adgroup_id=p_partkey, cate_id=campaign_id=p_size, customer=digits of p_brand,
     brand=same digits or 'NULL' when p_partkey%7=0, price=p_retailprice
-user_profiles <- customer with c_acctbal >= 0
-    userid=c_custkey, age_level=c_nationkey%7, other codes from segment/nation/balance
+user_profiles <- customer
+    userid=c_custkey, or -c_custkey-1 for customers in debit: a profile that no event refers
+    to, so that their impressions have none; age_level=c_nationkey%7, other codes from segment/nation/balance
 bench impressions <- lineitem join orders
     user=o_custkey, time_stamp=l_shipdate, adgroup_id=l_partkey, pid=l_returnflag,
     clk=(l_linestatus='F')
@@ -71,11 +70,12 @@ def ads_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    c = table(spark, sf_dir, "customer")
+    in_debit = F.col("c_acctbal") < 0
     seg = F.col("c_mktsegment")
     nation = F.col("c_nationkey")
     return c.select(
-        _s(F.col("c_custkey")).alias("userid"),
+        _s(F.when(in_debit, -F.col("c_custkey") - 1).otherwise(F.col("c_custkey"))).alias("userid"),
         _s(nation % 5).alias("cms_segid"),
         _s(nation % 13).alias("cms_group_id"),
         F.when(seg.isin("AUTOMOBILE", "BUILDING", "MACHINERY"), F.lit("1")).otherwise(F.lit("2"))

@@ -1,56 +1,73 @@
-"""Strict CSV sources (S1 Bronze string reader, S2 typed impressions reader).
+"""Strict CSV sources (S1 Bronze strings, S2 typed impressions), read by description.
 
-The header check runs as a small Spark read of the header line, so it works on
-any filesystem and on a directory of part files; ``enforceSchema=False`` then
-makes every file's header be validated during the scan itself.
+A :class:`CsvSource` says what a file must look like; one reader and one writer serve all.
+The header is read through Spark, so any file system and a directory of part files work;
+``enforceSchema=False`` has every file's header checked again during the scan.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adlake.model import SOURCES, TYPED_IMPRESSIONS, bronze_schema
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Literal header names of the (first) CSV file under ``path``."""
-    return list(spark.read.option("header", True).option("inferSchema", False).csv(path).columns)
+class HeaderMismatch(ValueError):
+    """A CSV file's header isn't the one its description asks for."""
 
 
-def read_source_csv(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
-    """All-string Bronze read with header check, header trim and provenance."""
-    filename, columns = SOURCES[name]
-    path = f"{source_dir.rstrip('/')}/{filename}"
-    actual = csv_header(spark, path)
-    if [c.strip() for c in actual] != columns:
-        raise ValueError(f"Unexpected CSV header in {filename}: {actual}")
-    return (spark.read.schema(bronze_schema(name, actual))
-            .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-            .csv(path)
-            .toDF(*columns)
-            .withColumn("source_file", F.lit(filename)))
+@dataclass(frozen=True)
+class CsvSource:
+    """Expected columns and types; whether names in the header may carry blanks; the file name
+    recorded with each row, if any; and the format's options."""
 
+    schema: T.StructType
+    padded_header: bool = False
+    provenance: str | None = None
+    options: dict = field(default_factory=dict)
 
-def read_impressions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Typed impressions with ``NULL`` token and ``"`` escape."""
-    actual = csv_header(spark, path)
-    if actual != TYPED_IMPRESSIONS.fieldNames():
-        raise ValueError(f"Unexpected impressions header: {actual}")
-    return (spark.read.schema(TYPED_IMPRESSIONS)
-            .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-            .option("nullValue", "NULL").option("escape", '"')
-            .csv(path))
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        found = spark.read.options(header=True, inferSchema=False).csv(path).columns
+        wanted = self.schema.fieldNames()
+        if [c.strip() if self.padded_header else c for c in found] != wanted:
+            raise HeaderMismatch(f"{path}: columns {found}, wanted {wanted}")
+        as_found = T.StructType([T.StructField(c, f.dataType) for c, f in zip(found, self.schema)])
+        strict = {"header": True, "enforceSchema": False, "mode": "FAILFAST", **self.options}
+        rows = spark.read.schema(as_found).options(**strict).csv(path).toDF(*wanted)
+        return rows if self.provenance is None else rows.withColumn("source_file", F.lit(self.provenance))
+
+    def write(self, df: DataFrame, path: str) -> str:
+        (df.select(*self.schema.fieldNames()).write.mode("errorifexists")
+         .options(header=True, **self.options).csv(path))
+        return path
+
+
+def raw_source(name: str) -> CsvSource:
+    """A raw file of strings; the published headers have trailing blanks."""
+    return CsvSource(bronze_schema(name), padded_header=True, provenance=SOURCES[name][0])
+
+
+#: Impressions with types, the NULL token and doubled quotes.
+TYPED_SOURCE = CsvSource(TYPED_IMPRESSIONS, options={"nullValue": "NULL", "escape": '"'})
+
+
+def _raw_path(source_dir: str, name: str) -> str:
+    return f"{source_dir.rstrip('/')}/{SOURCES[name][0]}"
+
+
+def read_source_csv(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
+    return raw_source(name).read(spark, _raw_path(source_dir, name))
 
 
 def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
     """Write a Bronze frame as the raw CSV source ``name`` (a directory of part files)."""
-    filename, columns = SOURCES[name]
-    path = f"{source_dir.rstrip('/')}/{filename}"
-    df.select(*columns).write.mode("errorifexists").option("header", True).csv(path)
-    return path
+    return raw_source(name).write(df, _raw_path(source_dir, name))
+
+
+def read_impressions_csv(spark: SparkSession, path: str) -> DataFrame:
+    return TYPED_SOURCE.read(spark, path)
 
 
 def write_typed_csv(df: DataFrame, path: str) -> str:
-    """Typed impressions as CSV with the same NULL token / escape the S2 reader expects."""
-    (df.select(*TYPED_IMPRESSIONS.fieldNames()).write.mode("errorifexists")
-     .option("header", True).option("nullValue", "NULL").option("escape", '"').csv(path))
-    return path
+    return TYPED_SOURCE.write(df, path)

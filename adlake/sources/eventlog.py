@@ -1,16 +1,27 @@
 """Spark event logs as tables.
 
-An event log is a JSON-lines file; at scale it is just a large text table, so it
-is read with ``spark.read.text`` and each event type is projected with
-``from_json`` against an explicit schema of the fields used. Line order within a
-file is kept as ``(file, block start, monotonically increasing id)``, which is
-increasing within a split and across the splits of one file.
+Logs are read as Spark writes them: one file per application or a folder of rolled files,
+plain or compressed with zstd, Spark's default. Every event is keyed on its application, taken from
+the path, so events of one application meet whatever file they are in. ``seq`` puts an application's events in order:
+the number of the rolled file, then the place in it.
+
+Plain files are text that Spark splits. A compressed file is streamed by one task, a batch of
+lines at a time; Spark rolls files at 128 MiB, which bounds what that task does.
 """
 from __future__ import annotations
 
+import io
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_EVENT = "$.Event"
+from adlake.operators.storage import list_files, open_file
+
+#: Lines handed over at once, and compressed endings that can be read.
+BATCH_LINES = 5000
+COMPRESSED = ".zstd"
+_ROLLED = r"/eventlog_v2_([^/]+)/events_(\d+)_[^/]*$"
+_SINGLE = r"([^/]+?)(?:\.zstd)?(?:\.inprogress)?$"
 
 STAGE_SUBMITTED = ("struct<`Stage Info`:struct<`Stage ID`:long,`Stage Attempt ID`:long,`Number of Tasks`:long,"
                    "`RDD Info`:array<struct<`RDD ID`:long,`Number of Partitions`:long,"
@@ -32,27 +43,55 @@ SQL_END = "struct<executionId:long,errorMessage:string>"
 DRIVER_ACCUM = "struct<executionId:long,accumUpdates:array<array<long>>>"
 
 
+def _compressed_lines(batches):
+    import zstandard
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            with open_file(path) as raw, zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True) as plain:
+                lines, number = [], 0
+                for line in io.TextIOWrapper(plain, "utf-8"):
+                    lines.append(line.rstrip("\n"))
+                    if len(lines) == BATCH_LINES:
+                        yield _lines(path, number, lines)
+                        lines, number = [], number + len(lines)
+                if lines:
+                    yield _lines(path, number, lines)
+
+
+def _lines(path: str, first: int, lines: list[str]) -> pa.RecordBatch:
+    place = pa.array(range(first, first + len(lines)), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(lines)), place, pa.array(lines)], names=["path", "place", "value"])
+
+
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Every event line with its type and a file-order key (hidden files skipped)."""
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .filter(~F.col("_metadata.file_name").startswith("appstatus")))
-    return lines.select(
-        F.col("_metadata.file_path").alias("log_file"),
-        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-                 F.monotonically_increasing_id()).alias("seq"),
-        F.get_json_object("value", _EVENT).alias("event"),
-        F.col("value").alias("json"))
+    """Every event of the logs under ``path``: application, seq, event type and JSON."""
+    files = list_files(spark, path)
+    other = files.filter(F.col("path").rlike(r"\.(lz4|lzf|snappy)(\.inprogress)?$"))
+    if not other.isEmpty():
+        raise ValueError(f"event logs under {path} are compressed, but not with zstd")
+    plain = (spark.read.option("recursiveFileLookup", True).text(path)
+             .filter(~F.col("_metadata.file_name").startswith("appstatus") & ~F.col("_metadata.file_name").contains(COMPRESSED))
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("place"), "value"))
+    packed = files.filter(F.col("path").contains(COMPRESSED) & ~F.col("path").contains("/appstatus")).select("path").mapInArrow(
+        _compressed_lines, "path string, place long, value string").withColumn("start", F.lit(0).cast("long"))
+    rolled = F.regexp_extract("path", _ROLLED, 1)
+    return plain.unionByName(packed).select(
+        F.when(rolled != "", rolled).otherwise(F.regexp_extract("path", _SINGLE, 1)).alias("application"),
+        F.struct(F.coalesce(F.nullif(F.regexp_extract("path", _ROLLED, 2), F.lit("")).cast("int"), F.lit(0)).alias("file"),
+                 "start", "place").alias("seq"),
+        F.get_json_object("value", "$.Event").alias("event"), F.col("value").alias("json"))
 
 
 def _of(log: DataFrame, kind: str, schema: str) -> DataFrame:
     return (log.filter(F.col("event") == kind)
-            .select("log_file", "seq", F.from_json("json", schema).alias("e")))
+            .select("application", "seq", F.from_json("json", schema).alias("e")))
 
 
 def stage_submitted(log: DataFrame) -> DataFrame:
     s = _of(log, "SparkListenerStageSubmitted", STAGE_SUBMITTED)
     return s.select(
-        "log_file", "seq", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
+        "application", "seq", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
         F.col("e.`Stage Info`.`Stage Attempt ID`").alias("attempt_id"),
         F.col("e.`Stage Info`.`Number of Tasks`").alias("scheduled_tasks"),
         F.transform(F.col("e.`Stage Info`.`RDD Info`"), lambda r: r["RDD ID"]).alias("rdd_ids"),
@@ -64,7 +103,7 @@ def stage_submitted(log: DataFrame) -> DataFrame:
 
 def stage_completed(log: DataFrame) -> DataFrame:
     s = _of(log, "SparkListenerStageCompleted", STAGE_COMPLETED)
-    return s.select("log_file", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
+    return s.select("application", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
                     F.col("e.`Stage Info`.`Stage Attempt ID`").alias("attempt_id"),
                     F.col("e.`Stage Info`.`Failure Reason`").alias("failure_reason"))
 
@@ -73,7 +112,7 @@ def task_end(log: DataFrame) -> DataFrame:
     t = _of(log, "SparkListenerTaskEnd", TASK_END)
     m = "e.`Task Metrics`"
     return t.select(
-        "log_file", F.col("e.`Stage ID`").alias("stage_id"), F.col("e.`Stage Attempt ID`").alias("attempt_id"),
+        "application", F.col("e.`Stage ID`").alias("stage_id"), F.col("e.`Stage Attempt ID`").alias("attempt_id"),
         F.col("e.`Task Info`.Index").alias("task_index"),
         (F.col("e.`Task End Reason`.Reason") != "Success").cast("int").alias("failed"),
         F.col("e.`Task Info`.`Launch Time`").alias("launch_time"),
@@ -97,37 +136,37 @@ def sql_plans(log: DataFrame) -> DataFrame:
     kinds = ["org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart",
              "org.apache.spark.sql.execution.ui.SparkListenerSQLAdaptiveExecutionUpdate"]
     p = (log.filter(F.col("event").isin(*kinds))
-         .select("log_file", "seq", F.from_json("json", SQL_PLAN).alias("e")))
-    return p.select("log_file", "seq", F.col("e.executionId").alias("execution_id"),
+         .select("application", "seq", F.from_json("json", SQL_PLAN).alias("e")))
+    return p.select("application", "seq", F.col("e.executionId").alias("execution_id"),
                     F.col("e.sparkPlanInfo").alias("plan"),
                     F.col("e.physicalPlanDescription").alias("plan_description"))
 
 
 def sql_end(log: DataFrame) -> DataFrame:
     e = (log.filter(F.col("event") == "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd")
-         .select("log_file", F.from_json("json", SQL_END).alias("e")))
-    return e.select("log_file", F.col("e.executionId").alias("execution_id"),
+         .select("application", F.from_json("json", SQL_END).alias("e")))
+    return e.select("application", F.col("e.executionId").alias("execution_id"),
                     F.col("e.errorMessage").alias("error_message"))
 
 
 def driver_accum_updates(log: DataFrame) -> DataFrame:
     """Driver-side SQL metric updates (e.g. files/bytes selected by a scan): (execution, id, value)."""
     d = (log.filter(F.col("event") == "org.apache.spark.sql.execution.ui.SparkListenerDriverAccumUpdates")
-         .select("log_file", F.from_json("json", DRIVER_ACCUM).alias("e")))
-    return (d.select("log_file", F.col("e.executionId").alias("execution_id"),
+         .select("application", F.from_json("json", DRIVER_ACCUM).alias("e")))
+    return (d.select("application", F.col("e.executionId").alias("execution_id"),
                      F.explode("e.accumUpdates").alias("u"))
-            .select("log_file", "execution_id", F.col("u")[0].alias("accumulator_id"),
+            .select("application", "execution_id", F.col("u")[0].alias("accumulator_id"),
                     F.col("u")[1].alias("value")))
 
 
 def applications(log: DataFrame) -> DataFrame:
-    """(log file -> application name, id) from each log's application-start event."""
+    """(application -> its name, id) from the application-start event."""
     a = (log.filter(F.col("event") == "SparkListenerApplicationStart")
-         .select("log_file", F.from_json("json", "struct<`App Name`:string,`App ID`:string>").alias("e")))
-    return a.select("log_file", F.col("e.`App Name`").alias("app_name"), F.col("e.`App ID`").alias("app_id"))
+         .select("application", F.from_json("json", "struct<`App Name`:string,`App ID`:string>").alias("e")))
+    return a.select("application", F.col("e.`App Name`").alias("app_name"), F.col("e.`App ID`").alias("app_id"))
 
 
 def unpersisted(log: DataFrame) -> DataFrame:
     """RDDs released (unpersist events) with their file order."""
     u = _of(log, "SparkListenerUnpersistRDD", "struct<`RDD ID`:long>")
-    return u.select("log_file", "seq", F.col("e.`RDD ID`").alias("rdd_id"))
+    return u.select("application", "seq", F.col("e.`RDD ID`").alias("rdd_id"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from adlake.model import Options, layer_schema
 from adlake.session import delta_available
@@ -33,40 +33,23 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, fmt: str =
     return reader.load(table_path(root, layer, name))
 
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-MIN_ROW_GROUP_BYTES = 1024 * 1024
-
-
-def row_group_bytes(size_estimate: float, cores: int) -> int:
-    """Parquet row-group size: about one row group per core for small tables, so later
-    scans split across the cluster; the usual 128 MiB once a table is large."""
-    per_core = size_estimate / max(1, cores)
-    return int(max(MIN_ROW_GROUP_BYTES, min(TARGET_FILE_BYTES, per_core)))
-
-
 def write_table(df: DataFrame, root: str, layer: str, name: str, opts: Options | None = None,
-                *, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> str:
-    """Create-only write with the run's format and codec (and optional partitioning).
-
-    Parquet row groups are sized from Catalyst's size estimate (see
-    :func:`row_group_bytes`). A partitioned write is first range-partitioned on the partition columns plus
-    ``cluster_by`` tie-breakers: each task then holds a contiguous key range, so
-    the table gets about one file per partition value instead of one per task and
-    value, and a hot partition value is still split across several tasks. The task
-    count follows Catalyst's size estimate (about 128 MiB of input per task), and
-    is never below the cluster's default parallelism.
-    """
-    from adlake.operators.joins import estimated_size_bytes
+                *, partition_by: tuple[str, ...] = (), observe: tuple[Observation, list[Column]] | None = None) -> str:
+    """Create-only write with the run's format, codec and optional partitioning.
+
+    Rows of a partitioned write are rebalanced by the partition columns: one hash shuffle
+    without a sampling pass, in which adaptive execution splits a hot partition value over
+    several tasks and puts small ones together. ``observe`` collects metrics of the rows
+    while the last stage writes them, whose tasks count once however often they are retried."""
     opts = opts or Options()
     path = table_path(root, layer, name)
-    size = estimated_size_bytes(df, bounded_by_inputs=True)  # optimizer statistics only; runs no job
-    cores = _default_parallelism(df.sparkSession)
     if partition_by:
-        tasks = max(cores, int(min(size, 1 << 62) // TARGET_FILE_BYTES) + 1)
-        df = df.repartitionByRange(tasks, *partition_by, *cluster_by)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if observe:
+        df = df.observe(observe[0], *observe[1])
     writer = df.write.format(_format(opts.fmt)).mode("errorifexists").option("compression", opts.codec)
     if opts.fmt == "parquet":
-        writer = writer.option("parquet.block.size", row_group_bytes(size, cores))
+        writer = writer.option("parquet.block.size", opts.row_group_bytes)
     if opts.fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:
@@ -75,13 +58,6 @@ def write_table(df: DataFrame, root: str, layer: str, name: str, opts: Options |
     return path
 
 
-def _default_parallelism(spark: SparkSession) -> int:
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no SparkContext (Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def csv_to_parquet(spark: SparkSession, source: str, target: str, codec: str = "uncompressed") -> dict:
     """Convert typed impressions CSV to Parquet; returns the target path, the
     conversion time and the written Parquet files and bytes (a distributed listing)."""
@@ -111,6 +87,8 @@ def table_detail(spark: SparkSession, path: str) -> DataFrame:
                     lambda s: s.isNotNull())
     return files.agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(keys)))).alias("partition_columns"),
+        # a directory per combination of partition values; none without partition columns
+        F.count_distinct(F.when(F.size(keys) > 0, F.regexp_extract("path", r"^(.*)/[^/]+$", 1))).alias("partitions"),
         F.count("*").alias("num_files"),
         F.sum("length").alias("size_in_bytes"),
     )

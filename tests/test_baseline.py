@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adlake.model import Options
 from adlake.operators import quality as qc
 from adlake.operators import transforms as tx
-from adlake.operators.equality import equal
+from adlake.operators.equality import compare
 from adlake.plans.pipeline import gold_table, load_report, run_pipeline
 from adlake.sources.csv import read_source_csv
 from conftest import ADS, IMPRESSIONS, write_sources
@@ -48,7 +48,7 @@ def test_totals_counts_ctr_and_timezone(spark, fixture_dir):
     totals = qc.fact_totals(silver["impressions"], silver["user_profiles"]).first()
     assert (totals.impressions, totals.clicks, totals.missing_profile_impressions) == (5, 2, 1)
     assert (totals.first_date, totals.last_date) == ("2017-05-06", "2017-05-07")
-    e = tx.enrich(silver["impressions"], silver["ads"], silver["user_profiles"])
+    e = tx.enrich(silver)
     campaign = {(r.reporting_date, r.campaign_id): (r.impressions, r.clicks, r.ctr)
                 for r in tx.campaign_daily(e).collect()}
     assert campaign == {(dt.date(2017, 5, 6), 100): (2, 1, 0.5), (dt.date(2017, 5, 6), 200): (2, 1, 0.5),
@@ -61,7 +61,7 @@ def test_totals_counts_ctr_and_timezone(spark, fixture_dir):
 
 def test_overall_ctr_is_ratio_of_sums(spark, fixture_dir):
     silver = tx.silver_views(sources(spark, fixture_dir))
-    e = tx.enrich(silver["impressions"], silver["ads"], silver["user_profiles"])
+    e = tx.enrich(silver)
     row = tx.overall_ctr(tx.campaign_daily(e)).first()
     assert (row.impressions, row.clicks, row.ctr) == (5, 2, 0.4)
 
@@ -69,20 +69,20 @@ def test_overall_ctr_is_ratio_of_sums(spark, fixture_dir):
 def test_duplicate_ad_key_rejected(spark, fixture_dir):
     silver = tx.silver_views(sources(spark, fixture_dir))
     ads = silver["ads"].unionByName(silver["ads"].filter("adgroup_id = 10"))
-    with pytest.raises(ValueError, match="duplicate adgroup_id"):
+    with pytest.raises(ValueError, match="repeated values of adgroup_id"):
         qc.validate_dimensions(ads, silver["user_profiles"])
 
 
 def test_bad_click_flag_rejected(spark, tmp_path):
     bad = [IMPRESSIONS[0][:5] + ("2",)] + IMPRESSIONS[1:]
     silver = tx.silver_views(sources(spark, write_sources(tmp_path / "raw", impressions=bad)))
-    with pytest.raises(ValueError, match="invalid required fields"):
+    with pytest.raises(ValueError, match="1 rows break the row rules"):
         qc.validate_impressions(silver["impressions"], silver["ads"], silver["user_profiles"])
 
 
 def test_missing_ad_rejected(spark, tmp_path):
     silver = tx.silver_views(sources(spark, write_sources(tmp_path / "raw", ads=ADS[:1])))
-    with pytest.raises(ValueError, match="unmatched ad"):
+    with pytest.raises(ValueError, match="2 rows have no ad"):
         qc.validate_impressions(silver["impressions"], silver["ads"], silver["user_profiles"])
 
 
@@ -95,17 +95,17 @@ def test_malformed_number_raises_not_null(spark, tmp_path):
 
 def test_wrong_header_raises(spark, tmp_path):
     directory = write_sources(tmp_path / "raw", impressions_header=["wrong", "header", "a", "b", "c", "d"])
-    with pytest.raises(ValueError, match="Unexpected CSV header"):
+    with pytest.raises(ValueError, match="wanted"):
         read_source_csv(spark, directory, "impressions")
 
 
 def test_reconcile_detects_wrong_groups(spark, fixture_dir):
     silver = tx.silver_views(sources(spark, fixture_dir))
-    e = tx.enrich(silver["impressions"], silver["ads"], silver["user_profiles"])
+    e = tx.enrich(silver)
     expected = qc.fact_totals(silver["impressions"], silver["user_profiles"]).first().asDict()
     gold = tx.campaign_daily(e)
     assert qc.validate_gold(gold, expected, "campaign_daily")["rows"] == 3
-    with pytest.raises(ValueError, match="clicks does not reconcile"):
+    with pytest.raises(ValueError, match="3 clicks too many"):
         qc.validate_gold(gold.withColumn("clicks", F.col("clicks") + 1), expected, "campaign_daily")
 
 
@@ -116,10 +116,52 @@ def test_two_rebuilds_equal_and_protected(spark, fixture_dir, tmp_path):
     assert reports[0]["tables"]["gold/campaign_daily"]["rows"] == 3
     assert reports[0]["tables"]["gold/audience_daily"]["rows"] == 4
     for name in ("campaign_daily", "audience_daily"):
-        assert equal(gold_table(spark, roots[0], name), gold_table(spark, roots[1], name))["equal"]
+        assert compare(gold_table(spark, roots[0], name), gold_table(spark, roots[1], name)).equal
     assert load_report(spark, f"{roots[0]}/_report")["status"] == "succeeded"
-    with pytest.raises(Exception):  # create-only tables: a second run into the same root fails
+    kept = load_report(spark, f"{roots[0]}/_report")
+    with pytest.raises(FileExistsError):  # the root belongs to a run; nothing in it changes
         run_pipeline(spark, sources(spark, fixture_dir), roots[0], Options())
+    assert load_report(spark, f"{roots[0]}/_report") == kept
+    assert compare(gold_table(spark, roots[0], "campaign_daily"), gold_table(spark, roots[1], "campaign_daily")).equal
+
+
+@pytest.mark.parametrize("release_fails", [False, True])
+@pytest.mark.parametrize("options", [Options(cache=True), Options(shared_rollup=True)])
+def test_first_error_survives_a_failing_release(spark, fixture_dir, tmp_path, monkeypatch, options, release_fails):
+    from adlake.plans import pipeline
+    released = []
+
+    def between_reports(*_):
+        raise RuntimeError("between reports")
+
+    def release(run, shared, really=pipeline.release):
+        really(run, shared)
+        released.append(shared.storageLevel.useMemory)
+        if release_fails:
+            raise RuntimeError("while releasing")
+
+    monkeypatch.setattr(pipeline.qc, "validate_gold", between_reports)
+    monkeypatch.setattr(pipeline, "release", release)
+    root = str(tmp_path / "run")
+    with pytest.raises(RuntimeError, match="between reports"):
+        run_pipeline(spark, sources(spark, fixture_dir), root, options)
+    report = load_report(spark, f"{root}/_report")
+    assert report["status"] == "failed" and "between reports" in report["error"]
+    assert "gold.audience_daily" not in report["seconds"] and "gold.cache_release" in report["seconds"]
+    assert report.get("cache_cleanup_error") == ("while releasing" if release_fails else None)
+    assert released == [False]
+
+
+def test_report_counts_match_tables(spark, fixture_dir, tmp_path):
+    """What was observed while writing is what the tables hold."""
+    root = str(tmp_path / "run")
+    report = run_pipeline(spark, sources(spark, fixture_dir), root, Options(partition_by=("reporting_date",)),
+                          source_path=str(fixture_dir))
+    for table, facts in report["tables"].items():
+        assert facts["rows"] == spark.read.parquet(f"{root}/{table}").count(), table
+    assert report["checks"]["silver_totals"]["missing_profile_impressions"] == 1
+    assert report["storage"]["source_bytes"] > 0 and report["storage"]["table_bytes"] > 0
+    assert {"python", "java", "master", "driver_memory", "spark"} <= set(report["environment"])
 
 
 def test_failed_run_report_persisted(spark, tmp_path):
@@ -129,7 +171,7 @@ def test_failed_run_report_persisted(spark, tmp_path):
     with pytest.raises(ValueError):
         run_pipeline(spark, sources(spark, directory), root, Options())
     report = load_report(spark, f"{root}/_report")
-    assert report["status"] == "failed" and "invalid required fields" in report["error"]
+    assert report["status"] == "failed" and "break the row rules" in report["error"]
 
 
 def test_malformed_number_raises_even_without_ansi(spark, tmp_path):
@@ -141,6 +183,8 @@ def test_malformed_number_raises_even_without_ansi(spark, tmp_path):
             silver["impressions"].collect()
 
 
-def test_gold_phase_uses_sized_shuffle_partitions(spark, fixture_dir, tmp_path):
-    report = run_pipeline(spark, sources(spark, fixture_dir), str(tmp_path / "run"), Options())
-    assert report["gold_shuffle_partitions"] == spark.sparkContext.defaultParallelism
+def test_gold_phase_sizes_partitions_only_for_a_shuffled_fact(spark, fixture_dir, tmp_path):
+    plain = run_pipeline(spark, sources(spark, fixture_dir), str(tmp_path / "a"), Options())
+    assert "gold_shuffle_partitions" not in plain  # both dimensions are broadcast
+    merged = run_pipeline(spark, sources(spark, fixture_dir), str(tmp_path / "b"), Options(ads_join="merge"))
+    assert merged["gold_shuffle_partitions"] == spark.sparkContext.defaultParallelism

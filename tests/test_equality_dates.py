@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 
 from adlake.functions.dates import reporting_date_column
-from adlake.operators.equality import equal, table_diff
+from adlake.operators.equality import compare, table_diff
 from adlake.session import conf_scope
 
 
@@ -17,35 +17,36 @@ def frame(spark, rows, ddl):
 def test_equal_ignores_order_and_column_order(spark):
     left = frame(spark, [(1, None), (1, None), (2, "x")], "id long, value string")
     right = frame(spark, [("x", 2), (None, 1), (None, 1)], "value string, id long")
-    assert equal(left, right)["equal"]
+    assert compare(left, right).equal
 
 
 def test_multiplicity_matters(spark):
     left = frame(spark, [(1, None), (1, None), (2, "x")], "id long, value string")
     right = frame(spark, [(1, None), (2, "x"), (2, "x")], "id long, value string")
-    result = equal(left, right)
-    assert not result["equal"] and result["left_has_unmatched_rows"] and result["right_has_unmatched_rows"]
+    result = compare(left, right)
+    assert not result.equal and result.left_only and result.right_only and not result.schema_differences
     diff = {(r.side, r.multiplicity, r.id, r.value) for r in table_diff(left, right).collect()}
     assert diff == {("left", 1, 1, None), ("right", 1, 2, "x")}
 
 
 def test_same_totals_wrong_groups(spark):
     ddl = "campaign string, impressions long, clicks long"
-    assert not equal(frame(spark, [("a", 10, 1), ("b", 10, 0)], ddl),
-                     frame(spark, [("a", 10, 0), ("b", 10, 1)], ddl))["equal"]
+    assert not compare(frame(spark, [("a", 10, 1), ("b", 10, 0)], ddl),
+                     frame(spark, [("a", 10, 0), ("b", 10, 1)], ddl)).equal
 
 
 def test_empty_tables(spark):
     empty = frame(spark, [], "id long, value string")
-    assert equal(empty, frame(spark, [], "value string, id long"))["equal"]
-    assert equal(empty, frame(spark, [], "id string, value string"))["reason"] == "schema_mismatch"
-    assert not equal(empty, frame(spark, [(1, None)], "id long, value string"))["equal"]
+    assert compare(empty, frame(spark, [], "value string, id long")).equal
+    other = compare(empty, frame(spark, [], "id string, value string"))
+    assert other.schema_differences == {("id", '"long"'), ("id", '"string"')} and not other.equal
+    assert not compare(empty, frame(spark, [(1, None)], "id long, value string")).equal
 
 
 def test_duplicate_names_rejected(spark):
     df = spark.range(1).selectExpr("id", "id")
-    with pytest.raises(ValueError, match="duplicate"):
-        equal(df, df)
+    with pytest.raises(ValueError, match="more than once"):
+        compare(df, df)
 
 
 CASES = [

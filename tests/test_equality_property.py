@@ -5,7 +5,7 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from adlake.operators.equality import equal, table_diff
+from adlake.operators.equality import compare, table_diff
 
 ROW = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.sampled_from(["a", "b"])))
 ROWS = st.lists(ROW, max_size=8)
@@ -22,4 +22,4 @@ def test_diff_matches_multiset_difference(spark, left, right):
     want = Counter({("left", *k): n for k, n in (Counter(left) - Counter(right)).items()})
     want.update({("right", *k): n for k, n in (Counter(right) - Counter(left)).items()})
     assert got == want
-    assert equal(l, r)["equal"] == (Counter(left) == Counter(right))
+    assert compare(l, r).equal == (Counter(left) == Counter(right))

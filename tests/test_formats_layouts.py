@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adlake.model import TYPED_IMPRESSIONS, Options
 from adlake.operators import transforms as tx
-from adlake.operators.equality import equal
+from adlake.operators.equality import compare
 from adlake.operators.reads import DAY_SECONDS, day_start_epoch, format_query, silver_query
 from adlake.operators.storage import codec_audit, storage_totals
 from adlake.plans.inspect import plan_text
@@ -33,10 +33,10 @@ def test_csv_parquet_round_trip(spark, tmp_path):
     frame = spark.createDataFrame(typed_rows(), TYPED_IMPRESSIONS)
     csv_path = write_typed_csv(frame, str(tmp_path / "typed.csv"))
     from_csv = read_impressions_csv(spark, csv_path)
-    assert equal(from_csv, frame)["equal"]  # quotes, duplicates, typed nulls survive
+    assert compare(from_csv, frame).equal  # quotes, duplicates, typed nulls survive
     result = csv_to_parquet(spark, csv_path, str(tmp_path / "parquet"))
     from_parquet = spark.read.parquet(result["path"])
-    assert equal(from_parquet, frame)["equal"]
+    assert compare(from_parquet, frame).equal
     for fmt_frame in (from_csv, from_parquet):
         one_day = format_query(fmt_frame, "one_day", DAY_START).agg(F.sum("impressions"), F.sum("clicks")).first()
         assert tuple(one_day) == (3, 2)
@@ -70,7 +70,7 @@ def test_partitioned_rebuild_equal_and_pruned(spark, tmp_path):
     run_pipeline(spark, read, plain, Options(codec="zstd"))
     report = run_pipeline(spark, read, parted, Options(codec="zstd", partition_by=("reporting_date",)))
     for name in ("campaign_daily", "audience_daily"):
-        assert equal(gold_table(spark, plain, name), gold_table(spark, parted, name))["equal"]
+        assert compare(gold_table(spark, plain, name), gold_table(spark, parted, name)).equal
     imp = spark.read.parquet(f"{parted}/silver/impressions")
     one_day = silver_query(imp, "one_day", __import__("datetime").date(2017, 5, 8)).collect()
     assert sum(r.impressions for r in one_day) == 4 and sum(r.clicks for r in one_day) == 2
@@ -91,7 +91,7 @@ def test_csv_table_format_gives_same_gold(spark, tmp_path):
     run_pipeline(spark, read, a, Options())
     run_pipeline(spark, read, b, Options(fmt="csv"))
     for name in ("campaign_daily", "audience_daily"):
-        assert equal(gold_table(spark, a, name), gold_table(spark, b, name, Options(fmt="csv")))["equal"]
+        assert compare(gold_table(spark, a, name), gold_table(spark, b, name, Options(fmt="csv"))).equal
 
 
 def test_delta_requires_package(spark, tmp_path):

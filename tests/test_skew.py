@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adlake.model import Options
 from adlake.operators import quality as qc
 from adlake.operators import transforms as tx
-from adlake.operators.equality import equal
+from adlake.operators.equality import compare
 from adlake.plans.inspect import plan_text
 from adlake.session import conf_scope
 from adlake.sources.adapter import bronze_views
@@ -42,10 +42,10 @@ def test_hot_user_is_a_third_of_rows(spark):
 
 def test_skewed_shuffle_join_split_and_exact(spark):
     s = skewed_silver(spark)
-    control = tx.audience_daily(tx.enrich(s["impressions"], s["ads"], s["user_profiles"]))
+    control = tx.audience_daily(tx.enrich(s))
     expected = {tuple(r) for r in control.collect()}
     with conf_scope(spark, SKEW_CONF):
-        e = tx.enrich(s["impressions"], s["ads"], s["user_profiles"], Options(profile_join="merge"))
+        e = tx.enrich(s, Options(profile_join="merge"))
         report = tx.audience_daily(e)
         rows = report.collect()
         text = plan_text(report)
@@ -54,10 +54,39 @@ def test_skewed_shuffle_join_split_and_exact(spark):
     assert {tuple(r) for r in rows} == expected and len(rows) == len(expected)
 
 
+def test_hot_key_is_aggregated_before_the_checks_join(spark):
+    """Every join of the checks is fed by aggregates of the fact's keys: one row per key, however
+    hot, and one row per key and map task in the shuffle before."""
+    s = skewed_silver(spark)
+    with conf_scope(spark, SKEW_CONF):
+        for frame in (qc.fact_checks(*s.values()), qc.fact_totals(s["impressions"], s["user_profiles"]), qc.key_checks(*s.values())):
+            lines = plan_text(frame).split("== Initial Plan ==")[-1].splitlines()
+            joins = [k for k, line in enumerate(lines) if "SortMergeJoin" in line]
+            assert joins
+            for k in joins:  # below the join: sort, final aggregate, exchange, partial aggregate
+                below = [line.strip(" :+-|") for line in lines[k + 1:k + 8]]
+                names = [line.split("(")[0].split(" ")[0] for line in below]
+                assert names[:2] == ["Sort", "HashAggregate"] and "partial_count" in "".join(below) and "Exchange" in names
+
+
 def test_skewed_fact_checks_and_diff(spark):
     s = skewed_silver(spark)
     with conf_scope(spark, SKEW_CONF):
         checks = qc.fact_checks(s["impressions"], s["ads"], s["user_profiles"]).first()
-        same = equal(s["impressions"].drop("event_timestamp"), s["impressions"].drop("event_timestamp"))
+        same = compare(s["impressions"].drop("event_timestamp"), s["impressions"].drop("event_timestamp"))
+    lacking = s["impressions"].join(s["user_profiles"].select("user_id"), "user_id", "left_anti").count()
     assert checks.invalid_rows == 0 and checks.impressions == s["impressions"].count()
-    assert same["equal"]
+    assert checks.missing_profile_impressions == lacking and checks.unmatched_ad_impressions == 0
+    assert same.equal
+
+
+def test_anti_join_splits_a_hot_unmatched_key(spark, tmp_path):
+    """A skewed partition is divided by the map tasks that filled it. The test table is one
+    split, hence one map task, so its rows are written to several files first."""
+    s = skewed_silver(spark)
+    s["impressions"].repartition(8).write.parquet(str(tmp_path / "fact"))
+    with conf_scope(spark, SKEW_CONF):
+        found = qc.unmatched(spark.read.parquet(str(tmp_path / "fact")), s["user_profiles"], "user_id")
+        found.collect()
+        text = plan_text(found)
+    assert "skew=true" in text

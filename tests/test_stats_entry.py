@@ -48,12 +48,13 @@ def test_entry_contract(spark):
     assert set(oracle) <= set(queries) and len(queries) >= 60
 
 
-def _report(run_id="a", status="succeeded", sources=None, tables=("gold/x",), codec="snappy", spark_v="4.1.2"):
+def _report(run_id="a", status="succeeded", sources=None, tables=("gold/x",), codec="snappy", spark_v="4.1.2", python="3.13"):
     import json
     return json.dumps({"run_id": run_id, "status": status,
                        "sources": sources or {"raw_sample.csv": {"rows": 5, "row_hash_sum": "123"}},
                        "tables": {t: {"rows": 1} for t in tables},
-                       "environment": {"spark": spark_v, "spark_sql_settings": {
+                       "environment": {"spark": spark_v, "python": python, "java": "17", "master": "local[8]",
+                                       "driver_memory": "8g", "spark_sql_settings": {
                            "spark.sql.parquet.compression.codec": codec, "spark.sql.shuffle.partitions": "200"}}})
 
 
@@ -68,7 +69,7 @@ def test_run_comparability_rules(spark):
     ref = _rows(spark, _report())
     assert validate_comparable(ref, _rows(spark, _report(run_id="b"))) == {}
     for bad in (_report(status="failed"), _report(sources={"raw_sample.csv": {"rows": 6, "row_hash_sum": "1"}}),
-                _report(tables=("gold/x", "gold/y")), _report(spark_v="4.0.1"), _report(codec="zstd")):
+                _report(tables=("gold/x", "gold/y")), _report(spark_v="4.0.1"), _report(python="3.12"), _report(codec="zstd")):
         with pytest.raises(ValueError, match="not comparable"):
             validate_comparable(ref, _rows(spark, bad))
     diff = validate_comparable(ref, _rows(spark, _report(codec="zstd")),
