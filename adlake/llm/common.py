@@ -28,6 +28,13 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def refuse_clashes(carry: tuple[str, ...], taken: tuple[str, ...]) -> None:
+    """Carried columns come under their own names, which the result's or inner ones may not repeat."""
+    bad = sorted({c.lower() for c in carry} & set(taken))
+    if bad:
+        raise ValueError(f"cannot carry columns named {bad}")
+
+
 def text_column(df: DataFrame, name: str = "text"):
     """The column as a string, null counted as empty."""
     return F.coalesce(df[name].cast("string"), F.lit(""))

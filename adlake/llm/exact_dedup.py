@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adlake.llm.common import fresh, materialize, text_column
+from adlake.llm.common import fresh, materialize, refuse_clashes, text_column
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 RESULT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -32,9 +32,7 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every other id. Rows that repeat one id and text form a group like any other: exactly one
     of them is kept. An empty table gives an empty result.
     ``carry`` columns come under their own names, so they may not be named like RESULT."""
-    bad = {c.lower() for c in carry} & set(RESULT)
-    if bad:
-        raise ValueError(f"cannot carry columns named like results: {sorted(bad)}")
+    refuse_clashes(carry, (*RESULT, "__norm", "__h", "__uid", "__first"))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), normalised(text_column(docs, text_col)).alias("__norm"),
                        *[docs[c] for c in carry])
     rows = rows.withColumn("__h", F.unhex(F.md5("__norm")))
@@ -57,10 +55,7 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns, whatever those are named."""
-    inner = docs
-    names = {}
-    for i, c in enumerate(docs.columns):
-        names[c] = fresh(docs, f"__carry_{i}")
+    names = {c: fresh(docs, f"__carry_{i}") for i, c in enumerate(docs.columns)}
     inner = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in names.items()])
     marked = mark_duplicates(inner, names[id_col], names[text_col], tuple(names.values()))
     return marked.filter("kept").select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from adlake.llm.common import fresh, materialize, slices, text_column
+from adlake.llm.common import fresh, materialize, refuse_clashes, slices, text_column
 from adlake.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -273,9 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without words have fingerprint zero. Null ids rank after all others, and a component of
     null ids alone has a null component_id. Repeated rows belong to one component. An
     empty table gives an empty result. ``carry`` columns may not have the result's names."""
-    bad = {c.lower() for c in carry} & {"doc_id", "fingerprint", "component_id", "kept"}
-    if bad:
-        raise ValueError(f"cannot carry columns named like results: {sorted(bad)}")
+    refuse_clashes(carry, ("doc_id", "fingerprint", "component_id", "kept", "__copy", "__x", "__uid", "first"))
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("__copy"), *[docs[f"`{c}`"] for c in carry])
     rows = fingerprints(source, "__copy", shingle, "__x")
     rows = materialize(rows.withColumn("__uid", F.monotonically_increasing_id()), "simhash-rows")

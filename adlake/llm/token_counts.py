@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from adlake.llm.common import slices, text_column
+from adlake.llm.common import materialize, slices, text_column
 from adlake.llm.tokens import VOCABULARY, encoder
 from adlake.session import scratch_path
 
@@ -33,8 +33,8 @@ def write_streams(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """Write the documents' ids as token streams under ``path``; return (stream, document, doc_id).
 
     The numbering is that of the tasks that read ``docs`` and of the rows in a task, so
-    ``docs`` must deal its rows the same way twice, as a scan of files does; ``count_tokens`` fails
-    if it didn't. Ids of the vocabulary must stay below 65536, and the end id must not occur in texts."""
+    ``docs`` must deal its rows the same way twice in a row, as a scan of files does; ``count_tokens``
+    fails if it didn't. Ids of the vocabulary must stay below 65536, and the end id must not occur in texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, held = encoder(names), bytearray()
         for part in slices(batches, "text"):
@@ -52,8 +52,9 @@ def write_streams(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     texts = docs.select(text_column(docs, text_col).alias("text")).mapInArrow(run, "value binary")
     texts.select(F.col("value").cast("string")).write.option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
     number = F.monotonically_increasing_id()
-    return docs.select(F.shiftright(number, 33).cast("int").alias("stream"),
+    rows = docs.select(F.shiftright(number, 33).cast("int").alias("stream"),
                        number.bitwiseAND(F.lit((1 << 33) - 1)).alias("document"), docs[id_col].cast("long").alias("doc_id"))
+    return materialize(rows, "token-documents")
 
 
 def block_lengths(ids: np.ndarray, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> tuple[np.ndarray, int]:

@@ -15,6 +15,8 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from adlake.llm.common import refuse_clashes
+
 #: More rules than this (about 100 MB as a trie) go the way of judge_by_join.
 MAX_TRIE_RULES = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -83,7 +85,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "url",
 
     Null or empty URLs have an empty host and path, which only a rule without a host can fit.
     Repeated rows are judged one by one; an empty table gives an empty result. Other columns
-    of ``pages`` are not read."""
+    of ``pages`` are not read; ``carry`` columns may not have the result's names."""
+    refuse_clashes(carry, ("host", "path", "rule", "verdict", "__d"))
     if len(rules) > MAX_TRIE_RULES:
         table = pages.sparkSession.createDataFrame(rules, "rule string, verdict string")
         return judge_by_join(pages, table, url_col, carry, default)
@@ -103,6 +106,7 @@ def judge_by_join(pages: DataFrame, rules: DataFrame, url_col: str = "url", carr
                   default: str = "allow") -> DataFrame:
     """``judge`` for any number of rules: each distinct (host, path) meets the rules of its
     host suffixes in an equi-join, and the best rule comes back to the pages by join."""
+    refuse_clashes(carry, ("host", "path", "rule", "verdict", "__best"))
     host, path = host_and_path(pages[url_col])
     rows = pages.select(*[pages[c] for c in carry], host.alias("host"), path.alias("path"))
     labels = F.split("host", r"\.")
