@@ -92,7 +92,7 @@ def _row(value: bytes) -> pa.RecordBatch:
 
 def _sink(rows: DataFrame, path: str, end: str) -> None:
     (rows.select(F.col("value").cast("string")).write.option("lineSep", end).option("compression", "gzip")
-     .option("maxRecordsPerFile", 1).text(path))
+     .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).text(path))
 
 
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
