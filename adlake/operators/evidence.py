@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 from adlake.functions.plan_nodes import plan_nodes
 from adlake.model import JOIN_OPERATORS
 from adlake.operators.stats import size_distribution
+from adlake.plans.inspect import HASH_EXCHANGE_LINE, JOIN_LINE
 from adlake.sources import eventlog as ev
 
+# Fixed names of the task counters that run reports carry.
 TASK_COUNTERS = ("executor_run_ms", "executor_cpu_ns", "input_bytes", "input_records", "shuffle_read_bytes",
                  "shuffle_write_bytes", "memory_spill_bytes", "disk_spill_bytes")
 STAGE_KEY = ["application", "stage_id", "attempt_id"]
@@ -74,12 +76,10 @@ def nodes_of(log: DataFrame, groups: tuple[str, ...] | None = None) -> DataFrame
 
 
 def join_nodes(nodes: DataFrame) -> DataFrame:
-    """Physical join nodes with their first key and join type."""
+    """Physical equi-join nodes with their first key and join type, read from the node's text."""
+    part = {name: F.regexp_extract("simple_string", JOIN_LINE, k) for k, name in ((2, "key"), (3, "join_type"))}
     return nodes.filter(F.col("node_name").isin(*JOIN_OPERATORS)).select(
-        "application", "execution_id", "node_path", F.col("node_name").alias("operator"),
-        F.regexp_extract("simple_string", r"\[([a-z_]+)#", 1).alias("key"),
-        F.regexp_extract("simple_string", r"\b(LeftOuter|Inner|LeftAnti|LeftSemi|RightOuter|FullOuter|Cross)\b", 1)
-        .alias("join_type"))
+        "application", "execution_id", "node_path", F.col("node_name").alias("operator"), *[c.alias(n) for n, c in part.items()])
 
 
 def join_strategies(log: DataFrame, groups: tuple[str, ...] = GOLD_GROUPS) -> DataFrame:
@@ -97,11 +97,11 @@ def join_strategies(log: DataFrame, groups: tuple[str, ...] = GOLD_GROUPS) -> Da
 def shuffle_exchanges(log: DataFrame, groups: tuple[str, ...] = GOLD_GROUPS) -> DataFrame:
     """Initial hash-partition counts and AQE shuffle readers per execution."""
     nodes = nodes_of(log, groups)
-    exch = nodes.filter((F.col("node_name") == "Exchange") & F.col("simple_string").contains("hashpartitioning("))
+    partitions = F.regexp_extract("simple_string", HASH_EXCHANGE_LINE, 1)
+    exchanges = nodes.filter(F.col("node_name") == "Exchange").withColumn("n", partitions).filter("n != ''")
     reads = nodes.filter(F.col("node_name") == "AQEShuffleRead")
-    e = exch.groupBy("application", "execution_id").agg(
-        F.array_sort(F.collect_list(F.regexp_extract("simple_string", r"hashpartitioning\(.*?,\s*(\d+)\)", 1)
-                                    .cast("int"))).alias("initial_partitions"))
+    e = exchanges.groupBy("application", "execution_id").agg(
+        F.array_sort(F.collect_list(F.col("n").cast("int"))).alias("initial_partitions"))
     r = reads.groupBy("application", "execution_id").agg(
         F.count(F.lit(1)).alias("aqe_shuffle_reads"),
         F.max(F.lower("simple_string").contains("coalesced")).alias("coalesced"))

@@ -1 +1 @@
-"""Plans: the full rebuild, variant presets, plan inspection, recorder, registered queries and oracles."""
+"""Plans: the full rebuild, variant presets, plan inspection, run comparison, registered queries and oracles."""

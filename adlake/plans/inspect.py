@@ -1,8 +1,9 @@
 """Read physical plans through the public ``explain`` text (no JVM handles).
 
-After an action on the same DataFrame (``collect``; not a write, which wraps the
-plan in a new execution), ``explain`` shows the final adaptive plan
-(``isFinalPlan=true``), which is what actually ran.
+After an action on the same DataFrame (``collect``; not a write, which wraps the plan in a
+new execution), ``explain`` shows the final adaptive plan (``isFinalPlan=true``), which is what
+ran. Spark prints an equi-join as ``Operator [left keys], [right keys], JoinType, ...`` and a shuffle as
+``Exchange partitioning(..., n), ORIGIN, [plan_id=..]``; the patterns below read those two forms.
 """
 from __future__ import annotations
 
@@ -12,9 +13,10 @@ import re
 
 from pyspark.sql import DataFrame
 
-from adlake.model import JOIN_OPERATORS
-
-_HASH = re.compile(r"hashpartitioning\(.*?,\s*(\d+)\)")
+#: Groups: operator, name of the first left key, join type.
+JOIN_LINE = r"(\w+Join)(?:\(skew=true\))? \[(\w+)#[^\]]*\], \[[^\]]*\], (\w+)"
+#: Group: the number of partitions of a hash exchange, the last argument of its partitioning.
+HASH_EXCHANGE_LINE = r"Exchange hashpartitioning\(.*?(\d+)\), [A-Z_]+, \[plan_id="
 
 
 def plan_text(df: DataFrame, mode: str = "simple") -> str:
@@ -25,24 +27,14 @@ def plan_text(df: DataFrame, mode: str = "simple") -> str:
 
 
 def join_operators(text: str) -> list[dict]:
-    """(operator, first key, join type) for each physical join in plan text."""
-    out = []
-    for line in text.splitlines():
-        m = re.search(r"\b(" + "|".join(JOIN_OPERATORS) + r")\b\s*(.*)", line)
-        if not m or "Exchange" in line.split(m.group(1))[0]:
-            continue
-        key = re.search(r"\[([a-zA-Z_]+)#", m.group(2))
-        jt = re.search(r"\b(LeftOuter|Inner|LeftAnti|LeftSemi|RightOuter|FullOuter|Cross)\b", m.group(2))
-        out.append({"operator": m.group(1), "key": key.group(1) if key else None,
-                    "join_type": jt.group(1) if jt else None})
-    return out
+    """(operator, first key, join type) of each physical join in plan text."""
+    return [dict(zip(("operator", "key", "join_type"), m.groups())) for m in re.finditer(JOIN_LINE, text)]
 
 
 def initial_partitions(text: str) -> list[int]:
-    """Partition counts of every ``Exchange hashpartitioning(.., n)``."""
-    return [int(m.group(1)) for line in text.splitlines() if "Exchange" in line
-            for m in [_HASH.search(line)] if m]
+    """Partition counts of every hash exchange."""
+    return [int(n) for n in re.findall(HASH_EXCHANGE_LINE, text)]
 
 
 def has_node(text: str, name: str) -> bool:
-    return re.search(r"\b" + re.escape(name) + r"\b", text) is not None
+    return name in re.findall(r"\w+", text)

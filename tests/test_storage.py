@@ -81,3 +81,15 @@ def test_table_detail_and_storage_totals_match_a_file_walk(spark, tmp_path):
         assert (totals[table].parquet_files, totals[table].parquet_bytes) == (n, size)
     days = silver["impressions"].select("reporting_date").distinct().count()
     assert walked["impressions"][0] <= days + spark.sparkContext.defaultParallelism  # ~one file per day
+
+
+def test_scratch_tables_can_be_released(spark, tmp_path):
+    from adlake import session
+    mine = session._SCRATCH.pop(spark.sparkContext.applicationId, [])  # other tests' tables stay
+    try:
+        path = session.scratch_path(spark, "released")
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path.removeprefix("file:")) and session.release_scratch(spark) == 1
+        assert not os.path.exists(path.removeprefix("file:")) and session.release_scratch(spark) == 0
+    finally:
+        session._SCRATCH[spark.sparkContext.applicationId] = mine
