@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -56,6 +56,8 @@ class Tree(HTMLParser):
         self.text: list[list[str] | None] = [None]
         self.links, self.controls = [0], [0]
         self.open = [("#root", 0)]
+        self.counts = Counter()  # of open elements, by name
+        self.hidden = 0
         self.leaf = -1
         self.feed(_CUT_TAG.sub("", html))
         self.close()
@@ -69,6 +71,18 @@ class Tree(HTMLParser):
         self.controls.append(0)
         return len(self.tag) - 1
 
+    def _push(self, tag: str, node: int) -> None:
+        self.open.append((tag, node))
+        self.counts[tag] += 1
+        self.hidden += tag in HIDDEN
+
+    def _cut(self, k: int) -> None:
+        """Close the elements from place k on."""
+        for tag, _ in self.open[k:]:
+            self.counts[tag] -= 1
+            self.hidden -= tag in HIDDEN
+        del self.open[k:]
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CONTROLS:
             self.controls[self.open[-1][1]] += 1
@@ -76,7 +90,7 @@ class Tree(HTMLParser):
             if tag == "br" and self.leaf >= 0:
                 self.text[self.leaf].append(" ")
             if tag not in VOID:
-                self.open.append((tag, self.open[-1][1]))
+                self._push(tag, self.open[-1][1])
             return
         self.leaf = -1
         if tag in VOID:
@@ -85,12 +99,12 @@ class Tree(HTMLParser):
         for k in range(len(self.open) - 1, 0, -1):
             name = self.open[k][0]
             if name in closed or name == "p":
-                del self.open[k:]
+                self._cut(k)
                 break
             if name in BOUNDARY or name not in INLINE and not closed:
                 break
         words = (w for key, value in attrs if key in ("class", "id", "role", "itemprop") and value for w in _TOKEN.findall(value))
-        self.open.append((tag, self._node(tag, tuple(w.lower() for w in words))))
+        self._push(tag, self._node(tag, tuple(w.lower() for w in words)))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # in HTML the slash means nothing
@@ -98,15 +112,17 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self.leaf = -1
+        if not self.counts[tag]:
+            return
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] == tag:
-                del self.open[k:]
+                self._cut(k)
                 return
             if tag in INLINE and self.open[k][0] not in INLINE:
                 return
 
     def handle_data(self, data: str) -> None:
-        if any(name in HIDDEN for name, _ in self.open):
+        if self.hidden:
             return
         if self.leaf < 0:
             if not data.strip():

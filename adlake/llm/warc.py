@@ -10,8 +10,9 @@ them back.
 Archives are made by Spark's text sink, one row per archive of about ARCHIVE_BYTES, the
 record end as line end, gzip as compression. So tasks write through the commit protocol to
 any file system Spark knows, and no archive is larger than ARCHIVE_BYTES and one record,
-which bounds what a reading task holds. Only digests that occur more than once are joined
-to the records, never all payloads.
+which bounds what a reading task holds. The table of digests that occur more than once is
+joined to the records: broadcast while it is small, beyond that by a shuffle of the records,
+which adaptive execution splits at hot digests.
 """
 from __future__ import annotations
 

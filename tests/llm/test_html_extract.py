@@ -30,6 +30,15 @@ def test_blocks():
     assert leaves("<p>&am;&quot;&#233;&#x1F642;&amp</p>") == ['&am;"é🙂&']
 
 
+def test_deep_and_unbalanced_pages_take_linear_time():
+    import time
+    started = time.perf_counter()
+    assert leaves("<div>x" * 30_000) == ["x"] * 30_000
+    assert leaves("<div>" * 30_000 + "</p>" * 30_000 + "y") == ["y"]
+    assert leaves("<b>" * 30_000 + "</i>" * 30_000 + "z") == ["z"]
+    assert time.perf_counter() - started < 30
+
+
 def test_decoding_is_the_best_consistent_choice():
     rng = random.Random(1)
     for _ in range(200):
