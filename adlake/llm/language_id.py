@@ -200,6 +200,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def last_place(count: int, sample_docs: int) -> int:
+    """Of hashes in 0..2^63-1, the largest that is sampled so that about ``sample_docs`` of ``count`` are."""
+    return min(1 << 63, (sample_docs << 63) // count) - 1
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Train on the bounded sample; None if no document has a usable label and text.
@@ -211,15 +216,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return None
-    place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    share = F.create_map(*itertools.chain.from_iterable(
-        (F.lit(r["lang"]), F.lit(int(min(1.0, sample_docs / r["count"]) * 1_000_000))) for r in counts))
+    place = F.shiftrightunsigned(F.xxhash64("id"), 1)
+    last = F.create_map(*itertools.chain.from_iterable(
+        (F.lit(r["lang"]), F.lit(last_place(r["count"], sample_docs)).cast("long")) for r in counts))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     total = F.size("words")
     stretches = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_WORDS // STRETCH - 1)), lambda k: F.slice(
         "words", (k * F.greatest(total - STRETCH, F.lit(0)) / max(1, SAMPLE_WORDS // STRETCH - 1)).cast("int") + 1, F.lit(STRETCH)))
     sampled = F.when(total <= SAMPLE_WORDS, F.col("words")).otherwise(F.flatten(stretches))
-    sample = rows.filter(place < share[F.col("lang")]).withColumn("words", words).select(
+    sample = rows.filter(place <= last[F.col("lang")]).withColumn("words", words).select(
         place.alias("place"), F.xxhash64("id").alias("h"), "lang", F.array_join(sampled, " ").alias("text"))
     taken = sorted((r["place"], r["h"], r["lang"], r["text"]) for r in sample.collect())
     return train([r[3] for r in taken], [r[2] for r in taken]) if taken else None

@@ -122,3 +122,18 @@ def test_sample_is_bounded(spark, monkeypatch):
     fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=20)
     texts, _ = taken[0]
     assert 0 < len(texts) < 60 and max(len(t.split()) for t in texts) <= lang.SAMPLE_WORDS
+
+
+@pytest.mark.parametrize("count", [1, 499, 501, 400_000_000, 500_001_000, 10 ** 13])
+def test_sample_share_at_every_count(count):
+    share = (lang.last_place(count, 500) + 1) / 2 ** 63
+    assert share * count == pytest.approx(min(count, 500), rel=1e-6)
+
+
+def test_sample_of_less_than_a_millionth(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    taken = []
+    monkeypatch.setattr(lang, "train", lambda texts, names: taken.append(texts))
+    docs = spark.range(20_000_000).select(F.col("id").alias("doc_id"), F.lit("ba be").alias("text"), F.lit("aa").alias("lang"))
+    fit(docs, sample_docs=10)
+    assert taken and 1 <= len(taken[0]) <= 40
