@@ -32,10 +32,18 @@ from adlake.llm.html_templates import MAIN_MARK, template_page
 TRAINING_PAGES, SEED = 700, 9
 TREES, DEPTH, RATE, BINS, LEAF_WEIGHT = 60, 4, 0.2, 48, 1.0
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr".split())
+                   "samp small span strike strong sub sup time tt u var wbr "
+                   # formulas are part of the text around them
+                   "math semantics annotation annotation-xml mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded "
+                   "mphantom menclose mfenced msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr "
+                   "mlabeledtr mtd maction".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Text in these is never a page's text.
-HIDDEN = frozenset("script style template noscript head title iframe object svg math".split())
+HIDDEN = frozenset("script style template head title iframe svg".split())
+#: Start tags that may stand in a head; any other closes an open one, as text does.
+IN_HEAD = frozenset("base link meta script style template title noscript".split())
+#: Blocks that may stand in a paragraph.
+PHRASING = frozenset("noscript object".split())
 CONTROLS = frozenset("input select button textarea option".split())
 #: A start tag on the left closes an open element on the right, looked for up to a boundary.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -83,7 +91,18 @@ class Tree(HTMLParser):
             self.hidden -= tag in HIDDEN
         del self.open[k:]
 
+    def _end_head(self) -> None:
+        """Close an open head that what comes next can't stand in, whose end tag was left out."""
+        k = len(self.open) - 1
+        while self.open[k][0] == "noscript":
+            k -= 1
+        while self.open[k][0] == "head":
+            self._cut(k)
+            k -= 1
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.counts["head"] and tag not in IN_HEAD:
+            self._end_head()
         if tag in CONTROLS:
             self.controls[self.open[-1][1]] += 1
         if tag in INLINE:
@@ -96,7 +115,7 @@ class Tree(HTMLParser):
         if tag in VOID:
             return
         closed = CLOSES.get(tag, frozenset())
-        for k in range(len(self.open) - 1, 0, -1):
+        for k in range(0 if tag in PHRASING else len(self.open) - 1, 0, -1):
             name = self.open[k][0]
             if name in closed or name == "p":
                 self._cut(k)
@@ -122,6 +141,8 @@ class Tree(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.counts["head"] and data.strip():
+            self._end_head()
         if self.hidden:
             return
         if self.leaf < 0:

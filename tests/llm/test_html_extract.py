@@ -99,3 +99,25 @@ def test_edges(spark):
     assert by_id[1].text == by_id[2].text == by_id[3].text == "" and by_id[2].url is None
     assert len(by_id[4].text) > 400_000 and by_id[None].text.startswith("Head & line\n")
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize("page", ["<html><head><title>T</title><p>a<p>b", "<head><meta charset=x><title>T</title>a<p>b", "<head>a<div>b",
+                                  "<head><style>p{}</style><script>x</script><b>a</b><p>b", "<head><noscript><p>a</noscript><p>b",
+                                  "<head><noscript><link href=x></noscript><template><p>x</p></template><title>T</title></head><p>a<p>b",
+                                  "<head> <title>T</title> <body><p>a<p>b"])
+def test_head_without_its_end_tag(page):
+    assert leaves(page) == ["a", "b"]
+
+
+def test_formulas_and_fallback_text():
+    assert leaves("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p>") == ["Let x=2 be."]
+    assert leaves("<p>a<object data=u><p>b</p></object>c</p><noscript>d</noscript>") == ["a", "b", "c", "d"]
+
+
+def test_article_after_an_open_head(extract):
+    body = PAGE.format(extra="<p>Where <math><mi>x</mi></math> is, there is more of it.</p>")
+    want = "Head & line\nFirst paragraph, with some words in it. And more.\nShort.\nWhere x is, there is more of it."
+    assert extract([body, body.replace("</head><body>", "")]) == [want, want]
+    article = "".join(f"<p>Paragraph {k} of the article, with some words in it. And some more of them.</p>" for k in range(6))
+    found = extract(["<html><head><title>T</title>" + article, "<html><head><title>T</title></head><body>" + article])
+    assert found[0] == found[1] and found[0].count("\n") >= 4  # the trees decide on the first one
