@@ -5,11 +5,12 @@ n-grams (its edges marked) are hashed to rows of an embedding table; a text's ve
 mean of its rows, and a linear softmax gives the language. Table and softmax are trained
 together by stochastic gradient descent in numpy.
 
-Training takes a bounded, deterministic sample: about SAMPLE_DOCS documents per language (at
-most MAX_LANGUAGES, the most frequent ones), and of each up to SAMPLE_WORDS words in stretches
-spread over the whole text. One in five sampled documents is not trained on and calibrates
-the scores (temperature) and the rejection level: REJECT_RATE of correctly recognised
-calibration documents score below it.
+Every label of the table is learned. Training takes a bounded, deterministic sample: about
+SAMPLE_DOCS documents per language, and of each up to SAMPLE_WORDS words in stretches spread
+over the whole text. With many languages there are fewer documents of each, then fewer
+stretches, but never fewer than LEAST_DOCS and one (or all, if a language has less). One in five sampled documents of
+a language is not trained on and calibrates the scores (temperature) and the rejection level:
+REJECT_RATE of correctly recognised calibration documents score below it.
 
 Prediction is one pass over whole texts without a shuffle. The fitted table (at most
 2^BUCKET_BITS rows of DIM numbers, 16 MB) is broadcast: its size is fixed.
@@ -26,7 +27,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adlake.llm.common import fresh, slices, text_column
 
-SAMPLE_DOCS, SAMPLE_WORDS, STRETCH, MAX_LANGUAGES = 500, 400, 40, 64
+SAMPLE_DOCS, SAMPLE_WORDS, STRETCH = 500, 400, 40
+#: Documents of all languages together, unless LEAST_DOCS of each are more.
+SAMPLE_TOTAL, LEAST_DOCS = 16_000, 40
 BUCKET_BITS, DIM, ORDERS = 18, 16, (2, 3, 4)
 EPOCHS, RATE, TABLE_RATE, SEED = 5, 0.5, 5.0, 20
 #: Rejection never goes beyond this part of the way from an even guess to certainty.
@@ -142,15 +145,18 @@ class Model:
 
 def train(texts: list[str], languages: list[str], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
     """Fit on (text, language) pairs: half the stretches whole, the rest cut short, so that
-    short texts are recognised too. Then calibrate on every fifth text."""
+    short texts are recognised too. Then calibrate on every fifth text of each language."""
     names = sorted(set(languages))
     label = {name: k for k, name in enumerate(names)}
     rng = np.random.default_rng(seed)
     table = np.zeros((1 << BUCKET_BITS, DIM))
     weights, bias = rng.normal(0, 1 / np.sqrt(DIM), (DIM, len(names))), np.zeros(len(names))
-    examples = []
+    examples, seen, check = [], dict.fromkeys(names, 0), []
     for k, text in enumerate(texts):
-        if k % 5 and len(names) > 1:
+        seen[languages[k]] += 1
+        if seen[languages[k]] % 5 == 0:
+            check.append(k)
+        elif len(names) > 1:
             words = text.split()
             for at in range(0, len(words), STRETCH):
                 stretch = words[at:at + STRETCH]
@@ -158,7 +164,8 @@ def train(texts: list[str], languages: list[str], epochs: int = EPOCHS, rate: fl
                     stretch = stretch[:rng.integers(1, len(stretch) + 1)]
                 rows, _ = subwords([" ".join(stretch)])
                 if len(rows):
-                    examples.append((np.unique(rows, return_counts=True), len(rows), label[languages[k]]))
+                    found, times = np.unique(rows, return_counts=True)
+                    examples.append(((found.astype(np.int32), times.astype(np.int32)), len(rows), label[languages[k]]))
     steps = max(1, epochs * len(examples))
     for step, e in enumerate(itertools.chain.from_iterable(rng.permutation(len(examples)) for _ in range(epochs))):
         (rows, counts), n, y = examples[e]
@@ -171,7 +178,7 @@ def train(texts: list[str], languages: list[str], epochs: int = EPOCHS, rate: fl
         weights -= lr * np.outer(hidden, error)
         bias -= 0.01 * lr * error
     model = Model(names, table, weights, bias)
-    check = [k for k in range(0, len(texts), 5)] or list(range(len(texts)))
+    check = check or list(range(len(texts)))
     calibrate(model, [texts[k] for k in check], np.array([label[languages[k]] for k in check]))
     return model
 
@@ -205,26 +212,33 @@ def last_place(count: int, sample_docs: int) -> int:
     return min(1 << 63, (sample_docs << 63) // count) - 1
 
 
+def sample_sizes(languages: int, sample_docs: int = SAMPLE_DOCS) -> tuple[int, int]:
+    """Documents per language, and stretches of each, so that the sample of all languages stays bounded."""
+    docs = min(sample_docs, max(LEAST_DOCS, SAMPLE_TOTAL // languages))
+    most = SAMPLE_WORDS // STRETCH
+    return docs, min(most, max(1, SAMPLE_TOTAL * most // (languages * docs)))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Train on the bounded sample; None if no document has a usable label and text.
+    """Train on the bounded sample, which has every label; None if no document has a usable label and text.
 
     Rows with a null id, null label or null text, and held-out rows, are not learned from."""
     rows = docs.select(docs[id_col].alias("id"), text_column(docs, text_col).alias("text"), docs[label_col].cast("string").alias("lang"),
                        docs[text_col].isNotNull().alias("known"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("known") & ~held_out(F.col("id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return None
+    sample_docs, parts = sample_sizes(len(counts), sample_docs)
     place = F.shiftrightunsigned(F.xxhash64("id"), 1)
-    last = F.create_map(*itertools.chain.from_iterable(
-        (F.lit(r["lang"]), F.lit(last_place(r["count"], sample_docs)).cast("long")) for r in counts))
+    last = docs.sparkSession.createDataFrame([(r["lang"], last_place(r["count"], sample_docs)) for r in counts], "lang string, last long")
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     total = F.size("words")
-    stretches = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_WORDS // STRETCH - 1)), lambda k: F.slice(
-        "words", (k * F.greatest(total - STRETCH, F.lit(0)) / max(1, SAMPLE_WORDS // STRETCH - 1)).cast("int") + 1, F.lit(STRETCH)))
-    sampled = F.when(total <= SAMPLE_WORDS, F.col("words")).otherwise(F.flatten(stretches))
-    sample = rows.filter(place <= last[F.col("lang")]).withColumn("words", words).select(
+    stretches = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.slice(
+        "words", (k * F.greatest(total - STRETCH, F.lit(0)) / max(1, parts - 1)).cast("int") + 1, F.lit(STRETCH)))
+    sampled = F.when(total <= parts * STRETCH, F.col("words")).otherwise(F.flatten(stretches))
+    sample = rows.join(F.broadcast(last), "lang").filter(place <= F.col("last")).withColumn("words", words).select(
         place.alias("place"), F.xxhash64("id").alias("h"), "lang", F.array_join(sampled, " ").alias("text"))
     taken = sorted((r["place"], r["h"], r["lang"], r["text"]) for r in sample.collect())
     return train([r[3] for r in taken], [r[2] for r in taken]) if taken else None

@@ -137,3 +137,21 @@ def test_sample_of_less_than_a_millionth(spark, monkeypatch):
     docs = spark.range(20_000_000).select(F.col("id").alias("doc_id"), F.lit("ba be").alias("text"), F.lit("aa").alias("lang"))
     fit(docs, sample_docs=10)
     assert taken and 1 <= len(taken[0]) <= 40
+
+
+def test_every_label_is_learned(spark):
+    rng = random.Random(8)
+    names = [f"l{k:02}" for k in range(80)]
+    own = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for n in names}
+    rows = [(k, " ".join(rng.choices(own[n], k=20)), n) for k, n in enumerate(names * 40)]
+    rare = [(-k, " ".join(["qxqx zyzy"] * 9), "rare") for k in range(1, 40) if zlib.crc32(str(-k).encode()) % 3 != 1][:1]
+    model = fit(spark.createDataFrame(rows + rare, "doc_id long, text string, lang string"))
+    assert model.languages == [*names, "rare"]
+    best, _, _ = model.predict([t for _, t, _ in rows])
+    assert np.mean([model.languages[b] == n for b, (_, _, n) in zip(best, rows)]) > 0.9
+
+
+def test_sample_of_many_languages():
+    assert lang.sample_sizes(1) == lang.sample_sizes(4) == lang.sample_sizes(32) == (500, 10)
+    assert lang.sample_sizes(64) == (250, 10) and lang.sample_sizes(800) == (40, 5) and lang.sample_sizes(100_000) == (40, 1)
+    assert lang.sample_sizes(4, 20) == (20, 10)
