@@ -29,13 +29,15 @@ def piece_lengths(n: int, max_length: int = MAX_LENGTH) -> list[int]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_length: int = MAX_LENGTH,
-         end_id: int = END_ID, with_ids: bool = True, names: tuple[str, str] = VOCABULARY) -> DataFrame:
+         end_id: int = END_ID, with_ids: bool = True, names: tuple[str, str] = VOCABULARY,
+         added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, then (with_ids) its
     ids as little-endian unsigned 32-bit bytes, then sequence_id, offset and bucket.
 
     A null or empty text is one piece that holds only the end id. Null ids stay null, and
     each repeated row is packed by itself. An empty table gives an empty result. Columns other
-    than id and text are not read. ``max_length`` must be a power of two.
+    than id and text are not read. ``max_length`` must be a power of two. With ``added_tokens`` the
+    strings of the tokenizer file's added tokens get those tokens' ids, else they are ordinary text.
 
     sequence_id is unique among the result's rows and stays the same for the same input splits;
     it numbers pieces, so its order has no meaning."""
@@ -50,7 +52,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
         encode, rows = encoder(names), []
         for part in slices(batches, "text"):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                ids = memoryview(encode(text) + end)
+                ids = memoryview(encode(text, added_tokens) + end)
                 total, start = len(ids) // 4, 0
                 for n in piece_lengths(total, max_length):
                     piece = ids[4 * start:4 * (start + n)]

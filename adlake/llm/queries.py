@@ -37,7 +37,7 @@ def op1_exact_dedup(spark, sf_dir):
 @query("op2_packing")
 def op2_packing(spark, sf_dir):
     from adlake.llm.packing import pack
-    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+    return pack(table(spark, sf_dir, "documents"), with_ids=False, added_tokens=True)
 
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]

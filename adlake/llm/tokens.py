@@ -5,10 +5,14 @@ something other than white space. So a text is cut there, each distinct chunk is
 once per worker, and ids are looked up afterwards. Ids equal those of the tokenizer file on
 the whole text (tested). Chunks of basic and extended Latin characters, on whose classes
 all regex libraries agree, use the faster of the two encoders with the same vocabulary.
+
+The file's added tokens (``<|endoftext|>``) are ordinary text to an encoder, or with
+``added_tokens`` get their own ids, as the tokenizer file gives them unless told otherwise.
 """
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from functools import cached_property
@@ -62,8 +66,25 @@ class Encoder:
             ids = self.general.encode(chunk, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
+    @cached_property
+    def added(self) -> tuple[re.Pattern | None, dict[str, bytes]]:
+        """The file's added tokens as a pattern that cuts texts at them, and their ids."""
+        with open(self.tokenizer_path, encoding="utf-8") as file:
+            tokens = json.load(file)["added_tokens"]
+        if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{self.tokenizer_path}: an added token that takes in or depends on the text around it")
+        ids = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in tokens}
+        longest = sorted(ids, key=len, reverse=True)
+        return re.compile(f"({'|'.join(map(re.escape, longest))})") if ids else None, ids
+
+    def __call__(self, text: str, added_tokens: bool = False) -> bytes:
         """The text's ids, little-endian unsigned 32-bit."""
+        if added_tokens and self.added[0] and self.added[0].search(text):
+            pattern, ids = self.added
+            return b"".join(ids[part] if k % 2 else self._ordinary(part) for k, part in enumerate(pattern.split(text)) if part)
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         if _JOINED.search(text):
             rest, parts = [], rest

@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: token sequences of power-of-two lengths."""
-    return pack(docs)
+    return pack(docs, added_tokens=True)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),

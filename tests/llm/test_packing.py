@@ -71,3 +71,25 @@ def test_empty_and_bad_length(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     with pytest.raises(ValueError):
         pack(spark.createDataFrame([], "doc_id long, text string"), max_length=1000)
+
+
+def test_added_tokens_as_the_unmodified_tokenizer_gives_them(spark):
+    plain = Tokenizer.from_file(vocabulary_paths()[0])
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>", "<|endoftext|", " <|endoftext|>\n\n y é漢<|endoftext|> z"]
+    want = {k: plain.encode(t, add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+    assert want[len(TEXTS)] == [64, 220, 50256, 275, 0]
+    got = {}
+    for r in pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), added_tokens=True).collect():
+        got.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    assert {k: [x for _, ids in sorted(v) for x in ids] for k, v in got.items()} == want
+
+
+def test_query_and_pipeline_use_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    from adlake.llm.queries import op2_packing
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = zlib.crc32(np.array([64, 220, 50256, 275], "<u4").tobytes())
+    for got in (op2_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        assert [(r.length, r.doc_tokens) for r in got.collect()] == [(4, 5), (1, 5)]
+        assert {r.ids_crc32 for r in got.collect() if r.length == 4} == {want}
