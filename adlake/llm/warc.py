@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
@@ -203,9 +204,7 @@ def read_arc(spark: SparkSession, path: str, with_blocks: bool = True) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for data, name in _files(batches):
-            for fields, block in arc_records(data, name):
-                if fields["URL"].startswith("filedesc:"):
-                    continue
+            for fields, block in itertools.islice(arc_records(data, name), 1, None):
                 http, payload = _split_http(block) if block.startswith(b"HTTP/") else (b"", block)
                 page_id = _header(http, ID_HEADER)
                 rows.append((int(page_id) if page_id else None, fields["URL"], fields["Archive-date"],

@@ -81,3 +81,9 @@ def test_wrong_block_digest():
     assert [b for _, b in warc_records(gzip.compress(good), "f")] == [b"abc"]
     with pytest.raises(ValueError):
         list(warc_records(gzip.compress(good.replace(b"abc", b"abd")), "f"))
+
+
+def test_pages_whose_url_looks_like_a_version_block(spark):
+    rows = [(1, "filedesc://part-00000.arc", "<p>a</p>"), (2, "filedesc:", "b"), (3, "http://a", "c")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted([tuple(r)[:5] for r in pages_to_warc(pages).collect()], key=repr) == brute(rows)
