@@ -30,6 +30,8 @@ from adlake.llm.common import fresh, slices, text_column
 SAMPLE_DOCS, SAMPLE_WORDS, STRETCH = 500, 400, 40
 #: Documents of all languages together, unless LEAST_DOCS of each are more.
 SAMPLE_TOTAL, LEAST_DOCS = 16_000, 40
+#: Longer words are cut, as text without white space is; characters of a stretch.
+WORD_CHARS, STRETCH_CHARS = 40, 600
 BUCKET_BITS, DIM, ORDERS = 18, 16, (2, 3, 4)
 EPOCHS, RATE, TABLE_RATE, SEED = 5, 0.5, 5.0, 20
 #: Rejection never goes beyond this part of the way from an even guess to certainty.
@@ -223,25 +225,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
         sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Train on the bounded sample, which has every label; None if no document has a usable label and text.
 
-    Rows with a null id, null label or null text, and held-out rows, are not learned from."""
+    Rows with a null id, null label or null text, and held-out rows, are not learned from.
+    Rows that repeat an id and its text count once."""
     rows = docs.select(docs[id_col].alias("id"), text_column(docs, text_col).alias("text"), docs[label_col].cast("string").alias("lang"),
                        docs[text_col].isNotNull().alias("known"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("known") & ~held_out(F.col("id")))
-    counts = rows.groupBy("lang").count().collect()
+    place = F.shiftrightunsigned(F.xxhash64("id", "text"), 1)
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(place).alias("count")).collect()
     if not counts:
         return None
     sample_docs, parts = sample_sizes(len(counts), sample_docs)
-    place = F.shiftrightunsigned(F.xxhash64("id"), 1)
     last = docs.sparkSession.createDataFrame([(r["lang"], last_place(r["count"], sample_docs)) for r in counts], "lang string, last long")
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    total = F.size("words")
-    stretches = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.slice(
-        "words", (k * F.greatest(total - STRETCH, F.lit(0)) / max(1, parts - 1)).cast("int") + 1, F.lit(STRETCH)))
-    sampled = F.when(total <= parts * STRETCH, F.col("words")).otherwise(F.flatten(stretches))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]{1,%d}" % WORD_CHARS), F.lit(0))
+    total, joined = F.size("words"), F.array_join("words", " ")
+    stretches = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.substring(F.array_join(F.slice(
+        "words", (k * F.greatest(total - STRETCH, F.lit(0)) / max(1, parts - 1)).cast("int") + 1, F.lit(STRETCH)), " "), 1, STRETCH_CHARS))
+    whole = (total <= parts * STRETCH) & (F.length(joined) <= parts * STRETCH_CHARS)
     sample = rows.join(F.broadcast(last), "lang").filter(place <= F.col("last")).withColumn("words", words).select(
-        place.alias("place"), F.xxhash64("id").alias("h"), "lang", F.array_join(sampled, " ").alias("text"))
-    taken = sorted((r["place"], r["h"], r["lang"], r["text"]) for r in sample.collect())
-    return train([r[3] for r in taken], [r[2] for r in taken]) if taken else None
+        place.alias("place"), "lang", F.when(whole, joined).otherwise(F.array_join(F.array_distinct(stretches), " ")).alias("text"))
+    taken = sorted((r["place"], r["lang"], r["text"]) for r in sample.dropDuplicates(["place", "lang"]).collect())
+    return train([r[2] for r in taken], [r[1] for r in taken]) if taken else None
 
 
 def _predictor(spark, model: Model | None):

@@ -155,3 +155,16 @@ def test_sample_of_many_languages():
     assert lang.sample_sizes(1) == lang.sample_sizes(4) == lang.sample_sizes(32) == (500, 10)
     assert lang.sample_sizes(64) == (250, 10) and lang.sample_sizes(800) == (40, 5) and lang.sample_sizes(100_000) == (40, 1)
     assert lang.sample_sizes(4, 20) == (20, 10)
+
+
+def test_sample_is_bounded_in_characters_and_repeated_rows(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(lang, "train", lambda texts, names: taken.append(texts))
+    blob = "".join(chr(0x4E00 + k % 9000) for k in range(200_000))
+    rows = [(k, "x " * 20 + blob[k:], "aa") for k in range(6)] + [(9, "ba be", "aa")] * 500 + [(9, "bi bo", "aa")]
+    fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    most = (lang.STRETCH_CHARS + 1) * (lang.SAMPLE_WORDS // lang.STRETCH)
+    texts = taken[0]
+    long = [t for t in texts if len(t) > 5]
+    assert long and max(map(len, long)) <= most and all(len(set(t)) > 1000 for t in long)
+    assert sorted(t for t in texts if len(t) <= 5) == ["ba be", "bi bo"]
