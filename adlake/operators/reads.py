@@ -10,9 +10,10 @@ import datetime as dt
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from adlake.model import TYPED_IMPRESSIONS
+from adlake.operators.ranking import ranked
 
 # --- Fixed values of the read workloads (our test data's calendar) -----------------
 # One reporting day and its half-open epoch range [DAY_START, DAY_START + 86400):
@@ -90,8 +91,9 @@ def silver_query(frame: DataFrame, workload: str, day: dt.date = ONE_DAY) -> Dat
 
 
 def in_order(report: DataFrame, *descending: str) -> DataFrame:
-    """O2: a small report in a total order, whatever partitions it came from: by the given
-    columns, largest first, then by all others; ``place`` counts from 1."""
+    """O2: a report in a total order, whatever partitions it came from: by the given columns,
+    largest first, then by all others; ``place`` counts from 1. The order and the places come
+    from a range sort, so a report of any length is dealt over tasks."""
     rest = [F.col(c).asc_nulls_last() for c in sorted(report.columns) if c not in descending]
     order = [F.col(c).desc_nulls_last() for c in descending] + rest
-    return report.withColumn("place", F.row_number().over(Window.orderBy(*order))).orderBy("place")
+    return ranked(report, order, "place").orderBy("place")

@@ -1,15 +1,33 @@
 """Distributions, comparisons and settings diffs.
 
-All are grouped aggregations. Exact medians and nearest-rank percentiles keep a
-value->count map per group, so they are meant for measurement-sized groups
-(runs, days, files of a table), which is how the pipeline uses them.
+Sums, counts and extremes are grouped aggregations. Exact medians and nearest-rank
+percentiles are picked from values counted and dealt by ranges (``ranking.values_at``), so
+a group of any number of distinct values is spread over many tasks.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from adlake.operators.ranking import values_at
 from adlake.session import settings as effective_settings
 
+#: Places of the two middle values (equal ones of an odd count) and of the nearest-rank 95 %.
+MIDDLE = {"__low": (1, 1, 2), "__high": (1, 2, 2)}
+NEAREST_95 = {"p95": (95, 99, 100)}
+
+
+def _middle() -> Column:
+    return ((F.col("__low").cast("double") + F.col("__high").cast("double")) / 2).alias("median")
+
+
+def _beside(groups: DataFrame, by: list[str], picked: DataFrame) -> DataFrame:
+    """Each group's aggregates with its picked values, null where it has none."""
+    if not by:
+        return groups.join(F.broadcast(picked), F.lit(True), "left")  # one row beside one row
+    other = picked.select(*[F.col(c).alias(f"__p_{i}") for i, c in enumerate(by)], *[c for c in picked.columns if c not in by])
+    same = [F.col(c).eqNullSafe(F.col(f"__p_{i}")) for i, c in enumerate(by)]
+    return groups.join(other, same, "left")
+
 
 def distribution(df: DataFrame, by: list[str], value: str, *, with_samples: bool = False) -> DataFrame:
     """Count, median, min, max and sample stdev (null for a single sample) of
@@ -17,30 +35,30 @@ def distribution(df: DataFrame, by: list[str], value: str, *, with_samples: bool
     comma-joined), which gathers each group's values and is meant only for groups of
     bounded size (runs of an experiment, days of a period)."""
     v = F.col(value)
-    aggs = [F.count(v).alias("n"), F.median(v).cast("double").alias("median"),
-            F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_samp(v).alias("stdev")]
+    aggs = [F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_samp(v).alias("stdev")]
+    out = ["n", _middle(), "min", "max", "stdev"]
     if with_samples:
-        aggs.insert(0, F.array_join(F.array_sort(F.collect_list(v)).cast("array<string>"), ",").alias("samples"))
-    return df.groupBy(*by).agg(*aggs)
+        aggs.append(F.array_join(F.array_sort(F.collect_list(v)).cast("array<string>"), ",").alias("samples"))
+        out.insert(0, "samples")
+    return _beside(df.groupBy(*by).agg(*aggs), by, values_at(df, by, value, MIDDLE)).select(*by, *out)
 
 
 def size_distribution(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Count, total, min, median, nearest-rank p95 and max per group."""
     v = F.col(value)
-    # a discrete percentile is one of the values: give it back in the value's type
-    p95 = F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY `{value}`)").cast(df.schema[value].dataType)
-    return df.groupBy(*by).agg(
-        F.count(v).alias("count"), F.sum(v).alias("total"), F.min(v).alias("min"),
-        F.median(v).cast("double").alias("median"), p95.alias("p95"),
-        F.max(v).alias("max"))
+    groups = df.groupBy(*by).agg(F.count(v).alias("count"), F.sum(v).alias("total"), F.min(v).alias("min"), F.max(v).alias("max"))
+    picked = values_at(df, by, value, {**MIDDLE, **NEAREST_95})
+    return _beside(groups, by, picked).select(*by, "count", "total", "min", _middle(), "p95", "max")
 
 
 def right_vs_left(df: DataFrame, by: list[str], side: str, value: str) -> DataFrame:
     """Medians of the 'left' and 'right' samples and the right-vs-left % change of
-    the medians (null when the left median is 0). One conditional aggregation."""
-    left = F.median(F.when(F.col(side) == "left", F.col(value))).cast("double")
-    right = F.median(F.when(F.col(side) == "right", F.col(value))).cast("double")
-    out = df.groupBy(*by).agg(left.alias("left_median"), right.alias("right_median"))
+    the medians (null when the left median is 0 or a side has no sample)."""
+    sides = df.filter(F.col(side).isin("left", "right"))
+    medians = values_at(sides, [*by, side], value, MIDDLE).select(*by, F.col(side).alias("__side"), _middle())
+    one = [F.max(F.when(F.col("__side") == s, F.col("median"))).alias(f"{s}_median") for s in ("left", "right")]
+    out = _beside(df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")), by, medians.groupBy(*by).agg(*one)).drop("__n")
+    out = out.select(*by, "left_median", "right_median")
     return out.withColumn("right_vs_left_percent", F.when(
         F.col("left_median") != 0,
         (F.col("right_median") - F.col("left_median")) / F.col("left_median") * 100))
