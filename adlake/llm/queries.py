@@ -139,3 +139,32 @@ def op9_html_extract(spark, sf_dir):
 def op10_token_counts(spark, sf_dir):
     from adlake.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op12_importance", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+i AS (SELECT -row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+f AS (SELECT r, array_to_string(words[k:k + n - 1], ' ') AS f, count(*) AS c
+      FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS k
+            FROM (SELECT r, words FROM d UNION ALL SELECT r, words FROM i), (VALUES (1), (2), (3)) v(n)) GROUP BY ALL),
+entries AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, b)
+                        ORDER BY b) AS t FROM range(256) bytes(b)),
+h AS (SELECT f, bytes, xor(4294967295, list_reduce(bytes, lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT)) % 10000 AS bucket
+      FROM (SELECT f, list_transform(regexp_extract_all(hex(encode(f)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+            FROM (SELECT DISTINCT f FROM f)), entries),
+n AS (SELECT bucket, sum(c) FILTER (r > 0) AS s, sum(c) FILTER (r < 0) AS t FROM f JOIN h USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (sum(s) OVER () + 10000)
+             / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM n),
+w AS (SELECT r, sum(c) AS n_features, sum(c * gain) AS weight FROM f JOIN h USING (f) JOIN g USING (bucket) WHERE r > 0 GROUP BY r),
+v AS (SELECT r, doc_id, len(words) >= 20 AS may, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+             CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' ||
+             substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN w USING (r))
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= drawn THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id NULLS LAST) AS place,
+             5 * count(*) OVER (PARTITION BY may) // 100 AS drawn FROM v)""")
+def op12_importance(spark, sf_dir):
+    from adlake.llm.importance import importance
+    return importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
