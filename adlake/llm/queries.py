@@ -168,3 +168,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id
 def op12_importance(spark, sf_dir):
     from adlake.llm.importance import importance
     return importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_alignment")
+def op11_alignment(spark, sf_dir):
+    from adlake.llm.alignment import align
+    return align(table(spark, sf_dir, "documents"))
