@@ -174,3 +174,9 @@ def op12_importance(spark, sf_dir):
 def op11_alignment(spark, sf_dir):
     from adlake.llm.alignment import align
     return align(table(spark, sf_dir, "documents"))
+
+
+@query("op13_ngram_jaccard")
+def op13_ngram_jaccard(spark, sf_dir):
+    from adlake.llm.jaccard import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
