@@ -11,9 +11,11 @@ neighbours are neighbours in some item enter the automaton: outside those no mat
 longer than one word, so nothing is lost.
 
 Scale: one pass over documents without a shuffle. Items reach the workers in shards of at
-most SHARD_WORDS words (one longer item is a shard by itself), so a worker holds one
-bounded automaton at a time however large the benchmark is; the driver also reads the
-items one shard at a time.
+most SHARD_WORDS words (one longer item is a shard by itself), whose automata a worker builds
+once, one after the other, and then holds as flat arrays: some 100 bytes for each word of the
+benchmark, whatever the number of shards, and several times that for the one shard that is being
+built. All shards share a vocabulary and a test of neighbours, so a document's words are
+looked up once; only words next to each other in some item are looked at shard by shard.
 """
 from __future__ import annotations
 
@@ -21,6 +23,8 @@ import hashlib
 import itertools
 import re
 import uuid
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,10 +45,11 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Automaton:
-    """Generalised suffix automaton of items: a list of (item id, words)."""
+    """Generalised suffix automaton of items: a list of (item id, words). ``vocabulary`` numbers the
+    words and may be shared. States are numbers; once built, all that a state has is in flat arrays."""
 
-    def __init__(self, items: list[tuple[object, list[bytes]]], window: int):
-        self.window, self.vocabulary = window, {}
+    def __init__(self, items: list[tuple[object, list[bytes]]], window: int, vocabulary: dict[bytes, int] | None = None):
+        self.window, self.vocabulary = window, {} if vocabulary is None else vocabulary
         self.next, self.link, self.length = [{}], [-1], [0]
         encoded = [(i, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]) for i, words in items if words]
         ends = []
@@ -54,20 +59,23 @@ class Automaton:
                 state = self._extend(state, c)
             ends.append(state)
         self._anchors()
-        self.items: dict[int, set] = {}
-        self.whole: dict[int, set] = {}
+        found: dict[int, set] = {}
+        whole: dict[int, set] = {}
         for (item, ids), end in zip(encoded, ends):
             if len(ids) < window:
-                self.whole.setdefault(end, set()).add(item)
+                whole.setdefault(end, set()).add(item)
                 continue
             state = 0
             for k, c in enumerate(ids):
                 state = self.next[state][c]
                 if k + 1 >= window:
-                    self.items.setdefault(self.anchor[state], set()).add(item)
-        self._short_links()
+                    found.setdefault(self.anchor[state], set()).add(item)
+        self._short_links(whole)
         self.shortest = min([window, *(len(ids) for _, ids in encoded)])
-        self._neighbours([ids for _, ids in encoded])
+        # words that are a match by themselves
+        self.single = [c for c, s in self.next[0].items() if window == 1 or s in whole and self.length[s] == 1]
+        self.pairs = np.unique(np.array([a << 32 | b for _, ids in encoded for a, b in itertools.pairwise(ids)], dtype=np.int64))
+        self._flatten(found, whole)
 
     def _extend(self, last: int, c: int) -> int:
         known = self.next[last].get(c)
@@ -105,53 +113,107 @@ class Automaton:
             if self.length[s] >= self.window:
                 self.anchor[s] = s if self.length[self.link[s]] < self.window else self.anchor[self.link[s]]
 
-    def _short_links(self) -> None:
+    def _short_links(self, whole: dict[int, set]) -> None:
         """For each state, the nearest state further up its suffix path that ends a short item."""
         self.short = [0] * len(self.link)
         for s in self.order:
             up = self.link[s]
-            self.short[s] = up if up in self.whole else self.short[up]
-
-    def _neighbours(self, encoded: list[list[int]]) -> None:
-        self.base = np.uint64(len(self.vocabulary) + 1)
-        pairs = {a * int(self.base) + b for ids in encoded for a, b in itertools.pairwise(ids)}
-        self.pairs = np.array(sorted(pairs), dtype=np.uint64)
-        self.bloom = np.zeros(1 << _BLOOM_BITS, dtype=bool)
-        self.bloom[(self.pairs * _MIX) >> np.uint64(64 - _BLOOM_BITS)] = True
-        self.single = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-        self.single[[c for c, s in self.next[0].items() if self.window == 1 or s in self.whole and self.length[s] == 1]] = True
-
-    def runs(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
-        """[start, end) of the runs of at least two words that may hold a match; -1 is no item's word."""
-        if len(self.pairs) and len(ids) > 1:
-            first = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-            key = ids[first].astype(np.uint64) * self.base + ids[first + 1].astype(np.uint64)
-            maybe = self.bloom[(key * _MIX) >> np.uint64(64 - _BLOOM_BITS)]
-            first, key = first[maybe], key[maybe]
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            first = first[self.pairs[at] == key]
+            self.short[s] = up if up in whole else self.short[up]
+        del self.order
+
+    def _flatten(self, found: dict[int, set], whole: dict[int, set]) -> None:
+        """Edges of each state in the order of their words, and numbers for the few different sets of items."""
+        first, words, targets = array("i", [0]), array("i"), array("i")
+        for edges in self.next:
+            for c in sorted(edges):
+                words.append(c)
+                targets.append(edges[c])
+            first.append(len(words))
+        self.first, self.words, self.targets = first, words, targets
+        del self.next
+        self.sets: list[frozenset] = []
+        number: dict[frozenset, int] = {}
+
+        def numbered(of: dict[int, set]) -> array:
+            at = array("i", [-1]) * len(self.link)
+            for s, items in of.items():
+                key = frozenset(items)
+                if key not in number:
+                    number[key] = len(self.sets)
+                    self.sets.append(key)
+                at[s] = number[key]
+            return at
+
+        self.found, self.whole = numbered(found), numbered(whole)
+        self.link, self.length, self.anchor, self.short = (array("i", v) for v in (self.link, self.length, self.anchor, self.short))
+
+    def step(self, state: int, c: int) -> int:
+        """The state after the word ``c``, or -1."""
+        low, high = self.first[state], self.first[state + 1]
+        at = bisect_left(self.words, c, low, high)
+        return self.targets[at] if at < high and self.words[at] == c else -1
+
+    def runs(self, places: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int]]:
+        """[start, end) of the runs of at least two words that may hold a match, from the places of words whose
+        pair with the next one has the given key."""
+        if len(self.pairs) and len(places):
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            first = places[self.pairs[at] == keys]
             if len(first):
                 cut = np.flatnonzero(np.diff(first) != 1)
                 starts, ends = first[np.r_[0, cut + 1]], first[np.r_[cut, len(first) - 1]] + 2
                 long = ends - starts >= max(2, self.shortest)
                 yield from zip(starts[long].tolist(), ends[long].tolist())
 
-    def stream(self, ids: list[int]) -> Iterator[tuple[int, int, set]]:
+    def stream(self, ids: list[int]) -> Iterator[tuple[int, int, frozenset]]:
         """(start, end, items) of every match in a run of item words."""
         state = length = 0
         for i, c in enumerate(ids):
-            while state and c not in self.next[state]:
+            after = self.step(state, c)
+            while after < 0 and state:
                 state = self.link[state]
                 length = self.length[state]
-            state = self.next[state].get(c, 0)
+                after = self.step(state, c)
+            state = max(after, 0)
             length = length + 1 if state else 0
             if length >= self.window:
-                yield i + 1 - length, i + 1, self.items[self.anchor[state]]
-            short = state if state in self.whole and length == self.length[state] else self.short[state]
+                yield i + 1 - length, i + 1, self.sets[self.found[self.anchor[state]]]
+            short = state if self.whole[state] >= 0 and length == self.length[state] else self.short[state]
             while short:
-                yield i + 1 - self.length[short], i + 1, self.whole[short]
+                yield i + 1 - self.length[short], i + 1, self.sets[self.whole[short]]
                 short = self.short[short]
 
+
+class Index:
+    """The automata of all shards, over one vocabulary."""
+
+    def __init__(self, shards: list, window: int):
+        self.vocabulary: dict[bytes, int] = {}
+        self.automata = []
+        for shard in shards:
+            items = [(i, w.split() if isinstance(w, bytes) else w) for i, w in getattr(shard, "value", shard)]
+            self.automata.append(Automaton(items, window, self.vocabulary))
+        self.pairs = np.unique(np.concatenate([a.pairs for a in self.automata])) if self.automata else np.zeros(0, np.int64)
+        self.bloom = np.zeros(1 << _BLOOM_BITS, dtype=bool)
+        self.bloom[self._slot(self.pairs)] = True
+        self.single = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+        self.single[[c for a in self.automata for c in a.single]] = True
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * _MIX) >> np.uint64(64 - _BLOOM_BITS)
+
+    def neighbours(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words that some item has before the word that follows, and the pairs' keys; -1 is no item's word."""
+        if len(ids) < 2 or not len(self.pairs):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        first = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        key = ids[first] << 32 | ids[first + 1]
+        maybe = self.bloom[self._slot(key)]
+        first, key = first[maybe], key[maybe]
+        known = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
+        return first[known], key[known]
+
     def scan(self, documents: list[list[bytes]], hits: list[np.ndarray], found: list[set]) -> None:
         """Mark the hit words of each document and add the items that occur in it."""
         starts = list(itertools.accumulate((len(d) + 1 for d in documents), initial=0))
@@ -159,40 +221,45 @@ class Automaton:
         flat = itertools.chain.from_iterable(itertools.chain(d, gap) for d in documents)
         ids = np.fromiter((get(w, -1) for w in flat), dtype=np.int64, count=starts[-1])
         bounds = np.array(starts)
-        for a, b in self.runs(ids):
+
+        def mark(automaton: Automaton, a: int, b: int) -> None:
             d = int(np.searchsorted(bounds, a, side="right")) - 1
             shift = a - starts[d]
-            for s, e, items in self.stream(ids[a:b].tolist()):
+            for s, e, items in automaton.stream(ids[a:b].tolist()):
                 hits[d][shift + s:shift + e] = True
                 found[d] |= items
-        if self.single.any():
-            for k in np.flatnonzero((ids >= 0) & self.single[ids]).tolist():
-                d = int(np.searchsorted(bounds, k, side="right")) - 1
-                for _, _, items in self.stream([int(ids[k])]):
-                    hits[d][k - starts[d]] = True
-                    found[d] |= items
+
+        places, keys = self.neighbours(ids)
+        alone = np.flatnonzero((ids >= 0) & self.single[ids]).tolist() if self.single.any() else []
+        for automaton in self.automata:
+            for a, b in automaton.runs(places, keys):
+                mark(automaton, a, b)
+            for k in alone:
+                mark(automaton, k, k + 1)
 
 
-_BUILT: dict[object, Automaton] = {}
+#: This worker's indexes by scanner: those of the last two jobs that it served.
+_BUILT: dict[str, Index] = {}
 
 
 class Scanner:
-    """Finds hits in documents, shard after shard. Holds one automaton at a time."""
+    """Finds hits in documents, with an index that each worker builds once."""
 
     def __init__(self, shards: list, window: int):
-        # keys of its own tell this scanner's automata from others' in a worker that serves many jobs
-        self.shards, self.window = [(uuid.uuid4().hex, shard) for shard in shards], window
+        # a key of its own tells this scanner's index from others' in a worker that serves many jobs
+        self.key, self.shards, self.window = uuid.uuid4().hex, shards, window
 
-    def _automaton(self, key: str, shard) -> Automaton:
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Automaton(getattr(shard, "value", shard), self.window)
-        return _BUILT[key]
+    @property
+    def index(self) -> Index:
+        if self.key not in _BUILT:
+            while len(_BUILT) > 1:
+                del _BUILT[next(iter(_BUILT))]
+            _BUILT[self.key] = Index(self.shards, self.window)
+        return _BUILT[self.key]
 
     def __call__(self, documents: list[list[bytes]]) -> tuple[list[np.ndarray], list[set]]:
         hits, found = [np.zeros(len(d), dtype=bool) for d in documents], [set() for _ in documents]
-        for key, shard in self.shards:
-            self._automaton(key, shard).scan(documents, hits, found)
+        self.index.scan(documents, hits, found)
         return hits, found
 
     def clean(self, text: bytes) -> bytes:
@@ -211,14 +278,14 @@ class Scanner:
 
 
 def item_shards(items: DataFrame, id_col: str, text_col: str, shard_words: int = SHARD_WORDS) -> list:
-    """The items' words as broadcasts of at most ``shard_words`` words, read one at a time."""
+    """(item, its words joined) as broadcasts of at most ``shard_words`` words, read one at a time."""
     context, shards, shard, held = items.sparkSession.sparkContext, [], [], 0
     for item, text in items.select(items[id_col].cast("long"), text_column(items, text_col)).toLocalIterator():
         words = words_of(text.encode())
         if shard and held + len(words) > shard_words:
             shards.append(context.broadcast(shard))
             shard, held = [], 0
-        shard.append((item, words))
+        shard.append((item, b" ".join(words)))
         held += len(words)
     return shards + ([context.broadcast(shard)] if shard else [])
 

@@ -111,3 +111,52 @@ def test_empty_tables(spark):
     assert decontaminate(docs, none).collect() == docs.collect()
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert report(empty, none).collect() == [] and decontaminate(empty, none).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_shards_share_a_vocabulary(seed):
+    rng = random.Random(seed)
+    window = rng.choice([1, 2, 4])
+    items = [(k, [b"%d" % rng.randrange(6) for _ in range(rng.randint(0, 9))]) for k in range(12)]
+    documents = [[b"%d" % rng.randrange(8) for _ in range(rng.randint(0, 50))] for _ in range(15)]
+    hits, found = Scanner([items], window)(documents)
+    for size in (1, 3, 5):
+        split_hits, split_found = Scanner([items[k:k + size] for k in range(0, 12, size)], window)(documents)
+        assert [h.tolist() for h in hits] == [h.tolist() for h in split_hits] and found == split_found
+
+
+def test_each_shard_is_built_once(monkeypatch):
+    from adlake.llm import decontaminate as module
+    built, plain = [], module.Automaton.__init__
+    monkeypatch.setattr(module.Automaton, "__init__", lambda self, *a: (built.append(1), plain(self, *a))[1])
+    items = [(k, [b"%d" % (100 * k + i) for i in range(30)]) for k in range(40)]
+    scanner = Scanner([items[:10], items[10:20], items[20:30], items[30:]], 10)
+    for k in range(6):
+        hits, found = scanner([[b"x", *items[k][1], b"y"], *(w for _, w in items)])
+        assert found[0] == {k} and hits[0].sum() == 30
+        assert scanner.clean(b"x " + b" ".join(items[k][1]) + b" y").split() == [b"x", b"y"]
+    assert len(built) == 4
+
+
+def test_shards_cost_no_rescan():
+    """Five documents of benchmark words with 1 and with 8 shards: the same lookups, so about the same time."""
+    import time
+    rng = random.Random(2)
+    items = [(k, [b"w%d" % rng.randrange(3000) for _ in range(40)]) for k in range(1600)]
+    documents = [[b"w%d" % rng.randrange(6000) for _ in range(60_000)] + items[k][1] for k in range(5)]
+    seconds = {}
+    for shards in (1, 8):
+        scanner = Scanner([items[k::shards] for k in range(shards)], 10)
+        scanner([[]])
+        start = time.perf_counter()
+        for _ in range(3):
+            _, found = scanner(documents)
+        seconds[shards] = time.perf_counter() - start
+        assert all(k in f for k, f in enumerate(found))
+    assert seconds[8] < 3 * seconds[1] + 0.5
+
+
+def test_automaton_is_flat():
+    a = Automaton([(k, [b"%d" % ((11 * i + k * i) % 997) for i in range(500)]) for k in range(20)], 10)
+    flat = (a.first, a.words, a.targets, a.link, a.length, a.anchor, a.short, a.found, a.whole)
+    assert sum(len(v) * v.itemsize for v in flat) < 110 * 20 * 500
