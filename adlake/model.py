@@ -133,6 +133,8 @@ class Options:
     fmt                 table format (L1): parquet | csv | delta (only if its jar is present)
     codec               writer compression (L2): snappy | zstd | uncompressed | ...
     partition_by        partition columns of silver impressions (L3)
+    cluster_by          columns whose ranges silver impressions are sorted by within files, instead of
+                        a folder per value (L3)
     ads_join            join strategy for the ads dimension (L4)
     profile_join        join strategy for the profile dimension (L5)
     shuffle_partitions  initial shuffle partitions (L6): a number, None (keep the session
@@ -154,6 +156,7 @@ class Options:
     fmt: str = "parquet"
     codec: str = "snappy"
     partition_by: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
     ads_join: str = "auto"
     profile_join: str = "auto"
     shuffle_partitions: int | str | None = "auto"

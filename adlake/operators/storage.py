@@ -26,6 +26,14 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return reader.load(root).select("path", "length")
 
 
+def listing_state(spark: SparkSession, root: str) -> str:
+    """A fingerprint of which files lie under ``root``, their sizes and times, without reading them."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+             .select("path", "length", "modificationTime"))
+    n, total = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{n}-{total}"
+
+
 def _relative(root: str) -> F.Column:
     tail = re.escape(root.rstrip("/").split(":", 1)[-1].lstrip("/"))
     return F.regexp_replace(F.col("path"), r"^[a-z]+:/*" + tail + "/", "")

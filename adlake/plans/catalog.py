@@ -174,35 +174,36 @@ def q_table_diff(spark, sf_dir):
 
 
 # --- P3: reads, formats and layouts ----------------------------------------------------
-_WRITTEN: dict[tuple, str] = {}
+def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """Write the table a read workload scans, in the shared scratch: once per application and
+    state of the files it comes from."""
+    from adlake.operators.storage import listing_state
+    from adlake.session import kept_table
+    return kept_table(spark, (sf_dir, listing_state(spark, sf_dir), layout), lambda: _write_layout(spark, sf_dir, layout))
 
 
-def _materialized(spark: SparkSession, sf_dir: str, layout: str) -> str:
-    """Write (once per application) the table a read workload scans, in the shared scratch."""
+def _write_layout(spark: SparkSession, sf_dir: str, layout: str) -> str:
     from adlake.operators.reads import typed_impressions
     from adlake.session import scratch_path
     from adlake.sources.csv import write_typed_csv
     from adlake.sources.tables import csv_to_parquet, write_table
-    key = (spark.sparkContext.applicationId, sf_dir, layout)
-    if key in _WRITTEN:
-        return _WRITTEN[key]
     if layout == "typed_csv":
-        path = write_typed_csv(typed_impressions(bronze_views(spark, sf_dir)["impressions"]),
-                               scratch_path(spark, "typed-csv"))
-    elif layout == "typed_parquet":
-        path = csv_to_parquet(spark, _materialized(spark, sf_dir, "typed_csv"),
-                              scratch_path(spark, "typed-parquet"))["path"]
-    elif layout in ("silver", "silver_by_date", "silver_zstd"):
-        root = scratch_path(spark, layout)
-        opts = Options(codec="snappy" if layout == "silver" else "zstd")
-        parts = ("reporting_date",) if layout == "silver_by_date" else ()
-        write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
-                    partition_by=parts)
-        path = f"{root}/silver/impressions"
-    else:
+        return write_typed_csv(typed_impressions(bronze_views(spark, sf_dir)["impressions"]), scratch_path(spark, "typed-csv"))
+    if layout == "typed_parquet":
+        return csv_to_parquet(spark, _materialized(spark, sf_dir, "typed_csv"), scratch_path(spark, "typed-parquet"))["path"]
+    if layout not in SILVER_LAYOUTS:
         raise ValueError(layout)
-    _WRITTEN[key] = path
-    return path
+    root = scratch_path(spark, layout)
+    opts = SILVER_LAYOUTS[layout]
+    write_table(silver(spark, sf_dir)["impressions"], root, "silver", "impressions", opts,
+                partition_by=opts.partition_by, cluster_by=opts.cluster_by)
+    return f"{root}/silver/impressions"
+
+
+#: Silver impressions as the read workloads find them.
+SILVER_LAYOUTS = {"silver": Options(codec="snappy"), "silver_zstd": Options(codec="zstd"),
+                  "silver_by_date": Options(codec="zstd", partition_by=("reporting_date",)),
+                  "silver_clustered": Options(codec="zstd", cluster_by=("reporting_date", "timestamp_seconds"))}
 
 
 def _format_query(source: str, workload: str):
@@ -230,6 +231,7 @@ for _w in FORMAT_WORKLOADS:
 for _w in SILVER_WORKLOADS:
     register(f"silver_{_w}")(_silver_query("silver", _w))
     register(f"partitioned_{_w}")(_silver_query("silver_by_date", _w))
+    register(f"clustered_{_w}")(_silver_query("silver_clustered", _w))
 
 
 @register("placement_ordered")
@@ -278,15 +280,17 @@ RUN_OPTIONS = {"control": Options(), "variant": Options(codec="zstd", partition_
 
 def _runs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Roots of both runs, rebuilt once per application in the caller's session."""
+    from adlake.operators.storage import listing_state
     from adlake.plans.pipeline import run_pipeline
-    from adlake.session import scratch_path
-    for name, opts in RUN_OPTIONS.items():
-        key = (spark.sparkContext.applicationId, sf_dir, f"run-{name}")
-        if key not in _WRITTEN:
-            root = scratch_path(spark, f"run-{name}")
-            run_pipeline(spark, bronze_views(spark, sf_dir), root, opts, run_id=name)
-            _WRITTEN[key] = root
-    return {name: _WRITTEN[spark.sparkContext.applicationId, sf_dir, f"run-{name}"] for name in RUN_OPTIONS}
+    from adlake.session import kept_table, scratch_path
+
+    def run(name: str, opts: Options) -> str:
+        root = scratch_path(spark, f"run-{name}")
+        run_pipeline(spark, bronze_views(spark, sf_dir), root, opts, run_id=name)
+        return root
+
+    state = listing_state(spark, sf_dir)
+    return {name: kept_table(spark, (sf_dir, state, f"run-{name}"), lambda: run(name, opts)) for name, opts in RUN_OPTIONS.items()}
 
 
 @register("storage_totals")
@@ -318,8 +322,9 @@ def q_runs_comparability(spark, sf_dir):
     declared setting, which alone may differ."""
     from pyspark.sql import functions as F
     from adlake.operators.stats import report_rows, validate_comparable
+    from adlake.plans.reports import report_frame
     roots, declared = _runs(spark, sf_dir), ("spark.sql.parquet.compression.codec",)
-    sides = {name: report_rows(spark.read.text(f"{root}/_report")).drop("run_id") for name, root in roots.items()}
+    sides = {name: report_rows(report_frame(spark, f"{root}/_report")).drop("run_id") for name, root in roots.items()}
     validate_comparable(sides["control"], sides["variant"], declared)
     shown = F.col("key").isin("status", "tables", *[f"settings.{d}" for d in declared]) | F.col("key").rlike(r"^sources\..*\.rows$")
     return (sides["control"].withColumnRenamed("value", "control_value").join(

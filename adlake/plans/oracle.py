@@ -229,7 +229,7 @@ _SILVER_READ = ("SELECT placement_id, count(*)::BIGINT AS impressions, sum(click
 _SILVER_WHERE = {"one_day": "WHERE reporting_date = DATE '2024-01-08'",
                  "three_days": "WHERE reporting_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-10'",
                  "full_period": ""}
-for _src in ("silver", "partitioned"):
+for _src in ("silver", "partitioned", "clustered"):
     for _w, _where in _SILVER_WHERE.items():
         ORACLE[f"{_src}_{_w}"] = _with(IMP) + _SILVER_READ.format(where=_where)
 

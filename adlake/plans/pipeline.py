@@ -3,20 +3,18 @@
 Every phase runs under a Spark job group named after it (so an event log can attribute
 tasks to phases), and the run's SQL settings are scoped to the run. Row counts, content
 sums and the fact's totals are observed while the tables are written, so validation only
-reads the key columns again. The report is a dict, saved as a one-row JSON table through
-Spark; it ends as ``succeeded`` or, with the error's text, as ``failed``. A root that holds a
-report is never written to.
+reads the key columns again. The report is a dict, published anew after every phase, so a run
+that was killed shows how far it came (:mod:`adlake.plans.reports`); it ends as ``succeeded``
+or, with the error's text, as ``failed``. A root that holds a report is never written to.
 """
 from __future__ import annotations
 
 import contextlib
-import json
 import sys
 import time
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from adlake.model import DIMENSIONS, GOLD_KEYS, RECORDED_SETTINGS, SOURCES, Options
@@ -24,6 +22,7 @@ from adlake.operators import quality as qc
 from adlake.operators import transforms as tx
 from adlake.operators.joins import shuffle_partitions_for, shuffles_the_fact
 from adlake.operators.storage import list_files, storage_totals
+from adlake.plans.reports import ReportFolder, load_report, save_report
 from adlake.session import conf_scope, settings
 from adlake.sources.tables import read_table, table_path, write_table
 
@@ -42,16 +41,6 @@ def job_group(spark: SparkSession, name: str):
         context.setLocalProperty("spark.jobGroup.id", None)
 
 
-def save_report(spark: SparkSession, report: dict, path: str, mode: str = "overwrite") -> None:
-    """M5: persist the report as one JSON row."""
-    spark.createDataFrame([(json.dumps(report, sort_keys=True, default=str),)], "report string") \
-        .coalesce(1).write.mode(mode).text(path)
-
-
-def load_report(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()[0])
-
-
 def environment(spark: SparkSession) -> dict:
     """What two comparable runs must share, and the settings they may declare to differ in."""
     conf = spark.sparkContext.getConf()
@@ -66,7 +55,7 @@ class _Run:
 
     def __init__(self, spark: SparkSession, root: str, opts: Options, run_id: str):
         self.spark, self.root, self.opts = spark, root.rstrip("/"), opts
-        self.report_path = f"{self.root}/_report"
+        self.folder = ReportFolder(spark, f"{self.root}/_report")
         self.report: dict = {"run_id": run_id, "status": "running", "started_at": _now(),
                              "options": {k: list(v) if isinstance(v, tuple) else v for k, v in opts.__dict__.items()},
                              "seconds": {}, "tables": {}, "checks": {}, "sources": {}}
@@ -74,10 +63,8 @@ class _Run:
     def claim(self) -> None:
         """Take the root, or refuse one that a run has already reported in; touches nothing then."""
         try:
-            save_report(self.spark, self.report, self.report_path, mode="errorifexists")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
+            self.folder.claim(self.report)
+        except FileExistsError as error:
             raise FileExistsError(f"{self.root} holds the report of another run") from error
 
     @contextlib.contextmanager
@@ -88,6 +75,7 @@ class _Run:
                 yield
         finally:
             self.report["seconds"][name] = round(time.perf_counter() - begin, 3)
+        self.folder.save(self.report)
 
     def read(self, layer: str, name: str) -> DataFrame:
         return read_table(self.spark, self.root, layer, name, self.opts.fmt)
@@ -97,8 +85,8 @@ class _Run:
         seen = Observation()
         with self.phase(f"{layer}.{name}"):
             write_table(df, self.root, layer, name, self.opts, observe=(seen, list(metrics)) if metrics else None, **how)
-        found = dict(seen.get) if metrics else {}
-        self.report["tables"][f"{layer}/{name}"] = {"rows": found.get("rows", found.get("impressions"))}
+            found = dict(seen.get) if metrics else {}
+            self.report["tables"][f"{layer}/{name}"] = {"rows": found.get("rows", found.get("impressions"))}
         return found
 
     def finish(self, started: float) -> None:
@@ -107,7 +95,7 @@ class _Run:
             seconds[label] = round(sum(v for k, v in seconds.items() if k.startswith(prefixes)), 3)
         seconds["total"] = round(time.perf_counter() - started, 3)
         self.report["finished_at"] = _now()
-        save_report(self.spark, self.report, self.report_path)
+        self.folder.save(self.report)
 
 
 def _now() -> str:
@@ -148,7 +136,8 @@ def _layers(run: _Run, bronze_sources: dict[str, DataFrame]) -> None:
     for name in SOURCES:
         silver = tx.silver_table(name, run.read("bronze", name), run.opts)
         if name == "impressions":
-            facts = run.write(silver, "silver", name, qc.observed_facts(), partition_by=run.opts.partition_by)
+            facts = run.write(silver, "silver", name, qc.observed_facts(), partition_by=run.opts.partition_by,
+                              cluster_by=run.opts.cluster_by)
         else:
             run.write(silver, "silver", name, [F.count(F.lit(1)).alias("rows")])
     silver = {name: run.read("silver", name) for name in SOURCES}

@@ -15,6 +15,8 @@ PRESETS: dict[str, tuple[Options, str]] = {
     "zstd": (CONTROL.with_(codec="zstd"), "L2: ZSTD instead of Snappy"),
     "date_partitioned": (CONTROL.with_(codec="zstd", partition_by=("reporting_date",)),
                          "L3: silver impressions partitioned by reporting_date"),
+    "date_clustered": (CONTROL.with_(codec="zstd", cluster_by=("reporting_date", "timestamp_seconds")),
+                       "L3: silver impressions sorted by reporting_date within files"),
     "ads_merge": (CONTROL.with_(ads_join="merge"), "L4: sort-merge join for the ads dimension"),
     "profiles_merge": (CONTROL.with_(profile_join="merge"), "L5: sort-merge join for profiles"),
     "ads_broadcast": (CONTROL.with_(ads_join="broadcast", profile_join="broadcast"),

@@ -9,11 +9,13 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[int, str] = {}
 _SCRATCH: dict[str, list[str]] = {}
+_KEPT: dict[str, dict[tuple, str]] = {}
 
 
 def build_session(master: str = "local[8]", app: str = "adlake", *, shuffle_partitions: int = 8,
@@ -83,9 +85,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_table(spark: SparkSession, key: tuple, build: Callable[[], str]) -> str:
+    """The path that ``build`` gave for ``key`` in this application, built again after a release."""
+    kept = _KEPT.setdefault(spark.sparkContext.applicationId, {})
+    if key not in kept:
+        path = build()  # which may keep others
+        kept = _KEPT.setdefault(spark.sparkContext.applicationId, {})
+        kept[key] = path
+    return kept[key]
+
+
 def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables of this application, whose DataFrames can't be read after it.
-    Returns how many there were. For use between jobs of a long session."""
+    """Delete the scratch tables of this application, whose DataFrames can't be read after it;
+    tables kept for later use are built anew when they are next asked for. Returns how many there
+    were. For use between jobs of a long session."""
+    _KEPT.pop(spark.sparkContext.applicationId, None)
     paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

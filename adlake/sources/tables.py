@@ -14,6 +14,10 @@ from adlake.session import delta_available
 from adlake.sources.csv import read_impressions_csv
 
 
+#: Row-group size of clustered tables.
+CLUSTER_GROUP_BYTES = 16 * 1024 * 1024
+
+
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
@@ -34,22 +38,30 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, fmt: str =
 
 
 def write_table(df: DataFrame, root: str, layer: str, name: str, opts: Options | None = None,
-                *, partition_by: tuple[str, ...] = (), observe: tuple[Observation, list[Column]] | None = None) -> str:
+                *, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (), observe: tuple[Observation, list[Column]] | None = None) -> str:
     """Create-only write with the run's format, codec and optional partitioning.
 
     Rows of a partitioned write are rebalanced by the partition columns: one hash shuffle
     without a sampling pass, in which adaptive execution splits a hot partition value over
-    several tasks and puts small ones together. ``observe`` collects metrics of the rows
-    while the last stage writes them, whose tasks count once however often they are retried."""
+    several tasks and puts small ones together. A clustered write deals rows by ranges of the given
+    columns (a sampling pass over those columns, then one shuffle) and sorts them within files,
+    whose row groups are small enough (CLUSTER_GROUP_BYTES) that their smallest and largest values
+    let a reader skip nearly all others. So files are as many as bytes call for, not as values do;
+    a second column splits a value that is too frequent for one task. ``observe`` collects metrics
+    of the rows while the last stage writes them, whose tasks count once however often they are retried."""
     opts = opts or Options()
     path = table_path(root, layer, name)
+    if partition_by and cluster_by:
+        raise ValueError("a table is partitioned by columns or clustered by them")
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     if observe:
         df = df.observe(observe[0], *observe[1])
     writer = df.write.format(_format(opts.fmt)).mode("errorifexists").option("compression", opts.codec)
     if opts.fmt == "parquet":
-        writer = writer.option("parquet.block.size", opts.row_group_bytes)
+        writer = writer.option("parquet.block.size", min(opts.row_group_bytes, CLUSTER_GROUP_BYTES) if cluster_by else opts.row_group_bytes)
     if opts.fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:

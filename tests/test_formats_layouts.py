@@ -1,6 +1,9 @@
 """Format round trip (CSV vs Parquet), codecs, date partitioning and table detail."""
 from __future__ import annotations
 
+import datetime as dt
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from adlake.operators.storage import codec_audit, storage_totals
 from adlake.plans.inspect import plan_text
 from adlake.plans.pipeline import gold_table, run_pipeline
 from adlake.sources.csv import read_impressions_csv, read_source_csv, write_typed_csv
-from adlake.sources.tables import csv_to_parquet, table_detail
+from adlake.sources.tables import csv_to_parquet, table_detail, write_table
 from conftest import IMPRESSIONS, write_sources
 
 DAY_START = 1494172800  # 2017-05-08T00:00:00+08:00
@@ -110,3 +113,42 @@ def test_silver_from_events_matches_reporting_zone(spark):
     bad = s.filter(F.col("reporting_date") != F.to_date(
         F.from_unixtime(F.col("timestamp_seconds") + 8 * 3600, "yyyy-MM-dd"))).count()
     assert bad == 0
+
+
+def test_a_frequent_value_is_split_by_the_second_column(spark, tmp_path):
+    from adlake.session import conf_scope
+    rows = spark.range(0, 100_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(7).alias("day"))
+    with conf_scope(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        path = write_table(rows, str(tmp_path), "silver", "t", cluster_by=("day", "id"))
+    per_file = [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_name").count().collect()]
+    assert len(per_file) >= 6 and max(per_file) < 25_000
+    with pytest.raises(ValueError, match="clustered"):
+        write_table(rows, str(tmp_path), "silver", "u", cluster_by=("id",), partition_by=("day",))
+
+
+def test_clustered_layout_is_sorted_and_skips_row_groups(spark, tmp_path):
+    """A clustered table keeps few files; a one-day read touches only the row groups that may hold the day."""
+    import pyarrow.parquet as pq
+    from adlake.sources import tables
+    rows = spark.range(0, 200_000, 1, 16).select(
+        F.col("id"), F.expr("date_add(date'2024-01-01', cast(id % 400 as int))").alias("day"), F.expr("md5(cast(id as string))").alias("v"))
+    held = tables.CLUSTER_GROUP_BYTES
+    tables.CLUSTER_GROUP_BYTES = 256 * 1024
+    try:
+        path = tables.write_table(rows, str(tmp_path), "silver", "t", cluster_by=("day",))
+        folders = tables.write_table(rows, str(tmp_path), "silver", "folders", partition_by=("day",))
+    finally:
+        tables.CLUSTER_GROUP_BYTES = held
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) <= 8 < len(os.listdir(folders))
+    overlapping = groups = 0
+    for f in files:
+        meta = pq.ParquetFile(f"{path}/{f}").metadata
+        bounds = [(s.min, s.max) for s in (meta.row_group(g).column(1).statistics for g in range(meta.num_row_groups))]
+        assert bounds == sorted(bounds) and all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))
+        groups += len(bounds)
+        overlapping += sum(a <= dt.date(2024, 3, 5) <= b for a, b in bounds)
+    assert groups > 8 and overlapping <= 2
+    day = spark.read.parquet(path).filter("day = date'2024-03-05'")
+    assert day.count() == 500 and "PushedFilters: [IsNotNull(day), EqualTo(day,2024-03-05)]" in plan_text(day, "formatted")
+    assert spark.read.parquet(path).exceptAll(rows).isEmpty() and spark.read.parquet(path).count() == 200_000
