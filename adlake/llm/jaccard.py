@@ -42,14 +42,31 @@ FREQUENT, BLOCK_ROWS, NEAREST = 64, 256, 2
 BITMAP_BITS, PARITY, COLUMN_BLOCKS = 26, 4, 8
 #: Sets a task remembers, so that copies within it bring their columns once.
 SEEN = 200_000
+#: Words whose hashes a worker remembers, about 150 bytes each.
+WORDS = 300_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # any odd numbers serve
 
 
+_WORDS: dict[bytes, bytes] = {}
+
+
+def _digests(words: list[bytes]) -> list[bytes]:
+    """The words' 64-bit hashes; each distinct word is hashed once per worker, as long as WORDS are enough."""
+    try:
+        return [_WORDS[w] for w in words]
+    except KeyError:
+        for w in words:
+            if w not in _WORDS:
+                if len(_WORDS) >= WORDS:
+                    _WORDS.clear()
+                _WORDS[w] = xxhash.xxh64_digest(w)
+        return [_WORDS[w] if w in _WORDS else xxhash.xxh64_digest(w) for w in words]
+
+
 def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
     """Hashes of the distinct shingles in order; of the whole word sequence if that is shorter."""
-    digest = xxhash.xxh64_intdigest
-    words = np.array([digest(w) for w in text.translate(_LOWER).split()], dtype=np.uint64)
+    words = np.frombuffer(b"".join(_digests(text.translate(_LOWER).split())), dtype="<u8")
     width = min(width, len(words))
     if not width:
         return np.zeros(0, np.int64)
@@ -58,7 +75,8 @@ def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
     for k in range(width):
         h = h * _ODD + words[k:k + count]
     h = (h ^ (h >> np.uint64(32))) * _MIX
-    return np.unique((h ^ (h >> np.uint64(29))).view(np.int64))
+    columns = np.sort((h ^ (h >> np.uint64(29))).view(np.int64))
+    return columns[np.r_[True, columns[1:] != columns[:-1]]]
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -146,35 +164,50 @@ def _summaries(source: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _late_prefixes(texts: DataFrame, width: int, percent: int, frequent) -> DataFrame:
-    """(k1, k2, n, prefix) of sets with a frequent column among their first ones, those columns put last."""
+    """(k1, k2, n, prefix, added) of sets with a frequent column among their first ones: the first ones once those
+    columns are put last, and which of them were not among the first ones before."""
     def emit(part, sets, keys, new):
         rows = []
         for s, key, first in zip(sets, keys.tolist(), new):
             size = prefix_size(len(s), percent)
             if first and frequent.value.of(s[:size]).any():
                 late = frequent.value.of(s)
-                rows.append((*key, len(s), np.concatenate([s[~late], s[late]])[:size]))
+                prefix = np.concatenate([s[~late], s[late]])[:size]
+                rows.append((*key, len(s), prefix, prefix[prefix > s[size - 1]]))
         if rows:
-            k1, k2, n, prefix = zip(*rows)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (k1, k2, n)), _lists(list(prefix))],
-                                             names=["k1", "k2", "n", "prefix"])
+            k1, k2, n, prefix, added = zip(*rows)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (k1, k2, n)), _lists(list(prefix)), _lists(list(added))],
+                                             names=["k1", "k2", "n", "prefix", "added"])
+
+    return _each_set(texts, "__text", width, emit, "k1 long, k2 long, n long, prefix array<long>, added array<long>")
 
-    return _each_set(texts, "__text", width, emit, "k1 long, k2 long, n long, prefix array<long>")
 
+def _columns_in(held: DataFrame, prefix: str, columns) -> DataFrame:
+    """The columns of all prefixes that a bitmap has, one row each time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(0).flatten().to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(found[columns.value.of(found)])], names=["column"])
+
+    return held.select(prefix).mapInArrow(run, "column long")
 
-def _prefix_rows(rows: DataFrame, frequent, shared) -> DataFrame:
-    """(column, k1, k2, n): the prefixes without frequent columns, as far as their columns are shared."""
+
+def _entries(held: DataFrame, shared, frequent=None) -> DataFrame:
+    """(column, k1, k2, n) of the prefixes, as far as their columns are shared. ``frequent`` leaves out the sets
+    that have a frequent column, whose prefixes are others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.repeat(np.arange(batch.num_rows), batch.column("__prefix").value_lengths().to_numpy())
-            column = batch.column("__prefix").flatten().to_numpy()
-            late = np.unique(at[frequent.value.of(column)])
-            use = shared.value.of(column) & ~np.isin(at, late)
-            own = [pa.array(batch.column(c).to_numpy()[at[use]]) for c in ("__k1", "__k2", "__n")]
+            at = np.repeat(np.arange(batch.num_rows), batch.column("prefix").value_lengths().to_numpy())
+            column = batch.column("prefix").flatten().to_numpy()
+            use = shared.value.of(column)
+            if frequent is not None:
+                late = np.zeros(batch.num_rows, dtype=bool)
+                late[at[frequent.value.of(column)]] = True
+                use &= ~late[at]
+            own = [pa.array(batch.column(c).to_numpy()[at[use]]) for c in ("k1", "k2", "n")]
             yield pa.RecordBatch.from_arrays([pa.array(column[use]), *own], names=["column", "k1", "k2", "n"])
 
-    return rows.filter("__prefix IS NOT NULL").select("__prefix", "__k1", "__k2", "__n").mapInArrow(
-        run, "column long, k1 long, k2 long, n long")
+    return held.select("prefix", "k1", "k2", "n").mapInArrow(run, "column long, k1 long, k2 long, n long")
 
 
 def _possible(a, b, percent: int):
@@ -214,15 +247,20 @@ class _Join:
         best = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("__uid").alias("uid"))
         self.classes = materialize(rows.filter("__n > 0").groupBy(F.col("__k1").alias("k1"), F.col("__k2").alias("k2")).agg(
             F.min(best).alias("best"), F.max("__n").alias("n")).withColumn("cid", F.col("best.uid")), "jaccard-classes")
-        first = rows.filter("__prefix IS NOT NULL").select(F.explode("__prefix").alias("column"))
-        counts = materialize(first.groupBy("column").count().filter("count > 1"), "jaccard-columns")
+        first = rows.filter("__prefix IS NOT NULL").select(F.col("__prefix").alias("prefix"), F.col("__k1").alias("k1"),
+                                                           F.col("__k2").alias("k2"), F.col("__n").alias("n"))
+        counts = materialize(first.select(F.explode("prefix").alias("column")).groupBy("column").count().filter("count > 1"),
+                             "jaccard-columns")
         frequent = bitmap(counts.filter(F.col("count") > frequent_rows), "column")
         late = materialize(_late_prefixes(texts, width, percent, frequent), "jaccard-late")
-        late_rows = late.select(F.explode("prefix").alias("column"), "k1", "k2", "n")
-        shared = bitmap(counts.select("column").unionByName(late_rows.select("column")), "column")
-        entries = _prefix_rows(rows, frequent, shared).unionByName(late_rows).join(self.classes.select("k1", "k2", "cid"), ["k1", "k2"])
+        # a column that late prefixes added is shared if two of them added it, or if it was a first one elsewhere
+        added = late.select(F.explode("added").alias("column"))
+        again = added.unionByName(_columns_in(first, "prefix", bitmap(added, "column"))).groupBy("column").count().filter("count > 1")
+        shared = bitmap(counts.select("column").unionByName(again.select("column")), "column")
+        entries = _entries(first, shared, frequent).unionByName(_entries(late, shared)).join(
+            self.classes.select("k1", "k2", "cid"), ["k1", "k2"])
         self.entries = materialize(entries.select("column", "cid", "n").distinct(), "jaccard-entries")
-        self.sets: DataFrame | None = None
+        self.tried: DataFrame | None = None
 
     def _brought(self, wanted: DataFrame, column: str) -> DataFrame:
         """(cid, column) for the wanted classes."""
@@ -248,6 +286,7 @@ class _Join:
     def _multiplied(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links."""
         percent = self.percent
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
         both = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         sets = materialize(self._whole_sets(both), "jaccard-sets")
 
@@ -267,7 +306,7 @@ class _Join:
         percent, e = self.percent, self.entries
         lists = e.groupBy("column").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("n", "cid")).alias("top")).filter("m > 1")
         pairs = e.join(lists, "column").filter("cid != top.cid").filter(_possible(F.col("n"), F.col("top.n"), percent)).select(
-            F.col("top.cid").alias("a"), F.col("cid").alias("b"), F.col("top.n").alias("na"), F.col("n").alias("nb")).distinct()
+            F.least("top.cid", "cid").alias("a"), F.greatest("top.cid", "cid").alias("b"), (F.col("top.n") + F.col("n")).alias("size")).distinct()
         pairs = materialize(pairs, "jaccard-stars")
         both = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         held = materialize(self._brought(both, "__parity"), "jaccard-parities")
@@ -275,17 +314,17 @@ class _Join:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
-                limit = _may_differ(batch.column("na").to_numpy() + batch.column("nb").to_numpy(), percent).tolist()
+                limit = _may_differ(batch.column("size").to_numpy(), percent).tolist()
                 near = [differing(np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)) <= k for p, q, k in zip(x, y, limit)]
                 yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
         left = pairs.join(held.select(F.col("cid").alias("a"), F.col("__parity").alias("x")), "a")
         full = left.join(held.select(F.col("cid").alias("b"), F.col("__parity").alias("y")), "b")
-        return self._multiplied(materialize(full.select("a", "b", "na", "nb", "x", "y").mapInArrow(run, "a long, b long"), "jaccard-near"))
+        return self._multiplied(materialize(full.select("a", "b", "size", "x", "y").mapInArrow(run, "a long, b long"), "jaccard-near"))
 
     def open_links(self, roots: DataFrame, nearest: int | None) -> DataFrame | None:
         """Links between components within lists that still hold several; the ``nearest`` candidates
-        of each class and other component, or all. None if no list is open."""
+        of each class and other component, or all. None if no list is open, or nothing in them is left to try."""
         percent, rows = self.percent, self.block_rows
         named = self.entries.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
         lists = named.groupBy("column").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("low"), F.max("root").alias("high"),
@@ -304,7 +343,8 @@ class _Join:
             "column", "c.i", "c.j", "cid", "n", "root", "__parity")
         together = cells.repartition("column", "i", "j").sortWithinPartitions("column", "i", "j")
         near = together.mapInArrow(lambda batches: _near_in_blocks(batches, percent, nearest), "a long, b long")
-        return self._multiplied(materialize(near.distinct(), "jaccard-near"))
+        near = materialize(near.distinct().join(self.tried, ["a", "b"], "left_anti"), "jaccard-near")
+        return None if near.isEmpty() else self._multiplied(near)
 
 
 def _may_differ(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -369,19 +409,20 @@ def _folded(p: np.ndarray, size: int) -> np.ndarray:
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, carry: tuple[str, ...],
             frequent_rows: int, block_rows: int) -> tuple[_Join, DataFrame]:
-    """The join's tables and all links found, as class pairs (a, b) that span the components."""
+    """The join's tables and the classes' components as (node, root) of all classes but the roots."""
     texts = docs.select(text_column(docs, text_col).alias("__text"))
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), text_column(docs, text_col).alias("__text"),
                          *[docs[f"`{c}`"] for c in carry])
     rows = _summaries(source, width, percent).withColumn("__uid", F.monotonically_increasing_id())
     join = _Join(materialize(rows, "jaccard-rows"), texts, width, percent, frequent_rows, block_rows)
     links = materialize(join.star_links(), "jaccard-links")
+    roots = components(links)
     for nearest in (NEAREST, None):
-        more = join.open_links(components(links), nearest)
-        if more is None:
-            break
-        links = materialize(links.unionByName(more), "jaccard-links")
-    return join, links
+        more = join.open_links(roots, nearest)
+        if more is not None:
+            links = materialize(links.unionByName(more), "jaccard-links")
+            roots = components(links)
+    return join, roots
 
 
 TAKEN = ("doc_id", "n_shingles", "component_id", "kept", "__text", "__n", "__k1", "__k2", "__prefix", "__parity", "__uid", "k1", "k2", "first")
@@ -398,8 +439,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone has a null component_id. Repeated rows have equal sets and so one component. An empty table
     gives an empty result. ``carry`` columns may not have the result's names."""
     refuse_clashes(carry, TAKEN)
-    join, links = _joined(docs, id_col, text_col, width, percent, carry, frequent_rows, block_rows)
-    named = join.classes.join(components(links).withColumnRenamed("node", "cid"), "cid", "left").select(
+    join, roots = _joined(docs, id_col, text_col, width, percent, carry, frequent_rows, block_rows)
+    named = join.classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "k1", "k2", F.coalesce("root", "cid").alias("root"), "best")
     firsts = named.groupBy("root").agg(F.min("best").alias("first"))
     owner = materialize(named.join(firsts, "root").select("k1", "k2", "first"), "jaccard-owners")
