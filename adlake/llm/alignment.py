@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from adlake.llm.common import materialize, refuse_clashes, slices, text_column
-from adlake.llm.tokens import CACHE_CHUNKS, CACHED_CHARS, VOCABULARY, encoder, vocabulary_paths
+from adlake.llm.tokens import _JOINED, CACHE_CHUNKS, CACHED_CHARS, VOCABULARY, encoder, vocabulary_paths
 
 PIECES = "piece_bpe_32k.model"
 #: Text of a block and of an alignment at once, in bytes, and the longest stretch of a text, in characters.
@@ -82,6 +82,7 @@ class Sides:
         self.space = [self.model.piece_to_id("\u2581")]
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
         self.known: dict[str, bytes | None] = {}
+        self.words: dict[str, tuple[bytes, bytes] | None] = {}
         # each id as text, followed by each separator
         self.marked = [f"{i}{mark}" for i in range(max(len(plain), len(self.a_bytes))) for mark in ",|;"]
 
@@ -92,8 +93,36 @@ class Sides:
             return None
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _whole(self, text: str) -> bytes | None:
+        """A's ids; None if their bytes differ from the text's."""
+        ids = self.a(text)
+        same = b"".join([self.a_bytes[i] for i in np.frombuffer(ids, "<u4").tolist()]) == text.encode()
+        return ids if same else None
+
+    def _word(self, word: str) -> tuple[bytes, bytes] | None:
+        found = self.words.get(word, 0)
+        if found == 0:
+            a, b = self._whole(f" {word}"), self._chunk(f" {word}")
+            found = None if a is None or b is None else (a, b)
+            if len(word) <= CACHED_CHARS:
+                if len(self.words) >= CACHE_CHUNKS:
+                    self.words.clear()
+                self.words[word] = found
+        return found
+
     def encode(self, stretch: str) -> tuple[np.ndarray, np.ndarray] | None:
         """A's and B's ids of a space and the stretch; None where either's bytes differ from them."""
+        if not _JOINED.search(f" {stretch}"):
+            # every space is followed by a character that isn't white space: both sides cut at every space
+            words = stretch.split(" ")
+            try:
+                found = [self.words[w] for w in words]
+            except KeyError:
+                found = [self._word(w) for w in words]
+            if None in found:
+                return None
+            a, b = zip(*found)
+            return np.frombuffer(b"".join(a), "<u4"), np.frombuffer(b"".join(b), "<u4")
         text, known, parts = " " + stretch, self.known, []
         for chunk in _CHUNK.findall(text):
             ids = known.get(chunk, 0)
@@ -106,10 +135,8 @@ class Sides:
             if ids is None:
                 return None
             parts.append(ids)
-        a = np.frombuffer(self.a(text), "<u4")
-        if b"".join([self.a_bytes[i] for i in a.tolist()]) != text.encode():
-            return None
-        return a, np.frombuffer(b"".join(parts), "<u4")
+        a = self._whole(text)
+        return None if a is None else (np.frombuffer(a, "<u4"), np.frombuffer(b"".join(parts), "<u4"))
 
 
 def sides(names: tuple[str, str], pieces: str) -> Sides:
