@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame
 from adlake.llm.common import slices, text_column
 from adlake.llm.html_templates import MAIN_MARK, template_page
 
-TRAINING_PAGES, SEED = 700, 9
+TRAINING_PAGES, SEED = 800, 9
 TREES, DEPTH, RATE, BINS, LEAF_WEIGHT = 60, 4, 0.2, 48, 1.0
+#: Attribute tokens and tags of fewer training nodes get no score.
+RARE = 12
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr "
                    # formulas are part of the text around them
@@ -64,7 +66,10 @@ class Tree(HTMLParser):
         self.text: list[list[str] | None] = [None]
         self.links, self.controls = [0], [0]
         self.open = [("#root", 0)]
-        self.counts = Counter()  # of open elements, by name
+        #: Places in ``open``: of each name's elements; of blocks; of the boundaries; and for each element the
+        #: nearest one from it downwards that is no noscript. So no tag ever searches the open elements.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.block_places, self.boundaries, self.under = [0], [], [0]
         self.hidden = 0
         self.leaf = -1
         self.feed(_CUT_TAG.sub("", html))
@@ -80,28 +85,38 @@ class Tree(HTMLParser):
         return len(self.tag) - 1
 
     def _push(self, tag: str, node: int) -> None:
+        k = len(self.open)
         self.open.append((tag, node))
-        self.counts[tag] += 1
+        self.places[tag].append(k)
+        if tag not in INLINE:
+            self.block_places.append(k)
+        if tag in BOUNDARY:
+            self.boundaries.append(k)
+        self.under.append(self.under[-1] if tag == "noscript" else k)
         self.hidden += tag in HIDDEN
 
     def _cut(self, k: int) -> None:
         """Close the elements from place k on."""
         for tag, _ in self.open[k:]:
-            self.counts[tag] -= 1
+            self.places[tag].pop()
             self.hidden -= tag in HIDDEN
-        del self.open[k:]
+        del self.open[k:], self.under[k:]
+        for places in (self.block_places, self.boundaries):
+            while places and places[-1] >= k:
+                places.pop()
+
+    def _last(self, tag: str) -> int:
+        """The place of the innermost open element of that name, or -1."""
+        places = self.places.get(tag)
+        return places[-1] if places else -1
 
     def _end_head(self) -> None:
         """Close an open head that what comes next can't stand in, whose end tag was left out."""
-        k = len(self.open) - 1
-        while self.open[k][0] == "noscript":
-            k -= 1
-        while self.open[k][0] == "head":
+        while self.open[k := self.under[-1]][0] == "head":
             self._cut(k)
-            k -= 1
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.counts["head"] and tag not in IN_HEAD:
+        if self.places["head"] and tag not in IN_HEAD:
             self._end_head()
         if tag in CONTROLS:
             self.controls[self.open[-1][1]] += 1
@@ -114,14 +129,14 @@ class Tree(HTMLParser):
         self.leaf = -1
         if tag in VOID:
             return
-        closed = CLOSES.get(tag, frozenset())
-        for k in range(0 if tag in PHRASING else len(self.open) - 1, 0, -1):
-            name = self.open[k][0]
-            if name in closed or name == "p":
-                self._cut(k)
-                break
-            if name in BOUNDARY or name not in INLINE and not closed:
-                break
+        if tag not in PHRASING:
+            closed = CLOSES.get(tag)
+            if closed:
+                k = max(self._last(name) for name in ("p", *closed))
+                if k > (self.boundaries[-1] if self.boundaries else 0):
+                    self._cut(k)
+            elif self.open[self.block_places[-1]][0] == "p":
+                self._cut(self.block_places[-1])
         words = (w for key, value in attrs if key in ("class", "id", "role", "itemprop") and value for w in _TOKEN.findall(value))
         self._push(tag, self._node(tag, tuple(w.lower() for w in words)))
 
@@ -131,17 +146,12 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self.leaf = -1
-        if not self.counts[tag]:
-            return
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                self._cut(k)
-                return
-            if tag in INLINE and self.open[k][0] not in INLINE:
-                return
+        k = self._last(tag)
+        if k > 0 and (tag not in INLINE or k > self.block_places[-1]):
+            self._cut(k)
 
     def handle_data(self, data: str) -> None:
-        if self.counts["head"] and data.strip():
+        if self.places["head"] and data.strip():
             self._end_head()
         if self.hidden:
             return
@@ -305,7 +315,8 @@ class Extractor:
                 else:
                     t.text[v] = [s.replace(MAIN_MARK, "") for s in t.text[v]]
             labels.append(main[1:])
-        self.tags, self.tokens = ({k: math.log(b / a) for k, (a, b) in found.items()} for found in (tags, tokens))
+        # a name that few nodes carry says nothing, as one that was never seen
+        self.tags, self.tokens = ({k: math.log(b / a) for k, (a, b) in found.items() if a + b >= RARE + 2} for found in (tags, tokens))
         x = np.concatenate([features(t, blocks(t), self.tags, self.tokens)[1:] for t in trees])
         self.model = Trees(x, np.concatenate(labels).astype(float))
 

@@ -2,7 +2,9 @@
 
 Every run of main text starts with MAIN_MARK (a private-use character), which the trainer
 reads as the label and removes. Layouts, containers, attribute names and what surrounds or
-interrupts the article are drawn at random; words are made of syllables.
+interrupts the article are drawn at random; words are made of syllables, and so are many of the
+names, since pages needn't use the usual ones. Some pages hold next to nothing, some no
+article, and an article may hold paragraphs that are whole links.
 """
 from __future__ import annotations
 
@@ -47,8 +49,14 @@ class _Page:
         mark = self.pick([".", ".", ".", "!", "?", "!!", " ***"])
         return " ".join(self.words(1, 16).capitalize() + self.pick([".", ".", mark, ""]) for _ in range(n))
 
-    def wrap(self, tag: str, inner: str, names: list[str] = ()) -> str:
+    def made_up(self) -> str:
+        """A name that no list of usual names has."""
+        return self.pick(["-", "_", ""]).join(self.words(1, 1) for _ in range(int(self.rng.integers(1, 3))))
+
+    def wrap(self, tag: str, inner: str, names: list[str] = (), strange: float = 0.1) -> str:
         name = self.pick(names) if len(names) and self.chance(0.85) else ""
+        if len(names) and self.chance(strange):
+            name = self.made_up()
         attr = f' {self.pick(["class", "class", "id"])}="{name}"' if name else ""
         return f"<{tag}{attr}>{inner}</{tag}>"
 
@@ -108,29 +116,59 @@ class _Page:
         end = "" if tag == "p" and not self.closes and self.chance(0.7) else f"</{tag}>"
         return f"<{tag}>{MAIN_MARK}{inner}{end}"
 
+    def linked(self, inner: str) -> str:
+        return f'<a href="/{self.words(1, 1)}">{inner}</a>'
+
     def paragraph(self) -> str:
         n = int(self.rng.integers(1, 3)) if self.chance(0.35) else int(self.rng.integers(2, 14))
         text = self.words(1, 2).capitalize() + "." if self.chance(0.12) else self.sentences(n)
-        if self.chance(0.15):
+        kind = self.rng.random()
+        if kind < 0.06:
+            text = self.linked(self.words(2, 9).capitalize() + self.pick(["", "."]))
+        elif kind < 0.2:
             text = f"<b>{text}" + self.pick(["</b>", "<br>", "<br></b>"])
-        elif self.chance(0.1):
-            text += f' <a href="/x">{self.words(1, 4)}</a> {self.sentences(1)}'
-        return self.main("p", text)
+        elif kind < 0.28:
+            text += f" {self.linked(self.words(1, 4))} {self.sentences(1)}"
+        elif kind < 0.31:
+            text = f"{self.words(1, 2).capitalize()} {', '.join(self.linked(self.words(1, 4)) for _ in range(3))}."
+        return self.main(self.pick(["p"] * 12 + ["div"]), text)
+
+    def heading(self, tag: str) -> str:
+        found = self.main(tag, self.words(1, 12 if tag == "h1" else 8).capitalize())
+        return self.wrap(self.pick(["div", "header"]), found, ["title", "heading", "headline", "entry-header"], 0.4) if self.chance(0.12) else found
+
+    def block(self) -> str:
+        """A block that is no paragraph."""
+        items = int(self.rng.integers(2, 7))
+        kind = int(self.rng.integers(7))
+        if kind < 2:
+            tag = self.pick(["ul", "ul", "ol"])
+            linked = self.chance(0.2)
+            return f"<{tag}>" + "".join(self.main("li", self.linked(self.words(2, 8)) if linked and self.chance(0.6) else self.pick(
+                [self.words(1, 25), self.sentences(1)])) for _ in range(items)) + f"</{tag}>"
+        if kind == 2:
+            return "<dl>" + "".join(self.main("dt", self.words(1, 3)) + self.main("dd", self.sentences(1)) for _ in range(items)) + "</dl>"
+        if kind == 3:
+            head = "<tr>" + "".join(self.main("th", self.words(1, 2)) for _ in range(2)) + "</tr>" if self.chance(0.5) else ""
+            return "<table>" + head + "".join("<tr>" + self.main("td", self.words(1, 4)) * 2 + "</tr>" for _ in range(items)) + "</table>"
+        return self.pick([self.main("blockquote", self.sentences(2)), self.main("pre", self.words(5, 40)),
+                          f"<blockquote>{self.main('p', self.sentences(2))}</blockquote>",
+                          f"<figure><img src=x>{self.main('figcaption', self.sentences(1))}</figure>"])
 
     def body(self) -> str:
-        parts = [self.main("h1", self.words(1, 12).capitalize())] if self.chance(0.8) else []
+        parts = [self.heading("h1" if self.chance(0.8) else "h2")] if self.chance(0.8) else []
         if self.chance(0.2):
             parts.append(self.share())
-        for _ in range(int(self.rng.integers(1, 4)) if self.chance(0.3) else int(self.rng.integers(2, 25))):
+        sections = self.chance(0.12)
+        for _ in range(int(self.rng.integers(1, 4)) if self.chance(0.35) else int(self.rng.integers(2, 25))):
             parts.append(self.paragraph())
+            if sections and self.chance(0.5):
+                parts.append(self.wrap("section", self.heading("h2") * self.chance(0.8) + "".join(
+                    self.paragraph() for _ in range(int(self.rng.integers(1, 4)))), ["section", "chapter", "", ""], 0.4))
             if self.chance(0.05):
-                parts.append(self.main("h2", self.words(1, 8)))
-            if self.chance(0.03):
-                parts.append("<ul>" + "".join(self.main("li", self.words(1, 25)) for _ in range(4)) + "</ul>")
-            if self.chance(0.03):
-                parts.append(self.pick([self.main("blockquote", self.sentences(2)), self.main("pre", self.words(5, 40)),
-                                        f"<figure><img src=x>{self.main('figcaption', self.sentences(1))}</figure>",
-                                        "<table>" + "".join("<tr>" + self.main("td", self.words(1, 4)) * 2 + "</tr>" for _ in range(3)) + "</table>"]))
+                parts.append(self.heading(self.pick(["h2", "h2", "h3"])))
+            if self.chance(0.06):
+                parts.append(self.block())
             if self.chance(0.03):
                 parts.append(self.pick([self.ad, self.side, self.share, self.form, self.notice])())
         return "".join(parts)
@@ -138,29 +176,42 @@ class _Page:
     def article(self) -> str:
         inner = self.body() + (self.comments() if self.chance(0.1) else "") + (self.share() if self.chance(0.1) else "")
         kind = self.rng.random()
-        if kind < 0.55:
+        if kind < 0.45:
             return self.wrap("article", inner, MAIN_NAMES if self.chance(0.4) else ())
-        if kind < 0.7:
+        if kind < 0.6:
             return self.wrap("main", inner, MAIN_NAMES if self.chance(0.4) else ())
-        if kind < 0.95:
-            return self.wrap(self.pick(["div", "div", "section"]), inner, MAIN_NAMES[:10])
+        if kind < 0.92:
+            return self.wrap(self.pick(["div", "div", "section"]), inner, MAIN_NAMES[:10], 0.5)
         return inner
 
+    def short(self) -> str:
+        """A page of next to nothing."""
+        inner = self.heading(self.pick(["h1", "h2"])) * self.chance(0.4) + "".join(
+            self.main("p", self.pick([self.sentences(1), self.words(3, 9).capitalize() + "."])) for _ in range(int(self.rng.integers(1, 4))))
+        kind = self.rng.random()
+        if kind < 0.7:
+            inner = self.wrap(self.pick(["div", "div", "main", "article", "section"]), inner, MAIN_NAMES if self.chance(0.5) else (), 0.3)
+        return (self.nav() if self.chance(0.3) else "") + inner + (self.footer() if self.chance(0.35) else "")
+
     def page(self) -> str:
         head = (f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>{self.words(1, 8)}</title>'
                 + "<style>p{margin:0}</style>" * self.chance(0.5) + '<script>var t="</p>";go();</script>' * self.chance(0.5) + "</head><body>")
+        end = "</body></html>" * self.chance(0.85)
+        if self.chance(0.15):
+            return head + self.short() + end
         top = [part() for part, p in ((self.header, 0.4), (self.nav, 0.7), (self.notice, 0.25), (self.form, 0.15), (self.ad, 0.6),
                                       (self.side, 0.1)) if self.chance(p)]
         self.rng.shuffle(top)
-        middle = [self.article()] + ([self.comments()] if self.chance(0.25) else [])
+        middle = ([self.article()] if self.chance(0.95) else []) + ([self.comments()] if self.chance(0.25) else [])
         if self.chance(0.3):
             middle.insert(self.pick([0, len(middle)]), self.side())
         middle = "".join(middle)
         if self.chance(0.3):
-            middle = self.wrap("div", middle, ["container", "wrapper", "page", "row", "site"])
+            for _ in range(int(self.rng.integers(1, 4))):
+                middle = self.wrap("div", middle, ["container", "wrapper", "page", "row", "site", "col"], 0.3)
         elif self.chance(0.06):
             middle = f"<table><tr><td>{middle}</td><td>{self.links(3, 6)}</td></tr></table>"
         bottom = [part() for part, p in ((self.ad, 0.2), (self.side, 0.2), (self.form, 0.15), (self.notice, 0.15), (self.footer, 0.85))
                   if self.chance(p)]
         comment = "<!-- x -->" * self.chance(0.3)
-        return head + "".join(top) + comment + middle + "".join(bottom) + "</body></html>" * self.chance(0.85)
+        return head + "".join(top) + comment + middle + "".join(bottom) + end

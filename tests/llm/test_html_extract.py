@@ -121,3 +121,40 @@ def test_article_after_an_open_head(extract):
     article = "".join(f"<p>Paragraph {k} of the article, with some words in it. And some more of them.</p>" for k in range(6))
     found = extract(["<html><head><title>T</title>" + article, "<html><head><title>T</title></head><body>" + article])
     assert found[0] == found[1] and found[0].count("\n") >= 4  # the trees decide on the first one
+
+
+def test_any_shape_takes_linear_time():
+    """Tags that close others, under many open elements: doubling a page about doubles its time."""
+    import time
+    shapes = [lambda n, t=t: "<body>" + "<div>" * n + f"<{t}>x</{t}>" * n for t in ("li", "td", "dt", "option", "p")]
+    shapes += [lambda n: "<b>" * n + "<div></div>" * n, lambda n: "<b><div>" + "<i>" * n + "</b>" * n,
+               lambda n: "<head><template>" + "<noscript>" * n + "<p>x" * n, lambda n: "<p>" + "<object>" * n + "<li>x" * n]
+    for shape in shapes:
+        seconds = []
+        for n in (8_000, 64_000):
+            started = time.perf_counter()
+            Tree(shape(n))
+            seconds.append(time.perf_counter() - started)
+        assert seconds[1] < 24 * seconds[0] + 1  # 8 times the page; its square would be 64 times the time
+
+
+def test_hand_written_pages(extract):
+    """Pages that the generator didn't make: of 45 all but a few exactly, and of the text nearly all."""
+    from html_pages import PAGES
+    assert len(PAGES) >= 40
+    right = wrong = exact = 0
+    for found, (_, want) in zip(extract([page for page, _ in PAGES]), PAGES):
+        blocks_found = [b for b in found.split("\n") if b]
+        exact += blocks_found == want
+        right += sum(map(len, set(blocks_found) & set(want)))
+        wrong += sum(map(len, set(blocks_found) ^ set(want)))
+    assert exact >= 42 and wrong < 0.02 * right
+
+
+def test_linked_and_short_text_stays(extract):
+    """Of an article nothing but menus, adverts and the like goes, however little it is or much of it is links."""
+    for inner in ("<p><a href='/x'>A paragraph that is one whole link</a></p>", "<p><a href=x>One.</a> <a href=y>Two.</a></p>"):
+        page = PAGE.format(extra=inner)
+        assert extract([page])[0].split("\n")[3:] == leaves(inner)
+    for page in ("<body><div><p>Only one short note.</p></div></body>", "<html><body><p>Back soon.</p></body></html>"):
+        assert extract([page]) == ["\n".join(leaves(page))]
