@@ -9,8 +9,16 @@ Every label of the table is learned. Training takes a bounded, deterministic sam
 SAMPLE_DOCS documents per language, and of each up to SAMPLE_WORDS words in stretches spread
 over the whole text. With many languages there are fewer documents of each, then fewer
 stretches, but never fewer than LEAST_DOCS and one (or all, if a language has less). One in five sampled documents of
-a language is not trained on and calibrates the scores (temperature) and the rejection level:
-REJECT_RATE of correctly recognised calibration documents score below it.
+a language is not trained on and calibrates the scores (temperature) and rejection.
+
+Rejection has two signals. The stronger one is strangeness: how much of a text are subwords that
+training never saw, beyond what chance gives a short text. Its limit is where KNOWN_REJECT of the
+calibration documents lie above it, unless leaving labels out shows that a higher one does as well: a document's
+subwords that only its own label showed count as unseen then, which is how strange it would
+be to a model without that label. The limit may rise as long as FOREIGN_PASS of such
+documents of every label lie below it, but no further than it takes to spare all known ones. The
+other signal is the score, whose limit is halfway between an even guess and the least score of
+a right answer (REJECT_RATE of them aside).
 
 Prediction is one pass over whole texts without a shuffle. The fitted table (at most
 2^BUCKET_BITS rows of DIM numbers, 16 MB) is broadcast: its size is fixed.
@@ -34,8 +42,7 @@ SAMPLE_TOTAL, LEAST_DOCS = 16_000, 40
 WORD_CHARS, STRETCH_CHARS = 40, 600
 BUCKET_BITS, DIM, ORDERS = 18, 16, (2, 3, 4)
 EPOCHS, RATE, TABLE_RATE, SEED = 5, 0.5, 5.0, 20
-#: Rejection never goes beyond this part of the way from an even guess to certainty.
-REJECT_RATE, MAX_REJECT_SHARE = 0.001, 0.2
+REJECT_RATE, FOREIGN_PASS, KNOWN_REJECT = 0.001, 0.05, 0.01
 UNKNOWN = "und"
 #: Characters whose subwords are held at once (about 200 bytes each).
 PIECE_CHARS = 400_000
@@ -123,26 +130,51 @@ class Model:
 
     def __init__(self, languages: list[str], table: np.ndarray, weights: np.ndarray, bias: np.ndarray):
         self.languages, self.bias, self.temperature, self.level = languages, bias, 1.0, 0.0
+        #: Labels whose training texts showed a subword's row: 0, one (its number and 1), or several (-1).
+        self.seen = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
+        self.strangest = 1.0
         # The mean of rows times weights is the mean of (rows times weights): keep the narrower table.
         narrow = weights.shape[1] <= weights.shape[0]
         self.table = (table @ weights if narrow else table).astype(np.float32)
         self.weights = None if narrow else weights
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        logits, n, _ = self._read(texts, [0] * len(texts))
+        return logits, n
+
+    def _read(self, texts: list[str], without: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each text's logits, number of subwords, and how many no training text showed; what
+        only the label of number ``without`` - 1 showed counts as unseen too."""
         total, n = np.zeros((len(texts), self.table.shape[1])), np.zeros(len(texts), dtype=np.int64)
+        unseen, without = np.zeros(len(texts), dtype=np.int64), np.asarray(without)
         for parts, owners in _pieces(texts):
             rows, owner = subwords(parts)
             sums, counts = _sums(self.table[rows], owner, len(parts))
             np.add.at(total, owners, sums)
             np.add.at(n, owners, counts)
+            shown = self.seen[rows]
+            new = shown == 0
+            if without.any():
+                new |= shown == without[np.asarray(owners)[owner]]
+            np.add.at(unseen, owners, np.bincount(owner[new], minlength=len(parts)))
         mean = total / np.maximum(n, 1)[:, None]
-        return (mean if self.weights is None else mean @ self.weights) + self.bias, n
+        return (mean if self.weights is None else mean @ self.weights) + self.bias, n, unseen
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language, calibrated score, and whether the text has a letter."""
-        logits, n = self.logits(texts)
+        return self.judge(texts)[:3]
+
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``predict``, and whether the text is accepted as one of the languages."""
+        logits, n, unseen = self._read(texts, [0] * len(texts))
         p = _softmax(logits / self.temperature)
-        return p.argmax(axis=1), p.max(axis=1), n > 0
+        accepted = (n > 0) & (p.max(axis=1) >= self.level) & (strangeness(unseen, n) <= self.strangest)
+        return p.argmax(axis=1), p.max(axis=1), n > 0, accepted
+
+
+def strangeness(unseen: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Unseen subwords, less two standard deviations of such a count, as a share of all."""
+    return np.maximum(unseen - 2 * np.sqrt(unseen), 0) / np.maximum(n, 1)
 
 
 def train(texts: list[str], languages: list[str], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
@@ -180,28 +212,36 @@ def train(texts: list[str], languages: list[str], epochs: int = EPOCHS, rate: fl
         weights -= lr * np.outer(hidden, error)
         bias -= 0.01 * lr * error
     model = Model(names, table, weights, bias)
+    if examples:
+        model.seen[:] = 0
+        for (rows, _), _, y in examples:
+            shown = model.seen[rows]
+            model.seen[rows] = np.where((shown == 0) | (shown == y + 1), y + 1, -1)
     check = check or list(range(len(texts)))
     calibrate(model, [texts[k] for k in check], np.array([label[languages[k]] for k in check]))
     return model
 
 
 def calibrate(model: Model, texts: list[str], y: np.ndarray) -> None:
-    """The temperature of least log loss, then the level that REJECT_RATE of right answers miss."""
-    logits, n = model.logits(texts)
+    """The temperature of least log loss, then the limits of score and strangeness."""
+    logits, n, unseen = model._read(texts, [0] * len(texts))
     some = n > 0
     if not some.any():
         return
-    logits, y = logits[some], y[some]
+    foreign = strangeness(model._read(texts, list(y + 1))[2], n)[some]
+    logits, y, own = logits[some], y[some], strangeness(unseen, n)[some]
     losses = {}
     for t in np.geomspace(0.05, 20, 60):
         p = _softmax(logits / t)[np.arange(len(y)), y]
         losses[t] = -np.log(np.maximum(p, 1e-12)).mean() + 1e-4 * abs(np.log(t))
     model.temperature = min(losses, key=losses.get)
     p = _softmax(logits / model.temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == y]
-    level = float(np.quantile(right, REJECT_RATE)) if len(right) else 0.0
-    even = 1 / len(model.languages)
-    model.level = min(level, even + MAX_REJECT_SHARE * (1 - even))
+    right, even = p.max(axis=1)[p.argmax(axis=1) == y], 1 / len(model.languages)
+    model.level = (even + float(np.quantile(right, REJECT_RATE))) / 2 if len(right) else 0.0
+    if len(model.languages) > 1:
+        stranger = min(float(np.quantile(foreign[y == k], FOREIGN_PASS)) for k in np.unique(y))
+        known = float(np.quantile(own, 1 - KNOWN_REJECT))
+        model.strangest = max(known, min(stranger / 2, float(own.max())))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -255,9 +295,9 @@ def _predictor(spark, model: Model | None):
         model = shared.value
         if model is None:
             return [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
-        best, score, known = model.predict([t or "" for t in texts])
+        best, score, known, accepted = model.judge([t or "" for t in texts])
         return ([model.languages[b] if k else UNKNOWN for b, k in zip(best, known)],
-                [float(s) if k else 0.0 for s, k in zip(score, known)], [bool(k and s >= model.level) for s, k in zip(score, known)])
+                [float(s) if k else 0.0 for s, k in zip(score, known)], accepted.tolist())
     return predict
 
 
@@ -282,7 +322,10 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows whose language is accepted, with their own columns unchanged."""
+    """The rows whose language is accepted, with their own columns unchanged, whatever those are named.
+
+    Null texts, texts without a letter, and all texts if there is no model, are not accepted. Repeated rows
+    are judged alike, one by one; an empty table gives an empty result."""
     predict, copy = _predictor(docs.sparkSession, model), fresh(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

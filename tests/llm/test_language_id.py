@@ -168,3 +168,44 @@ def test_sample_is_bounded_in_characters_and_repeated_rows(spark, monkeypatch):
     long = [t for t in texts if len(t) > 5]
     assert long and max(map(len, long)) <= most and all(len(set(t)) > 1000 for t in long)
     assert sorted(t for t in texts if len(t) <= 5) == ["ba be", "bi bo"]
+
+
+@pytest.mark.parametrize("left_out", list(SYLLABLES))
+def test_a_label_left_out_is_rejected(left_out):
+    rng = random.Random(9)
+    use = [n for n in SYLLABLES if n != left_out]
+    names = [rng.choice(use) for _ in range(200)]
+    model = train([text(rng, n, rng.choice([5, 20, 80])) for n in names], names)
+    foreign = model.judge([text(rng, left_out, 40) for _ in range(100)])[3]
+    known = model.judge([text(rng, rng.choice(use), rng.choice([5, 40])) for _ in range(300)])[3]
+    assert foreign.mean() < 0.1 and known.mean() >= 0.97
+
+
+def test_languages_of_the_given_documents_left_out():
+    """With any one label unlearned most of its documents are rejected, and few of the others."""
+    import duckdb
+    rows = duckdb.sql("SELECT doc_id, text, lang FROM '/root/testdata/sf0.1/documents.parquet' WHERE lang IS NOT NULL AND text IS NOT NULL").fetchall()
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    for left_out in (None, *sorted({r[2] for r in rows})):
+        by = {}
+        for i, t, n in rows:
+            if zlib.crc32(str(i).encode()) % 3 != 1 and n != left_out and len(by.setdefault(n, [])) < lang.SAMPLE_DOCS:
+                by[n].append(" ".join(t.split()[:lang.SAMPLE_WORDS])[:6000])
+        model = train([t for texts in by.values() for t in texts], [n for n, texts in by.items() for _ in texts])
+        accepted = model.judge([r[1] for r in held])[3]
+        out = np.array([r[2] == left_out for r in held])
+        assert (~accepted[~out]).mean() < 0.015
+        assert not out.any() or accepted[out].mean() < 0.25
+
+
+def test_strangeness_of_short_texts(model):
+    unseen, n = np.array([0, 1, 4, 9, 100]), np.array([10, 10, 10, 10, 200])
+    assert lang.strangeness(unseen, n).tolist() == [0, 0, 0, 0.3, 0.4]
+    assert lang.strangeness(np.array([0]), np.array([0])).tolist() == [0]
+
+
+def test_what_one_label_showed_counts_as_unseen_without_it(model):
+    for k, name in enumerate(model.languages):
+        words = " ".join(text(random.Random(k), name, 30) for _ in range(3))
+        _, n, unseen = model._read([words, words], [0, k + 1])
+        assert unseen[0] < 0.02 * n[0] and unseen[1] > 0.2 * n[1]
