@@ -10,9 +10,9 @@ them back.
 Archives are made by Spark's text sink, one row per archive of about ARCHIVE_BYTES, the
 record end as line end, gzip as compression. So tasks write through the commit protocol to
 any file system Spark knows, and no archive is larger than ARCHIVE_BYTES and one record,
-which bounds what a reading task holds. The table of digests that occur more than once is
-joined to the records: broadcast while it is small, beyond that by a shuffle of the records,
-which adaptive execution splits at hot digests.
+which bounds what a reading task holds. The table of payloads that occur more than once, a row per page
+id, is joined to the records: broadcast while it is small, beyond that by a shuffle of the records
+by payload and page id, so that copies of one payload are spread.
 """
 from __future__ import annotations
 
@@ -184,7 +184,8 @@ def arc_records(data: bytes, name: str) -> Iterator[tuple[dict[str, str], bytes]
         yield dict(zip(names, values)), block
 
 
-ARC_ROW = "page_id long, url string, date string, kind string, http binary, payload binary, digest string"
+ARC_ROW = ("page_id long, url string, date string, kind string, http binary, payload binary, digest string, sha256 string, "
+           "size long, archive string, place long")
 
 
 def _split_http(block: bytes) -> tuple[bytes, bytes]:
@@ -200,16 +201,17 @@ def _header(head: bytes, name: bytes) -> bytes | None:
 def read_arc(spark: SparkSession, path: str, with_blocks: bool = True) -> DataFrame:
     """The records of all ARC files under ``path`` but the version blocks: ARC_ROW, http and
     payload empty unless ``with_blocks``. kind is response, or resource where the record
-    has no HTTP head (as dns: records)."""
+    has no HTTP head (as dns: records); archive and place name the record among all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for data, name in _files(batches):
-            for fields, block in itertools.islice(arc_records(data, name), 1, None):
+            for place, (fields, block) in itertools.islice(enumerate(arc_records(data, name)), 1, None):
                 http, payload = _split_http(block) if block.startswith(b"HTTP/") else (b"", block)
                 page_id = _header(http, ID_HEADER)
                 rows.append((int(page_id) if page_id else None, fields["URL"], fields["Archive-date"],
                              "response" if http else "resource", http if with_blocks else b"",
-                             payload if with_blocks else b"", base32_sha1(payload)))
+                             payload if with_blocks else b"", base32_sha1(payload), hashlib.sha256(payload).hexdigest(),
+                             len(payload), name.rsplit("/", 1)[-1], place))
                 held += len(block) if with_blocks else 200
                 if held >= 1 << 22:
                     yield _batch(rows, ARC_KINDS, ARC_ROW)
@@ -232,7 +234,8 @@ def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, str]]:
             yield batch.column("content")[i].as_py(), batch.column("path")[i].as_py()
 
 
-ARC_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string()]
+ARC_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int64(),
+             pa.string(), pa.int64()]
 
 
 def _batch(rows: list[tuple], kinds: list[pa.DataType], ddl: str) -> pa.RecordBatch:
@@ -242,9 +245,11 @@ def _batch(rows: list[tuple], kinds: list[pa.DataType], ddl: str) -> pa.RecordBa
 
 # --- WARC -----------------------------------------------------------------------------------
 
-def record_id(page_id: int | None, digest: str) -> str:
-    """A version 8 UUID: 58 bits of the payload digest, and the page id with nothing lost."""
-    seed = int.from_bytes(hashlib.sha256(digest.encode()).digest()[:8], "big") >> 7  # 57 bits, then whether there is an id
+def record_id(page_id: int | None, payload: str, copy: str | None = None) -> str:
+    """A version 8 UUID: 57 hashed bits, and the page id with nothing lost. ``payload`` names the payload;
+    ``copy`` tells records of one page id and payload apart."""
+    digest = hashlib.sha256((payload if copy is None else f"{payload} {copy}").encode()).digest()
+    seed = int.from_bytes(digest[:8], "big") >> 7  # 57 bits, then whether there is an id
     bits = ((seed << 1 | (page_id is not None)) << 64) | ((page_id or 0) & (1 << 64) - 1)
     high, middle, low = bits >> 74, bits >> 62 & 0xFFF, bits & (1 << 62) - 1
     return f"urn:uuid:{uuid.UUID(int=high << 80 | 8 << 76 | middle << 64 | 2 << 62 | low)}"
@@ -272,16 +277,35 @@ def warc_record(kind: str, urn: str, date: str, content_type: str, block: bytes,
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
-def to_warc(records: DataFrame, duplicates: DataFrame, min_revisit_bytes: int) -> DataFrame:
-    """Records with the id of the one they revisit: page_id of the response, or null."""
-    shared = records.join(duplicates, "digest", "left")
-    later = (F.length("payload") >= min_revisit_bytes) & (F.col("response_id").isNotNull()) & (
+#: What equal payloads share: SHA-1, SHA-256 and length.
+PAYLOAD = ("kind", "digest", "sha256", "size")
+
+
+def repeated_payloads(records: DataFrame) -> DataFrame:
+    """For payloads of several records, per page id: response_id (the largest page id of HTTP records
+    with that payload) and the first record of that page id, by archive and place."""
+    same = records.groupBy(*PAYLOAD, "page_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("archive", "place")).alias("first"))
+    payloads = same.groupBy(*PAYLOAD).agg(F.max(F.when(F.col("kind") == "response", F.col("page_id"))).alias("response_id"),
+                                          F.sum("n").alias("n")).filter("n > 1").drop("n")
+    return same.join(payloads, list(PAYLOAD)).select(*PAYLOAD, "page_id", "response_id", "first")
+
+
+def to_warc(records: DataFrame, repeated: DataFrame, min_revisit_bytes: int) -> DataFrame:
+    """Records with ``revisits``, the page id of the response that a record revisits, or null, and ``copy``, which
+    tells records of one page id and payload apart but for the first, or null."""
+    other = repeated.select(*[F.col(c).alias(f"of_{c}") for c in (*PAYLOAD, "page_id")], "response_id", "first")
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*PAYLOAD, "page_id")]
+    shared = records.join(other, same, "left")
+    later = (F.col("size") >= min_revisit_bytes) & (F.col("response_id").isNotNull()) & (
         F.col("page_id").isNull() | (F.col("page_id") < F.col("response_id")))
-    return shared.withColumn("revisits", F.when(later & (F.col("kind") == "response"), F.col("response_id")))
+    own = F.struct("archive", "place")
+    return shared.withColumn("revisits", F.when(later & (F.col("kind") == "response"), F.col("response_id"))).withColumn(
+        "copy", F.when(F.col("first").isNotNull() & (own != F.col("first")), F.concat_ws("#", "archive", "place"))).drop(
+        *[f"of_{c}" for c in (*PAYLOAD, "page_id")], "response_id", "first")
 
 
 def write_warc(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write converted records (ARC_ROW and ``revisits``) as WARC files, a warcinfo record first."""
+    """Write converted records (ARC_ROW, ``revisits`` and ``copy``) as WARC files, a warcinfo record first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
 
@@ -291,7 +315,7 @@ def write_warc(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES
                                iso_date(CRAWL_DATE), "application/warc-fields", body, [("WARC-Filename", f"part-{task:05d}.warc")])
 
         def records():
-            names = ("page_id", "url", "date", "kind", "http", "payload", "digest", "revisits")
+            names = ("page_id", "url", "date", "kind", "http", "payload", "digest", "revisits", "sha256", "copy")
             for part in slices(batches, "payload"):
                 for row in zip(*(part.column(c).to_pylist() for c in names)):
                     yield lambda _: convert(*row)
@@ -301,16 +325,18 @@ def write_warc(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES
     _sink(records.mapInArrow(run, "value binary"), path, "\r\n\r\n")
 
 
-def convert(page_id, url, date, kind, http, payload, digest, revisits) -> bytes:
+def convert(page_id, url, date, kind, http, payload, digest, revisits, sha256, copy) -> bytes:
     extra = [("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    own = record_id(page_id, sha256, copy)
     if revisits is None:
         content = "application/http; msgtype=response" if kind == "response" else "text/plain"
-        return warc_record(kind, record_id(page_id, digest), iso_date(date), content, http + payload, extra)
-    extra += [("WARC-Refers-To", f"<{record_id(revisits, digest)}>"), ("WARC-Profile", IDENTICAL_PAYLOAD)]
-    return warc_record("revisit", record_id(page_id, digest), iso_date(date), "application/http; msgtype=response", http, extra)
+        return warc_record(kind, own, iso_date(date), content, http + payload, extra)
+    extra += [("WARC-Refers-To", f"<{record_id(revisits, sha256)}>"), ("WARC-Profile", IDENTICAL_PAYLOAD)]
+    return warc_record("revisit", own, iso_date(date), "application/http; msgtype=response", http, extra)
 
 
-WARC_ROW = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, date string"
+WARC_ROW = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, date string, "
+            "record_id string, refers_to_id string")
 
 
 def warc_records(data: bytes, name: str) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -340,11 +366,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if kind == "warcinfo":
                     continue
                 http, payload = _split_http(block) if kind != "resource" else (b"", block)
+                own, first = headers["warc-record-id"].strip("<>"), headers.get("warc-refers-to", "").strip("<>") or None
                 size, refers = len(payload), None
                 if kind == "revisit":
-                    size, refers = int(_header(http, b"Content-Length")), page_of(headers["warc-refers-to"].strip("<>"))
-                rows.append((page_of(headers["warc-record-id"].strip("<>")), size, headers["warc-payload-digest"].removeprefix("sha1:"),
-                             kind, refers, headers["warc-target-uri"], headers["warc-date"]))
+                    size, refers = int(_header(http, b"Content-Length")), page_of(first)
+                rows.append((page_of(own), size, headers["warc-payload-digest"].removeprefix("sha1:"),
+                             kind, refers, headers["warc-target-uri"], headers["warc-date"], own, first))
             if rows:
                 yield _batch(rows, WARC_KINDS, WARC_ROW)
                 rows = []
@@ -352,21 +379,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return _archives(spark, path).mapInArrow(run, WARC_ROW)
 
 
-WARC_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
+WARC_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
 
 
 def convert_archives(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_bytes: int = 0,
                      archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Convert the ARC files under ``arc_path`` to WARC files under ``warc_path``; read them back.
 
-    Of HTTP records with equal payloads of at least ``min_revisit_bytes``, those with the largest page id
+    Payloads are equal if their SHA-1, SHA-256 and length are. Of HTTP records with equal payloads of at
+    least ``min_revisit_bytes``, those with the largest page id
     are responses and the others revisit them; shorter ones are all responses. Records
     without a page id revisit one that has it, and are responses where none has. Repeated
-    records with the largest id are all responses. No records give an empty result."""
-    digests = read_arc(spark, arc_path, with_blocks=False).filter("kind = 'response'")
-    duplicates = materialize(digests.groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("n"))
-                             .filter("n > 1").select("digest", "response_id"), "warc-duplicates")
-    write_warc(to_warc(read_arc(spark, arc_path), duplicates, min_revisit_bytes), warc_path, archive_bytes)
+    records with the largest id are all responses; a revisit refers to the first of them, by archive and
+    place there. Every record has an id of its own. No records give an empty result."""
+    repeated = materialize(repeated_payloads(read_arc(spark, arc_path, with_blocks=False)), "warc-repeated")
+    write_warc(to_warc(read_arc(spark, arc_path), repeated, min_revisit_bytes), warc_path, archive_bytes)
     return read_warc(spark, warc_path)
 
 

@@ -87,3 +87,28 @@ def test_pages_whose_url_looks_like_a_version_block(spark):
     rows = [(1, "filedesc://part-00000.arc", "<p>a</p>"), (2, "filedesc:", "b"), (3, "http://a", "c")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sorted([tuple(r)[:5] for r in pages_to_warc(pages).collect()], key=repr) == brute(rows)
+
+
+def test_every_record_has_its_own_id(spark):
+    """Repeated rows, and null ids with equal payloads, are different records; revisits refer to one that is there."""
+    rows = ROWS + [(12, "r", "rep")] * 3 + [(None, "n", "<p>x</p>")] * 4 + [(None, None, None)] * 3 + [(5, "http://b/ c", "<p>x</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = pages_to_warc(pages, archive_bytes=600).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=repr) == brute(rows)
+    ids = {r.record_id: r for r in got}
+    assert len(ids) == len(rows)
+    for r in got:
+        assert (r.refers_to_id is None) == (r.record_type == "response")
+        if r.refers_to_id:
+            first = ids[r.refers_to_id]
+            assert (first.record_type, first.page_id, first.payload_digest) == ("response", r.refers_to, r.payload_digest)
+
+
+def test_equal_sha1_is_not_enough(spark):
+    """Records whose SHA-1 agrees but whose payloads differ don't revisit each other."""
+    from adlake.llm.warc import ARC_ROW, repeated_payloads, to_warc
+    rows = [(k, "u", "2001", "response", b"HTTP/1.1 200 OK\r\n\r\n", p, "SAME", hashlib.sha256(p).hexdigest(), len(p), "a", k)
+            for k, p in enumerate([b"one", b"two", b"one", b"three"])]
+    records = spark.createDataFrame(rows, ARC_ROW)
+    got = {r.page_id: (r.revisits, r.copy) for r in to_warc(records, repeated_payloads(records), 0).collect()}
+    assert got == {0: (2, None), 1: (None, None), 2: (None, None), 3: (None, None)}
