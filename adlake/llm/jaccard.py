@@ -15,8 +15,8 @@ sizes set.
    than the sizes allow the sets to differ (an upper bound, so nothing is lost).
 3. Whole sets are fetched for those pairs alone, multiplied, and the links' components are found.
 4. A list whose classes are in one component by now is done. In the others, blocks of classes meet
-   block by block, and pairs of different components are filtered as above: first the few
-   nearest for each class and component, then, with the components known anew, all that is left.
+   block by block, and pairs of different components are filtered as above: first, in two rounds, the few
+   nearest to each class, which are likely links and join most of a group, then all that is left.
 
 So a group of near copies costs a few rows per member, not a row per pair, and no link that
 could join two components is left out. Hot columns are found by exact counts; what reaches
@@ -36,8 +36,8 @@ from adlake.llm.common import fresh, materialize, refuse_clashes, slices, text_c
 from adlake.llm.components import components
 
 WIDTH, PERCENT = 5, 80
-#: A column in more prefixes than FREQUENT is put last; classes of a block; candidates tried first.
-FREQUENT, BLOCK_ROWS, NEAREST = 64, 256, 2
+#: A column in more prefixes than FREQUENT is put last; classes of a block; candidates of a class in the first rounds.
+FREQUENT, BLOCK_ROWS, NEAREST = 64, 1024, (2, 2)
 #: Bits of the bitmaps that workers hold (8 MB), parity bits per shingle, blocks of columns.
 BITMAP_BITS, PARITY, COLUMN_BLOCKS = 26, 4, 8
 #: Sets a task remembers, so that copies within it bring their columns once.
@@ -123,13 +123,22 @@ def bitmap(df: DataFrame, column: str, bits: int = BITMAP_BITS):
     return df.sparkSession.sparkContext.broadcast(Bitmap(words.view(np.uint64)))
 
 
-def _each_set(docs: DataFrame, text_col: str, width: int, emit: Callable, schema: str | T.StructType) -> DataFrame:
-    """Run ``emit(part, sets, keys, new)`` on slices of ``docs``: the rows' sets, their 128-bit keys as two
-    columns of numbers, and which rows bring a set that the task has not just had."""
+def _each_set(docs: DataFrame, text_col: str, width: int, emit: Callable, schema: str | T.StructType, only=None) -> DataFrame:
+    """Run ``emit(part, sets, keys, new, texts)`` on slices of ``docs``: the rows' sets, their 128-bit keys as two
+    columns of numbers, which rows bring a set that the task has not just had, and the texts' keys. Texts whose keys
+    the bitmap ``only`` doesn't have are left out unread."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for part in slices(batches, text_col):
-            sets = [shingle_set(t, width) for t in part.column(text_col).cast(pa.binary()).to_pylist()]
+            column = part.column(text_col).cast(pa.binary()).to_pylist()
+            texts = np.array([xxhash.xxh3_64_intdigest(t) for t in column], dtype=np.uint64).view(np.int64)
+            if only is not None:
+                use = only.value.of(texts)
+                part, texts = part.filter(pa.array(use)), texts[use]
+                column = [t for t, u in zip(column, use) if u]
+                if not column:
+                    continue
+            sets = [shingle_set(t, width) for t in column]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             new = np.zeros(len(sets), dtype=bool)
             for k, digest in enumerate(digests):
@@ -139,7 +148,7 @@ def _each_set(docs: DataFrame, text_col: str, width: int, emit: Callable, schema
                     seen.add(digest)
                     new[k] = True
             keys = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            yield from emit(part.drop_columns([text_col]), sets, keys, new)
+            yield from emit(part.drop_columns([text_col]), sets, keys, new, texts)
 
     return docs.mapInArrow(run, schema)
 
@@ -149,24 +158,35 @@ def _lists(values: list[np.ndarray | None]) -> pa.Array:
 
 
 def _summaries(source: DataFrame, width: int, percent: int) -> DataFrame:
-    """The rows with n, their set's key, and (on the first of a task's copies) prefix and parity."""
-    def emit(part, sets, keys, new):
+    """The rows with n, their set's and text's keys, and (on the first of a task's copies) prefix and parity."""
+    def emit(part, sets, keys, new, texts):
         prefixes = [s[:prefix_size(len(s), percent)] if first else None for s, first in zip(sets, new)]
         columns = {"__n": pa.array([len(s) for s in sets], pa.int64()), "__k1": pa.array(keys[:, 0]), "__k2": pa.array(keys[:, 1]),
-                   "__prefix": _lists(prefixes), "__parity": pa.array([parity(s) if first else None for s, first in zip(sets, new)], pa.binary())}
+                   "__t": pa.array(texts), "__prefix": _lists(prefixes), "__parity": pa.array([parity(s) if first else None for s, first in zip(sets, new)], pa.binary())}
         for name, values in columns.items():
             part = part.append_column(name, values)
         yield from (part.slice(k, 512) for k in range(0, part.num_rows, 512))
 
     kept = [f for f in source.schema.fields if f.name != "__text"]
-    more = "__n long, __k1 long, __k2 long, __prefix array<long>, __parity binary"
+    more = "__n long, __k1 long, __k2 long, __t long, __prefix array<long>, __parity binary"
     return _each_set(source, "__text", width, emit, T.StructType([*kept, *T.StructType.fromDDL(more).fields]))
 
 
-def _late_prefixes(texts: DataFrame, width: int, percent: int, frequent) -> DataFrame:
+def _texts_of_late(first: DataFrame, frequent) -> DataFrame:
+    """Text keys of the sets with a frequent column in their prefix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.repeat(np.arange(batch.num_rows), batch.column("prefix").value_lengths().to_numpy())
+            late = np.unique(at[frequent.value.of(batch.column("prefix").flatten().to_numpy())])
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("t").to_numpy()[late])], names=["t"])
+
+    return first.select("prefix", "t").mapInArrow(run, "t long")
+
+
+def _late_prefixes(texts: DataFrame, width: int, percent: int, frequent, only) -> DataFrame:
     """(k1, k2, n, prefix, added) of sets with a frequent column among their first ones: the first ones once those
     columns are put last, and which of them were not among the first ones before."""
-    def emit(part, sets, keys, new):
+    def emit(part, sets, keys, new, texts):
         rows = []
         for s, key, first in zip(sets, keys.tolist(), new):
             size = prefix_size(len(s), percent)
@@ -179,7 +199,7 @@ def _late_prefixes(texts: DataFrame, width: int, percent: int, frequent) -> Data
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (k1, k2, n)), _lists(list(prefix)), _lists(list(added))],
                                              names=["k1", "k2", "n", "prefix", "added"])
 
-    return _each_set(texts, "__text", width, emit, "k1 long, k2 long, n long, prefix array<long>, added array<long>")
+    return _each_set(texts, "__text", width, emit, "k1 long, k2 long, n long, prefix array<long>, added array<long>", only)
 
 
 def _columns_in(held: DataFrame, prefix: str, columns) -> DataFrame:
@@ -246,13 +266,14 @@ class _Join:
         self.rows, self.texts, self.width, self.percent, self.block_rows = rows, texts, width, percent, block_rows
         best = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("__uid").alias("uid"))
         self.classes = materialize(rows.filter("__n > 0").groupBy(F.col("__k1").alias("k1"), F.col("__k2").alias("k2")).agg(
-            F.min(best).alias("best"), F.max("__n").alias("n")).withColumn("cid", F.col("best.uid")), "jaccard-classes")
+            F.min(best).alias("best"), F.min("__t").alias("t")).withColumn("cid", F.col("best.uid")), "jaccard-classes")
         first = rows.filter("__prefix IS NOT NULL").select(F.col("__prefix").alias("prefix"), F.col("__k1").alias("k1"),
-                                                           F.col("__k2").alias("k2"), F.col("__n").alias("n"))
+                                                           F.col("__k2").alias("k2"), F.col("__n").alias("n"), F.col("__t").alias("t"))
         counts = materialize(first.select(F.explode("prefix").alias("column")).groupBy("column").count().filter("count > 1"),
                              "jaccard-columns")
         frequent = bitmap(counts.filter(F.col("count") > frequent_rows), "column")
-        late = materialize(_late_prefixes(texts, width, percent, frequent), "jaccard-late")
+        only = bitmap(_texts_of_late(first, frequent), "t")
+        late = materialize(_late_prefixes(texts, width, percent, frequent, only), "jaccard-late")
         # a column that late prefixes added is shared if two of them added it, or if it was a first one elsewhere
         added = late.select(F.explode("added").alias("column"))
         again = added.unionByName(_columns_in(first, "prefix", bitmap(added, "column"))).groupBy("column").count().filter("count > 1")
@@ -270,18 +291,17 @@ class _Join:
 
     def _whole_sets(self, wanted: DataFrame) -> DataFrame:
         """(cid, columns): the whole sets of the wanted classes, computed from the texts again."""
-        keys = materialize(wanted.join(self.classes.select("cid", "k1", "k2"), "cid"), "jaccard-wanted")
-        some = bitmap(keys, "k1")
+        keys = materialize(wanted.join(self.classes.select("cid", "k1", "k2", "t"), "cid"), "jaccard-wanted")
 
-        def emit(part, sets, keys, new):
-            use = np.flatnonzero(new & some.value.of(keys[:, 0]))
+        def emit(part, sets, keys, new, texts):
+            use = np.flatnonzero(new)
             for at in range(0, len(use), 256):
                 k = use[at:at + 256]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[k, 0]), pa.array(keys[k, 1]), _lists([sets[i] for i in k])],
                                                  names=["k1", "k2", "columns"])
 
-        found = _each_set(self.texts, "__text", self.width, emit, "k1 long, k2 long, columns array<long>")
-        return found.join(keys, ["k1", "k2"]).groupBy("cid").agg(F.first("columns").alias("columns"))
+        found = _each_set(self.texts, "__text", self.width, emit, "k1 long, k2 long, columns array<long>", bitmap(keys, "t"))
+        return found.join(keys.drop("t"), ["k1", "k2"]).groupBy("cid").agg(F.first("columns").alias("columns"))
 
     def _multiplied(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links."""
@@ -323,8 +343,8 @@ class _Join:
         return self._multiplied(materialize(full.select("a", "b", "size", "x", "y").mapInArrow(run, "a long, b long"), "jaccard-near"))
 
     def open_links(self, roots: DataFrame, nearest: int | None) -> DataFrame | None:
-        """Links between components within lists that still hold several; the ``nearest`` candidates
-        of each class and other component, or all. None if no list is open, or nothing in them is left to try."""
+        """Links between components within lists that still hold several; each class's ``nearest`` candidates
+        in a block, or all. None if no list is open, or nothing in them is left to try."""
         percent, rows = self.percent, self.block_rows
         named = self.entries.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
         lists = named.groupBy("column").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("low"), F.max("root").alias("high"),
@@ -393,9 +413,9 @@ def _near_pairs(block: pa.Table, percent: int, nearest: int | None) -> Iterator[
     a, b, apart = (np.concatenate(c) for c in (a, b, apart))
     if nearest is not None and len(a):
         use = np.zeros(len(a), dtype=bool)
-        for mine, other in ((a, root[b]), (b, root[a])):
-            by = np.lexsort((apart, other, mine))
-            new = np.r_[True, (mine[by][1:] != mine[by][:-1]) | (other[by][1:] != other[by][:-1])]
+        for mine in (a, b):
+            by = np.lexsort((apart, mine))
+            new = np.r_[True, mine[by][1:] != mine[by][:-1]]
             first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
             use[by[np.arange(len(by)) - first < nearest]] = True
         a, b = a[use], b[use]
@@ -417,7 +437,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     join = _Join(materialize(rows, "jaccard-rows"), texts, width, percent, frequent_rows, block_rows)
     links = materialize(join.star_links(), "jaccard-links")
     roots = components(links)
-    for nearest in (NEAREST, None):
+    for nearest in (*NEAREST, None):
         more = join.open_links(roots, nearest)
         if more is not None:
             links = materialize(links.unionByName(more), "jaccard-links")
@@ -425,7 +445,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     return join, roots
 
 
-TAKEN = ("doc_id", "n_shingles", "component_id", "kept", "__text", "__n", "__k1", "__k2", "__prefix", "__parity", "__uid", "k1", "k2", "first")
+TAKEN = ("doc_id", "n_shingles", "component_id", "kept", "__text", "__n", "__k1", "__k2", "__t", "__prefix", "__parity", "__uid", "k1", "k2", "first")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
