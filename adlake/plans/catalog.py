@@ -306,7 +306,23 @@ def q_storage_totals(spark, sf_dir):
                                                          F.count(F.lit(1)).alias("rows")) for layer, name in COMPARED_TABLES])
     return storage_totals(spark, root).join(rows, ["layer", "table_name"]).select(
         "layer", "table_name", "rows", ((F.col("parquet_files") > 0) & (F.col("parquet_bytes") > 0)
-                                        & (F.col("total_bytes") == F.col("parquet_bytes"))).alias("only_parquet_files"))
+                                        & (F.col("data_bytes") == F.col("parquet_bytes"))
+                                        & (F.col("total_bytes") >= F.col("data_bytes"))).alias("only_parquet_files"))
+
+
+@register("report_against_files")
+def q_report_against_files(spark, sf_dir):
+    """Rows of every table of both runs by the files' footers, and whether footers, bytes and file counts are
+    those of the run's report."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from adlake.operators.storage import report_against_files
+    from adlake.plans.reports import load_report
+    frames = []
+    for name, root in _runs(spark, sf_dir).items():
+        found = report_against_files(spark, root, load_report(spark, f"{root}/_report")["tables"])
+        frames.append(found.select(F.lit(name).alias("run"), "layer", "table_name", F.col("found_rows").alias("rows"), "agrees"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 @register("runs_output_equality")
@@ -391,6 +407,73 @@ for _name, (_preset, _report) in _VARIANT_QUERIES.items():
     register(_name)(_variant(_preset, _report))
 
 
+#: Settings under which the presets' evidence is taken: a known number of partitions, and dimensions that fit a broadcast.
+EVIDENCE_CONF = {"spark.sql.shuffle.partitions": "48", "spark.sql.autoBroadcastJoinThreshold": str(64 << 20)}
+EVIDENCE_PRESETS = ("control", "ads_merge", "profiles_merge", "shuffle_hash", "shuffle_32", "cached", "no_coalesce",
+                    "python_udf", "arrow_udf", "shared_rollup")
+
+
+def _run_for_evidence(spark: SparkSession, sf_dir: str, preset: str, look) -> list:
+    """Run both reports in full under a preset and ``look(report name, totals frame, its row)`` at each."""
+    from pyspark import StorageLevel
+    from adlake.operators.live import totals
+    from adlake.plans.pipeline import REPORT_COLUMNS
+    from adlake.plans.variants import PRESETS
+    from adlake.session import conf_scope
+    opts, found = PRESETS[preset][0], []
+    e = tx.enrich(silver(spark, sf_dir, opts), opts)
+    if opts.cache:
+        e = e.select(*REPORT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    try:
+        with conf_scope(spark, {**EVIDENCE_CONF, **opts.session_conf()}):
+            for name, keys in GOLD_KEYS.items():
+                out = tx.report_from_rollup(tx.gold_rollup(e), keys) if opts.shared_rollup else tx.daily_report(e, keys)
+                frame = totals(out)
+                found.append(look(name, frame))
+    finally:
+        if opts.cache:
+            e.unpersist(blocking=True)
+    return found
+
+
+@register("plan_evidence")
+def q_plan_evidence(spark, sf_dir):
+    """For each preset and report, what its final adaptive plan shows, beside the report's totals."""
+    from adlake.operators.live import plan_evidence
+
+    def look(preset):
+        def one(report, frame):
+            row = frame.collect()[0]  # one row; an action on this very frame
+            seen = plan_evidence(frame)
+            return (preset, report, seen.joins.get("adgroup_id"), seen.joins.get("user_id"), ",".join(map(str, seen.initial_partitions)),
+                    seen.coalesced, seen.cache_scans, seen.python_node, row["rows"], row["impressions"])
+        return one
+
+    rows = [r for preset in EVIDENCE_PRESETS for r in _run_for_evidence(spark, sf_dir, preset, look(preset))]
+    return spark.createDataFrame(rows, "preset string, report string, ads_join string, profile_join string, initial_partitions string, "
+                                       "coalesced boolean, cache_scans int, python_node string, report_rows long, impressions long")
+
+
+@register("task_evidence")
+def q_task_evidence(spark, sf_dir):
+    """For both reports without coalescing, the tasks of their job groups by the status tracker: all completed,
+    and one stage with a task for each shuffle partition."""
+    import uuid
+    from adlake.operators.live import check_group_tasks, group_tasks
+    from adlake.plans.pipeline import job_group
+    partitions, run = int(EVIDENCE_CONF["spark.sql.shuffle.partitions"]), uuid.uuid4().hex
+
+    def look(report, frame):
+        with job_group(spark, f"gold.{report}-{run}"):
+            row = frame.collect()[0]  # one row; an action on this very frame
+        found = check_group_tasks(group_tasks(spark, f"gold.{report}-{run}"))
+        return (f"gold.{report}", found.tasks_by_stage.count(partitions), found.completed_tasks == sum(found.tasks_by_stage),
+                found.failed_tasks, row["rows"], row["impressions"])
+
+    return spark.createDataFrame(_run_for_evidence(spark, sf_dir, "no_coalesce", look),
+                                 "job_group string, partition_stages int, all_completed boolean, failed_tasks int, report_rows long, impressions long")
+
+
 @register("gold_pipeline_campaign")
 def q_gold_pipeline_campaign(spark, sf_dir):
     """The whole rebuild (write Bronze/Silver/Gold with checks) under date partitioning;

@@ -346,3 +346,31 @@ SELECT layout, (SELECT count(*) FROM imp)::BIGINT AS data_rows,
        CASE WHEN layout = 'silver_by_date' THEN (SELECT count(DISTINCT reporting_date) FROM imp) ELSE 0 END::BIGINT AS partitions,
        CASE WHEN layout <> 'silver_by_date' THEN layout <> 'typed_csv' END AS smaller_than_csv
 FROM (VALUES ('typed_csv'), ('typed_parquet'), ('silver'), ('silver_zstd'), ('silver_by_date')) AS l(layout)"""
+
+# --- evidence of what ran: the reports' totals from the tables, the plan's facts as each preset's literal ---------
+_REPORT_TOTALS = """
+r(report, report_rows, impressions) AS (
+  SELECT 'campaign_daily', count(*)::BIGINT, sum(n)::BIGINT
+  FROM (SELECT count(*) AS n FROM enriched GROUP BY reporting_date, campaign_id, advertiser_id)
+  UNION ALL SELECT 'audience_daily', count(*)::BIGINT, sum(n)::BIGINT
+  FROM (SELECT count(*) AS n FROM enriched GROUP BY reporting_date, advertiser_id, age_level))"""
+
+ORACLE["plan_evidence"] = _with(IMP, ADS, USERS, ENRICHED) + "," + _REPORT_TOTALS + """,
+p(preset, ads_join, profile_join, initial_partitions, coalesced, cache_scans, python_node) AS (VALUES
+  ('control', 'BroadcastHashJoin', 'BroadcastHashJoin', '48', TRUE, 0, NULL),
+  ('ads_merge', 'SortMergeJoin', 'BroadcastHashJoin', '48', TRUE, 0, NULL),
+  ('profiles_merge', 'BroadcastHashJoin', 'SortMergeJoin', '48', TRUE, 0, NULL),
+  ('shuffle_hash', 'ShuffledHashJoin', 'ShuffledHashJoin', '48', TRUE, 0, NULL),
+  ('shuffle_32', 'BroadcastHashJoin', 'BroadcastHashJoin', '32', TRUE, 0, NULL),
+  ('cached', 'BroadcastHashJoin', 'BroadcastHashJoin', '48', TRUE, 1, NULL),
+  ('no_coalesce', 'BroadcastHashJoin', 'BroadcastHashJoin', '48', FALSE, 0, NULL),
+  ('python_udf', 'BroadcastHashJoin', 'BroadcastHashJoin', '48', TRUE, 0, 'BatchEvalPython'),
+  ('arrow_udf', 'BroadcastHashJoin', 'BroadcastHashJoin', '48', TRUE, 0, 'ArrowEvalPython'),
+  ('shared_rollup', 'BroadcastHashJoin', 'BroadcastHashJoin', '48', TRUE, 0, NULL))
+SELECT p.*, r.* FROM p CROSS JOIN r"""
+
+ORACLE["task_evidence"] = _with(IMP, ADS, USERS, ENRICHED) + "," + _REPORT_TOTALS + """
+SELECT 'gold.' || report AS job_group, 1 AS partition_stages, TRUE AS all_completed, 0 AS failed_tasks, report_rows, impressions FROM r"""
+
+ORACLE["report_against_files"] = _with(IMP, ADS, USERS, ENRICHED, RUN_TABLES) + """
+SELECT run, layer, table_name, rows, TRUE AS agrees FROM counts CROSS JOIN (VALUES ('control'), ('variant')) v(run)"""

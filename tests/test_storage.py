@@ -5,6 +5,8 @@ import glob
 import hashlib
 import os
 
+import pytest
+
 import pyarrow.parquet as pq
 
 import __spark_entry__ as entry
@@ -93,3 +95,90 @@ def test_scratch_tables_can_be_released(spark, tmp_path):
         assert not os.path.exists(path.removeprefix("file:")) and session.release_scratch(spark) == 0
     finally:
         session._SCRATCH[spark.sparkContext.applicationId] = mine
+
+
+def test_totals_count_hidden_files_and_sidecars(spark, tmp_path):
+    from adlake.operators.storage import all_files, storage_totals
+    root = str(tmp_path / "lake")
+    spark.range(500).repartition(3).write.parquet(f"{root}/silver/t")
+    spark.range(5).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(f"{root}/gold/parted")
+    for extra, size in ((f"{root}/silver/t/_log/deep/x.json", 7), (f"{root}/silver/t/.hidden", 5), (f"{root}/silver/t/note.txt", 11),
+                        (f"{root}/silver/t/_log/y.parquet", 3), (f"{root}/_report/r.json", 9), (f"{root}/other/t/z", 2)):
+        os.makedirs(os.path.dirname(extra), exist_ok=True)
+        with open(extra, "wb") as file:
+            file.write(b"x" * size)
+    os.makedirs(f"{root}/silver/empty")
+    walked = {os.path.relpath(os.path.join(d, f), root): os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs}
+    assert {r.path: r.length for r in all_files(spark, root).collect()} == walked
+    assert any(p.endswith("_SUCCESS") for p in walked) and any(p.endswith(".crc") for p in walked)
+    totals = {f"{r.layer}/{r.table_name}": r for r in storage_totals(spark, f"{root}/").collect()}
+    assert set(totals) == {"silver/t", "gold/parted"}
+    for table, r in totals.items():
+        own = {p.removeprefix(table + "/"): n for p, n in walked.items() if p.startswith(table + "/")}
+        parquet = {p: n for p, n in own.items() if p.endswith(".parquet")}
+        assert r.total_bytes == sum(own.values())
+        assert (r.parquet_files, r.parquet_bytes) == (len(parquet), sum(parquet.values()))
+        assert r.data_bytes == sum(n for p, n in own.items() if not any(s[0] in "._" for s in p.split("/")))
+
+
+def plain_tree(data, size, fanout):
+    import hashlib
+    level = [hashlib.sha256(data[k:k + size]).digest() for k in range(0, max(len(data), 1), size)]
+    leaves = len(level)
+    while len(level) > 1:
+        level = [hashlib.sha256(b"".join(level[k:k + fanout])).digest() for k in range(0, len(level), fanout)]
+    return leaves, level[0].hex()
+
+
+@pytest.mark.parametrize("size,fanout", [(10, 3), (64, 2), (1000, 1024), (1, 7)])
+def test_hash_tree_equals_brute_force(spark, tmp_path, size, fanout):
+    import random
+    from adlake.operators.storage import hash_tree
+    rng, want = random.Random(size), {}
+    for k, n in enumerate((0, 1, 9, 10, 11, 63, 64, 65, 300, 999, 1000)):
+        data = rng.randbytes(n)
+        (tmp_path / f"f{k}.bin").write_bytes(data)
+        if n:  # Spark lists no empty files
+            want[f"f{k}.bin"] = (n, *plain_tree(data, size, fanout))
+    got = {r.file_name: tuple(r)[1:] for r in hash_tree(spark, str(tmp_path), "*.bin", range_bytes=size, fanout=fanout).collect()}
+    assert got == want
+
+
+def test_one_file_is_hashed_by_many_tasks(spark, tmp_path):
+    import uuid
+    from adlake.operators.live import group_tasks
+    from adlake.operators.storage import hash_tree
+    from adlake.plans.pipeline import job_group
+    from adlake.session import conf_scope
+    data = os.urandom(3_000_000)
+    (tmp_path / "big.bin").write_bytes(data)
+    name = f"tree-{uuid.uuid4().hex}"
+    with conf_scope(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}), job_group(spark, name):
+        got = hash_tree(spark, str(tmp_path), "*.bin", range_bytes=100_000).collect()
+    assert tuple(got[0]) == ("big.bin", len(data), *plain_tree(data, 100_000, 1024))
+    assert max(group_tasks(spark, name).tasks_by_stage) >= 8
+
+
+def test_report_against_files(spark, tmp_path):
+    import copy
+    from adlake.operators.storage import check_report_against_files, report_against_files
+    from adlake.plans.pipeline import run_pipeline
+    from adlake.sources.adapter import bronze_views
+    root = str(tmp_path / "run")
+    report = run_pipeline(spark, bronze_views(spark, SF_SMALL), root)
+    rows = check_report_against_files(spark, root, report)
+    assert len(rows) == 8 and all(report_against_files(spark, root, report["tables"]).select("agrees").toPandas()["agrees"])
+    for field in ("rows", "total_bytes", "parquet_bytes", "parquet_files"):
+        altered = copy.deepcopy(report)
+        altered["tables"]["silver/ads"][field] += 1
+        with pytest.raises(ValueError, match=f"silver/ads.*{field}"):
+            check_report_against_files(spark, root, altered)
+    part = next(f for f in os.listdir(f"{root}/gold/campaign_daily") if f.endswith(".parquet"))
+    with open(f"{root}/gold/campaign_daily/_extra", "wb") as file:
+        file.write(b"x")
+    with pytest.raises(ValueError, match="gold/campaign_daily.*total_bytes"):
+        check_report_against_files(spark, root, report)
+    os.remove(f"{root}/gold/campaign_daily/_extra")
+    os.remove(f"{root}/gold/campaign_daily/{part}")
+    with pytest.raises(ValueError, match="gold/campaign_daily"):
+        check_report_against_files(spark, root, report)
