@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from adlake.model import SOURCES, TYPED_IMPRESSIONS, bronze_schema
 
@@ -24,7 +24,7 @@ class CsvSource:
 
     schema: T.StructType
     padded_header: bool = False
-    provenance: str | None = None
+    provenance: bool = False
     options: dict = field(default_factory=dict)
 
     def read(self, spark: SparkSession, path: str) -> DataFrame:
@@ -34,8 +34,9 @@ class CsvSource:
             raise HeaderMismatch(f"{path}: columns {found}, wanted {wanted}")
         as_found = T.StructType([T.StructField(c, f.dataType) for c, f in zip(found, self.schema)])
         strict = {"header": True, "enforceSchema": False, "mode": "FAILFAST", **self.options}
-        rows = spark.read.schema(as_found).options(**strict).csv(path).toDF(*wanted)
-        return rows if self.provenance is None else rows.withColumn("source_file", F.lit(self.provenance))
+        rows = spark.read.schema(as_found).options(**strict).csv(path)
+        origin = [_origin().alias("source_file")] if self.provenance else []
+        return rows.select(*[F.col(f"`{c}`").alias(w) for c, w in zip(found, wanted)], *origin)
 
     def write(self, df: DataFrame, path: str) -> str:
         (df.select(*self.schema.fieldNames()).write.mode("errorifexists")
@@ -43,9 +44,18 @@ class CsvSource:
         return path
 
 
+def _origin() -> Column:
+    """The name of the file that a row was read from, by Spark's file metadata; a folder of part files
+    that Spark wrote stands for one file."""
+    path = F.col("_metadata.file_path")
+    own, folder = F.regexp_extract(path, "[^/]+$", 0), F.regexp_extract(path, "([^/]+)/[^/]+$", 1)
+    encoded = F.when(own.startswith("part-"), folder).otherwise(own)
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))  # paths are percent-encoded, plus signs aren't
+
+
 def raw_source(name: str) -> CsvSource:
-    """A raw file of strings; the published headers have trailing blanks."""
-    return CsvSource(bronze_schema(name), padded_header=True, provenance=SOURCES[name][0])
+    """Raw strings with each row's file; the published headers have trailing blanks."""
+    return CsvSource(bronze_schema(name), padded_header=True, provenance=True)
 
 
 #: Impressions with types, the NULL token and doubled quotes.

@@ -188,3 +188,24 @@ def test_gold_phase_sizes_partitions_only_for_a_shuffled_fact(spark, fixture_dir
     assert "gold_shuffle_partitions" not in plain  # both dimensions are broadcast
     merged = run_pipeline(spark, sources(spark, fixture_dir), str(tmp_path / "b"), Options(ads_join="merge"))
     assert merged["gold_shuffle_partitions"] == spark.sparkContext.defaultParallelism
+
+
+def test_each_row_names_its_file(spark, tmp_path):
+    """A source of several files: every row's own file; a folder that Spark wrote: the folder."""
+    import csv
+    import os
+    write_sources(tmp_path / "one")
+    folder = tmp_path / "many" / "ad_feature.csv"
+    os.makedirs(folder)
+    header = ["adgroup_id", "cate_id", "campaign_id", "customer", "brand", "price"]
+    for name, ids in (("ads 2016.csv", ("1", "2")), ("ads-2017.csv", ("3",))):
+        with open(folder / name, "w", newline="") as handle:
+            csv.writer(handle).writerows([header, *([i, "1", "100", "1", "NULL", "5"] for i in ids)])
+    many = read_source_csv(spark, str(tmp_path / "many"), "ads")
+    assert {(r.adgroup_id, r.source_file) for r in many.collect()} == {("1", "ads 2016.csv"), ("2", "ads 2016.csv"), ("3", "ads-2017.csv")}
+    one = read_source_csv(spark, str(tmp_path / "one"), "ads")
+    assert {r.source_file for r in one.collect()} == {"ad_feature.csv"}
+    from adlake.sources.csv import write_source_csv
+    write_source_csv(one, str(tmp_path / "written"), "ads")
+    again = read_source_csv(spark, str(tmp_path / "written"), "ads")
+    assert {r.source_file for r in again.collect()} == {"ad_feature.csv"} and again.columns == one.columns
