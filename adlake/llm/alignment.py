@@ -29,11 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from adlake.llm.common import materialize, refuse_clashes, slices, text_column
-from adlake.llm.tokens import _JOINED, CACHE_CHUNKS, CACHED_CHARS, VOCABULARY, encoder, vocabulary_paths
+from adlake.llm.tokens import _JOINED, CACHE_CHUNKS, CACHED_CHARS, LATIN_END, VOCABULARY, encoder, vocabulary_paths
 
 PIECES = "piece_bpe_32k.model"
 #: Text of a block and of an alignment at once, in bytes, and the longest stretch of a text, in characters.
 BLOCK_BYTES, ALIGN_BYTES, STRETCH = 2 * 1024 * 1024, 512 * 1024, 256 * 1024
+#: Words encoded at once.
+LEARNED = 20_000
 _CUT = re.compile("(?<=[^\\s᠎​]) (?=[^\\s᠎​])")
 _CHUNK = re.compile(" +[^ ]*")
 _SIDES: dict[tuple, "Sides"] = {}
@@ -110,6 +112,39 @@ class Sides:
                 self.words[word] = found
         return found
 
+    def learn(self, texts: list[str]) -> None:
+        """Put the words of texts into the cache, the new ones in a few calls to the encoders."""
+        words: set[str] = set()
+        for text in texts:
+            if text and not _JOINED.search(f" {text}"):
+                words.update(text.split(" "))
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE_CHUNKS:
+            self.words.clear()
+            new = words
+        short = sorted(w for w in new if len(w) <= CACHED_CHARS)
+        latin = [w for w in short if w.isascii() or max(w) < LATIN_END]
+        for group in (latin, sorted(set(short).difference(latin))):
+            for at in range(0, len(group), LEARNED):
+                self._learn(group[at:at + LEARNED])
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words as one text, which both sides cut at every space, and deal out the ids."""
+        text = f" {' '.join(words)}"
+        ids = [np.frombuffer(self.a.plain(text), "<u4"), np.array(self.model.encode(text[1:]), "<u4")]
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        cuts, data = [], text.encode()
+        for found, table, sizes in zip(ids, (self.a_bytes, self.b_bytes), (self.a_sizes, self.b_sizes)):
+            upto = np.r_[0, np.cumsum(sizes[found])]
+            at = np.searchsorted(upto, ends)
+            if at[-1] >= len(upto) or (upto[at] != ends).any() or b"".join([table[i] for i in found.tolist()]) != data:
+                for word in words:  # some word isn't given back: which one, shows word by word
+                    self._word(word)
+                return
+            raw, edges = found.tobytes(), [0, *(4 * at).tolist()]
+            cuts.append([raw[low:high] for low, high in zip(edges, edges[1:])])
+        self.words.update(zip(words, zip(*cuts)))
+
     def encode(self, stretch: str) -> tuple[np.ndarray, np.ndarray] | None:
         """A's and B's ids of a space and the stretch; None where either's bytes differ from them."""
         if not _JOINED.search(f" {stretch}"):
@@ -191,6 +226,7 @@ class Block:
         self.groups: list[list[str]] | None = [[] for _ in texts] if with_groups else None
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         waiting, room = [], align_bytes
+        held.learn(texts)
         for doc, text in enumerate(texts):
             # a text has tokens only if all its stretches have, so a long one is tried out first
             parts = list(stretches(text, stretch)) if text else []

@@ -23,6 +23,8 @@ import numpy as np
 VOCABULARY = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
 #: Chunks a worker remembers (about 200 bytes each), and the longest one that it does.
 CACHE_CHUNKS, CACHED_CHARS = 300_000, 64
+#: The first character after the Latin ones, on whose classes all regex libraries agree.
+LATIN_END = "\u0250"
 _JOINED = re.compile("  | [\\s\u180e\u200b]| $")
 _ENCODERS: dict[tuple[str, str], "Encoder"] = {}
 
@@ -59,8 +61,9 @@ class Encoder:
         loaded.encode_special_tokens = True
         return loaded
 
-    def _encode(self, chunk: str) -> bytes:
-        if chunk.isascii() or max(chunk) < "ɐ":
+    def plain(self, chunk: str) -> bytes:
+        """The ids of a chunk by one call to an encoder, nothing remembered."""
+        if chunk.isascii() or max(chunk) < LATIN_END:
             ids = self.latin(chunk)
         else:
             ids = self.general.encode(chunk, add_special_tokens=False).ids
@@ -96,7 +99,7 @@ class Encoder:
                 else:
                     first += " " + part
         known = self.known
-        out = [self._encode(first) if first else b""]
+        out = [self.plain(first) if first else b""]
         try:
             out += [known[chunk] for chunk in rest]
         except KeyError:
@@ -104,7 +107,7 @@ class Encoder:
             for chunk in rest:
                 ids = known.get(chunk)
                 if ids is None:
-                    ids = self._encode(" " + chunk)
+                    ids = self.plain(" " + chunk)
                     if len(chunk) <= CACHED_CHARS:
                         if len(known) >= CACHE_CHUNKS:
                             known.clear()
