@@ -54,7 +54,9 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns, whatever those are named."""
+    """The rows of ``docs`` that stay, one of each group of equal texts, with their own columns, whatever
+    those are named. Null texts count as empty and are one group with the empty ones. A null id ranks after
+    all others; of repeated rows one stays. An empty table gives an empty result."""
     names = {c: fresh(docs, f"__carry_{i}") for i, c in enumerate(docs.columns)}
     inner = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in names.items()])
     marked = mark_duplicates(inner, names[id_col], names[text_col], tuple(names.values()))

@@ -290,7 +290,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each component, with their own columns."""
+    """The rows of ``docs`` that stay, one of each component, with their own columns, whatever those are named.
+    Null texts count as empty; texts without words have fingerprint zero and are one component. A null id ranks
+    after all others; of repeated rows one stays. An empty table gives an empty result."""
     names = {c: fresh(docs, f"__carry_{i}") for i, c in enumerate(docs.columns)}
     inner = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in names.items()])
     marked = near_duplicates(inner, names[id_col], names[text_col], shingle, max_bits, tuple(names.values()))

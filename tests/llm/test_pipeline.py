@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "exact_dedup", "near_dedup", "decontamination", "packing"]
@@ -101,3 +101,37 @@ def test_empty_tables(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    """Odd rows and columns that have inner names go through every stage with defined results."""
+    from pyspark.sql import functions as F
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    first = given.orderBy("doc_id").first()
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter(F.size(F.split("text", " ")) > 12).orderBy("item_id").first()
+    long = " ".join(r.text or "" for r in given.filter(F.col("lang") == first.lang).orderBy("doc_id").limit(60).collect())
+    rows = [(90001, None, None, "s", None), (90002, "", "en", "s", 0), (90003, " 12 !", None, "s", 5), (None, first.text, None, None, None),
+            (first.doc_id, first.text, first.lang, first.source, first.n_chars), (90004, long, first.lang, "s", len(long)),
+            (90005, item.text, None, "s", 1)]
+    odd = given.unionByName(spark.createDataFrame(rows, given.schema))
+    clash = {"kept": F.lit("k"), "component_id": F.col("doc_id"), "__text": F.lit(None).cast("string"), "__cut": F.lit(1), "__uid": F.lit("u"),
+             "keep_id": F.lit(2.5), "fingerprint": F.lit("f"), "lang_pred": F.lit("x")}
+    odd.withColumns(clash).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    columns, kept = docs.columns, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, str(tmp_path)), "odd-stage")
+        assert docs.columns == columns and docs.filter("kept <> 'k' OR __cut <> 1 OR __text IS NOT NULL").isEmpty()
+        kept.append([r.doc_id for r in docs.select("doc_id").collect()])
+    assert not {90001, 90002, 90003} & set(kept[0])  # no letters, no language
+    assert kept[0].count(first.doc_id) == 2 and None in kept[0] and 90004 in kept[0]
+    assert kept[1].count(first.doc_id) == 1 and None not in kept[1]  # the null id is a copy of the first
+    assert 90005 not in kept[3]  # nothing but a benchmark item
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(kept[3])
+    plain = spark.read.parquet(f"{tmp_path}/documents.parquet").drop(*clash)
+    plain.write.parquet(f"{tmp_path}/plain/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/plain/benchmark.parquet")
+    want = corpus_pipeline.run(spark, f"{tmp_path}/plain").select("doc_id", "start", "length", "ids_crc32")
+    assert sorted(map(tuple, pieces.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
