@@ -1,7 +1,7 @@
 """Spark event logs as tables.
 
 Logs are read as Spark writes them: one file per application or a folder of rolled files,
-plain or compressed with zstd, Spark's default. Every event is keyed on its application, taken from
+plain or compressed with any of Spark's codecs. Every event is keyed on its application, taken from
 the path, so events of one application meet whatever file they are in. ``seq`` puts an application's events in order:
 the number of the rolled file, then the place in it.
 
@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.operators.storage import list_files, open_file
+from adlake.sources.codecs import OPENERS
 
-#: Lines handed over at once, and compressed endings that can be read.
+#: Lines handed over at once, and how a compressed file's name ends.
 BATCH_LINES = 5000
-COMPRESSED = ".zstd"
+_ENDINGS = "|".join(e.removeprefix(".") for e in OPENERS)
+_COMPRESSED = rf"\.({_ENDINGS})(\.inprogress)?$"
 _ROLLED = r"/eventlog_v2_([^/]+)/events_(\d+)_[^/]*$"
-_SINGLE = r"([^/]+?)(?:\.zstd)?(?:\.inprogress)?$"
+_SINGLE = rf"([^/]+?)(?:\.(?:{_ENDINGS}))?(?:\.inprogress)?$"
 
 STAGE_SUBMITTED = ("struct<`Stage Info`:struct<`Stage ID`:long,`Stage Attempt ID`:long,`Number of Tasks`:long,"
                    "`RDD Info`:array<struct<`RDD ID`:long,`Number of Partitions`:long,"
@@ -44,10 +46,11 @@ DRIVER_ACCUM = "struct<executionId:long,accumUpdates:array<array<long>>>"
 
 
 def _compressed_lines(batches):
-    import zstandard
+    import re
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            with open_file(path) as raw, zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True) as plain:
+            opener = OPENERS["." + re.search(_COMPRESSED, path)[1]]
+            with open_file(path) as raw, opener(raw) as plain:
                 lines, number = [], 0
                 for line in io.TextIOWrapper(plain, "utf-8"):
                     lines.append(line.rstrip("\n"))
@@ -66,14 +69,11 @@ def _lines(path: str, first: int, lines: list[str]) -> pa.RecordBatch:
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     """Every event of the logs under ``path``: application, seq, event type and JSON."""
     files = list_files(spark, path)
-    other = files.filter(F.col("path").rlike(r"\.(lz4|lzf|snappy)(\.inprogress)?$"))
-    if not other.isEmpty():
-        raise ValueError(f"event logs under {path} are compressed, but not with zstd")
     plain = (spark.read.option("recursiveFileLookup", True).text(path)
-             .filter(~F.col("_metadata.file_name").startswith("appstatus") & ~F.col("_metadata.file_name").contains(COMPRESSED))
+             .filter(~F.col("_metadata.file_name").startswith("appstatus") & ~F.col("_metadata.file_name").rlike(_COMPRESSED))
              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("place"), "value"))
-    packed = files.filter(F.col("path").contains(COMPRESSED) & ~F.col("path").contains("/appstatus")).select("path").mapInArrow(
+    packed = files.filter(F.col("path").rlike(_COMPRESSED) & ~F.col("path").contains("/appstatus")).select("path").mapInArrow(
         _compressed_lines, "path string, place long, value string").withColumn("start", F.lit(0).cast("long"))
     rolled = F.regexp_extract("path", _ROLLED, 1)
     return plain.unionByName(packed).select(

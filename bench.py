@@ -132,8 +132,14 @@ def main() -> None:
     start = time.perf_counter()
     write_table(silver["impressions"], scratch_path(spark, "bench-plain"), "silver", "impressions", PRESETS["zstd"][0])
     queries["write.silver_plain"] = round(time.perf_counter() - start, 3)
+    clustered_root = scratch_path(spark, "bench-clustered")
+    start = time.perf_counter()
+    write_table(silver["impressions"], clustered_root, "silver", "impressions", PRESETS["zstd"][0],
+                cluster_by=PRESETS["date_clustered"][0].cluster_by)
+    queries["write.silver_clustered"] = round(time.perf_counter() - start, 3)
     layouts = {"plain": spark.read.parquet(f"{root}/silver/impressions"),
-               "by_date": spark.read.parquet(f"{part_root}/silver/impressions")}
+               "by_date": spark.read.parquet(f"{part_root}/silver/impressions"),
+               "clustered": spark.read.parquet(f"{clustered_root}/silver/impressions")}
     for layout, frame in layouts.items():
         for workload in ("one_day", "three_days", "full_period"):
             queries[f"read.silver_{layout}.{workload}"] = timed(
@@ -166,7 +172,8 @@ def main() -> None:
     storage = {}
     for label, path, glob in (("typed_csv", csv_path, "*.csv"), ("typed_parquet", conversion["path"], "*.parquet"),
                               ("silver_impressions_zstd", f"{root}/silver/impressions", "*.parquet"),
-                              ("silver_impressions_zstd_by_date", f"{part_root}/silver/impressions", "*.parquet")):
+                              ("silver_impressions_zstd_by_date", f"{part_root}/silver/impressions", "*.parquet"),
+                              ("silver_impressions_zstd_clustered", f"{clustered_root}/silver/impressions", "*.parquet")):
         row = list_files(spark, path, glob).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")).first()
         storage[label] = {"files": row["files"], "bytes": row["bytes"]}
     print(json.dumps({"metric": "total_workload_seconds", "value": total, "unit": "sec",
