@@ -12,7 +12,8 @@ sizes set.
    together unless it is nearly all they have. The classes that share a prefix column are a list.
 2. Each list's smallest class is paired with the others, deduplicated over lists. A pair
    goes on only if its sizes allow it and if the parities of its hashed columns differ in no more bits
-   than the sizes allow the sets to differ (an upper bound, so nothing is lost).
+   than the sizes allow the sets to differ (an upper bound, so nothing is lost): first of 512 bits,
+   then of some bits per shingle.
 3. Whole sets are fetched for those pairs alone, multiplied, and the links' components are found.
 4. A list whose classes are in one component by now is done. In the others, blocks of classes meet
    block by block, and pairs of different components are filtered as above: first, in two rounds, the few
@@ -38,8 +39,8 @@ from adlake.llm.components import components
 WIDTH, PERCENT = 5, 80
 #: A column in more prefixes than FREQUENT is put last; classes of a block; candidates of a class in the first rounds.
 FREQUENT, BLOCK_ROWS, NEAREST = 64, 1024, (2, 2)
-#: Bits of the bitmaps that workers hold (8 MB), parity bits per shingle, blocks of columns.
-BITMAP_BITS, PARITY, COLUMN_BLOCKS = 26, 4, 8
+#: Bits of the bitmaps that workers hold (8 MB), parity bits per shingle and of a first look, blocks of columns.
+BITMAP_BITS, PARITY, COARSE, COLUMN_BLOCKS = 26, 4, 512, 8
 #: Sets a task remembers, so that copies within it bring their columns once.
 SEEN = 200_000
 #: Words whose hashes a worker remembers, about 150 bytes each.
@@ -89,6 +90,11 @@ def parity(columns: np.ndarray) -> bytes:
     return np.packbits(np.bincount(columns & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+def coarse(columns: np.ndarray) -> bytes:
+    """The same for COARSE bits, whatever the number of columns."""
+    return np.packbits(np.bincount(columns & (COARSE - 1), minlength=COARSE).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
 def differing(a: np.ndarray, b: np.ndarray) -> int:
     """Differing bits of two parity rows, the longer one folded to the shorter one's length."""
     while len(a) != len(b):
@@ -162,13 +168,14 @@ def _summaries(source: DataFrame, width: int, percent: int) -> DataFrame:
     def emit(part, sets, keys, new, texts):
         prefixes = [s[:prefix_size(len(s), percent)] if first else None for s, first in zip(sets, new)]
         columns = {"__n": pa.array([len(s) for s in sets], pa.int64()), "__k1": pa.array(keys[:, 0]), "__k2": pa.array(keys[:, 1]),
-                   "__t": pa.array(texts), "__prefix": _lists(prefixes), "__parity": pa.array([parity(s) if first else None for s, first in zip(sets, new)], pa.binary())}
+                   "__t": pa.array(texts), "__prefix": _lists(prefixes), "__parity": pa.array([parity(s) if first else None for s, first in zip(sets, new)], pa.binary()),
+                   "__coarse": pa.array([coarse(s) if first else None for s, first in zip(sets, new)], pa.binary())}
         for name, values in columns.items():
             part = part.append_column(name, values)
         yield from (part.slice(k, 512) for k in range(0, part.num_rows, 512))
 
     kept = [f for f in source.schema.fields if f.name != "__text"]
-    more = "__n long, __k1 long, __k2 long, __t long, __prefix array<long>, __parity binary"
+    more = "__n long, __k1 long, __k2 long, __t long, __prefix array<long>, __parity binary, __coarse binary"
     return _each_set(source, "__text", width, emit, T.StructType([*kept, *T.StructType.fromDDL(more).fields]))
 
 
@@ -328,19 +335,26 @@ class _Join:
         pairs = e.join(lists, "column").filter("cid != top.cid").filter(_possible(F.col("n"), F.col("top.n"), percent)).select(
             F.least("top.cid", "cid").alias("a"), F.greatest("top.cid", "cid").alias("b"), (F.col("top.n") + F.col("n")).alias("size")).distinct()
         pairs = materialize(pairs, "jaccard-stars")
+        for column in ("__coarse", "__parity"):
+            pairs = materialize(self._near(pairs, column), "jaccard-near")
+        return self._multiplied(pairs.select("a", "b"))
+
+    def _near(self, pairs: DataFrame, column: str) -> DataFrame:
+        """The pairs (a, b, size: summed) whose parities in ``column`` differ in no more bits than links may."""
+        percent = self.percent
         both = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        held = materialize(self._brought(both, "__parity"), "jaccard-parities")
+        held = materialize(self._brought(both, column), "jaccard-parities")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
                 limit = _may_differ(batch.column("size").to_numpy(), percent).tolist()
                 near = [differing(np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)) <= k for p, q, k in zip(x, y, limit)]
-                yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+                yield batch.select(["a", "b", "size"]).filter(pa.array(near, pa.bool_()))
 
-        left = pairs.join(held.select(F.col("cid").alias("a"), F.col("__parity").alias("x")), "a")
-        full = left.join(held.select(F.col("cid").alias("b"), F.col("__parity").alias("y")), "b")
-        return self._multiplied(materialize(full.select("a", "b", "size", "x", "y").mapInArrow(run, "a long, b long"), "jaccard-near"))
+        left = pairs.join(held.select(F.col("cid").alias("a"), F.col(column).alias("x")), "a")
+        full = left.join(held.select(F.col("cid").alias("b"), F.col(column).alias("y")), "b")
+        return full.select("a", "b", "size", "x", "y").mapInArrow(run, "a long, b long, size long")
 
     def open_links(self, roots: DataFrame, nearest: int | None) -> DataFrame | None:
         """Links between components within lists that still hold several; each class's ``nearest`` candidates
@@ -358,13 +372,15 @@ class _Join:
         others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, part).alias("i"), F.greatest(o, part).alias("j")))
         alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
         meets = F.when(F.col("parts") == 1, alone).otherwise(F.filter(others, lambda c: c["i"] != c["j"]))
-        held = self._brought(dealt.select("cid").distinct(), "__parity")
+        held = self._brought(dealt.select("cid").distinct(), "__coarse")
         cells = dealt.select("column", F.explode(meets).alias("c"), "cid", "n", "root").join(held, "cid").select(
-            "column", "c.i", "c.j", "cid", "n", "root", "__parity")
+            "column", "c.i", "c.j", "cid", "n", "root", "__coarse")
         together = cells.repartition("column", "i", "j").sortWithinPartitions("column", "i", "j")
-        near = together.mapInArrow(lambda batches: _near_in_blocks(batches, percent, nearest), "a long, b long")
+        near = together.mapInArrow(lambda batches: _near_in_blocks(batches, percent, nearest), "a long, b long, size long")
         near = materialize(near.distinct().join(self.tried, ["a", "b"], "left_anti"), "jaccard-near")
-        return None if near.isEmpty() else self._multiplied(near)
+        if near.isEmpty():
+            return None
+        return self._multiplied(materialize(self._near(near, "__parity"), "jaccard-near").select("a", "b"))
 
 
 def _may_differ(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -378,53 +394,56 @@ def _near_in_blocks(batches: Iterator[pa.RecordBatch], percent: int, nearest: in
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         rows = pa.concat_tables([held, rows]) if held is not None else rows
-        key = np.array([rows.column(c).to_numpy() for c in ("column", "i", "j")])
-        new = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)][:rows.num_rows])
-        for start, end in zip(new[:-1], new[1:]):
-            yield from _near_pairs(rows.slice(start, end - start), percent, nearest)
-        held = rows.slice(new[-1]) if len(new) else None
-    if held is not None:
-        yield from _near_pairs(held, percent, nearest)
-
-
-def _near_pairs(block: pa.Table, percent: int, nearest: int | None) -> Iterator[pa.RecordBatch]:
-    cid, n, root = (block.column(c).to_numpy() for c in ("cid", "n", "root"))
-    order = np.argsort(n, kind="stable")
-    cid, n, root = cid[order], n[order], root[order]
-    parities = [np.frombuffer(block.column("__parity")[int(k)].as_py(), np.uint8) for k in order]
-    reach = np.searchsorted(n, 100 * n // percent, side="right")
-    folded: dict[int, np.ndarray] = {}
-    a, b, apart = [], [], []
-    for k in range(len(n) - 1):
-        others = np.arange(k + 1, reach[k])
-        others = others[root[others] != root[k]]
-        if not len(others):
+        if not rows.num_rows:
             continue
-        size = len(parities[k])  # the smaller set's, so no other one is shorter
-        if size not in folded:
-            folded[size] = np.array([_folded(p, size) if len(p) >= size else np.zeros(size, np.uint8) for p in parities])
-        bits = np.bitwise_count(folded[size][others] ^ folded[size][k]).sum(axis=1, dtype=np.int64)
-        near = bits <= _may_differ(n[others] + n[k], percent)
-        a.append(np.full(int(near.sum()), k))
-        b.append(others[near])
-        apart.append(bits[near])
-    if not a:
+        block = _blocks_of(rows)
+        last = int(np.searchsorted(block, block[-1]))
+        if last:
+            yield from _near_pairs(rows.slice(0, last), block[:last], percent, nearest)
+        held = rows.slice(last)
+    if held is not None and held.num_rows:
+        yield from _near_pairs(held, _blocks_of(held), percent, nearest)
+
+
+def _blocks_of(rows: pa.Table) -> np.ndarray:
+    key = np.array([rows.column(c).to_numpy() for c in ("column", "i", "j")])
+    return np.cumsum(np.r_[False, (key[:, 1:] != key[:, :-1]).any(axis=0)])
+
+
+def _near_pairs(rows: pa.Table, block: np.ndarray, percent: int, nearest: int | None) -> Iterator[pa.RecordBatch]:
+    """All blocks at once: each row with the next one of its block by size, then with the one after that, and so on."""
+    cid, n, root = (rows.column(c).to_numpy() for c in ("cid", "n", "root"))
+    order = np.lexsort((n, block))
+    cid, n, root, block = cid[order], n[order], root[order], block[order]
+    bits = np.frombuffer(b"".join(rows.column("__coarse").to_pylist()), "<u8").reshape(-1, COARSE // 64)[order]
+    largest = 100 * n // percent
+    found = []
+    open_rows = np.arange(len(n))
+    for d in range(1, len(n)):
+        open_rows = open_rows[open_rows + d < len(n)]
+        # sizes grow within a block, so a row that has met its block's end or a set too large is done
+        open_rows = open_rows[(block[open_rows] == block[open_rows + d]) & (n[open_rows + d] <= largest[open_rows])]
+        if not len(open_rows):
+            break
+        k = open_rows[root[open_rows] != root[open_rows + d]]
+        for at in range(0, len(k), 1 << 16):
+            part = k[at:at + (1 << 16)]
+            apart = np.bitwise_count(bits[part] ^ bits[part + d]).sum(axis=1, dtype=np.int64)
+            near = apart <= _may_differ(n[part] + n[part + d], percent)
+            found.append((part[near], part[near] + d, apart[near]))
+    if not found:
         return
-    a, b, apart = (np.concatenate(c) for c in (a, b, apart))
+    a, b, apart = (np.concatenate(c) for c in zip(*found))
     if nearest is not None and len(a):
         use = np.zeros(len(a), dtype=bool)
-        for mine in (a, b):
+        for mine in (a, b):  # a place stands for a class in one block
             by = np.lexsort((apart, mine))
             new = np.r_[True, mine[by][1:] != mine[by][:-1]]
             first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
             use[by[np.arange(len(by)) - first < nearest]] = True
         a, b = a[use], b[use]
     x, y = cid[a], cid[b]
-    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-
-def _folded(p: np.ndarray, size: int) -> np.ndarray:
-    return np.bitwise_xor.reduce(p.reshape(-1, size), axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(n[a] + n[b])], names=["a", "b", "size"])
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, carry: tuple[str, ...],
@@ -445,7 +464,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     return join, roots
 
 
-TAKEN = ("doc_id", "n_shingles", "component_id", "kept", "__text", "__n", "__k1", "__k2", "__t", "__prefix", "__parity", "__uid", "k1", "k2", "first")
+TAKEN = ("doc_id", "n_shingles", "component_id", "kept", "__text", "__n", "__k1", "__k2", "__t", "__prefix", "__parity", "__coarse", "__uid", "k1", "k2", "first")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
