@@ -286,7 +286,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
     def run(name: str, opts: Options) -> str:
         root = scratch_path(spark, f"run-{name}")
-        run_pipeline(spark, bronze_views(spark, sf_dir), root, opts, run_id=name)
+        run_pipeline(spark, bronze_views(spark, sf_dir, dealt=True), root, opts, run_id=name)
         return root
 
     state = listing_state(spark, sf_dir)

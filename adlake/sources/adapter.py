@@ -27,8 +27,15 @@ from adlake.functions.columns import epoch_seconds
 from adlake.model import SOURCES
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+#: Column by which a source table's rows are dealt anew; a value that is too frequent for one task is split.
+DEALT_BY = {"events": "event_id", "part": "p_partkey", "customer": "c_custkey"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, dealt: bool = False) -> DataFrame:
+    """A source table. A task reads whole row groups, so one that came in a single row group is read, parsed and
+    written by one task, and so are all tables made from it; ``dealt`` deals the rows over tasks right after the scan."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return rows.hint("rebalance", F.col(DEALT_BY[name])) if dealt else rows
 
 
 def _s(col) -> F.Column:
@@ -43,8 +50,8 @@ def _unflag(cond) -> F.Column:
     return F.when(cond, F.lit("0")).otherwise(F.lit("1"))
 
 
-def impressions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def impressions_from_events(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    e = table(spark, sf_dir, "events", dealt)
     click = F.col("event_type") == "click"
     return e.select(
         _s(F.col("user_id")).alias("user"),
@@ -56,8 +63,8 @@ def impressions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("source_file", F.lit(SOURCES["impressions"][0]))
 
 
-def ads_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+def ads_from_part(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    p = table(spark, sf_dir, "part", dealt)
     digits = F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit(""))
     return p.select(
         _s(F.col("p_partkey")).alias("adgroup_id"),
@@ -69,8 +76,8 @@ def ads_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("source_file", F.lit(SOURCES["ads"][0]))
 
 
-def profiles_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+def profiles_from_customer(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    c = table(spark, sf_dir, "customer", dealt)
     in_debit = F.col("c_acctbal") < 0
     seg = F.col("c_mktsegment")
     nation = F.col("c_nationkey")
@@ -90,12 +97,12 @@ def profiles_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("source_file", F.lit(SOURCES["user_profiles"][0]))
 
 
-def bronze_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three Bronze sources (strings + provenance) derived from ``sf_dir``."""
+def bronze_views(spark: SparkSession, sf_dir: str, dealt: bool = False) -> dict[str, DataFrame]:
+    """The three Bronze sources (strings + provenance) derived from ``sf_dir``; ``dealt``: see ``table``."""
     return {
-        "impressions": impressions_from_events(spark, sf_dir),
-        "ads": ads_from_part(spark, sf_dir),
-        "user_profiles": profiles_from_customer(spark, sf_dir),
+        "impressions": impressions_from_events(spark, sf_dir, dealt),
+        "ads": ads_from_part(spark, sf_dir, dealt),
+        "user_profiles": profiles_from_customer(spark, sf_dir, dealt),
     }
 
 
