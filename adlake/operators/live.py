@@ -85,9 +85,30 @@ def final_plan(df: DataFrame) -> str:
     return "\n".join(kept)
 
 
+def branches(text: str) -> list[str]:
+    """The parts of a plan under its uppermost union, in order."""
+    lines = text.splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-|")) for line in lines]
+    top = next((k for k, line in enumerate(lines) if re.match(r"(\*\(\d+\) )?Union\b", line[depths[k]:])), None)
+    if top is None:
+        raise ValueError(f"no union: {text}")
+    found: list[list[str]] = []
+    for line, depth in zip(lines[top + 1:], depths[top + 1:]):
+        if depth <= depths[top]:
+            break
+        if depth == depths[top] + 3:
+            found.append([])
+        found[-1].append(line)
+    return ["\n".join(part) for part in found]
+
+
 def plan_evidence(df: DataFrame) -> PlanEvidence:
     """E3, E4, E6, E9 and E10 from the final plan of a frame on which an action has run."""
-    text = final_plan(df)
+    return evidence_of(final_plan(df))
+
+
+def evidence_of(text: str) -> PlanEvidence:
+    """The same from a final plan's text, or that of a branch of it."""
     joins: dict[str, str] = {}
     for join in join_operators(text):
         if joins.setdefault(join["key"], join["operator"]) != join["operator"]:

@@ -97,3 +97,31 @@ def test_cache_and_python_nodes(spark):
     out = totals(fact.select(plus("user_id").alias("k"), "impressions").groupBy("k").agg(F.sum("impressions").alias("impressions")))
     out.collect()
     assert plan_evidence(out).python_node == "BatchEvalPython" and plan_evidence(out).cache_scans == 0
+
+
+def test_presets_share_what_they_broadcast(spark, tmp_path):
+    """Presets of the same settings are branches of one execution, in which each dimension reaches the driver once."""
+    from adlake.operators.live import branches, evidence_of
+    from adlake.plans import catalog
+    fact, dim = frames(spark)
+    report = lambda how, amount: totals(fact.join(dim.hint(how), "user_id", "left").groupBy("g").agg(F.sum(amount).alias("impressions")))
+    out = report("broadcast", "impressions").union(report("merge", "impressions")).union(report("broadcast", F.col("impressions") + 1))
+    assert [tuple(r) for r in out.collect()] == [(3, 5000), (3, 5000), (3, 10000)]
+    text = final_plan(out)
+    assert [evidence_of(part).joins["user_id"] for part in branches(text)] == ["BroadcastHashJoin", "SortMergeJoin", "BroadcastHashJoin"]
+    assert text.count("ReusedExchange") == 1 and "ReusedExchange" in branches(text)[2]
+    with pytest.raises(ValueError, match="no union"):
+        branches("HashAggregate")
+
+    n = F.col("id")
+    rows = spark.range(300).coalesce(1)
+    rows.select(n.alias("event_id"), F.timestamp_seconds(n).alias("ts"), (n % 40).alias("user_id"), F.lit("click").alias("event_type"),
+                F.concat(F.lit('{"k": '), n % 30, F.lit("}")).alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    rows.select(n.alias("p_partkey"), F.lit(1).alias("p_size"), F.lit("Brand#1").alias("p_brand"), n.alias("p_retailprice")).write.parquet(f"{tmp_path}/part.parquet")
+    rows.select(n.alias("c_custkey"), F.lit(1.0).alias("c_acctbal"), F.lit("HOUSEHOLD").alias("c_mktsegment"), F.lit(3).alias("c_nationkey")).write.parquet(
+        f"{tmp_path}/customer.parquet")
+    group = ("control", "ads_merge", "arrow_udf", "shared_rollup")
+    assert set(group) <= set(catalog._evidence_together()[0])
+    found = catalog._evidence_of_presets(spark, str(tmp_path), group)
+    assert {(p, r, s.joins["adgroup_id"], row["impressions"]) for p, r, s, row in found} == {
+        (p, r, "SortMergeJoin" if p == "ads_merge" else "BroadcastHashJoin", 300) for p in group for r in ("campaign_daily", "audience_daily")}
