@@ -1,23 +1,37 @@
 """Shared helpers of the training-data operators."""
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, functions as F
 
-from adlake.session import scratch_path
+from adlake.session import delete_scratch, scratch_path
 
 #: Text a Python task handles at once; a batch holds at least one text, however long.
 CHUNK_BYTES = 4 * 1024 * 1024
 
 
+#: Where the tables that ``materialize`` wrote lie.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared scratch folder and read it back."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` gave and that nothing reads any more; others are left alone."""
+    for table in tables:
+        if table in _PATHS:
+            delete_scratch(table.sparkSession, _PATHS.pop(table))
 
 
 def fresh(df: DataFrame, base: str) -> str:

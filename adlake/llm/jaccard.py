@@ -9,20 +9,22 @@ sizes set.
 1. Prefix columns. In any order of the columns, a set of n that reaches the threshold with another shares
    one of its first n - ceil(0.8 n) + 1 columns with it. The order is by hash, frequent columns (in the prefixes
    of more than FREQUENT documents) last, so a passage that many documents share brings nobody
-   together unless it is nearly all they have. The classes that share a prefix column are a list.
+   together unless it is nearly all they have. The classes that share a prefix column are a list; lists of the
+   same classes, which near copies have by the dozen, are one.
 2. Each list's smallest class is paired with the others, deduplicated over lists. A pair
    goes on only if its sizes allow it and if the parities of its hashed columns differ in no more bits
    than the sizes allow the sets to differ (an upper bound, so nothing is lost): first of 512 bits,
    then of some bits per shingle.
 3. Whole sets are fetched for those pairs alone, multiplied, and the links' components are found.
-4. A list whose classes are in one component by now is done. In the others, blocks of classes meet
-   block by block, and pairs of different components are filtered as above: first, in two rounds, the few
-   nearest to each class, which are likely links and join most of a group, then all that is left.
+4. A list whose classes are in one component by now is done and not read again. In the others, blocks of classes
+   meet block by block, and pairs of different components are filtered as above, each pair once: first, in two rounds, the
+   few nearest to each class, which are likely links and join most of a group, then all that is left.
 
 So a group of near copies costs a few rows per member, not a row per pair, and no link that
 could join two components is left out. Hot columns are found by exact counts; what reaches
 every worker are bitmaps of a fixed size (a set bit that stands for two columns only makes
-work). Sets, lists, links and components stay in tables. Results do not depend on the constants.
+work). Sets, lists, links and components stay in tables, which are deleted, like the files of the shuffles that made
+them, once nothing reads them. Results do not depend on the constants.
 """
 from __future__ import annotations
 
@@ -33,16 +35,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from adlake.llm.common import fresh, materialize, refuse_clashes, slices, text_column
+from adlake.llm.common import discard, fresh, materialize, refuse_clashes, slices, text_column
 from adlake.llm.components import components
+from adlake.session import conf_scope
 
 WIDTH, PERCENT = 5, 80
-#: A column in more prefixes than FREQUENT is put last; classes of a block; candidates of a class in the first rounds.
-FREQUENT, BLOCK_ROWS, NEAREST = 64, 1024, (2, 2)
+#: A column in more prefixes than FREQUENT is put last; classes of a block; candidates of a class in the first rounds,
+#: before which comes one of lists' smallest classes alone.
+FREQUENT, BLOCK_ROWS, NEAREST, STARS = 64, 1024, (2, 2), 0
 #: Bits of the bitmaps that workers hold (8 MB), parity bits per shingle and of a first look, blocks of columns.
 BITMAP_BITS, PARITY, COARSE, COLUMN_BLOCKS = 26, 4, 512, 8
 #: Sets a task remembers, so that copies within it bring their columns once.
 SEEN = 200_000
+#: Shuffle files go when the step that wrote them has its table; without it they stay as long as the driver's heap has room.
+CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 #: Words whose hashes a worker remembers, about 150 bytes each.
 WORDS = 300_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -191,15 +197,16 @@ def _texts_of_late(first: DataFrame, frequent) -> DataFrame:
 
 
 def _late_prefixes(texts: DataFrame, width: int, percent: int, frequent, only) -> DataFrame:
-    """(k1, k2, n, prefix, added) of sets with a frequent column among their first ones: the first ones once those
-    columns are put last, and which of them were not among the first ones before."""
+    """(k1, k2, n, prefix, added) of sets with a frequent column among their first ones. With those columns put last,
+    their first ones are the frequent-free rest of the old first ones and ``prefix``; ``added`` are those of it that were
+    not among the first ones before."""
     def emit(part, sets, keys, new, texts):
         rows = []
         for s, key, first in zip(sets, keys.tolist(), new):
             size = prefix_size(len(s), percent)
             if first and frequent.value.of(s[:size]).any():
                 late = frequent.value.of(s)
-                prefix = np.concatenate([s[~late], s[late]])[:size]
+                prefix = np.concatenate([s[~late], s[late]])[np.count_nonzero(~late[:size]):size]
                 rows.append((*key, len(s), prefix, prefix[prefix > s[size - 1]]))
         if rows:
             k1, k2, n, prefix, added = zip(*rows)
@@ -220,17 +227,14 @@ def _columns_in(held: DataFrame, prefix: str, columns) -> DataFrame:
 
 
 def _entries(held: DataFrame, shared, frequent=None) -> DataFrame:
-    """(column, k1, k2, n) of the prefixes, as far as their columns are shared. ``frequent`` leaves out the sets
-    that have a frequent column, whose prefixes are others."""
+    """(column, k1, k2, n) of the prefixes, as far as their columns are shared and not ``frequent``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.repeat(np.arange(batch.num_rows), batch.column("prefix").value_lengths().to_numpy())
             column = batch.column("prefix").flatten().to_numpy()
             use = shared.value.of(column)
             if frequent is not None:
-                late = np.zeros(batch.num_rows, dtype=bool)
-                late[at[frequent.value.of(column)]] = True
-                use &= ~late[at]
+                use &= ~frequent.value.of(column)
             own = [pa.array(batch.column(c).to_numpy()[at[use]]) for c in ("k1", "k2", "n")]
             yield pa.RecordBatch.from_arrays([pa.array(column[use]), *own], names=["column", "k1", "k2", "n"])
 
@@ -270,7 +274,7 @@ class _Join:
     """The tables of one join, on which rounds of pairs are tried."""
 
     def __init__(self, rows: DataFrame, texts: DataFrame, width: int, percent: int, frequent_rows: int, block_rows: int):
-        self.rows, self.texts, self.width, self.percent, self.block_rows = rows, texts, width, percent, block_rows
+        self.texts, self.width, self.percent, self.block_rows = texts, width, percent, block_rows
         best = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("__uid").alias("uid"))
         self.classes = materialize(rows.filter("__n > 0").groupBy(F.col("__k1").alias("k1"), F.col("__k2").alias("k2")).agg(
             F.min(best).alias("best"), F.min("__t").alias("t")).withColumn("cid", F.col("best.uid")), "jaccard-classes")
@@ -285,17 +289,23 @@ class _Join:
         added = late.select(F.explode("added").alias("column"))
         again = added.unionByName(_columns_in(first, "prefix", bitmap(added, "column"))).groupBy("column").count().filter("count > 1")
         shared = bitmap(counts.select("column").unionByName(again.select("column")), "column")
-        entries = _entries(first, shared, frequent).unionByName(_entries(late, shared)).join(
-            self.classes.select("k1", "k2", "cid"), ["k1", "k2"])
-        self.entries = materialize(entries.select("column", "cid", "n").distinct(), "jaccard-entries")
+        discard(counts)
+        entries = materialize(_entries(first, shared, frequent).unionByName(_entries(late, shared)).join(
+            self.classes.select("k1", "k2", "cid"), ["k1", "k2"]).select("column", "cid", "n").distinct(), "jaccard-entries")
+        discard(late)
+        lists = entries.groupBy("column").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("members"),
+                                              F.min(F.struct("n", "cid")).alias("top")).filter("m > 1")
+        lists = lists.groupBy("m", "members").agg(F.min(F.struct("column", "top")).alias("list")).select("list.column", "m", "list.top")
+        #: (column, cid, n) with the m members of the column's list and the smallest of them, ``top``
+        self.entries = materialize(entries.join(lists, "column"), "jaccard-lists")
+        discard(entries)
+        listed = self.classes.select("cid", "k1", "k2").join(self.entries.select("cid").distinct(), "cid")
+        parities = rows.filter("__parity IS NOT NULL").select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "__coarse", "__parity")
+        self.parities = materialize(parities.join(listed, ["k1", "k2"]).groupBy("cid").agg(
+            F.first("__coarse").alias("__coarse"), F.first("__parity").alias("__parity")), "jaccard-parities")
+        self.open = self.entries.filter("m > 2").select("column", "cid", "n", "m")  # a list of two is decided by its star
         self.tried: DataFrame | None = None
 
-    def _brought(self, wanted: DataFrame, column: str) -> DataFrame:
-        """(cid, column) for the wanted classes."""
-        keys = wanted.join(self.classes.select("cid", "k1", "k2"), "cid")
-        held = self.rows.filter(F.col(column).isNotNull()).select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), column)
-        return held.join(keys, ["k1", "k2"]).groupBy("cid").agg(F.first(column).alias(column))
-
     def _whole_sets(self, wanted: DataFrame) -> DataFrame:
         """(cid, columns): the whole sets of the wanted classes, computed from the texts again."""
         keys = materialize(wanted.join(self.classes.select("cid", "k1", "k2", "t"), "cid"), "jaccard-wanted")
@@ -313,7 +323,6 @@ class _Join:
     def _multiplied(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links."""
         percent = self.percent
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
         both = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         sets = materialize(self._whole_sets(both), "jaccard-sets")
 
@@ -326,24 +335,19 @@ class _Join:
 
         left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("columns").alias("x")), "a")
         full = left.join(sets.select(F.col("cid").alias("b"), F.col("columns").alias("y")), "b")
-        return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+        links = materialize(full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "jaccard-links")
+        discard(sets)
+        return links
 
-    def star_links(self) -> DataFrame:
+    def star_links(self) -> DataFrame | None:
         """Links between each list's smallest class and its others."""
-        percent, e = self.percent, self.entries
-        lists = e.groupBy("column").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("n", "cid")).alias("top")).filter("m > 1")
-        pairs = e.join(lists, "column").filter("cid != top.cid").filter(_possible(F.col("n"), F.col("top.n"), percent)).select(
-            F.least("top.cid", "cid").alias("a"), F.greatest("top.cid", "cid").alias("b"), (F.col("top.n") + F.col("n")).alias("size")).distinct()
-        pairs = materialize(pairs, "jaccard-stars")
-        for column in ("__coarse", "__parity"):
-            pairs = materialize(self._near(pairs, column), "jaccard-near")
-        return self._multiplied(pairs.select("a", "b"))
+        others = self.entries.filter("cid != top.cid").filter(_possible(F.col("n"), F.col("top.n"), self.percent))
+        pairs = others.select(F.least("top.cid", "cid").alias("a"), F.greatest("top.cid", "cid").alias("b"), (F.col("top.n") + F.col("n")).alias("size"))
+        return self._links(self._near(materialize(pairs.distinct(), "jaccard-stars"), "__coarse"))
 
     def _near(self, pairs: DataFrame, column: str) -> DataFrame:
         """The pairs (a, b, size: summed) whose parities in ``column`` differ in no more bits than links may."""
         percent = self.percent
-        both = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        held = materialize(self._brought(both, column), "jaccard-parities")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -352,35 +356,39 @@ class _Join:
                 near = [differing(np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)) <= k for p, q, k in zip(x, y, limit)]
                 yield batch.select(["a", "b", "size"]).filter(pa.array(near, pa.bool_()))
 
-        left = pairs.join(held.select(F.col("cid").alias("a"), F.col(column).alias("x")), "a")
-        full = left.join(held.select(F.col("cid").alias("b"), F.col(column).alias("y")), "b")
-        return full.select("a", "b", "size", "x", "y").mapInArrow(run, "a long, b long, size long")
+        left = pairs.join(self.parities.select(F.col("cid").alias("a"), F.col(column).alias("x")), "a")
+        full = left.join(self.parities.select(F.col("cid").alias("b"), F.col(column).alias("y")), "b")
+        return materialize(full.select("a", "b", "size", "x", "y").mapInArrow(run, "a long, b long, size long"), "jaccard-near")
+
+    def _links(self, pairs: DataFrame) -> DataFrame | None:
+        """The links (a, b) among pairs that passed the first look; they are not looked at again. None if all fail the second."""
+        seen = pairs.select("a", "b")
+        self.tried = seen if self.tried is None else self.tried.unionByName(seen)
+        near = self._near(pairs, "__parity")
+        return None if near.isEmpty() else self._multiplied(near.select("a", "b"))
 
     def open_links(self, roots: DataFrame, nearest: int | None) -> DataFrame | None:
         """Links between components within lists that still hold several; each class's ``nearest`` candidates
         in a block, or all. None if no list is open, or nothing in them is left to try."""
         percent, rows = self.percent, self.block_rows
-        named = self.entries.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        lists = named.groupBy("column").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("low"), F.max("root").alias("high"),
-                                            F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("members"))
-        # a list of two was decided by its star; lists of the same classes are one
-        lists = materialize(lists.filter("m > 2 AND low != high").groupBy("m", "members").agg(F.min("column").alias("column")), "jaccard-open")
-        if lists.isEmpty():
+        named = self.open.select("column", "cid", "n", "m").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+            "root", F.coalesce("root", "cid"))
+        lists = named.groupBy("column").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("column")
+        before, self.open = self.open, materialize(named.join(lists, "column"), "jaccard-open")
+        discard(before)
+        if self.open.isEmpty():
             return None
-        dealt = named.join(lists.select("column", F.ceil(F.col("m") / rows).cast("int").alias("parts")), "column")
+        dealt = self.open.withColumn("parts", F.ceil(F.col("m") / rows).cast("int"))
         part = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
         others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, part).alias("i"), F.greatest(o, part).alias("j")))
         alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
         meets = F.when(F.col("parts") == 1, alone).otherwise(F.filter(others, lambda c: c["i"] != c["j"]))
-        held = self._brought(dealt.select("cid").distinct(), "__coarse")
-        cells = dealt.select("column", F.explode(meets).alias("c"), "cid", "n", "root").join(held, "cid").select(
+        cells = dealt.select("column", F.explode(meets).alias("c"), "cid", "n", "root").join(self.parities.select("cid", "__coarse"), "cid").select(
             "column", "c.i", "c.j", "cid", "n", "root", "__coarse")
         together = cells.repartition("column", "i", "j").sortWithinPartitions("column", "i", "j")
         near = together.mapInArrow(lambda batches: _near_in_blocks(batches, percent, nearest), "a long, b long, size long")
         near = materialize(near.distinct().join(self.tried, ["a", "b"], "left_anti"), "jaccard-near")
-        if near.isEmpty():
-            return None
-        return self._multiplied(materialize(self._near(near, "__parity"), "jaccard-near").select("a", "b"))
+        return None if near.isEmpty() else self._links(near)
 
 
 def _may_differ(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -447,21 +455,28 @@ def _near_pairs(rows: pa.Table, block: np.ndarray, percent: int, nearest: int |
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, carry: tuple[str, ...],
-            frequent_rows: int, block_rows: int) -> tuple[_Join, DataFrame]:
-    """The join's tables and the classes' components as (node, root) of all classes but the roots."""
+            frequent_rows: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their sets' keys, and (k1, k2, first) of all sets: the first row of the set's component."""
     texts = docs.select(text_column(docs, text_col).alias("__text"))
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), text_column(docs, text_col).alias("__text"),
                          *[docs[f"`{c}`"] for c in carry])
-    rows = _summaries(source, width, percent).withColumn("__uid", F.monotonically_increasing_id())
-    join = _Join(materialize(rows, "jaccard-rows"), texts, width, percent, frequent_rows, block_rows)
-    links = materialize(join.star_links(), "jaccard-links")
-    roots = components(links)
-    for nearest in (*NEAREST, None):
-        more = join.open_links(roots, nearest)
-        if more is not None:
-            links = materialize(links.unionByName(more), "jaccard-links")
-            roots = components(links)
-    return join, roots
+    summaries = materialize(_summaries(source, width, percent).withColumn("__uid", F.monotonically_increasing_id()), "jaccard-rows")
+    join = _Join(summaries, texts, width, percent, frequent_rows, block_rows)
+    rows = summaries
+    if not carry:  # which would be written twice
+        rows = materialize(summaries.select("doc_id", "__n", "__k1", "__k2", "__uid"), "jaccard-rows")
+        discard(summaries)
+    roots = join.classes.select(F.col("cid").alias("node"), F.col("cid").alias("root")).filter("node != root")
+    for nearest in (STARS, *NEAREST, None):
+        links = join.star_links() if nearest == STARS else join.open_links(roots, nearest)
+        if links is not None:  # the components so far stand for the links that made them
+            roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    named = join.classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "k1", "k2", F.coalesce("root", "cid").alias("root"), "best")
+    firsts = named.groupBy("root").agg(F.min("best").alias("first"))
+    owner = materialize(named.join(firsts, "root").select("k1", "k2", "first"), "jaccard-owners")
+    discard(join.classes, join.entries, join.parities, join.open, roots)
+    return rows, owner
 
 
 TAKEN = ("doc_id", "n_shingles", "component_id", "kept", "__text", "__n", "__k1", "__k2", "__t", "__prefix", "__parity", "__coarse", "__uid", "k1", "k2", "first")
@@ -478,13 +493,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone has a null component_id. Repeated rows have equal sets and so one component. An empty table
     gives an empty result. ``carry`` columns may not have the result's names."""
     refuse_clashes(carry, TAKEN)
-    join, roots = _joined(docs, id_col, text_col, width, percent, carry, frequent_rows, block_rows)
-    named = join.classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "k1", "k2", F.coalesce("root", "cid").alias("root"), "best")
-    firsts = named.groupBy("root").agg(F.min("best").alias("first"))
-    owner = materialize(named.join(firsts, "root").select("k1", "k2", "first"), "jaccard-owners")
+    with conf_scope(docs.sparkSession, CLEANUP):
+        rows, owner = _joined(docs, id_col, text_col, width, percent, carry, frequent_rows, block_rows)
     same = (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")) & (F.col("__n") > 0)
-    return join.rows.join(owner, same, "left").select(
+    return rows.join(owner, same, "left").select(
         "doc_id", F.col("__n").alias("n_shingles"), F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.id")).alias("component_id"),
         F.coalesce(F.col("__uid") == F.col("first.uid"), F.lit(True)).alias("kept"), *[F.col(f"`{c}`") for c in carry])
 

@@ -102,11 +102,23 @@ def release_scratch(spark: SparkSession) -> int:
     _KEPT.pop(spark.sparkContext.applicationId, None)
     paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one scratch table of this application before the others."""
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    if path in paths:
+        paths.remove(path)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @contextlib.contextmanager
 def conf_scope(spark: SparkSession, settings: dict[str, str]):
     """Apply SQL settings for the duration of a block, then restore them."""

@@ -1,6 +1,8 @@
 """Operator 13 against all pairs of plain Python sets."""
 from __future__ import annotations
 
+import glob
+import os
 import random
 import re
 from collections import Counter
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from adlake.llm import jaccard
 from adlake.llm.jaccard import differing, drop_near_duplicates, near_duplicates, parity, prefix_size, products, shingle_set
+from adlake.session import ensure_checkpoint_dir
 from conftest import SF_ORACLE
 
 
@@ -144,3 +147,38 @@ def test_rows_kept_clashes_and_empty(spark):
     assert drop_near_duplicates(frame.limit(0), "id", "body").count() == 0
     with pytest.raises(ValueError, match="kept"):
         near_duplicates(frame, "id", "body", carry=("kept",))
+
+
+def test_tables_and_shuffle_files_go_when_nothing_reads_them(spark):
+    docs = corpus(6)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    scratch = f"{ensure_checkpoint_dir(spark)}/adlake/jaccard-*"
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in local for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    tables, shuffles = set(glob.glob(scratch)), files()
+    marked = near_duplicates(frame)
+    left = sorted(os.path.basename(t).rsplit("-", 1)[0] for t in set(glob.glob(scratch)) - tables)
+    assert [t for t in left if t not in ("jaccard-links", "jaccard-near", "jaccard-stars", "jaccard-wanted")] == ["jaccard-owners", "jaccard-rows"]
+    assert len(files() - shuffles) < 60
+    assert sorted((tuple(r)[:3] for r in marked.collect()), key=repr) == brute(docs)
+
+
+def test_pairs_are_looked_at_once(spark, monkeypatch):
+    looked = []
+
+    def near(self, pairs, column, old=jaccard._Join._near):
+        if column == "__parity":
+            looked.extend(tuple(r) for r in pairs.select("a", "b").collect())
+        return old(self, pairs, column)
+
+    monkeypatch.setattr(jaccard._Join, "_near", near)
+    # shared halves, so that lists are open in all rounds, and sets so large that 512 bits let most pairs pass
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = rng.choices(vocabulary, k=2000)
+    docs = [(k, " ".join(base[:1400] + rng.choices(vocabulary, k=600))) for k in range(12)]
+    assert result(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+    assert looked and len(looked) == len(set(looked))
